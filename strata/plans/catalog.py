@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.operators import silver
+from strata.operators import quality, silver
 from strata.plans import questions as Q
 from strata.plans.layers import Medallion
 from strata.sources import fixtures
@@ -47,7 +47,22 @@ REGISTRY: dict[str, Query] = {
                                               fixtures.FIXTURE_WINDOW),
     "q2_silver": lambda spark, d: Q.q2_silver(_m(spark, d).enriched),
     "q2_gold": lambda spark, d: Q.q2_gold(_m(spark, d).gold("borough_pairs")),
+    # quality
+    "safe_location_cast": lambda spark, d: quality.cast_report(_m(spark, d).bronze_trips),
+    "rejected_rows": lambda spark, d: quality.rejected_rows(_m(spark, d).bronze_trips,
+                                                            fixtures.FIXTURE_WINDOW),
+    "dq_report": lambda spark, d: quality.run_declared_tests(_m(spark, d).models()),
+    "dq_relationships": lambda spark, d: _relationships(_m(spark, d)),
 }
 
+
+def _relationships(m: Medallion) -> DataFrame:
+    a = quality.relationship_failures(m.clean, "pickup_location_id", m.bronze_zones, "LocationID",
+                                      "fhvhv_trips_clean")
+    b = quality.relationship_failures(m.clean, "dropoff_location_id", m.bronze_zones, "LocationID",
+                                      "fhvhv_trips_clean")
+    return a.unionByName(b)
+
+
 FLAGSHIP = "gold_daily_revenue"
 _ = silver  # re-exported for callers building their own variants

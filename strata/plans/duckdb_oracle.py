@@ -216,3 +216,66 @@ GROUP BY 1, 2 {TOP10}""",
 SELECT pickup_borough, dropoff_borough, trips, revenue_usd
 FROM borough_pairs WHERE pickup_borough IS NOT NULL AND dropoff_borough IS NOT NULL {TOP10}""",
 }
+
+
+# --------------------------------------------------------------------------
+# Quality
+# --------------------------------------------------------------------------
+
+_DECLARED = [  # (model cte, model name, column, test)
+    ("clean", "fhvhv_trips_clean", "pickup_at", "not_null"),
+    ("clean", "fhvhv_trips_clean", "dropoff_at", "not_null"),
+    ("clean", "fhvhv_trips_clean", "base_fare", "not_null"),
+    ("clean", "fhvhv_trips_clean", "trip_minutes", "not_null"),
+    ("clean", "fhvhv_trips_clean", "total_amount", "not_null"),
+    ("enriched", "fhvhv_trips_enriched", "pickup_at", "not_null"),
+    ("daily_revenue", "daily_revenue", "trip_date", "not_null"),
+    ("daily_revenue", "daily_revenue", "trip_date", "unique"),
+    ("daily_revenue", "daily_revenue", "gross_revenue_usd", "not_null"),
+    ("hourly_demand", "hourly_demand", "weekday", "not_null"),
+    ("hourly_demand", "hourly_demand", "hour_of_day", "not_null"),
+    ("borough_pairs", "borough_pairs", "pickup_borough", "not_null"),
+    ("borough_pairs", "borough_pairs", "dropoff_borough", "not_null"),
+    ("driver_economics", "driver_economics", "month", "not_null"),
+    ("driver_economics", "driver_economics", "month", "unique"),
+    ("shared_vs_solo", "shared_vs_solo", "ride_type", "not_null"),
+    ("shared_vs_solo", "shared_vs_solo", "ride_type", "unique"),
+]
+
+
+def _dq_select(cte, model, col, test):
+    if test == "not_null":
+        f = f"(SELECT count(*) FROM {cte} WHERE {col} IS NULL)"
+    else:
+        f = (f"(SELECT count(*) FROM (SELECT {col} FROM {cte} WHERE {col} IS NOT NULL "
+             f"GROUP BY {col} HAVING count(*) > 1))")
+    return (f"SELECT '{model}' AS model, '{col}' AS column_name, '{test}' AS test, "
+            f"CAST({f} AS BIGINT) AS failures")
+
+
+SQL["dq_report"] = with_(BRONZE_TRIPS, ZONES, CLEAN, ENRICHED, DAILY, HOURLY, PAIRS, DRIVER, SHARED) + \
+    "SELECT *, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status FROM (\n" + \
+    "\nUNION ALL ".join(_dq_select(*t) for t in _DECLARED) + ")"
+
+SQL["dq_relationships"] = with_(BRONZE_TRIPS, ZONES, CLEAN) + "\nUNION ALL ".join(
+    f"""SELECT 'fhvhv_trips_clean' AS model, '{c}' AS column_name, 'relationships' AS test,
+       failures, CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (SELECT CAST(count(*) AS BIGINT) AS failures FROM clean
+      WHERE {c} IS NOT NULL AND {c} NOT IN (SELECT LocationID FROM zones WHERE LocationID IS NOT NULL))"""
+    for c in ("pickup_location_id", "dropoff_location_id"))
+
+_IN_WINDOW = WINDOW_PRED
+SQL["rejected_rows"] = with_(BRONZE_TRIPS) + f"""
+SELECT count(*) AS raw_rows,
+       count(*) FILTER (WHERE coalesce({QUALITY_PRED}, false)) AS clean_rows,
+       count(*) FILTER (WHERE NOT coalesce({_IN_WINDOW}, false)) AS outside_window,
+       count(*) FILTER (WHERE NOT coalesce(base_passenger_fare > 0, false)) AS non_positive_fare,
+       count(*) FILTER (WHERE NOT coalesce(trip_miles BETWEEN 0 AND 200, false)) AS miles_out_of_range,
+       count(*) FILTER (WHERE NOT coalesce(trip_time BETWEEN 0 AND 21600, false)) AS time_out_of_range,
+       count(*) - count(*) FILTER (WHERE coalesce({QUALITY_PRED}, false)) AS rejected_rows
+FROM bronze_trips"""
+
+SQL["safe_location_cast"] = with_(BRONZE_TRIPS) + "\nUNION ALL ".join(
+    f"""SELECT '{c}' AS column_name, count(*) AS rows, count({_uid(c)}) AS valid,
+       count(*) - count({_uid(c)}) AS nulls, min({_uid(c)}) AS min_id, max({_uid(c)}) AS max_id
+FROM bronze_trips""" for c in ("PULocationID", "DOLocationID"))

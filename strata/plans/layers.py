@@ -46,6 +46,12 @@ class Medallion:
     def enriched(self) -> DataFrame:
         return silver.enrich(self.clean, self.bronze_zones)
 
+    def models(self) -> dict[str, DataFrame]:
+        """Every silver and gold model by table name (all lazy)."""
+        out = {"fhvhv_trips_clean": self.clean, "fhvhv_trips_enriched": self.enriched}
+        out.update({name: self.gold(name) for name in gold.GOLD_MODELS})
+        return out
+
     def gold(self, name: str, **kw) -> DataFrame:
         source, fn = gold.GOLD_MODELS[name]
         return fn(self.clean if source == "clean" else self.enriched, **kw)
