@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from strata.operators import history as H
 from strata.operators import quality, silver
 from strata.plans import questions as Q
 from strata.plans.layers import Medallion
@@ -53,9 +54,34 @@ REGISTRY: dict[str, Query] = {
                                                             fixtures.FIXTURE_WINDOW),
     "dq_report": lambda spark, d: quality.run_declared_tests(_m(spark, d).models()),
     "dq_relationships": lambda spark, d: _relationships(_m(spark, d)),
+    # measurement history
+    "engine_log_enriched": lambda spark, d: H.enrich_with_engine_log(*_client_and_log(spark, d)),
+    "layer_union": lambda spark, d: H.consolidate_layers(*_client_and_log(spark, d)),
+    "run_summary": lambda spark, d: H.run_summary(_results(spark, d), digits=2),
+    "speedup_by_layer": lambda spark, d: H.speedup_by_layer(H.run_summary(_results(spark, d))),
+    "per_run_stats": lambda spark, d: H.per_run_stats(_results(spark, d)),
+    "latest_runs": lambda spark, d: H.latest_runs(_results(spark, d)),
+    "cross_run_stats": lambda spark, d: H.cross_run_stats(_results(spark, d)),
+    "cv_bands": lambda spark, d: H.cv_bands(H.cross_run_stats(_results(spark, d))),
+    "cv_share": lambda spark, d: H.cv_share(H.cross_run_stats(_results(spark, d))),
+    "cell_stats": lambda spark, d: H.cell_stats(_results(spark, d)),
+    "latest_measurements": lambda spark, d: H.latest_measurements(_results(spark, d)),
 }
 
 
+def _events(spark, d):
+    return fixtures.table(spark, d, "events")
+
+
+def _client_and_log(spark, d):
+    e = _events(spark, d)
+    return fixtures.client_timings(e), fixtures.engine_log(e)
+
+
+def _results(spark, d):
+    return fixtures.medallion_results(_events(spark, d))
+
+
 def _relationships(m: Medallion) -> DataFrame:
     a = quality.relationship_failures(m.clean, "pickup_location_id", m.bronze_zones, "LocationID",
                                       "fhvhv_trips_clean")

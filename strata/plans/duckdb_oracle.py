@@ -279,3 +279,145 @@ SQL["safe_location_cast"] = with_(BRONZE_TRIPS) + "\nUNION ALL ".join(
     f"""SELECT '{c}' AS column_name, count(*) AS rows, count({_uid(c)}) AS valid,
        count(*) - count({_uid(c)}) AS nulls, min({_uid(c)}) AS min_id, max({_uid(c)}) AS max_id
 FROM bronze_trips""" for c in ("PULocationID", "DOLocationID"))
+
+# --------------------------------------------------------------------------
+# Measurement history (events adapter restated)
+# --------------------------------------------------------------------------
+
+_LAYER_CASE = ("CASE event_type WHEN 'error' THEN 'bronze' WHEN 'signup' THEN 'bronze' "
+               "WHEN 'click' THEN 'silver' WHEN 'view' THEN 'silver' WHEN 'purchase' THEN 'gold' END")
+_QUESTION_CASE = "CASE WHEN event_id % 2 = 0 THEN 'Q1_daily_revenue' ELSE 'Q2_borough_pairs' END"
+_TAG = "'tcc_bench|' || CAST(user_id % 12 AS VARCHAR) || '|' || CAST(event_id AS VARCHAR)"
+
+RESULTS = f"""
+results AS (
+  SELECT 'run-' || CAST(user_id % 12 AS VARCHAR) AS run_id,
+         TIMESTAMP '2024-02-01 00:00:00' + to_hours(CAST(user_id % 12 AS INTEGER)) AS captured_at,
+         {_QUESTION_CASE} AS question_id, {_LAYER_CASE} AS layer,
+         CAST(event_id AS INTEGER) AS iteration, value * 10e0 AS wall_ms,
+         CAST(floor(value * 8e0) AS BIGINT) AS query_duration_ms,
+         event_id * 10 AS read_rows, event_id * 800 AS read_bytes, event_id * 3 AS memory_usage,
+         event_id % 50 AS result_rows
+  FROM events)"""
+
+CLIENT = f"""
+client AS (
+  SELECT 'run-' || CAST(user_id % 12 AS VARCHAR) AS run_id, {_QUESTION_CASE} AS question_id,
+         {_LAYER_CASE} AS layer, CAST(event_id AS INTEGER) AS iteration, {_TAG} AS tag,
+         value * 10e0 AS wall_ms, event_id % 50 AS result_rows
+  FROM events)"""
+
+
+def _log_part(extra, hours, where):
+    return f"""SELECT {_TAG} AS log_comment, CAST(floor(value * 8e0) AS BIGINT) + {extra} AS query_duration_ms,
+         event_id * 10 AS read_rows, event_id * 800 AS read_bytes, event_id * 3 AS memory_usage,
+         event_id % 50 AS result_rows,
+         CASE WHEN event_id % 13 = 0 THEN 'QueryStart' ELSE 'QueryFinish' END AS type,
+         ts + to_hours({hours}) AS event_time
+  FROM events WHERE {where}"""
+
+
+ENGINE_LOG = f"""
+log AS (
+  {_log_part(0, 0, 'event_id % 7 <> 0')}
+  UNION ALL
+  {_log_part(5, 1, 'event_id % 7 <> 0 AND event_id % 11 = 0')})"""
+
+ENRICHED_LOG = """
+fin AS (
+  SELECT *, row_number() OVER (PARTITION BY log_comment ORDER BY event_time DESC,
+                                query_duration_ms DESC) AS rn
+  FROM log WHERE type = 'QueryFinish' AND log_comment IN (SELECT tag FROM client)),
+merged AS (
+  SELECT c.run_id, c.question_id, c.layer, c.iteration, c.wall_ms,
+         coalesce(f.query_duration_ms, 0) AS query_duration_ms, coalesce(f.read_rows, 0) AS read_rows,
+         coalesce(f.read_bytes, 0) AS read_bytes, coalesce(f.memory_usage, 0) AS memory_usage,
+         coalesce(f.result_rows, c.result_rows) AS result_rows
+  FROM client c LEFT JOIN fin f ON f.log_comment = c.tag AND f.rn = 1)"""
+
+
+def _human(x):
+    units = ["B", "KiB", "MiB", "GiB", "TiB"]
+    parts = []
+    for i, u in enumerate(units[:-1]):
+        parts.append(f"WHEN ({x}) / {float(1024 ** i)} < 1024 THEN "
+                     f"format('{{:,.2f}}', ({x}) / {float(1024 ** i)}) || ' {u}'")
+    return (f"CASE WHEN ({x}) IS NULL THEN NULL " + " ".join(parts) +
+            f" ELSE format('{{:,.2f}}', ({x}) / {float(1024 ** 4)}) || ' TiB' END")
+
+
+def _cv(sd, mean):
+    return f"CASE WHEN ({mean}) IS NOT NULL AND ({mean}) <> 0 THEN ({sd}) / ({mean}) * 100 ELSE 0e0 END"
+
+
+_QD = "query_duration_ms"
+PER_RUN = f"""
+per_run AS (
+  SELECT run_id, question_id, layer, min(captured_at) AS ts, count(*) AS iters,
+         round(avg({_QD}), 1) AS engine_avg, round(stddev_pop({_QD}), 1) AS engine_stddev,
+         round({_cv(f'round(stddev_pop({_QD}), 1)', f'round(avg({_QD}), 1)')}, 2) AS cv_pct
+  FROM results GROUP BY 1, 2, 3)"""
+
+CROSS = f"""
+cross_run AS (
+  SELECT question_id, layer, count(*) AS total_samples, count(DISTINCT run_id) AS total_runs,
+         round(avg({_QD}), 1) AS engine_avg, round(stddev_pop({_QD}), 1) AS engine_stddev,
+         round(avg(wall_ms), 1) AS wall_avg, round(stddev_pop(wall_ms), 1) AS wall_stddev,
+         min(read_rows) AS read_rows, {_human('min(read_bytes)')} AS read_bytes_h,
+         round(quantile_cont(CAST({_QD} AS DOUBLE), 0.5), 1) AS engine_p50,
+         round(quantile_cont(CAST({_QD} AS DOUBLE), 0.95), 1) AS engine_p95,
+         round({_cv(f'round(stddev_pop({_QD}), 1)', f'round(avg({_QD}), 1)')}, 2) AS cv_pct
+  FROM results GROUP BY 1, 2)"""
+
+SUMMARY = """
+summary AS (
+  SELECT question_id, layer, avg(query_duration_ms) AS engine_avg, avg(wall_ms) AS wall_avg
+  FROM results GROUP BY 1, 2),
+base AS (
+  SELECT question_id,
+         max(CASE WHEN layer = 'bronze' THEN
+               CASE WHEN coalesce(engine_avg, 0) <> 0 THEN engine_avg
+                    WHEN coalesce(wall_avg, 0) <> 0 THEN wall_avg ELSE 1e0 END END) AS b
+  FROM summary GROUP BY 1)"""
+
+_REF = "CASE WHEN coalesce(s.engine_avg, 0) <> 0 THEN s.engine_avg ELSE s.wall_avg END"
+
+SQL.update({
+    "engine_log_enriched": with_(CLIENT, ENGINE_LOG, ENRICHED_LOG) + "SELECT * FROM merged",
+    "layer_union": with_(CLIENT, ENGINE_LOG, ENRICHED_LOG) +
+        "SELECT * FROM merged WHERE layer IN ('bronze', 'silver', 'gold')",
+    "run_summary": with_(RESULTS) + """
+SELECT question_id, layer, round(avg(wall_ms), 2) AS wall_avg, min(wall_ms) AS wall_min,
+       max(wall_ms) AS wall_max, round(avg(query_duration_ms), 2) AS engine_avg,
+       CAST(trunc(avg(read_bytes)) AS BIGINT) AS read_bytes, CAST(trunc(avg(read_rows)) AS BIGINT) AS read_rows,
+       max(memory_usage) AS memory_peak, arg_max(result_rows, iteration) AS result_rows
+FROM results GROUP BY 1, 2""",
+    "speedup_by_layer": with_(RESULTS, SUMMARY) + f"""
+SELECT s.question_id, s.layer, round(s.engine_avg, 2) AS engine_avg, round(s.wall_avg, 2) AS wall_avg,
+       round(CASE WHEN coalesce({_REF}, 0) <> 0 THEN coalesce(b.b, 1e0) / ({_REF}) ELSE 0e0 END, 2) AS speedup
+FROM summary s JOIN base b USING (question_id)""",
+    "per_run_stats": with_(RESULTS, PER_RUN) + "SELECT * FROM per_run",
+    "latest_runs": with_(RESULTS, PER_RUN) + """
+SELECT * FROM per_run WHERE run_id IN (
+  SELECT run_id FROM (SELECT run_id, min(captured_at) AS run_ts FROM results GROUP BY 1)
+  ORDER BY run_ts DESC, run_id DESC LIMIT 10)""",
+    "cross_run_stats": with_(RESULTS, CROSS) + "SELECT * FROM cross_run",
+    "cv_bands": with_(RESULTS, CROSS) + """
+SELECT question_id, layer, round(cv_pct, 1) AS cv_pct,
+       CASE WHEN cv_pct < 10 THEN 'consistent' WHEN cv_pct <= 20 THEN 'acceptable' ELSE 'investigate' END AS band
+FROM cross_run""",
+    "cv_share": with_(RESULTS, CROSS) + """
+SELECT count(*) FILTER (WHERE cv_pct < 10) AS consistent_cells, count(*) AS total_cells,
+       round(count(*) FILTER (WHERE cv_pct < 10) * 100.0e0 / nullif(count(*), 0), 1) AS share_pct
+FROM cross_run""",
+    "cell_stats": with_(RESULTS) + f"""
+SELECT run_id, question_id, layer, count(*) AS n, round(avg(wall_ms), 2) AS mean_ms,
+       round(quantile_cont(wall_ms, 0.5), 2) AS median_ms,
+       round(coalesce(stddev_samp(wall_ms), 0), 2) AS stdev_ms,
+       round(CASE WHEN count(*) > 1 THEN {_cv('coalesce(stddev_samp(wall_ms), 0)', 'avg(wall_ms)')}
+             ELSE 0e0 END, 2) AS cv_pct
+FROM results GROUP BY 1, 2, 3""",
+    "latest_measurements": with_(RESULTS) + """
+SELECT * FROM results
+ORDER BY captured_at DESC, run_id DESC, question_id, layer, iteration DESC LIMIT 100""",
+})
