@@ -10,8 +10,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strata.operators import history as H
+from strata.operators import metrics as MET
 from strata.operators import quality, silver
 from strata.plans import questions as Q
 from strata.plans.layers import Medallion
@@ -66,8 +68,58 @@ REGISTRY: dict[str, Query] = {
     "cv_share": lambda spark, d: H.cv_share(H.cross_run_stats(_results(spark, d))),
     "cell_stats": lambda spark, d: H.cell_stats(_results(spark, d)),
     "latest_measurements": lambda spark, d: H.latest_measurements(_results(spark, d)),
+    # metric rollups
+    "metric_select": lambda spark, d: MET.select_series(
+        _samples(spark, d), "click", [("instance", "=~", "[0-3]"), ("instance", "!=", "1"),
+                                      ("instance", "!~", "3")]),
+    "metric_instant": lambda spark, d: MET.last_per_window(_samples(spark, d), LABELS, HOUR),
+    "metric_rate": lambda spark, d: MET.increase(
+        MET.select_series(_samples(spark, d), "click"), LABELS, RATE_WINDOW),
+    "metric_irate": lambda spark, d: MET.irate(
+        MET.select_series(_samples(spark, d), "signup"), LABELS, DAY),
+    "metric_delta": lambda spark, d: MET.delta(
+        MET.select_series(_samples(spark, d), "purchase"), LABELS, DAY),
+    "metric_sum_by": lambda spark, d: _sum_by_metric(_samples(spark, d)),
+    "metric_min_of_avg": lambda spark, d: _min_of_avg_rate(_samples(spark, d)),
+    "metric_ratio": lambda spark, d: MET.aggregate_by(
+        MET.vector_ratio(MET.last_per_window(_samples(spark, d), LABELS, HOUR), "click", "view", LABELS)
+        .withColumn("value", F.round("value", 6)), "value", [], "min"),
+    "metric_vector_sum": lambda spark, d: MET.vector_sum(
+        MET.last_per_window(_samples(spark, d), LABELS, HOUR), ["click", "view", "purchase"], LABELS),
+    "metric_positive_count": lambda spark, d: _positive_count(_samples(spark, d)),
+    "metric_topk": lambda spark, d: MET.topk(
+        MET.aggregate_by(MET.rate(_samples(spark, d), LABELS, RATE_WINDOW), "rate",
+                         ["metric", *LABELS], "sum", "value"), "value", 5, ["metric", *LABELS]),
 }
 
+# Window lengths are scaled to the fixture's sample density (one sample per
+# series every ~75 minutes), not to a 15-second scrape interval.
+LABELS = ["instance"]
+HOUR, RATE_WINDOW, DAY = 3600, 6 * 3600, 86400
+
+
+def _samples(spark, d):
+    return fixtures.metric_samples(fixtures.table(spark, d, "events"))
+
+
+def _sum_by_metric(samples):
+    inst = MET.last_per_window(samples, LABELS, HOUR)
+    return inst.groupBy("window_start", "metric").agg(
+        F.round(F.sum("value"), 4).alias("sum_value"), F.round(F.avg("value"), 4).alias("avg_value"),
+        F.min("value").alias("min_value"), F.count(F.lit(1)).alias("series"))
+
+
+def _min_of_avg_rate(samples):
+    r = MET.rate(MET.select_series(samples, None, [("metric", "=~", "click|view")]), LABELS, RATE_WINDOW)
+    per_instance = MET.aggregate_by(r, "rate", LABELS, "avg", "value")
+    return MET.sort_desc(MET.aggregate_by(per_instance, "value", [], "min"), "value")
+
+
+def _positive_count(samples):
+    d = MET.delta(MET.select_series(samples, "purchase"), LABELS, DAY)
+    per_instance = MET.aggregate_by(MET.compare_filter(d, "delta", ">", 0.0), "delta", LABELS, "sum")
+    return MET.aggregate_by(per_instance, "delta", [], "count", "value")
+
 
 def _events(spark, d):
     return fixtures.table(spark, d, "events")

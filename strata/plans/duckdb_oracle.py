@@ -421,3 +421,101 @@ FROM results GROUP BY 1, 2, 3""",
 SELECT * FROM results
 ORDER BY captured_at DESC, run_id DESC, question_id, layer, iteration DESC LIMIT 100""",
 })
+
+# --------------------------------------------------------------------------
+# Metric rollups (events adapter restated)
+# --------------------------------------------------------------------------
+
+SAMPLES = """
+samples AS (
+  SELECT event_type AS metric, CAST(user_id % 5 AS VARCHAR) AS instance, ts, value, event_id AS sample_id
+  FROM events)"""
+
+
+def _w(seconds):
+    return f"time_bucket(INTERVAL '{seconds} seconds', ts, TIMESTAMP '1970-01-01')"
+
+
+def _last(seconds, src="samples", name="inst"):
+    return f"""
+{name} AS (
+  SELECT metric, instance, {_w(seconds)} AS window_start, arg_max(value, (ts, sample_id)) AS value
+  FROM {src} GROUP BY 1, 2, 3)"""
+
+
+_STEP = "CASE WHEN prev IS NULL THEN NULL WHEN value >= prev THEN value - prev ELSE value END"
+
+
+def _rate_cte(seconds, where, name="rates"):
+    return f"""
+{name}_steps AS (
+  SELECT *, {_w(seconds)} AS window_start,
+         lag(value) OVER (PARTITION BY metric, instance ORDER BY ts, sample_id) AS prev
+  FROM samples WHERE {where}),
+{name} AS (
+  SELECT metric, instance, window_start,
+         round(coalesce(sum({_STEP}), 0), 4) AS increase,
+         round(coalesce(sum({_STEP}), 0), 4) / {float(seconds)} AS rate
+  FROM {name}_steps GROUP BY 1, 2, 3)"""
+
+
+SQL.update({
+    "metric_select": with_(SAMPLES) + """
+SELECT * FROM samples WHERE metric = 'click' AND regexp_full_match(instance, '[0-3]')
+  AND instance <> '1' AND NOT regexp_full_match(instance, '3')""",
+    "metric_instant": with_(SAMPLES, _last(3600)) + "SELECT * FROM inst",
+    "metric_rate": with_(SAMPLES, _rate_cte(21600, "metric = 'click'")) + "SELECT * FROM rates",
+    "metric_irate": with_(SAMPLES) + f"""
+, steps AS (
+  SELECT *, {_w(86400)} AS window_start,
+         lag(value) OVER (PARTITION BY metric, instance, {_w(86400)} ORDER BY ts, sample_id) AS prev,
+         lag(ts) OVER (PARTITION BY metric, instance, {_w(86400)} ORDER BY ts, sample_id) AS prev_ts
+  FROM samples WHERE metric = 'signup'),
+last AS (
+  SELECT *, row_number() OVER (PARTITION BY metric, instance, window_start
+                               ORDER BY ts DESC, sample_id DESC) AS rn,
+         date_diff('microsecond', prev_ts, ts) / 1e6 AS dt
+  FROM steps WHERE prev IS NOT NULL)
+SELECT metric, instance, window_start, round(CASE WHEN dt > 0 THEN ({_STEP}) / dt END, 6) AS irate
+FROM last WHERE rn = 1""",
+    "metric_delta": with_(SAMPLES) + f"""
+SELECT metric, instance, {_w(86400)} AS window_start,
+       round(arg_max(value, (ts, sample_id)) - arg_min(value, (ts, sample_id)), 4) AS delta
+FROM samples WHERE metric = 'purchase' GROUP BY 1, 2, 3""",
+    "metric_sum_by": with_(SAMPLES, _last(3600)) + """
+SELECT window_start, metric, round(sum(value), 4) AS sum_value, round(avg(value), 4) AS avg_value,
+       min(value) AS min_value, count(*) AS series
+FROM inst GROUP BY 1, 2""",
+    "metric_min_of_avg": with_(SAMPLES, _rate_cte(21600, "regexp_full_match(metric, 'click|view')")) + """
+SELECT window_start, min(value) AS value FROM (
+  SELECT window_start, instance, avg(rate) AS value FROM rates GROUP BY 1, 2)
+GROUP BY 1 ORDER BY value DESC""",
+    "metric_ratio": with_(SAMPLES, _last(3600)) + """
+SELECT window_start, min(value) AS value FROM (
+  SELECT window_start, instance,
+         round(max(CASE WHEN metric = 'click' THEN value END)
+               / nullif(max(CASE WHEN metric = 'view' THEN value END), 0), 6) AS value
+  FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+WHERE value IS NOT NULL GROUP BY 1""",
+    "metric_vector_sum": with_(SAMPLES, _last(3600)) + """
+SELECT * FROM (
+  SELECT window_start, instance,
+         round(max(CASE WHEN metric = 'click' THEN value END) + max(CASE WHEN metric = 'view' THEN value END)
+               + max(CASE WHEN metric = 'purchase' THEN value END), 4) AS value
+  FROM inst WHERE metric IN ('click', 'view', 'purchase') GROUP BY 1, 2)
+WHERE value IS NOT NULL""",
+    "metric_positive_count": with_(SAMPLES) + f"""
+, d AS (
+  SELECT metric, instance, {_w(86400)} AS window_start,
+         round(arg_max(value, (ts, sample_id)) - arg_min(value, (ts, sample_id)), 4) AS delta
+  FROM samples WHERE metric = 'purchase' GROUP BY 1, 2, 3)
+SELECT window_start, count(*) AS value FROM (
+  SELECT window_start, instance, sum(delta) AS delta FROM d WHERE delta > 0 GROUP BY 1, 2)
+GROUP BY 1""",
+    "metric_topk": with_(SAMPLES, _rate_cte(21600, "true")) + """
+SELECT window_start, metric, instance, value FROM (
+  SELECT window_start, metric, instance, sum(rate) AS value,
+         row_number() OVER (PARTITION BY window_start ORDER BY sum(rate) DESC, metric, instance) AS rn
+  FROM rates GROUP BY 1, 2, 3)
+WHERE rn <= 5""",
+})
