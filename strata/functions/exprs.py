@@ -12,7 +12,10 @@ from pyspark.sql import functions as F
 
 ColumnOrName = Column | str
 
-_EPOCH_NTZ = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+
+
+def _epoch_ntz() -> Column:
+    return F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
 
 
 def _c(c: ColumnOrName) -> Column:
@@ -49,7 +52,7 @@ def flag_is_yes(c: ColumnOrName) -> Column:
 
 def epoch_seconds(ts: ColumnOrName) -> Column:
     """Whole seconds since 1970-01-01 for a wall-clock (zone-less) timestamp."""
-    return F.timestamp_diff("SECOND", _EPOCH_NTZ, _c(ts).cast("timestamp_ntz"))
+    return F.timestamp_diff("SECOND", _epoch_ntz(), _c(ts).cast("timestamp_ntz"))
 
 
 def minute_index(ts: ColumnOrName) -> Column:

@@ -17,6 +17,7 @@ from strata.operators import metrics as MET
 from strata.operators import quality, silver
 from strata.plans import questions as Q
 from strata.plans.layers import Medallion
+from strata.sinks import footprint, tables
 from strata.sources import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -68,6 +69,10 @@ REGISTRY: dict[str, Query] = {
     "cv_share": lambda spark, d: H.cv_share(H.cross_run_stats(_results(spark, d))),
     "cell_stats": lambda spark, d: H.cell_stats(_results(spark, d)),
     "latest_measurements": lambda spark, d: H.latest_measurements(_results(spark, d)),
+    # sources and sinks
+    "ingest_audit": lambda spark, d: tables.ingest_audit(
+        _m(spark, d).bronze_trips.withColumn("_batch", F.date_format("pickup_datetime", "yyyy-MM"))),
+    "table_footprint": lambda spark, d: _footprint(spark, d),
     # metric rollups
     "metric_select": lambda spark, d: MET.select_series(
         _samples(spark, d), "click", [("instance", "=~", "[0-3]"), ("instance", "!=", "1"),
@@ -121,6 +126,17 @@ def _positive_count(samples):
     return MET.aggregate_by(per_instance, "delta", [], "count", "value")
 
 
+def _footprint(spark, d):
+    """Build every layer into a fresh folder under the shared checkpoint
+    location, then measure the stored tables."""
+    import uuid
+    from strata.plans import pipeline
+    from strata.session import scratch_path
+    root = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:8]}")
+    built = pipeline.build(_m(spark, d), root=root, run_tests=False)
+    return footprint.table_footprint(spark, built.locations())
+
+
 def _events(spark, d):
     return fixtures.table(spark, d, "events")
 

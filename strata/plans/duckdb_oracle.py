@@ -519,3 +519,7 @@ SELECT window_start, metric, instance, value FROM (
   FROM rates GROUP BY 1, 2, 3)
 WHERE rn <= 5""",
 })
+
+SQL["ingest_audit"] = with_(BRONZE_TRIPS) + """
+SELECT batch, rows_added, CAST(sum(rows_added) OVER (ORDER BY batch ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total_rows
+FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS batch, count(*) AS rows_added FROM bronze_trips GROUP BY 1)"""
