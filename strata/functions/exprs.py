@@ -26,16 +26,29 @@ def _c(c: ColumnOrName) -> Column:
 # Casts
 # --------------------------------------------------------------------------
 
-def uint16_or_null(c: ColumnOrName) -> Column:
+INTEGRAL_TYPES = ("tinyint", "smallint", "int", "bigint")
+
+
+def uint16_or_null(c: ColumnOrName, integral: bool = False) -> Column:
     """Null-on-failure unsigned 16-bit id: text -> int in [0, 65535] else NULL.
 
     The value goes through its string form, so 'abc', '-1', '70000' and
-    '3.5' all become NULL instead of raising under ANSI mode.
+    '3.5' all become NULL instead of raising under ANSI mode.  When the
+    input is already an integer type (``integral``), the string round trip
+    is the identity, so only the range check runs (no per-row formatting).
     """
+    if integral:
+        x = _c(c)
+        return F.when(x.between(0, 65535), x.cast("int"))
     v = _c(c).cast("string").try_cast("int")
     return F.when(v.between(0, 65535), v)
 
 
+def id_cast_for(df, column: str):
+    """``uint16_or_null`` specialised to the column's type in ``df``."""
+    return uint16_or_null(column, integral=dict(df.dtypes).get(column) in INTEGRAL_TYPES)
+
+
 def smallint_strict(c: ColumnOrName) -> Column:
     """Plain narrowing cast to SMALLINT (raises on overflow under ANSI)."""
     return _c(c).cast("smallint")

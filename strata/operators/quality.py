@@ -110,7 +110,7 @@ def cast_report(bronze: DataFrame, columns=("PULocationID", "DOLocationID")) ->
     from strata.functions.exprs import uint16_or_null
     aggs = []
     for c in columns:
-        v = uint16_or_null(c)
+        v = uint16_or_null(c)       # the text round trip itself is what is reported on
         aggs += [F.count(F.lit(1)).alias(f"{c}__rows"), F.count(v).alias(f"{c}__valid"),
                  F.min(v).alias(f"{c}__min_id"), F.max(v).alias(f"{c}__max_id")]
     wide = bronze.agg(*aggs)

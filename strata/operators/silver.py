@@ -65,7 +65,10 @@ def clean(bronze: DataFrame, window=DEFAULT_WINDOW, minute_mode: str = "boundary
     if minute_mode not in MINUTE_MODES:
         raise ValueError(f"minute_mode must be one of {MINUTE_MODES}")
     minutes = X.minutes_boundary if minute_mode == "boundary" else X.minutes_elapsed
-    to_id = X.uint16_or_null if id_cast == "safe" else X.smallint_strict
+    if id_cast == "safe":
+        to_id = lambda c: X.id_cast_for(bronze, c)
+    else:
+        to_id = X.smallint_strict
     return (bronze
             .filter(quality_predicate(window))
             .select(

@@ -28,7 +28,8 @@ def build_session(master: str | None = None, app: str = "strata",
     ``master`` is only set when given, so on a cluster the launcher's
     master wins.  The UI stays off: nothing here serves pages or ports.
     """
-    b = SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+    b = (SparkSession.builder.appName(app).config("spark.ui.enabled", "false")
+         .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
     for k, v in CORE_CONF.items():
