@@ -20,12 +20,29 @@ def row_count_at_most(df: DataFrame, bound: int) -> bool:
     return df.limit(bound + 1).count() <= bound
 
 
+_SIZE_CHECKS: dict[tuple, bool] = {}
+
+
+def is_small(dim: DataFrame, bound: int = BROADCAST_MAX_ROWS) -> bool:
+    """Size check of a dimension, remembered per (plan, input files, bound).
+
+    A refresh writes new files, so a rewritten dimension is checked again.
+    """
+    key = (dim.semanticHash(), tuple(sorted(dim.inputFiles())), bound)
+    if key not in _SIZE_CHECKS:
+        _SIZE_CHECKS[key] = row_count_at_most(dim, bound)
+    return _SIZE_CHECKS[key]
+
+
 def lookup_join(fact: DataFrame, dim: DataFrame, on: Column, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                max_broadcast_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:
     """Fact-to-dimension join that broadcasts the dimension only after its
-    size is checked; otherwise it leaves the strategy to the optimizer
-    (sort-merge, or AQE's runtime switch to broadcast)."""
-    if row_count_at_most(dim, max_broadcast_rows):
+    size is checked (``small`` passes an already made check); otherwise it
+    leaves the strategy to the optimizer (sort-merge, or AQE's runtime
+    switch to broadcast)."""
+    if small is None:
+        small = is_small(dim, max_broadcast_rows)
+    if small:
         dim = F.broadcast(dim)
     return fact.join(dim, on, how)
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.joins import lookup_join
+from strata.operators.joins import is_small, lookup_join
 from strata.operators.silver import DEFAULT_WINDOW, gross_amount, in_window
 
 TOP_K = 10   # fixed value: size of the Q2 ranking
@@ -68,8 +68,9 @@ def q2_bronze(bronze: DataFrame, zones: DataFrame, window=DEFAULT_WINDOW,
          .select(X.id_cast_for(bronze, "PULocationID").alias("pu_key"),
                  X.id_cast_for(bronze, "DOLocationID").alias("do_key"),
                  gross_amount("double").alias("amount")))
-    t = lookup_join(t, pu, F.col("pu_key") == F.col("pu_id"))
-    t = lookup_join(t, do, F.col("do_key") == F.col("do_id"))
+    small = is_small(zones)
+    t = lookup_join(t, pu, F.col("pu_key") == F.col("pu_id"), small=small)
+    t = lookup_join(t, do, F.col("do_key") == F.col("do_id"), small=small)
     pairs = (t.filter(F.col("pickup_borough").isNotNull() & F.col("dropoff_borough").isNotNull())
              .groupBy("pickup_borough", "dropoff_borough")
              .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("amount"), 2).alias("revenue_usd")))
