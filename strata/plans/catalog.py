@@ -36,6 +36,13 @@ REGISTRY: dict[str, Query] = {
     "silver_clean": lambda spark, d: _m(spark, d).clean,
     "clean_elapsed_minutes": lambda spark, d: _m(spark, d, minute_mode="elapsed").clean,
     "silver_enriched": lambda spark, d: _m(spark, d).enriched,
+    # the second dialect: SMALLINT ids (raise on overflow), elapsed minutes,
+    # SMALLINT-compared zone keys
+    "silver_clean_strict_ids": lambda spark, d: silver.clean(
+        _m(spark, d).bronze_trips, fixtures.FIXTURE_WINDOW, "elapsed", id_cast="strict"),
+    "silver_enriched_smallint_keys": lambda spark, d: silver.enrich(
+        silver.clean(_m(spark, d).bronze_trips, fixtures.FIXTURE_WINDOW, "elapsed", id_cast="strict"),
+        _m(spark, d).bronze_zones, zone_key_cast="smallint"),
     # gold
     "gold_daily_revenue": _gold("daily_revenue"),
     "gold_daily_revenue_approx": _gold("daily_revenue", percentiles="approx"),
@@ -159,4 +166,3 @@ def _relationships(m: Medallion) -> DataFrame:
 
 
 FLAGSHIP = "gold_daily_revenue"
-_ = silver  # re-exported for callers building their own variants

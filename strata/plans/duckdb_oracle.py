@@ -55,14 +55,16 @@ def _uid(col: str) -> str:
     return f"CASE WHEN {v} BETWEEN 0 AND 65535 THEN {v} END"
 
 
-def _clean_cte(minute_fn: str) -> str:
+def _clean_cte(minute_fn: str, strict_ids: bool = False) -> str:
+    pu = "CAST(PULocationID AS SMALLINT)" if strict_ids else _uid('PULocationID')
+    do = "CAST(DOLocationID AS SMALLINT)" if strict_ids else _uid('DOLocationID')
     return f"""
 clean AS (
   SELECT
     pickup_datetime AS pickup_at,
     dropoff_datetime AS dropoff_at,
-    {_uid('PULocationID')} AS pickup_location_id,
-    {_uid('DOLocationID')} AS dropoff_location_id,
+    {pu} AS pickup_location_id,
+    {do} AS dropoff_location_id,
     CAST(trip_miles AS FLOAT) AS trip_miles,
     CAST(base_passenger_fare AS FLOAT) AS base_fare,
     CAST(tips AS FLOAT) AS tips,
@@ -84,6 +86,7 @@ clean AS (
 
 CLEAN = _clean_cte("date_diff")
 CLEAN_ELAPSED = _clean_cte("date_sub")
+CLEAN_MIRROR = _clean_cte("date_sub", strict_ids=True)
 
 ENRICHED = """
 enriched AS (
@@ -523,3 +526,9 @@ WHERE rn <= 5""",
 SQL["ingest_audit"] = with_(BRONZE_TRIPS) + """
 SELECT batch, rows_added, CAST(sum(rows_added) OVER (ORDER BY batch ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total_rows
 FROM (SELECT strftime(pickup_datetime, '%Y-%m') AS batch, count(*) AS rows_added FROM bronze_trips GROUP BY 1)"""
+
+SQL["silver_clean_strict_ids"] = with_(BRONZE_TRIPS, CLEAN_MIRROR) + "SELECT * FROM clean"
+SQL["silver_enriched_smallint_keys"] = with_(BRONZE_TRIPS, ZONES, CLEAN_MIRROR, ENRICHED.replace(
+    "pu.LocationID = t.pickup_location_id", "CAST(pu.LocationID AS SMALLINT) = t.pickup_location_id").replace(
+    "dz.LocationID = t.dropoff_location_id", "CAST(dz.LocationID AS SMALLINT) = t.dropoff_location_id")) + \
+    "SELECT * FROM enriched"
