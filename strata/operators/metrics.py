@@ -72,6 +72,17 @@ def last_per_window(samples: DataFrame, labels: list[str], seconds: int) -> Data
             .agg(F.max_by("value", _order_struct()).alias("value")))
 
 
+def instant_at(samples: DataFrame, labels: list[str], at: str, lookback_seconds: int = 300) -> DataFrame:
+    """Instant query at time ``at``: per series, the latest sample with
+    ``at - lookback < ts <= at`` (series without one are absent).  The time
+    predicate is pushed to the scan; the rest is one aggregation."""
+    t = F.lit(at).cast("timestamp_ntz")
+    lo = F.timestamp_add("SECOND", F.lit(-int(lookback_seconds)), t)
+    return (samples.filter((F.col("ts") <= t) & (F.col("ts") > lo))
+            .groupBy("metric", *labels)
+            .agg(F.max_by("value", _order_struct()).alias("value"), F.max("ts").alias("ts")))
+
+
 # --------------------------------------------------------------------------
 # MET-3 / MET-4 / MET-5: range functions
 # --------------------------------------------------------------------------

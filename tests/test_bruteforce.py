@@ -93,3 +93,14 @@ def test_vector_sum_drops_incomplete_label_sets(spark):
     assert got == [("i1", 3.0)]
     top = MET.topk(vec, "value", 2, ["metric", "instance"]).collect()
     assert [(r.metric, r.instance) for r in top] == [("a", "i2"), ("b", "i1")]
+
+
+def test_instant_at_takes_latest_within_lookback(spark):
+    import datetime as dt
+    T = dt.datetime
+    df = spark.createDataFrame(
+        [("m", "a", T(2024, 1, 1, 0, 0), 1.0, 1), ("m", "a", T(2024, 1, 1, 0, 4), 2.0, 2),
+         ("m", "a", T(2024, 1, 1, 0, 6), 9.0, 3), ("m", "b", T(2023, 12, 31, 23, 50), 5.0, 4)],
+        "metric string, instance string, ts timestamp_ntz, value double, sample_id long")
+    got = {r.instance: r.value for r in MET.instant_at(df, ["instance"], "2024-01-01 00:05:00").collect()}
+    assert got == {"a": 2.0}
