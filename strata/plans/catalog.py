@@ -96,6 +96,9 @@ REGISTRY: dict[str, Query] = {
     "metric_ratio": lambda spark, d: MET.aggregate_by(
         MET.vector_ratio(MET.last_per_window(_samples(spark, d), LABELS, HOUR), "click", "view", LABELS)
         .withColumn("value", F.round("value", 6)), "value", [], "min"),
+    "metric_ratio_by_instance": lambda spark, d: MET.aggregate_by(
+        MET.vector_ratio(MET.last_per_window(_samples(spark, d), LABELS, HOUR), "click", "view", LABELS)
+        .withColumn("value", F.round("value", 6)), "value", LABELS, "min"),
     "metric_vector_sum": lambda spark, d: MET.vector_sum(
         MET.last_per_window(_samples(spark, d), LABELS, HOUR), ["click", "view", "purchase"], LABELS),
     "metric_positive_count": lambda spark, d: _positive_count(_samples(spark, d)),

@@ -532,3 +532,11 @@ SQL["silver_enriched_smallint_keys"] = with_(BRONZE_TRIPS, ZONES, CLEAN_MIRROR,
     "pu.LocationID = t.pickup_location_id", "CAST(pu.LocationID AS SMALLINT) = t.pickup_location_id").replace(
     "dz.LocationID = t.dropoff_location_id", "CAST(dz.LocationID AS SMALLINT) = t.dropoff_location_id")) + \
     "SELECT * FROM enriched"
+
+SQL["metric_ratio_by_instance"] = with_(SAMPLES, _last(3600)) + """
+SELECT window_start, instance, min(value) AS value FROM (
+  SELECT window_start, instance,
+         round(max(CASE WHEN metric = 'click' THEN value END)
+               / nullif(max(CASE WHEN metric = 'view' THEN value END), 0), 6) AS value
+  FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+WHERE value IS NOT NULL GROUP BY 1, 2"""

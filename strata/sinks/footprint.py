@@ -18,25 +18,31 @@ from strata.functions.exprs import human_bytes
 _FILE_STATS = "file string, rows long, bytes_on_disk long, bytes_uncompressed long"
 
 
-def _footer_stats(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    import pyarrow.fs as pafs
-    import pyarrow.parquet as pq
-    for b in batches:
-        out = []
-        for path in b["file"]:
-            fs, p = pafs.FileSystem.from_uri(path)
-            size = fs.get_file_info(p).size
-            with fs.open_input_file(p) as f:
-                md = pq.ParquetFile(f).metadata
-                raw = sum(md.row_group(i).total_byte_size for i in range(md.num_row_groups))
-                out.append((path, md.num_rows, size, raw))
-        yield pd.DataFrame(out, columns=["file", "rows", "bytes_on_disk", "bytes_uncompressed"])
+def _footer_reader():
+    """The per-task footer reader.  Built as a closure with local imports so
+    that it is shipped to executors by value: workers need pyarrow, not this
+    package."""
+    def read(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        import pandas as pd_
+        import pyarrow.fs as pafs
+        import pyarrow.parquet as pq
+        for b in batches:
+            out = []
+            for path in b["file"]:
+                fs, p = pafs.FileSystem.from_uri(path)
+                size = fs.get_file_info(p).size
+                with fs.open_input_file(p) as f:
+                    md = pq.ParquetFile(f).metadata
+                    raw = sum(md.row_group(i).total_byte_size for i in range(md.num_row_groups))
+                    out.append((path, md.num_rows, size, raw))
+            yield pd_.DataFrame(out, columns=["file", "rows", "bytes_on_disk", "bytes_uncompressed"])
+    return read
 
 
 def file_stats(spark: SparkSession, files: list[str]) -> DataFrame:
     slices = max(1, min(len(files), spark.sparkContext.defaultParallelism))
     lst = spark.createDataFrame([(f,) for f in files], "file string").repartition(slices)
-    return lst.mapInPandas(_footer_stats, _FILE_STATS)
+    return lst.mapInPandas(_footer_reader(), _FILE_STATS)
 
 
 def table_footprint(spark: SparkSession, tables: dict[tuple[str, str], str]) -> DataFrame:

@@ -100,15 +100,24 @@ def compact(spark: SparkSession, tables: dict[str, list[str] | None], files: int
             spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
             spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
             spark.sql(f"DROP TABLE IF EXISTS {old}")
-            after = len(spark.table(table).inputFiles())
-            report.append((table, rows, before, after, "ok", "", round(time.time() - t0, 3)))
+            files_after = spark.table(table).inputFiles()
+            size = _bytes_on_disk(spark, files_after)
+            report.append((table, rows, before, len(files_after), size, "ok", "",
+                           round(time.time() - t0, 3)))
         except Exception as e:  # per-table failure is tolerated
-            report.append((table, None, None, None, "skipped", str(e)[:200], round(time.time() - t0, 3)))
-    schema = ("table string, rows long, files_before long, files_after long, status string, "
-              "error string, seconds double")
+            report.append((table, None, None, None, None, "skipped", str(e)[:200],
+                           round(time.time() - t0, 3)))
+    schema = ("table string, rows long, files_before long, files_after long, bytes_on_disk long, "
+              "status string, error string, seconds double")
     return spark.createDataFrame(report, schema)
 
 
+def _bytes_on_disk(spark: SparkSession, files: list[str]) -> int:
+    """Total size of a table's files, read by the executors."""
+    from strata.sinks.footprint import file_stats
+    return file_stats(spark, files).agg(F.sum("bytes_on_disk")).first()[0] or 0
+
+
 def ingest_audit(bronze: DataFrame, batch_col: str = "_batch") -> DataFrame:
     """Rows added per ingest batch and the running total after each batch.
 

@@ -127,3 +127,18 @@ def test_strict_id_cast_raises_on_overflow(spark):
     df = silver.clean(_bronze(spark, PULocationID=70000), id_cast="strict")
     with pytest.raises(Exception):
         df.collect()
+
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+
+
+@settings(max_examples=25, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 10 ** 9), st.integers(-10 ** 6, 10 ** 6)), min_size=1, max_size=20))
+def test_minute_boundaries_property(spark, pairs):
+    base = T(1995, 1, 1)
+    rows = [(base + dt.timedelta(seconds=a), base + dt.timedelta(seconds=a + d)) for a, d in pairs]
+    got = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz") \
+        .select(X.minutes_boundary("a", "b")).collect()
+    exp = [(a + d) // 60 - a // 60 for a, d in pairs]
+    assert [r[0] for r in got] == exp

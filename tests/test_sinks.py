@@ -61,6 +61,7 @@ def test_layout_and_compaction(spark, scratch):
     rep = tables.compact(spark, {"silver.compact_me": ["pickup_at"], "silver.missing": None}, files=2)
     got = {r.table: r for r in rep.collect()}
     assert got["silver.compact_me"].status == "ok" and got["silver.compact_me"].files_after == 2
+    assert got["silver.compact_me"].bytes_on_disk > 0
     assert got["silver.missing"].status == "skipped"
     assert spark.table("silver.compact_me").count() == clean.count()
     # each file now holds a disjoint pickup_at range
