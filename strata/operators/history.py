@@ -189,3 +189,45 @@ def latest_measurements(results: DataFrame, n: int = 100) -> DataFrame:
 __all__ = ["enrich_with_engine_log", "consolidate_layers", "run_summary", "speedup_by_layer",
            "per_run_stats", "latest_runs", "cross_run_stats", "cv_bands", "cv_share", "cell_stats",
            "latest_measurements", "row_count_at_most"]
+
+
+# --------------------------------------------------------------------------
+# Measurement evidence document (nested: question -> layer -> samples + stats)
+# --------------------------------------------------------------------------
+
+def evidence_document(results: DataFrame, run_id: str, engine: str, dataset: str,
+                      warmups: int, measurements: int) -> DataFrame:
+    """One-row nested document of one benchmark run, ready for ``write.json``.
+
+    ``queries`` maps question -> {layers: layer -> {samples, mean_ms,
+    median_ms, stdev_ms, cv_pct}, speedup_gold_over_bronze,
+    speedup_silver_over_bronze} (NULL speed-up when the divisor mean is 0).
+    A cell's sample list holds one run's measured iterations, so its size is
+    the benchmark's ``measurements`` setting, not the data volume.
+    """
+    r = results.filter(F.col("run_id") == F.lit(run_id))
+    sample = F.struct(F.col("iteration"), F.col("wall_ms").alias("client_wall_ms"),
+                      F.col("result_rows").alias("rows_returned"))
+    cells = r.groupBy(*CELL).agg(
+        F.sort_array(F.collect_list(sample)).alias("samples"),
+        F.avg("wall_ms").alias("mean_ms"),
+        F.coalesce(F.stddev_samp("wall_ms"), F.lit(0.0)).alias("stdev_ms"),
+        F.count(F.lit(1)).alias("n"))
+    cells = cells.join(exact_quantiles(r, list(CELL), "wall_ms", {"median_ms": 0.5}), list(CELL), "left")
+    cells = cells.withColumn("cv_pct", F.when(F.col("n") > 1, X.cv_pct(F.col("stdev_ms"), F.col("mean_ms")))
+                             .otherwise(F.lit(0.0)))
+    stats = F.struct("samples", "mean_ms", "median_ms", "stdev_ms", "cv_pct")
+
+    def mean_of(layer):
+        return F.max(F.when(F.col("layer") == layer, F.col("mean_ms")))
+
+    per_q = cells.groupBy("question_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("layer", stats))).alias("layers"),
+        mean_of("bronze").alias("b"), mean_of("silver").alias("s"), mean_of("gold").alias("g"))
+    per_q = per_q.select("question_id", F.struct(
+        "layers",
+        (F.col("b") / F.nullif(F.col("g"), F.lit(0.0))).alias("speedup_gold_over_bronze"),
+        (F.col("b") / F.nullif(F.col("s"), F.lit(0.0))).alias("speedup_silver_over_bronze")).alias("q"))
+    return per_q.agg(F.map_from_entries(F.collect_list(F.struct("question_id", "q"))).alias("queries")).select(
+        F.lit(engine).alias("engine"), F.lit(dataset).alias("dataset"), F.lit(run_id).alias("run_id"),
+        F.lit(warmups).alias("warmups"), F.lit(measurements).alias("measurements"), "queries")

@@ -87,3 +87,19 @@ def test_engine_log_latest_finished_entry_wins(spark):
     out = {r.iteration: r for r in history.enrich_with_engine_log(client, log).collect()}
     assert (out[1].query_duration_ms, out[1].result_rows) == (15, 4)
     assert (out[2].query_duration_ms, out[2].result_rows) == (0, 8)
+
+
+def test_evidence_document_nests_cells_and_speedups(spark, scratch):
+    rows = [_h("r1", "Q1", layer, i, wall, 0) for layer, base in (("bronze", 100.0), ("silver", 50.0), ("gold", 10.0))
+            for i, wall in enumerate([base, base + 2.0, base - 2.0], start=1)] + [_h("r2", "Q1", "gold", 1, 5.0, 0)]
+    doc = history.evidence_document(spark.createDataFrame(rows, HIST), "r1", "spark", "fixture", 2, 3)
+    d = doc.first()
+    q = d.queries["Q1"]
+    assert set(q.layers) == {"bronze", "silver", "gold"}
+    gold_cell = q.layers["gold"]
+    assert [s.client_wall_ms for s in gold_cell.samples] == [10.0, 12.0, 8.0]
+    assert (gold_cell.mean_ms, gold_cell.median_ms, gold_cell.stdev_ms) == (10.0, 10.0, 2.0)
+    assert abs(gold_cell.cv_pct - 20.0) < 1e-9
+    assert q.speedup_gold_over_bronze == 10.0 and q.speedup_silver_over_bronze == 2.0
+    doc.coalesce(1).write.json(scratch + "/evidence")
+    assert spark.read.json(scratch + "/evidence").count() == 1
