@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.joins import latest_per_key, row_count_at_most
+from strata.operators.joins import latest_per_key
 from strata.operators.quantiles import exact_quantiles
 
 ENGINE_METRICS = ("query_duration_ms", "read_rows", "read_bytes", "memory_usage")
@@ -188,7 +188,7 @@ def latest_measurements(results: DataFrame, n: int = 100) -> DataFrame:
 
 __all__ = ["enrich_with_engine_log", "consolidate_layers", "run_summary", "speedup_by_layer",
            "per_run_stats", "latest_runs", "cross_run_stats", "cv_bands", "cv_share", "cell_stats",
-           "latest_measurements", "row_count_at_most"]
+           "latest_measurements", "evidence_document"]
 
 
 # --------------------------------------------------------------------------
