@@ -112,3 +112,11 @@ def test_stream_ingest_picks_up_only_new_files(spark, scratch):
     s = spark.read.parquet(silver_p)
     from strata.operators import silver
     assert s.count() == silver.clean(b.drop("_batch"), fixtures.FIXTURE_WINDOW).count()
+
+
+def test_schema_drift_type_conflict_is_refused(spark, scratch):
+    trips, paths = _landing(spark, scratch, ("1998-01",))
+    odd = os.path.join(scratch, "landing", "retyped.parquet")
+    trips.limit(5).withColumn("trip_time", F.col("trip_time").cast("string")).write.parquet(odd)
+    with pytest.raises(landing.SchemaDriftError):
+        landing.read_trip_files(spark, [paths[0], odd])
