@@ -1,8 +1,14 @@
 """Layer benchmark: the two business questions on bronze, silver and gold.
 
-Materializes the layers once (timed per stage), then runs each question on
-each layer with 2 warm-ups and 5 measured runs, and prints ONE JSON line.
-Environment: BENCH_SF_DIR (default /root/testdata/sf0.1), BENCH_CPUS (8).
+1. Materializes the layers once (timed per stage) and measures their footprint.
+2. Runs each question on each layer with 2 warm-ups and 5 measured runs, each
+   measured run under its own job group (the tag).
+3. Reads Spark's event log as the engine-side query log, joins it to the client
+   timings, appends the merged rows to ``benchmark.medallion_results`` and
+   computes the run summary and speed-ups with the library's history operators.
+
+Prints ONE JSON line.  Environment: BENCH_SF_DIR (default /root/testdata/sf0.1),
+BENCH_CPUS (default 8).
 """
 
 from __future__ import annotations
@@ -23,12 +29,15 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     scratch = tempfile.mkdtemp(prefix="strata-bench-")
+    event_dir = os.path.join(scratch, "eventlog")
+    os.makedirs(event_dir)
 
+    from strata.plans import benchmark as B
     from strata.session import build_session
     spark = build_session(f"local[{cpus}]", app="strata-bench", shuffle_partitions=cpus,
                           extra={"spark.driver.memory": "8g",
                                  "spark.sql.warehouse.dir": os.path.join(scratch, "warehouse"),
-                                 "spark.eventLog.enabled": "false"})
+                                 "spark.eventLog.dir": event_dir, **B.EVENT_LOG_CONF})
     spark.sparkContext.setLogLevel("ERROR")
     spark.sparkContext.setCheckpointDir(os.path.join(scratch, "checkpoints"))
 
@@ -36,58 +45,73 @@ def main() -> None:
     from strata.plans import pipeline
     from strata.plans import questions as Q
     from strata.plans.layers import Medallion
+    from strata.sinks import footprint, tables
     from strata.sources import fixtures
 
     m = Medallion(spark, sf_dir)
     t0 = time.perf_counter()
     built = pipeline.build(m, root=os.path.join(scratch, "layers"), run_tests=True)
     build_s = time.perf_counter() - t0
+    sizes = {f"{r.layer}.{r.table}": {"rows": r.rows, "bytes_on_disk": r.bytes_on_disk,
+                                      "compression_ratio": r.compression_ratio}
+             for r in footprint.table_footprint(spark, built.locations()).collect()}
 
     w = fixtures.FIXTURE_WINDOW
+    q1, q2 = "Q1_daily_revenue", "Q2_top_borough_pairs_by_revenue"
     cases = {
-        "q1_bronze": lambda: Q.q1_bronze(built.bronze, w),
-        "q1_silver": lambda: Q.q1_silver(built.clean),
-        "q1_gold": lambda: Q.q1_gold(built.gold("daily_revenue")),
-        "q2_bronze": lambda: Q.q2_bronze(built.bronze, built.zones, w),
-        "q2_silver": lambda: Q.q2_silver(built.enriched),
-        "q2_gold": lambda: Q.q2_gold(built.gold("borough_pairs")),
+        (q1, "bronze"): lambda: Q.q1_bronze(built.bronze, w),
+        (q1, "silver"): lambda: Q.q1_silver(built.clean),
+        (q1, "gold"): lambda: Q.q1_gold(built.gold("daily_revenue")),
+        (q2, "bronze"): lambda: Q.q2_bronze(built.bronze, built.zones, w),
+        (q2, "silver"): lambda: Q.q2_silver(built.enriched),
+        (q2, "gold"): lambda: Q.q2_gold(built.gold("borough_pairs")),
         # secondary workloads, from the raw tables
-        "gold_daily_revenue_from_bronze": lambda: m.gold("daily_revenue"),
-        "dq_report": lambda: quality.run_declared_tests(m.models()),
-        "cross_run_stats": lambda: history.cross_run_stats(
+        ("gold_daily_revenue_from_bronze", "raw"): lambda: m.gold("daily_revenue"),
+        ("dq_report", "raw"): lambda: quality.run_declared_tests(m.models()),
+        ("cross_run_stats", "raw"): lambda: history.cross_run_stats(
             fixtures.medallion_results(fixtures.table(spark, sf_dir, "events"))),
-        "metric_rate": lambda: metrics.increase(
+        ("metric_rate", "raw"): lambda: metrics.increase(
             fixtures.metric_samples(fixtures.table(spark, sf_dir, "events")), ["instance"], 21600),
     }
-    medians, rows, cv = {}, {}, {}
-    for name, make in cases.items():
-        for _ in range(WARMUPS):
-            make().collect()
-        samples = []
-        for _ in range(MEASURED):
-            t = time.perf_counter()
-            out = make().collect()
-            samples.append(time.perf_counter() - t)
-        medians[name] = round(statistics.median(samples), 4)
-        mean = statistics.mean(samples)
-        cv[name] = round(statistics.stdev(samples) / mean * 100, 1) if mean else 0.0
-        rows[name] = len(out)
-
-    headline = [k for k in medians if k.startswith("q")]
+    short = {q1: "q1", q2: "q2"}
+    run_id = f"bench-{int(time.time())}"
+    client, walls = B.measure(spark, cases, run_id, WARMUPS, MEASURED)
+
+    def key(q, layer):
+        return f"{short[q]}_{layer}" if q in short else q
+
+    med = {key(*k): round(statistics.median(v), 4) for k, v in walls.items()}
+    cv = {key(*k): round(statistics.stdev(v) / statistics.mean(v) * 100, 1) for k, v in walls.items()}
+
+    # engine side: Spark's event log is the query log, joined on the tag
+    engine = B.engine_log_from_event_log(spark, B.event_log_path(spark))
+    merged = history.enrich_with_engine_log(client, engine)
+    tables.append_measurements(spark, merged, "benchmark.medallion_results")
+    results = spark.table("benchmark.medallion_results").filter(f"run_id = '{run_id}'")
+    summary = history.run_summary(results)
+    speed = {(r.question_id, r.layer): r.speedup for r in history.speedup_by_layer(summary).collect()}
+    engine_ms = {key(r.question_id, r.layer): {"engine_avg_ms": round(r.engine_avg, 1),
+                                               "read_rows": r.read_rows, "read_bytes": r.read_bytes,
+                                               "memory_peak": r.memory_peak}
+                 for r in summary.collect()}
+
+    headline = [k for k in med if k[:2] in ("q1", "q2")]
     result = {
         "metric": "q1_q2_all_layers_median_sum",
-        "value": round(sum(medians[k] for k in headline), 4),
+        "value": round(sum(med[k] for k in headline), 4),
         "unit": "sec",
-        "queries": medians,
+        "queries": med,
         "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
-        "rows": rows,
         "cv_pct": cv,
         "build_sec": round(build_s, 3),
         "build_stages_sec": built.seconds,
         "speedup_gold_over_bronze": {
-            q: round(medians[f"{q}_bronze"] / medians[f"{q}_gold"], 2) for q in ("q1", "q2")},
+            short[q]: round(med[f"{short[q]}_bronze"] / med[f"{short[q]}_gold"], 2) for q in (q1, q2)},
         "speedup_silver_over_bronze": {
-            q: round(medians[f"{q}_bronze"] / medians[f"{q}_silver"], 2) for q in ("q1", "q2")},
+            short[q]: round(med[f"{short[q]}_bronze"] / med[f"{short[q]}_silver"], 2) for q in (q1, q2)},
+        "engine_speedup_over_bronze": {key(q, l): s for (q, l), s in speed.items() if q in short},
+        "engine": engine_ms,
+        "footprint": sizes,
         "cpus": cpus,
     }
     print(json.dumps(result))
