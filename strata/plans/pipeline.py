@@ -88,3 +88,14 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
         if gate and failing:
             raise RuntimeError(f"data tests failed: {b.failing_tests}")
     return b
+
+
+# fixed values: the materialized tables that compaction rewrites
+COMPACTED = ("bronze.fhvhv_trips", "silver.fhvhv_trips_clean", *[f"gold.{g}" for g in gold.GOLD_MODELS])
+
+
+def compact_all(spark: SparkSession, files: int = 1) -> DataFrame:
+    """Compact every materialized table (bronze trips, silver clean, the five
+    gold tables), each range-sorted by its own key; a table that fails is
+    reported and skipped, the rest still run."""
+    return tables.compact(spark, {t: gold.SORT_KEYS.get(t.split(".", 1)[1]) for t in COMPACTED}, files)

@@ -94,6 +94,11 @@ def test_pipeline_build_and_footprint(spark, scratch):
     assert fp[("silver", "fhvhv_trips_clean")].rows == m.clean.count()
     assert fp[("bronze", "fhvhv_trips")].rows == m.bronze_trips.count()
     assert all(r.bytes_on_disk > 0 and r.compression_ratio > 0 for r in fp.values())
+    before = {t: spark.table(t).count() for t in pipeline.COMPACTED}
+    rep = {r.table: r for r in pipeline.compact_all(spark, files=1).collect()}
+    assert set(rep) == set(pipeline.COMPACTED) and all(r.status == "ok" for r in rep.values())
+    assert all(r.files_after == 1 and r.rows == before[t] for t, r in rep.items())
+    assert {t: spark.table(t).count() for t in pipeline.COMPACTED} == before
 
 
 def test_stream_ingest_picks_up_only_new_files(spark, scratch):
