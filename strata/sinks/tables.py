@@ -37,12 +37,24 @@ def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None) -
     follows the data volume.
     """
     if not sort_by:
-        return df if files is None else df.repartition(files)
+        if files is not None:
+            return df.repartition(files)
+        return spread(df)
     keys = [F.col(k) for k in sort_by]
     parts = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     return parts.sortWithinPartitions(*keys)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Keep the input's own partitioning, unless it has fewer partitions than
+    the cluster has cores (a small input in one file, one row group): then a
+    round-robin repartition gives every core a file to scan later.  At scale
+    the input already has far more splits than cores, so no shuffle is added.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def write_table(df: DataFrame, table: str, sort_by: list[str] | None = None, files: int | None = None,
                 fmt: str = "parquet", mode: str = "overwrite") -> str:
     """Full-refresh materialization (drop + recreate) as a managed table."""
