@@ -125,3 +125,20 @@ def test_schema_drift_type_conflict_is_refused(spark, scratch):
     trips.limit(5).withColumn("trip_time", F.col("trip_time").cast("string")).write.parquet(odd)
     with pytest.raises(landing.SchemaDriftError):
         landing.read_trip_files(spark, [paths[0], odd])
+
+
+def test_cli_pipeline_and_history_commands(spark, scratch, capsys):
+    from strata import cli
+    trips, paths = _landing(spark, scratch, ("1998-01", "1998-02"))
+    zp = os.path.join(scratch, "zones")
+    fixtures.bronze_zones(spark, SF_SMALL).coalesce(1).write.option("header", True).csv(zp)
+    a = cli.parser().parse_args(["pipeline", "--trips", os.path.join(scratch, "landing", "*.parquet"),
+                                 "--zones", zp, "--root", os.path.join(scratch, "cli"),
+                                 "--window", "1998-01-01", "1999-01-01"])
+    assert cli.cmd_pipeline(spark, a) == 0
+    assert spark.table("gold.shared_vs_solo").count() == 3
+    res = os.path.join(scratch, "results")
+    fixtures.medallion_results(fixtures.table(spark, SF_SMALL, "events")).write.parquet(res)
+    assert cli.cmd_history(spark, cli.parser().parse_args(["history", "--results", res])) == 0
+    out = capsys.readouterr().out
+    assert "silver_clean" in out and "consistent_cells" in out
