@@ -98,48 +98,75 @@ def _windowed_steps(samples: DataFrame, labels: list[str], seconds: int) -> Data
     keys = ["metric", *labels, "window_start"]
     w = Window.partitionBy(*keys).orderBy(*ORDER)
     s = with_window(samples, seconds)
-    return (s.withColumn("prev_value", F.lag("value").over(w))
-             .withColumn("prev_ts", F.lag("ts").over(w)))
+    return s.withColumn("prev_value", F.lag("value").over(w))
 
 
-def increase(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
+def increase(samples: DataFrame, labels: list[str], seconds: int,
+             chunk_seconds: int | None = None) -> DataFrame:
     """Reset-aware counter increase and per-second rate per (series, window).
 
     The first sample of a series contributes 0; each later sample contributes
     its step from the previous sample of the series, even when that sample
     lies in an earlier window.
+
+    Per-sample steps are computed inside time chunks (``chunk_seconds``,
+    default: the window itself, which must be a multiple of it); only one
+    row per (series, chunk) is then ordered along the series to carry the
+    counter across chunk boundaries.  A finer chunk splits a hot series
+    across more tasks without changing the result.
     """
+    chunk = int(chunk_seconds or seconds)
+    if seconds % chunk:
+        raise ValueError("the window must be a multiple of the chunk")
     series = ["metric", *labels]
-    steps = _windowed_steps(samples, labels, seconds)
-    per_win = steps.groupBy(*series, "window_start").agg(
+    steps = _windowed_steps(samples, labels, chunk)              # window_start = chunk start
+    per_chunk = steps.groupBy(*series, "window_start").agg(
         F.sum(_counter_step(F.col("value"), F.col("prev_value"))).alias("inner"),
         F.min_by("value", _order_struct()).alias("first_value"),
         F.max_by("value", _order_struct()).alias("last_value"))
     along = Window.partitionBy(*series).orderBy("window_start")
     prev_last = F.lag("last_value").over(along)
     carried = F.when(prev_last.isNull(), F.lit(0.0)).otherwise(_counter_step(F.col("first_value"), prev_last))
-    inc = F.round(F.coalesce(F.col("inner"), F.lit(0.0)) + carried, 4)
-    out = per_win.select(*series, "window_start", inc.alias("increase"))
+    chunk_inc = per_chunk.select(*series, F.col("window_start").alias("chunk_start"),
+                                 (F.coalesce(F.col("inner"), F.lit(0.0)) + carried).alias("inc"))
+    if chunk != seconds:
+        chunk_inc = chunk_inc.withColumn(
+            "window_start", F.window("chunk_start", f"{int(seconds)} seconds").start)
+        out = chunk_inc.groupBy(*series, "window_start").agg(F.round(F.sum("inc"), 4).alias("increase"))
+    else:
+        out = chunk_inc.select(*series, F.col("chunk_start").alias("window_start"),
+                               F.round("inc", 4).alias("increase"))
     # the increase is already rounded, so this division is exact IEEE in any
     # engine; rounding it again would hit decimal ties (x.xxx5)
     return out.withColumn("rate", F.col("increase") / F.lit(float(seconds)))
 
 
-def rate(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
-    return increase(samples, labels, seconds).drop("increase")
+def rate(samples: DataFrame, labels: list[str], seconds: int, chunk_seconds: int | None = None) -> DataFrame:
+    return increase(samples, labels, seconds, chunk_seconds).drop("increase")
 
 
 def irate(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
     """Per-second rate from the last two samples of each series in a window
-    (windows with fewer than two samples give no row)."""
+    (windows with fewer than two samples give no row).
+
+    No window function: the last sample per (series, window) is an
+    aggregation; the one before it is the greatest sample ordered before the
+    last, found by joining the samples to the (one row per series-window)
+    last-sample table and aggregating again.  A hot series-window is thus
+    combined map-side, and the join's skewed partitions can be split by AQE.
+    """
     series = ["metric", *labels]
-    steps = _windowed_steps(samples, labels, seconds).filter(F.col("prev_value").isNotNull())
-    last = steps.groupBy(*series, "window_start").agg(
-        F.max_by(F.struct("value", "prev_value", "ts", "prev_ts"), _order_struct()).alias("l"))
-    dt = F.timestamp_diff("MICROSECOND", F.col("l.prev_ts"), F.col("l.ts")) / F.lit(1e6)
-    step = _counter_step(F.col("l.value"), F.col("l.prev_value"))
-    return last.select(*series, "window_start",
-                       F.round(F.when(dt > 0, step / dt), 6).alias("irate"))
+    keys = [*series, "window_start"]
+    s = with_window(samples, seconds)
+    last = s.groupBy(*keys).agg(F.max_by(F.struct("ts", "sample_id", "value"), _order_struct()).alias("l"))
+    before = (s.join(last, keys)
+              .filter(F.struct("ts", "sample_id") < F.struct(F.col("l.ts"), F.col("l.sample_id"))))
+    prev = before.groupBy(*keys).agg(
+        F.max_by(F.struct("ts", "value"), _order_struct()).alias("p"),
+        F.first("l").alias("l"))
+    dt = F.timestamp_diff("MICROSECOND", F.col("p.ts"), F.col("l.ts")) / F.lit(1e6)
+    step = _counter_step(F.col("l.value"), F.col("p.value"))
+    return prev.select(*keys, F.round(F.when(dt > 0, step / dt), 6).alias("irate"))
 
 
 def delta(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
