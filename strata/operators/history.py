@@ -70,7 +70,8 @@ def run_summary(results: DataFrame, digits: int | None = None) -> DataFrame:
         F.avg("read_bytes").cast("long").alias("read_bytes"),     # int(mean): truncation
         F.avg("read_rows").cast("long").alias("read_rows"),
         F.max("memory_usage").alias("memory_peak"),
-        F.max_by("result_rows", "iteration").alias("result_rows"),
+        # "last" = the latest appended row: capture time, then run, then iteration
+        F.max_by("result_rows", F.struct("captured_at", "run_id", "iteration")).alias("result_rows"),
     ))
 
 

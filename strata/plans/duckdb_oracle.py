@@ -393,7 +393,7 @@ SQL.update({
 SELECT question_id, layer, round(avg(wall_ms), 2) AS wall_avg, min(wall_ms) AS wall_min,
        max(wall_ms) AS wall_max, round(avg(query_duration_ms), 2) AS engine_avg,
        CAST(trunc(avg(read_bytes)) AS BIGINT) AS read_bytes, CAST(trunc(avg(read_rows)) AS BIGINT) AS read_rows,
-       max(memory_usage) AS memory_peak, arg_max(result_rows, iteration) AS result_rows
+       max(memory_usage) AS memory_peak, arg_max(result_rows, (captured_at, run_id, iteration)) AS result_rows
 FROM results GROUP BY 1, 2""",
     "speedup_by_layer": with_(RESULTS, SUMMARY) + f"""
 SELECT s.question_id, s.layer, round(s.engine_avg, 2) AS engine_avg, round(s.wall_avg, 2) AS wall_avg,
