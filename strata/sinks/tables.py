@@ -27,20 +27,27 @@ def create_layers(spark: SparkSession, root: str | None = None,
     return list(names)
 
 
-def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None) -> DataFrame:
-    """Range-partition and sort by the table's key so that each file covers a
-    narrow key range: Parquet row-group min/max statistics then skip data
-    for predicates on the key.
-
-    Without ``files`` the partition count comes from the session and AQE
-    coalesces small ranges toward the advisory partition size, so file size
-    follows the data volume.
+def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None,
+           how: str = "range") -> DataFrame:
+    """Cluster rows by the table's key so that Parquet row-group min/max
+    statistics skip data for predicates on the key.
+
+    ``how="range"`` range-partitions then sorts each partition: every file
+    covers a disjoint key range (one shuffle of the table).  ``how="local"``
+    only sorts within the existing partitions: no shuffle, and nearly as good
+    when the input is already clustered by the key (e.g. one landing file per
+    month for a time key).  Without ``files`` the partition count comes from
+    the session and AQE coalesces small ranges toward the advisory size.
     """
     if not sort_by:
         if files is not None:
             return df.repartition(files)
         return spread(df)
     keys = [F.col(k) for k in sort_by]
+    if how == "local" and files is None:
+        return df.sortWithinPartitions(*keys)
+    if how not in ("range", "local"):
+        raise ValueError("how must be 'range' or 'local'")
     parts = df.repartitionByRange(files, *keys) if files else df.repartitionByRange(*keys)
     return parts.sortWithinPartitions(*keys)
 
@@ -56,9 +63,9 @@ def spread(df: DataFrame) -> DataFrame:
 
 
 def write_table(df: DataFrame, table: str, sort_by: list[str] | None = None, files: int | None = None,
-                fmt: str = "parquet", mode: str = "overwrite") -> str:
+                fmt: str = "parquet", mode: str = "overwrite", how: str = "range") -> str:
     """Full-refresh materialization (drop + recreate) as a managed table."""
-    layout(df, sort_by, files).write.format(fmt).mode(mode).saveAsTable(table)
+    layout(df, sort_by, files, how).write.format(fmt).mode(mode).saveAsTable(table)
     return table
 
 

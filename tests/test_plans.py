@@ -57,3 +57,12 @@ def test_lookups_are_broadcast_and_outer_joins_become_inner(spark):
 def test_top_k_without_full_sort(spark):
     p = plan(QUERIES["q2_gold"](spark, SF_SMALL))
     assert "TakeOrderedAndProject" in p
+
+
+def test_local_layout_adds_no_shuffle_and_range_layout_one(spark):
+    from strata.plans.layers import Medallion
+    from strata.sinks.tables import layout
+    clean = Medallion(spark, SF_SMALL).clean
+    local, ranged = plan(layout(clean, ["pickup_at"], how="local")), plan(layout(clean, ["pickup_at"]))
+    assert "Exchange" not in local and "Sort" in local
+    assert "rangepartitioning" in ranged
