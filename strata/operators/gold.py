@@ -136,3 +136,80 @@ SORT_KEYS = {
     "driver_economics": ["month"],
     "medallion_results": ["captured_at", "question_id", "layer", "iteration"],
 }
+
+
+# --------------------------------------------------------------------------
+# One scan for four models: grouping sets over the clean trips
+# --------------------------------------------------------------------------
+
+# each fused model and its grouping keys
+FUSED_SETS = {
+    "daily_revenue": ("trip_date",),
+    "hourly_demand": ("weekday", "hour_of_day"),
+    "driver_economics": ("month",),
+    "shared_vs_solo": ("ride_type",),
+}
+_FUSED_KEYS = ("trip_date", "weekday", "hour_of_day", "month", "ride_type")
+_SUMMED = ("total_amount", "driver_pay", "tips", "congestion_surcharge", "trip_miles",
+           "trip_minutes", "waiting_minutes", "base_fare", "driver_pct_of_fare")
+
+
+def _gid(model: str) -> int:
+    """``grouping_id()`` of a model's set: bit i is 1 when key i is not grouped."""
+    keys = FUSED_SETS[model]
+    n = len(_FUSED_KEYS)
+    return sum(1 << (n - 1 - i) for i, k in enumerate(_FUSED_KEYS) if k not in keys)
+
+
+def fused_aggregates(clean: DataFrame) -> DataFrame:
+    """Sums and counts of every measure for all four key sets in one
+    aggregation: one scan of silver and one (map-side combined) shuffle,
+    instead of one of each per model.  Output: one row per group per set,
+    ``_gid`` telling the sets apart."""
+    t = clean.select(X.trip_date("pickup_at").alias("trip_date"),
+                     X.iso_weekday("pickup_at").alias("weekday"),
+                     X.hour_of_day("pickup_at").alias("hour_of_day"),
+                     X.month_start("pickup_at").alias("month"),
+                     X.ride_type("shared_matched", "shared_requested").alias("ride_type"),
+                     *_SUMMED)
+    aggs = [F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n")]
+    aggs += [F.sum(c).alias(f"_s_{c}") for c in _SUMMED]
+    aggs += [F.count(c).alias(f"_c_{c}") for c in _SUMMED]
+    return t.groupingSets([list(k) for k in FUSED_SETS.values()], *_FUSED_KEYS).agg(*aggs)
+
+
+def _avg(c):
+    # avg = sum / count of non-NULL values; NULL when there are none
+    return _r2(X.safe_div(F.col(f"_s_{c}"), F.col(f"_c_{c}")))
+
+
+def models_from_fused(fused: DataFrame, clean: DataFrame) -> dict[str, DataFrame]:
+    """The four models, each a filter + projection of the fused aggregate (the
+    daily model also joins its exact fare percentiles)."""
+    f = {m: fused.filter(F.col("_gid") == _gid(m)) for m in FUSED_SETS}
+    s = lambda c: _r2(F.col(f"_s_{c}"))
+    daily = f["daily_revenue"].select(
+        "trip_date", F.col("_n").alias("total_trips"), s("total_amount").alias("gross_revenue_usd"),
+        s("driver_pay").alias("total_driver_pay_usd"), s("tips").alias("total_tips_usd"),
+        s("congestion_surcharge").alias("total_congestion_usd"), _avg("trip_miles").alias("avg_trip_miles"),
+        _avg("trip_minutes").alias("avg_trip_minutes"), _avg("waiting_minutes").alias("avg_waiting_minutes"))
+    t = clean.select(X.trip_date("pickup_at").alias("trip_date"), "total_amount")
+    qs = exact_quantiles(t, ["trip_date"], "total_amount", FARE_PERCENTILES)
+    qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
+    return {
+        "daily_revenue": daily.join(qs, "trip_date", "left"),
+        "hourly_demand": f["hourly_demand"].select(
+            "weekday", "hour_of_day", F.col("_n").alias("trips"), _avg("trip_minutes").alias("avg_trip_min"),
+            _avg("waiting_minutes").alias("avg_wait_min"), _avg("total_amount").alias("avg_fare_usd"),
+            _avg("driver_pay").alias("avg_driver_pay_usd")),
+        "driver_economics": f["driver_economics"].select(
+            "month", F.col("_n").alias("total_trips"), _avg("base_fare").alias("avg_base_fare"),
+            _avg("tips").alias("avg_tips"), _avg("driver_pay").alias("avg_driver_pay"),
+            _avg("driver_pct_of_fare").alias("avg_driver_pct_of_fare"), s("driver_pay").alias("total_driver_pay"),
+            _r2(X.safe_div(F.col("_s_driver_pay"), F.col("_s_trip_minutes") / F.lit(60.0)))
+            .alias("approx_hourly_rate_usd")),
+        "shared_vs_solo": f["shared_vs_solo"].select(
+            "ride_type", F.col("_n").alias("trips"), _avg("total_amount").alias("avg_total_usd"),
+            _avg("trip_miles").alias("avg_miles"), _avg("trip_minutes").alias("avg_minutes"),
+            _avg("driver_pay").alias("avg_driver_pay_usd"), s("total_amount").alias("total_revenue_usd")),
+    }

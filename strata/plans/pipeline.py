@@ -53,14 +53,19 @@ class Built:
 
 
 def build(m: Medallion, root: str | None = None, files: int | None = None,
-          run_tests: bool = True, gate: bool = False, silver_layout: str = "local") -> Built:
+          run_tests: bool = True, gate: bool = False, silver_layout: str = "local",
+          fuse: bool = True) -> Built:
     """Full refresh of every layer.  ``gate`` raises when a declared data test
     fails; the failing checks are kept in ``Built.failing_tests``.
 
     ``silver_layout``: ``local`` sorts silver by pickup time within each
     input partition (no shuffle; right when landing files are per month, as
     they are), ``range`` range-partitions it first (one full shuffle; for
-    inputs that are not clustered in time)."""
+    inputs that are not clustered in time).
+
+    ``fuse`` computes the four clean-based gold models from one grouping-sets
+    aggregation (one scan of silver instead of four); the small fused result
+    is persisted while the four tables are written, then released."""
     spark = m.spark
     b = Built(spark)
 
@@ -79,10 +84,17 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
                                                      gold.SORT_KEYS["fhvhv_trips_clean"], files,
                                                      how=silver_layout))
     tables.create_view(b.enriched, "fhvhv_trips_enriched")
-    for name, (src, fn) in gold.GOLD_MODELS.items():
-        source = b.clean if src == "clean" else b.enriched
-        timed(f"gold_{name}", lambda: tables.write_table(fn(source), f"gold.{name}",
-                                                         gold.SORT_KEYS.get(name), 1))
+    fused = gold.fused_aggregates(b.clean).persist() if fuse else None
+    built_models = gold.models_from_fused(fused, b.clean) if fuse else {}
+    try:
+        for name, (src, fn) in gold.GOLD_MODELS.items():
+            df = built_models.get(name)
+            if df is None:
+                df = fn(b.clean if src == "clean" else b.enriched)
+            timed(f"gold_{name}", lambda: tables.write_table(df, f"gold.{name}", gold.SORT_KEYS.get(name), 1))
+    finally:
+        if fused is not None:
+            fused.unpersist()
     if run_tests:
         models = {"fhvhv_trips_clean": b.clean, "fhvhv_trips_enriched": b.enriched,
                   **{n: b.gold(n) for n in gold.GOLD_MODELS}}

@@ -40,3 +40,15 @@ def test_rejected_rows_add_up(spark):
     assert r.raw_rows == 60000 or r.raw_rows > 0
     assert r.clean_rows == m.clean.count()
     assert r.rejected_rows == r.raw_rows - r.clean_rows
+
+
+def test_fused_gold_equals_per_model_functions(spark):
+    from strata.operators import gold
+    m = Medallion(spark, SF_MID)
+    fused = gold.models_from_fused(gold.fused_aggregates(m.clean), m.clean)
+    for name, df in fused.items():
+        single = m.gold(name)
+        assert df.columns == single.columns, name
+        assert dict(df.dtypes) == dict(single.dtypes), name
+        a, b = sorted(map(tuple, df.collect()), key=str), sorted(map(tuple, single.collect()), key=str)
+        assert a == b, name

@@ -27,6 +27,8 @@ benchmark.  What to look for:
 * **Exact percentiles** — the daily model shuffles the (day, amount)
   histogram, then exchanges it by day for the running sum; no `percentile`
   aggregate buffers a whole group.
+* **Fused gold** — one scan of silver feeds an `Expand` (one copy of each row
+  per grouping set) and a single partial/final aggregation for four models.
 * **Counter rates** — one exchange by (series, window) for the per-sample
   steps, one partial/final aggregate, one small exchange by series over the
   per-window rows.
@@ -72,6 +74,8 @@ def main(argv):
         "q2_gold": Q.q2_gold(b.gold("borough_pairs")),
         "gold daily_revenue (exact percentiles, recomputed from stored bronze)": m.__class__(
             spark, window=w, bronze_trips=b.bronze, bronze_zones=b.zones).gold("daily_revenue"),
+        "fused gold aggregate (daily, hourly, monthly, ride type in one scan)":
+            __import__("strata.operators.gold", fromlist=["x"]).fused_aggregates(b.clean),
         "metric rate (6 h windows)": metrics.increase(
             fixtures.metric_samples(fixtures.table(spark, sf_dir, "events")), ["instance"], 21600),
     }
