@@ -36,8 +36,14 @@ def read_trip_files(spark: SparkSession, paths: list[str], check_drift: bool = T
     """
     if not paths:
         raise ValueError("no input files")
-    first = spark.read.parquet(paths[0]).schema
-    if check_drift and len(paths) > 1:
+    # The first path given (the first month) defines the schema; Spark's file
+    # index expands a glob or directory there on any filesystem, and the
+    # first file of it in name order is used.
+    first_files = sorted(spark.read.parquet(paths[0]).inputFiles())
+    if not first_files:
+        raise ValueError(f"no Parquet files under {paths[0]}")
+    first = spark.read.parquet(first_files[0]).schema
+    if check_drift:
         try:
             merged = spark.read.option("mergeSchema", "true").parquet(*paths).schema
         except Exception as e:  # incompatible types across files
