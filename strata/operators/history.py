@@ -37,7 +37,9 @@ def enrich_with_engine_log(client: DataFrame, log: DataFrame, finished: str = "Q
     tags = client.select(F.col("tag").alias("log_comment"))
     finished_log = (log.filter(F.col("type") == finished)
                     .join(tags, "log_comment", "left_semi"))
-    latest = latest_per_key(finished_log, ["log_comment"], ["event_time", "query_duration_ms"],
+    # latest entry wins; the counters break exact time ties deterministically
+    latest = latest_per_key(finished_log, ["log_comment"],
+                            ["event_time", *ENGINE_METRICS, "result_rows"],
                             [*ENGINE_METRICS, "result_rows"])
     latest = latest.withColumnRenamed("result_rows", "engine_result_rows")
     joined = client.join(latest, client.tag == latest.log_comment, "left")

@@ -329,7 +329,8 @@ log AS (
 ENRICHED_LOG = """
 fin AS (
   SELECT *, row_number() OVER (PARTITION BY log_comment ORDER BY event_time DESC,
-                                query_duration_ms DESC) AS rn
+                                query_duration_ms DESC, read_rows DESC, read_bytes DESC,
+                                memory_usage DESC, result_rows DESC NULLS LAST) AS rn
   FROM log WHERE type = 'QueryFinish' AND log_comment IN (SELECT tag FROM client)),
 merged AS (
   SELECT c.run_id, c.question_id, c.layer, c.iteration, c.wall_ms,
