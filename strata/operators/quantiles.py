@@ -5,11 +5,15 @@ group into one aggregation buffer, so one hot group must fit in one task's
 memory.  ``exact_quantiles`` instead:
 
 1. counts ``(keys, value)`` pairs with an ordinary aggregation (map-side
-   combine; the shuffle is spread by value, so a hot key is split across
-   partitions),
-2. runs a running sum over each key's *distinct* values only (the compressed
-   histogram, which spills if it must), and
-3. picks the two ranks around ``(n - 1) * p`` and interpolates linearly
+   combine; the shuffle is spread by value, so a hot key is split),
+2. range-partitions that histogram by ``(keys, value)`` (Spark samples the
+   boundaries), so even a key holding a third of all rows spans many
+   balanced partitions,
+3. computes running counts inside each (partition, key) slice, and the
+   offset of each slice from the totals of the slices before it (a window
+   over one row per slice), so every rank is global without any task
+   seeing a whole key,
+4. picks the two ranks around ``(n - 1) * p`` and interpolates linearly
    (the continuous definition used by SQL ``percentile_cont``).
 
 ``approx_quantiles`` wraps ``percentile_approx`` (a bounded-size sketch that
@@ -31,21 +35,29 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
     v = F.col(value).cast("double")
     hist = (df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
             .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    ordered = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy(*keys)
-    hist = (hist.withColumn("_hi_rank", F.sum("_c").over(ordered))       # exclusive end
-                .withColumn("_n", F.sum("_c").over(whole)))
-    lo_rank = F.col("_hi_rank") - F.col("_c")                            # inclusive start
+    # global (keys, value) order in balanced ranges; partition ids follow it
+    ranged = hist.repartitionByRange(*keys, "_v").withColumn("_pid", F.spark_partition_id())
+    in_slice = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranged = ranged.withColumn("_run", F.sum("_c").over(in_slice))
+    slices = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_slice_n"))
+    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = (slices.withColumn("_off", F.coalesce(F.sum("_slice_n").over(before), F.lit(0)))
+                    .withColumn("_n", F.sum("_slice_n").over(Window.partitionBy(*keys)))
+                    .drop("_slice_n"))
+    # one row per (partition, key) slice: a small table, joined back
+    ranked = ranged.join(slices, ["_pid", *keys])
+    hi_rank = F.col("_off") + F.col("_run")                               # exclusive end
+    lo_rank = hi_rank - F.col("_c")                                        # inclusive start
     aggs = []
     for name, p in probs.items():
         pos = (F.col("_n") - 1) * F.lit(float(p))
         lo, hi = F.floor(pos), F.ceil(pos)
         aggs += [
-            F.max(F.when((lo_rank <= lo) & (lo < F.col("_hi_rank")), F.col("_v"))).alias(f"_{name}_lo"),
-            F.max(F.when((lo_rank <= hi) & (hi < F.col("_hi_rank")), F.col("_v"))).alias(f"_{name}_hi"),
+            F.max(F.when((lo_rank <= lo) & (lo < hi_rank), F.col("_v"))).alias(f"_{name}_lo"),
+            F.max(F.when((lo_rank <= hi) & (hi < hi_rank), F.col("_v"))).alias(f"_{name}_hi"),
             F.max(pos - lo).alias(f"_{name}_f"),
         ]
-    picked = hist.groupBy(*keys).agg(*aggs)
+    picked = ranked.groupBy(*keys).agg(*aggs)
     return picked.select(*keys, *[
         (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f")).alias(n)
         for n in probs])

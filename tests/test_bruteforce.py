@@ -109,3 +109,22 @@ def test_instant_at_takes_latest_within_lookback(spark):
         "metric string, instance string, ts timestamp_ntz, value double, sample_id long")
     got = {r.instance: r.value for r in MET.instant_at(df, ["instance"], "2024-01-01 00:05:00").collect()}
     assert got == {"a": 2.0}
+
+
+def test_exact_quantiles_across_range_slices(spark):
+    """A hot key with many distinct values spans several range partitions;
+    ranks must stay global across the slice boundaries."""
+    rng = np.random.default_rng(11)
+    keys = np.concatenate([np.zeros(20000, int), rng.integers(1, 6, 4000)])
+    vals = rng.gamma(2.0, 10.0, keys.size)
+    df = spark.createDataFrame(list(zip(keys.tolist(), vals.tolist())), "k long, v double").repartition(8)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        probs = {"p01": 0.01, "p50": 0.5, "p95": 0.95, "p999": 0.999}
+        got = {r.k: [r[n] for n in probs] for r in exact_quantiles(df, ["k"], "v", probs).collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    pdf = pd.DataFrame({"k": keys, "v": vals})
+    for k, g in pdf.groupby("k")["v"]:
+        exp = np.percentile(g.to_numpy(), [1, 50, 95, 99.9])
+        assert np.allclose(got[k], exp, rtol=0, atol=1e-9), k
