@@ -25,8 +25,10 @@ benchmark.  What to look for:
 * **Pushdown** — the window and fare predicates of the bronze questions appear
   in `PushedFilters`; `ReadSchema` lists only the columns used.
 * **Exact percentiles** — the daily model shuffles the (day, amount)
-  histogram, then exchanges it by day for the running sum; no `percentile`
-  aggregate buffers a whole group.
+  histogram, range-partitions it by (day, amount), computes running counts
+  per (partition, day) slice and slice offsets over a one-row-per-slice
+  table; no `percentile` aggregate buffers a whole group and no task sees a
+  whole day.
 * **Fused gold** — one scan of silver feeds an `Expand` (one copy of each row
   per grouping set) and a single partial/final aggregation for four models.
 * **Counter rates** — one exchange by (series, window) for the per-sample
