@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
+from strata.operators.joins import join_on_keys
 from strata.operators.quantiles import approx_quantiles, exact_quantiles
 
 # fixed values: the fare percentiles reported per day
@@ -51,7 +52,7 @@ def daily_revenue(clean: DataFrame, percentiles: str = "exact") -> DataFrame:
     qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
     # one row per day on both sides; a day whose amounts are all NULL has no
     # quantile row, hence the left join
-    return base.join(qs, "trip_date", "left")
+    return join_on_keys(base, qs, ["trip_date"], "left")
 
 
 def hourly_demand(clean: DataFrame) -> DataFrame:
@@ -197,7 +198,7 @@ def models_from_fused(fused: DataFrame, clean: DataFrame) -> dict[str, DataFrame
     qs = exact_quantiles(t, ["trip_date"], "total_amount", FARE_PERCENTILES)
     qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
     return {
-        "daily_revenue": daily.join(qs, "trip_date", "left"),
+        "daily_revenue": join_on_keys(daily, qs, ["trip_date"], "left"),
         "hourly_demand": f["hourly_demand"].select(
             "weekday", "hour_of_day", F.col("_n").alias("trips"), _avg("trip_minutes").alias("avg_trip_min"),
             _avg("waiting_minutes").alias("avg_wait_min"), _avg("total_amount").alias("avg_fare_usd"),

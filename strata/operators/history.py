@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.joins import latest_per_key
+from strata.operators.joins import join_on_keys, latest_per_key
 from strata.operators.quantiles import exact_quantiles
 
 ENGINE_METRICS = ("query_duration_ms", "read_rows", "read_bytes", "memory_usage")
@@ -141,7 +141,7 @@ def cross_run_stats(results: DataFrame) -> DataFrame:
                         {"engine_p50": 0.5, "engine_p95": 0.95})
     q = q.select(*CELL, F.round("engine_p50", 1).alias("engine_p50"),
                  F.round("engine_p95", 1).alias("engine_p95"))
-    out = g.join(q, list(CELL), "left")
+    out = join_on_keys(g, q, list(CELL), "left")
     return (out.withColumn("cv_pct", F.round(X.cv_pct(F.col("engine_stddev"), F.col("engine_avg")), 2))
             .orderBy("question_id", X.layer_ordinal(F.col("layer"))))
 
@@ -172,7 +172,7 @@ def cell_stats(results: DataFrame, value: str = "wall_ms",
         F.avg(value).alias("_mean"),
         F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("_sd"))
     med = exact_quantiles(results, keys, value, {"median_ms": 0.5})
-    out = g.join(med, keys, "left")
+    out = join_on_keys(g, med, keys, "left")
     cv = F.when(F.col("n") > 1, X.cv_pct(F.col("_sd"), F.col("_mean"))).otherwise(F.lit(0.0))
     return out.select(*keys, "n", F.round("_mean", 2).alias("mean_ms"),
                       F.round("median_ms", 2).alias("median_ms"),
@@ -216,7 +216,7 @@ def evidence_document(results: DataFrame, run_id: str, engine: str, dataset: str
         F.avg("wall_ms").alias("mean_ms"),
         F.coalesce(F.stddev_samp("wall_ms"), F.lit(0.0)).alias("stdev_ms"),
         F.count(F.lit(1)).alias("n"))
-    cells = cells.join(exact_quantiles(r, list(CELL), "wall_ms", {"median_ms": 0.5}), list(CELL), "left")
+    cells = join_on_keys(cells, exact_quantiles(r, list(CELL), "wall_ms", {"median_ms": 0.5}), list(CELL), "left")
     cells = cells.withColumn("cv_pct", F.when(F.col("n") > 1, X.cv_pct(F.col("stdev_ms"), F.col("mean_ms")))
                              .otherwise(F.lit(0.0)))
     stats = F.struct("samples", "mean_ms", "median_ms", "stdev_ms", "cv_pct")

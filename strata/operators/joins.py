@@ -59,3 +59,16 @@ def latest_per_key(df: DataFrame, keys: list[str], order: list[str],
     best = F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(o) for o in order]))
     return (df.groupBy(*keys).agg(best.alias("_best"))
             .select(*keys, *[F.col("_best")[v].alias(v) for v in values]))
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Join on same-named key columns where NULL matches NULL (``<=>``), as
+    ``groupBy`` treats NULL as a group of its own; one copy of each key is
+    kept.  Spark still plans it as an equi-join."""
+    renamed = right.select(*[F.col(k).alias(f"_rk_{k}") for k in keys],
+                           *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = F.col(k).eqNullSafe(F.col(f"_rk_{k}"))
+        cond = c if cond is None else cond & c
+    return left.join(renamed, cond, how).drop(*[f"_rk_{k}" for k in keys])

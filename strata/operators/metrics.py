@@ -22,6 +22,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from strata.operators.joins import join_on_keys
+
 ORDER = ("ts", "sample_id")
 
 
@@ -159,7 +161,7 @@ def irate(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
     keys = [*series, "window_start"]
     s = with_window(samples, seconds)
     last = s.groupBy(*keys).agg(F.max_by(F.struct("ts", "sample_id", "value"), _order_struct()).alias("l"))
-    before = (s.join(last, keys)
+    before = (join_on_keys(s, last, keys)
               .filter(F.struct("ts", "sample_id") < F.struct(F.col("l.ts"), F.col("l.sample_id"))))
     prev = before.groupBy(*keys).agg(
         F.max_by(F.struct("ts", "value"), _order_struct()).alias("p"),

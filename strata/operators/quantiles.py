@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+
 def exact_quantiles(df: DataFrame, keys: list[str], value: str,
                     probs: dict[str, float]) -> DataFrame:
     """keys + one DOUBLE column per entry of ``probs`` (name -> p in [0, 1]).
@@ -33,19 +34,23 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
     NULL values are ignored; a group with no values gets no row.
     """
     v = F.col(value).cast("double")
-    hist = (df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
-            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    # global (keys, value) order in balanced ranges; partition ids follow it
-    ranged = hist.repartitionByRange(*keys, "_v").withColumn("_pid", F.spark_partition_id())
-    in_slice = Window.partitionBy("_pid", *keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    # One non-NULL struct key: struct equality matches NULL fields (NULL keys
+    # form a group, as in groupBy), and window, aggregate and join all
+    # partition on the same plain columns, so no extra exchange is needed.
+    k = F.struct(*keys) if keys else F.lit(True)
+    hist = (df.select(k.alias("_k"), v.alias("_v")).filter(F.col("_v").isNotNull())
+            .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    # global (key, value) order in balanced ranges; partition ids follow it
+    ranged = hist.repartitionByRange("_k", "_v").withColumn("_pid", F.spark_partition_id())
+    in_slice = Window.partitionBy("_pid", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     ranged = ranged.withColumn("_run", F.sum("_c").over(in_slice))
-    slices = ranged.groupBy("_pid", *keys).agg(F.sum("_c").alias("_slice_n"))
-    before = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    slices = ranged.groupBy("_pid", "_k").agg(F.sum("_c").alias("_slice_n"))
+    before = Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     slices = (slices.withColumn("_off", F.coalesce(F.sum("_slice_n").over(before), F.lit(0)))
-                    .withColumn("_n", F.sum("_slice_n").over(Window.partitionBy(*keys)))
+                    .withColumn("_n", F.sum("_slice_n").over(Window.partitionBy("_k")))
                     .drop("_slice_n"))
     # one row per (partition, key) slice: a small table, joined back
-    ranked = ranged.join(slices, ["_pid", *keys])
+    ranked = ranged.join(slices, ["_pid", "_k"])
     hi_rank = F.col("_off") + F.col("_run")                               # exclusive end
     lo_rank = hi_rank - F.col("_c")                                        # inclusive start
     aggs = []
@@ -57,8 +62,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
             F.max(F.when((lo_rank <= hi) & (hi < hi_rank), F.col("_v"))).alias(f"_{name}_hi"),
             F.max(pos - lo).alias(f"_{name}_f"),
         ]
-    picked = ranked.groupBy(*keys).agg(*aggs)
-    return picked.select(*keys, *[
+    picked = ranked.groupBy("_k").agg(*aggs)
+    return picked.select(*[F.col("_k")[c].alias(c) for c in keys], *[
         (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f")).alias(n)
         for n in probs])
 

@@ -128,3 +128,15 @@ def test_exact_quantiles_across_range_slices(spark):
     for k, g in pdf.groupby("k")["v"]:
         exp = np.percentile(g.to_numpy(), [1, 50, 95, 99.9])
         assert np.allclose(got[k], exp, rtol=0, atol=1e-9), k
+
+
+def test_null_keys_form_their_own_group(spark):
+    import datetime as dt
+    df = spark.createDataFrame([(None, 1.0), (None, 3.0), ("a", 10.0)], "k string, v double")
+    got = {r.k: r.q for r in exact_quantiles(df, ["k"], "v", {"q": 0.5}).collect()}
+    assert got == {None: 2.0, "a": 10.0}
+    T = dt.datetime
+    s = spark.createDataFrame([("m", None, T(2024, 1, 1, 0, 0), 1.0, 1), ("m", None, T(2024, 1, 1, 0, 0, 10), 3.0, 2)],
+                              "metric string, instance string, ts timestamp_ntz, value double, sample_id long")
+    r = MET.irate(s, ["instance"], 3600).collect()
+    assert len(r) == 1 and r[0].instance is None and abs(r[0].irate - 0.2) < 1e-9

@@ -66,3 +66,9 @@ def test_local_layout_adds_no_shuffle_and_range_layout_one(spark):
     local, ranged = plan(layout(clean, ["pickup_at"], how="local")), plan(layout(clean, ["pickup_at"]))
     assert "Exchange" not in local and "Sort" in local
     assert "rangepartitioning" in ranged
+
+
+@pytest.mark.parametrize("name", ["gold_daily_revenue", "cross_run_stats", "cell_stats", "metric_irate"])
+def test_null_safe_key_joins_stay_equi_joins(spark, name):
+    p = plan(QUERIES[name](spark, SF_SMALL))
+    assert "NestedLoop" not in p and "Cartesian" not in p, name
