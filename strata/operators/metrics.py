@@ -222,13 +222,22 @@ def compare_filter(vec: DataFrame, value: str, op: str, threshold: float) -> Dat
     return vec.filter(cond)
 
 
-def topk(vec: DataFrame, value: str, k: int, labels: list[str]) -> DataFrame:
+def topk(vec: DataFrame, value: str, k: int, labels: list[str], buckets: int = 64) -> DataFrame:
     """The k largest series per window; label values break ties.
 
-    The window partition holds one row per series of that window (already
-    aggregated), never raw samples.
+    Two phases, so a window with millions of series never sorts them in one
+    task: first the top k inside each hash bucket of the label set, then the
+    top k of those survivors (at most ``k * buckets`` rows per window).
+    Ties are broken by the labels in both phases, so the cut is the same as
+    a single global ranking.
     """
-    w = Window.partitionBy("window_start").orderBy(F.col(value).desc(), *[F.col(c) for c in labels])
+    order = [F.col(value).desc(), *[F.col(c) for c in labels]]
+    if labels:
+        bucket = F.pmod(F.hash(*[F.col(c) for c in labels]), F.lit(buckets))
+        pre = Window.partitionBy("window_start", "_b").orderBy(*order)
+        vec = (vec.withColumn("_b", bucket).withColumn("_rn", F.row_number().over(pre))
+               .filter(F.col("_rn") <= k).drop("_rn", "_b"))
+    w = Window.partitionBy("window_start").orderBy(*order)
     return vec.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= k).drop("_rn")
 
 

@@ -140,3 +140,18 @@ def test_null_keys_form_their_own_group(spark):
                               "metric string, instance string, ts timestamp_ntz, value double, sample_id long")
     r = MET.irate(s, ["instance"], 3600).collect()
     assert len(r) == 1 and r[0].instance is None and abs(r[0].irate - 0.2) < 1e-9
+
+
+def test_two_phase_topk_equals_global_ranking(spark):
+    import datetime as dt
+    rng = np.random.default_rng(5)
+    rows = [(dt.datetime(2024, 1, 1, w), f"m{i % 7}", f"i{i}", float(rng.integers(0, 40)))
+            for w in range(3) for i in range(300)]                    # many ties on value
+    vec = spark.createDataFrame(rows, "window_start timestamp_ntz, metric string, instance string, value double")
+    got = sorted((r.window_start, r.metric, r.instance) for r in
+                 MET.topk(vec, "value", 7, ["metric", "instance"], buckets=4).collect())
+    pdf = pd.DataFrame(rows, columns=["window_start", "metric", "instance", "value"])
+    exp = sorted((pd.Timestamp(r.window_start).to_pydatetime(), r.metric, r.instance) for _, g in
+                 pdf.groupby("window_start") for r in
+                 g.sort_values(["value", "metric", "instance"], ascending=[False, True, True]).head(7).itertuples())
+    assert got == exp
