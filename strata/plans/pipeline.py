@@ -46,6 +46,12 @@ class Built:
     def gold(self, name: str) -> DataFrame:
         return self.table(f"gold.{name}")
 
+    def ingest_audit(self) -> DataFrame | None:
+        """Rows added per landing file and the running total (when the bronze
+        table carries its source file, as ``read_trip_files`` provides)."""
+        bronze = self.bronze
+        return tables.ingest_audit(bronze) if "_batch" in bronze.columns else None
+
     def locations(self) -> dict[tuple[str, str], str]:
         names = [("bronze", "fhvhv_trips"), ("bronze", "taxi_zones"), ("silver", "fhvhv_trips_clean"),
                  *[("gold", g) for g in gold.GOLD_MODELS]]
