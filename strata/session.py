@@ -19,9 +19,21 @@ CORE_CONF = {
 }
 
 
+# Sizing for a large cluster reading ~100 TB: big input splits, a generous
+# initial shuffle width that AQE coalesces toward the advisory size, and
+# skew splitting for joins.  Opt-in (``scale=True``); local runs keep defaults.
+SCALE_CONF = {
+    "spark.sql.files.maxPartitionBytes": "512m",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1g",
+}
+
+
 def build_session(master: str | None = None, app: str = "strata",
                   shuffle_partitions: int | None = None,
-                  extra: dict[str, str] | None = None) -> SparkSession:
+                  extra: dict[str, str] | None = None, scale: bool = False) -> SparkSession:
     """Create (or reuse) a session with the library's core settings.
 
     ``master`` is only set when given, so on a cluster the launcher's
@@ -31,15 +43,19 @@ def build_session(master: str | None = None, app: str = "strata",
          .config("spark.ui.showConsoleProgress", "false"))
     if master:
         b = b.master(master)
-    for k, v in CORE_CONF.items():
-        b = b.config(k, v)
+    # later entries win: core settings, then the scale sizing, then explicit
+    # arguments
+    settings = {**CORE_CONF, **(SCALE_CONF if scale else {})}
     if shuffle_partitions:
-        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    for k, v in (extra or {}).items():
+        settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    settings.update(extra or {})
+    for k, v in settings.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
-    for k, v in CORE_CONF.items():
-        spark.conf.set(k, v)
+    # a reused session keeps its old values unless the SQL settings are re-applied
+    for k, v in settings.items():
+        if spark.conf.isModifiable(k):
+            spark.conf.set(k, v)
     return spark
 
 
