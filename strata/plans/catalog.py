@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strata.operators import history as H
 from strata.operators import metrics as MET
-from strata.operators import quality, silver
+from strata.operators import gold, quality, silver
 from strata.plans import questions as Q
 from strata.plans.layers import Medallion
 from strata.sinks import footprint, tables
@@ -47,6 +47,10 @@ REGISTRY: dict[str, Query] = {
     "gold_daily_revenue": _gold("daily_revenue"),
     "gold_daily_revenue_approx": _gold("daily_revenue", percentiles="approx"),
     "gold_hourly_demand": _gold("hourly_demand"),
+    # the second dialect's gold: approximate percentiles over its own silver
+    "gold_daily_revenue_mirror": lambda spark, d: gold.daily_revenue(_mirror_clean(spark, d), "approx"),
+    "gold_borough_pairs_mirror": lambda spark, d: gold.borough_pairs(silver.enrich(
+        _mirror_clean(spark, d), _m(spark, d).bronze_zones, zone_key_cast="smallint")),
     "gold_borough_pairs": _gold("borough_pairs"),
     "gold_driver_economics": _gold("driver_economics"),
     "gold_shared_vs_solo": _gold("shared_vs_solo"),
@@ -147,6 +151,11 @@ def _footprint(spark, d):
     return footprint.table_footprint(spark, built.locations())
 
 
+def _mirror_clean(spark, d):
+    """Silver of the second dialect: elapsed minutes, SMALLINT ids."""
+    return silver.clean(_m(spark, d).bronze_trips, fixtures.FIXTURE_WINDOW, "elapsed", id_cast="strict")
+
+
 def _events(spark, d):
     return fixtures.table(spark, d, "events")
 

@@ -541,3 +541,10 @@ SELECT window_start, instance, min(value) AS value FROM (
                / nullif(max(CASE WHEN metric = 'view' THEN value END), 0), 6) AS value
   FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
 WHERE value IS NOT NULL GROUP BY 1, 2"""
+
+_ENRICHED_SMALLINT = ENRICHED.replace(
+    "pu.LocationID = t.pickup_location_id", "CAST(pu.LocationID AS SMALLINT) = t.pickup_location_id").replace(
+    "dz.LocationID = t.dropoff_location_id", "CAST(dz.LocationID AS SMALLINT) = t.dropoff_location_id")
+SQL["gold_daily_revenue_mirror"] = with_(BRONZE_TRIPS, CLEAN_MIRROR, DAILY_APPROX) + "SELECT * FROM daily_revenue"
+SQL["gold_borough_pairs_mirror"] = with_(BRONZE_TRIPS, ZONES, CLEAN_MIRROR, _ENRICHED_SMALLINT, PAIRS) + \
+    "SELECT * FROM borough_pairs"
