@@ -34,12 +34,21 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
     NULL values are ignored; a group with no values gets no row.
     """
     v = F.col(value).cast("double")
+    hist = (df.select(*keys, v.alias("_v")).filter(F.col("_v").isNotNull())
+            .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    return quantiles_from_histogram(hist, keys, "_v", "_c", probs)
+
+
+def quantiles_from_histogram(hist: DataFrame, keys: list[str], value: str, count: str,
+                             probs: dict[str, float]) -> DataFrame:
+    """Exact quantiles from a histogram with one row per (keys, value) and its
+    ``count`` (e.g. one grouping set of a larger aggregation).  NULL values
+    must already be removed."""
     # One non-NULL struct key: struct equality matches NULL fields (NULL keys
     # form a group, as in groupBy), and window, aggregate and join all
     # partition on the same plain columns, so no extra exchange is needed.
     k = F.struct(*keys) if keys else F.lit(True)
-    hist = (df.select(k.alias("_k"), v.alias("_v")).filter(F.col("_v").isNotNull())
-            .groupBy("_k", "_v").agg(F.count(F.lit(1)).alias("_c")))
+    hist = hist.select(k.alias("_k"), F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
     # global (key, value) order in balanced ranges; partition ids follow it
     ranged = hist.repartitionByRange("_k", "_v").withColumn("_pid", F.spark_partition_id())
     in_slice = Window.partitionBy("_pid", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
