@@ -76,7 +76,7 @@ def main(argv):
         "q2_gold": Q.q2_gold(b.gold("borough_pairs")),
         "gold daily_revenue (exact percentiles, recomputed from stored bronze)": m.__class__(
             spark, window=w, bronze_trips=b.bronze, bronze_zones=b.zones).gold("daily_revenue"),
-        "fused gold aggregate (daily, hourly, monthly, ride type in one scan)":
+        "fused gold aggregate (daily, hourly, monthly, ride type and the fare histogram in one scan)":
             __import__("strata.operators.gold", fromlist=["x"]).fused_aggregates(b.clean),
         "metric rate (6 h windows)": metrics.increase(
             fixtures.metric_samples(fixtures.table(spark, sf_dir, "events")), ["instance"], 21600),
