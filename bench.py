@@ -25,6 +25,14 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 WARMUPS, MEASURED = 2, 5
 
 
+def _scale_factor(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
@@ -101,7 +109,7 @@ def main() -> None:
         "value": round(sum(med[k] for k in headline), 4),
         "unit": "sec",
         "queries": med,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _scale_factor(sf_dir),
         "cv_pct": cv,
         "build_sec": round(build_s, 3),
         "build_stages_sec": built.seconds,
