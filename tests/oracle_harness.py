@@ -52,6 +52,23 @@ def canon(cols, rows):
     return sorted(tuple(_norm(r[i]) for i in order) for r in rows)
 
 
+# Spark simple type -> DuckDB type name, for the schema comparison
+SPARK_TO_DUCK = {"string": "VARCHAR", "int": "INTEGER", "bigint": "BIGINT", "smallint": "SMALLINT",
+                 "double": "DOUBLE", "float": "FLOAT", "boolean": "BOOLEAN", "date": "DATE",
+                 "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
+def type_mismatches(df, res) -> list:
+    duck_types = {d[0]: str(d[1]).upper() for d in res.description}
+    out = []
+    for col, t in df.dtypes:
+        want = SPARK_TO_DUCK.get(t, t.upper())
+        got = duck_types.get(col, "?")
+        if want != got and not (want == "DOUBLE" and got.startswith("DECIMAL")):
+            out.append((col, t, got))
+    return out
+
+
 def compare(spark, sf_dir, name, fn, sql, con):
     t0 = time.time()
     df = fn(spark, sf_dir)
@@ -62,11 +79,14 @@ def compare(spark, sf_dir, name, fn, sql, con):
         return dict(name=name, ok=None, rows=len(srows), spark_s=round(t1 - t0, 2), note="no oracle")
     res = con.execute(sql)
     dcols = [d[0] for d in res.description]
+    types = type_mismatches(df, res)
     drows = res.fetchall()
     out = dict(name=name, rows=len(srows), oracle_rows=len(drows), spark_s=round(t1 - t0, 2))
     if sorted(scols) != sorted(dcols):
         out.update(ok=False, note=f"columns differ: {sorted(scols)} vs {sorted(dcols)}")
         return out
+    if types:
+        out["types"] = types
     a, b = canon(scols, srows), canon(dcols, drows)
     if a == b:
         out["ok"] = True
