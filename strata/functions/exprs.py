@@ -44,9 +44,21 @@ def uint16_or_null(c: ColumnOrName, integral: bool = False) -> Column:
     return F.when(v.between(0, 65535), v)
 
 
+FRACTIONAL_TYPES = ("float", "double")
+
+
 def id_cast_for(df, column: str):
-    """``uint16_or_null`` specialised to the column's type in ``df``."""
-    return uint16_or_null(column, integral=dict(df.dtypes).get(column) in INTEGRAL_TYPES)
+    """``uint16_or_null`` specialised to the column's type in ``df``.
+
+    Integer columns only need the range check.  For floating-point columns
+    the text form of a whole number has no fraction (3.0 reads as 3), so a
+    whole value in range converts and anything fractional is NULL.
+    """
+    t = dict(df.dtypes).get(column)
+    if t in FRACTIONAL_TYPES:
+        x = F.col(column)
+        return F.when((x == F.floor(x)) & x.between(0, 65535), x.cast("int"))
+    return uint16_or_null(column, integral=t in INTEGRAL_TYPES)
 
 
 def smallint_strict(c: ColumnOrName) -> Column:

@@ -142,3 +142,15 @@ def test_minute_boundaries_property(spark, pairs):
         .select(X.minutes_boundary("a", "b")).collect()
     exp = [(a + d) // 60 - a // 60 for a, d in pairs]
     assert [r[0] for r in got] == exp
+
+
+
+def test_id_cast_for_float_ids(spark):
+    df = spark.createDataFrame([(3.0,), (3.5,), (-1.0,), (70000.0,), (None,)], "x double")
+    assert [r[0] for r in df.select(X.id_cast_for(df, "x")).collect()] == [3, None, None, None, None]
+
+
+def test_minute_boundaries_before_1970(spark):
+    rows = [(T(1969, 12, 31, 23, 59, 30), T(1970, 1, 1, 0, 0, 30)), (T(1960, 5, 5, 10, 0, 59), T(1960, 5, 5, 10, 1, 0))]
+    got = spark.createDataFrame(rows, "a timestamp_ntz, b timestamp_ntz").select(X.minutes_boundary("a", "b")).collect()
+    assert [r[0] for r in got] == [1, 1]
