@@ -21,10 +21,16 @@ class Medallion:
     """Lazily composed bronze / silver / gold DataFrames."""
 
     def __init__(self, spark: SparkSession, sf_dir: str | None = None,
-                 window=fixtures.FIXTURE_WINDOW, minute_mode: str = "boundary",
+                 window=None, minute_mode: str = "boundary",
                  bronze_trips: DataFrame | None = None, bronze_zones: DataFrame | None = None):
+        """``sf_dir`` reads the shared test tables through the fixture adapter;
+        otherwise pass ``bronze_trips`` / ``bronze_zones``.  The trip window
+        defaults to the fixture year for the test tables and to the
+        production window (2023) for real inputs."""
         self.spark = spark
         self.sf_dir = sf_dir
+        if window is None:
+            window = fixtures.FIXTURE_WINDOW if bronze_trips is None else silver.DEFAULT_WINDOW
         self.window = window
         self.minute_mode = minute_mode
         self._trips = bronze_trips
