@@ -117,6 +117,12 @@ def test_stream_ingest_picks_up_only_new_files(spark, scratch):
     s = spark.read.parquet(silver_p)
     from strata.operators import silver
     assert s.count() == silver.clean(b.drop("_batch"), fixtures.FIXTURE_WINDOW).count()
+    # a re-run with nothing new (e.g. after a failure) adds nothing: the
+    # checkpoint remembers which files were committed
+    before_b, before_s = b.count(), s.count()
+    ingest_new_files(spark, land, bronze_p, trips.schema, ck, silver_p, fixtures.FIXTURE_WINDOW)
+    assert spark.read.parquet(bronze_p).count() == before_b
+    assert spark.read.parquet(silver_p).count() == before_s
 
 
 def test_schema_drift_type_conflict_is_refused(spark, scratch):
@@ -144,3 +150,14 @@ def test_cli_pipeline_and_history_commands(spark, scratch, capsys):
     assert cli.cmd_history(spark, cli.parser().parse_args(["history", "--results", res])) == 0
     out = capsys.readouterr().out
     assert "consistent_cells" in out
+
+
+
+def test_write_path_and_parquet_view(spark, scratch):
+    zones = fixtures.bronze_zones(spark, SF_SMALL)
+    p = tables.write_path(zones, os.path.join(scratch, "zones_pq"), ["LocationID"], files=2)
+    v = landing.parquet_view(spark, p, "zones_pq_view")
+    assert spark.sql("select count(*) from zones_pq_view").first()[0] == zones.count() == v.count()
+    ranges = (spark.read.parquet(p).groupBy(F.col("_metadata.file_name"))
+              .agg(F.min("LocationID").alias("lo"), F.max("LocationID").alias("hi")).orderBy("lo").collect())
+    assert len(ranges) == 2 and ranges[0].hi < ranges[1].lo
