@@ -161,3 +161,12 @@ def test_write_path_and_parquet_view(spark, scratch):
     ranges = (spark.read.parquet(p).groupBy(F.col("_metadata.file_name"))
               .agg(F.min("LocationID").alias("lo"), F.max("LocationID").alias("hi")).orderBy("lo").collect())
     assert len(ranges) == 2 and ranges[0].hi < ranges[1].lo
+
+
+
+def test_schema_drift_missing_column_is_refused(spark, scratch):
+    trips, paths = _landing(spark, scratch, ("1998-01",))
+    short = os.path.join(scratch, "landing", "short.parquet")
+    trips.limit(5).drop("tips").write.parquet(short)
+    with pytest.raises(landing.SchemaDriftError, match="lacking"):
+        landing.read_trip_files(spark, [paths[0], short])
