@@ -84,6 +84,7 @@ REGISTRY: dict[str, Query] = {
     "ingest_audit": lambda spark, d: tables.ingest_audit(
         _m(spark, d).bronze_trips.withColumn("_batch", F.date_format("pickup_datetime", "yyyy-MM"))),
     "table_footprint": lambda spark, d: _footprint(spark, d),
+    "table_rows": lambda spark, d: _footprint(spark, d).select("layer", "table", "rows"),
     # metric rollups
     "metric_select": lambda spark, d: MET.select_series(
         _samples(spark, d), "click", [("instance", "=~", "[0-3]"), ("instance", "!=", "1"),

@@ -548,3 +548,14 @@ _ENRICHED_SMALLINT = ENRICHED.replace(
 SQL["gold_daily_revenue_mirror"] = with_(BRONZE_TRIPS, CLEAN_MIRROR, DAILY_APPROX) + "SELECT * FROM daily_revenue"
 SQL["gold_borough_pairs_mirror"] = with_(BRONZE_TRIPS, ZONES, CLEAN_MIRROR, _ENRICHED_SMALLINT, PAIRS) + \
     "SELECT * FROM borough_pairs"
+
+# row counts of every table the pipeline materializes
+_TABLE_COUNTS = [
+    ("bronze", "fhvhv_trips", "bronze_trips"), ("bronze", "taxi_zones", "zones"),
+    ("silver", "fhvhv_trips_clean", "clean"), ("gold", "borough_pairs", "borough_pairs"),
+    ("gold", "daily_revenue", "daily_revenue"), ("gold", "driver_economics", "driver_economics"),
+    ("gold", "hourly_demand", "hourly_demand"), ("gold", "shared_vs_solo", "shared_vs_solo"),
+]
+SQL["table_rows"] = with_(BRONZE_TRIPS, ZONES, CLEAN, ENRICHED, DAILY, HOURLY, PAIRS, DRIVER, SHARED) + \
+    "\nUNION ALL ".join(f"SELECT '{l}' AS layer, '{t}' AS \"table\", count(*) AS rows FROM {cte}"
+                        for l, t, cte in _TABLE_COUNTS)
