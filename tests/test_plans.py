@@ -18,7 +18,11 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n != "table_footprint"))
+# these two read Parquet footers on the executors through mapInPandas, by design
+FOOTER_READERS = {"table_footprint", "table_rows"}
+
+
+@pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in FOOTER_READERS))
 def test_no_python_in_registered_queries(spark, name):
     p = plan(QUERIES[name](spark, SF_SMALL))
     for node in ("BatchEvalPython", "ArrowEvalPython", "MapInPandas", "FlatMapGroupsInPandas"):
