@@ -127,3 +127,21 @@ def compact_all(spark: SparkSession, files: int = 1) -> DataFrame:
     gold tables), each range-sorted by its own key; a table that fails is
     reported and skipped, the rest still run."""
     return tables.compact(spark, {t: gold.SORT_KEYS.get(t.split(".", 1)[1]) for t in COMPACTED}, files)
+
+
+# fixed values: every table a build materializes, by layer
+MATERIALIZED = (("bronze", "fhvhv_trips"), ("bronze", "taxi_zones"), ("silver", "fhvhv_trips_clean"),
+                *[("gold", g) for g in gold.GOLD_MODELS])
+
+
+def attach(spark: SparkSession, root: str) -> list[str]:
+    """Register the tables of a lake folder written by ``build(root=...)`` in
+    this session's catalog (e.g. a new process without a shared metastore).
+    Existing registrations are left alone; nothing is copied."""
+    names = []
+    for layer, table in MATERIALIZED:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{table} USING parquet "
+                  f"LOCATION '{root.rstrip('/')}/{layer}/{table}'")
+        names.append(f"{layer}.{table}")
+    return names

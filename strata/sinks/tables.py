@@ -22,11 +22,23 @@ def create_layers(spark: SparkSession, root: str | None = None,
     session's warehouse directory.
     """
     for n in names:
-        loc = f" LOCATION '{os.path.join(root, n)}'" if root else ""
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}{loc}")
+        loc = os.path.join(root, n) if root else None
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {n}" + (f" LOCATION '{loc}'" if loc else ""))
+        if loc and _db_location(spark, n) != _db_location_of_path(loc):
+            # the namespace exists from an earlier run elsewhere: tables written
+            # from now on go to the requested root
+            spark.sql(f"ALTER DATABASE {n} SET LOCATION '{loc}'")
     return list(names)
 
 
+def _db_location(spark: SparkSession, name: str) -> str:
+    return spark.catalog.getDatabase(name).locationUri.rstrip("/")
+
+
+def _db_location_of_path(path: str) -> str:
+    return (path if "://" in path else "file:" + os.path.abspath(path)).rstrip("/")
+
+
 def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None,
            how: str = "range") -> DataFrame:
     """Cluster rows by the table's key so that Parquet row-group min/max

@@ -170,3 +170,19 @@ def test_schema_drift_missing_column_is_refused(spark, scratch):
     trips.limit(5).drop("tips").write.parquet(short)
     with pytest.raises(landing.SchemaDriftError, match="lacking"):
         landing.read_trip_files(spark, [paths[0], short])
+
+
+
+def test_footprint_of_a_lake_from_a_fresh_process(spark, scratch):
+    """A new process (own catalog) attaches the lake folder and measures it."""
+    import subprocess
+    import sys
+    from strata.plans import pipeline
+    from strata.plans.layers import Medallion
+    root = os.path.join(scratch, "lake")
+    pipeline.build(Medallion(spark, SF_SMALL), root=root, run_tests=False)
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-m", "strata", "footprint", "--root", root], cwd=repo,
+                         capture_output=True, text=True, timeout=600)
+    assert out.returncode == 0, out.stderr[-2000:]
+    assert "fhvhv_trips_clean" in out.stdout and "shared_vs_solo" in out.stdout
