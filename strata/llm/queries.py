@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from strata.llm import chat
+from strata.llm import chat, decontaminate
 
 REGISTRY = {
+    "op6_suffix_automaton": decontaminate.op6_suffix_automaton,
     "op8_prefix_target": chat.op8_prefix_target,
 }
 SQL = {
+    "op6_suffix_automaton": decontaminate.OP6_SQL,
     "op8_prefix_target": chat.OP8_SQL,
 }

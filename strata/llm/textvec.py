@@ -11,6 +11,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 MAX_BATCH_BYTES = 2 << 20
 
@@ -52,7 +53,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = MAX_BATCH_BYTES)
     if batch.num_rows == 0:
         return
     sizes = np.array([0 if v is None else v for v in
-                      pa.compute.binary_length(batch.column(column)).to_pylist()], dtype=np.int64)
+                      pc.binary_length(batch.column(column)).to_pylist()], dtype=np.int64)
     start, total = 0, 0
     for i, size in enumerate(sizes):
         if total and total + size > max_bytes:
