@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from strata.llm import chat, decontaminate
+from strata.llm import chat, decontaminate, warc
 
 REGISTRY = {
+    "op5_chunked_records": warc.op5_chunked_records,
     "op6_suffix_automaton": decontaminate.op6_suffix_automaton,
     "op8_prefix_target": chat.op8_prefix_target,
 }
 SQL = {
+    "op5_chunked_records": warc.OP5_SQL,
     "op6_suffix_automaton": decontaminate.OP6_SQL,
     "op8_prefix_target": chat.OP8_SQL,
 }
