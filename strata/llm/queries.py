@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import chat, decontaminate, quality_rules, subword_quality, warc
+from strata.llm import chat, decontaminate, ordinal_toxicity, quality_rules, subword_quality, warc
 
 REGISTRY = {
+    "op10_cumulative_link": ordinal_toxicity.op10_cumulative_link,
     "op7_subword_embeddings": subword_quality.op7_subword_embeddings,
     "op1_js_divergence": quality_rules.op1_js_divergence,
     "op5_chunked_records": warc.op5_chunked_records,

@@ -16,15 +16,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.sampling import labelled_sample, remainder
 from strata.llm.textvec import SPACE_BYTES, Texts, mix64, slices, utf8
 
 #: sample bound of training, in documents per label
 MAX_TRAIN_DOCS = 1500
-#: labels that a model tells apart at most
-MAX_LABELS = 16
 #: features of a training document used in one step at most (drawn anew in each epoch); scoring uses all
 STEP_FEATURES = 400
 BUCKETS = 1 << 16
@@ -119,25 +118,13 @@ def train(texts: list[bytes], labels: np.ndarray, classes: tuple[int, ...], seed
 
 def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", fold: int = 3, held: int = 1,
         max_docs: int = MAX_TRAIN_DOCS) -> Model | None:
-    """Train on a bounded sample of the labelled rows outside the held-out fold (crc32 of doc_id modulo ``fold``).
-
-    The sample takes ``max_docs`` rows of each label with the lowest text hashes, so it doesn't depend on the layout
-    of the data.  Rows with a null text or label don't take part.  None if fewer than two labels occur, or more than
-    ``MAX_LABELS``.
+    """Train on a bounded sample of the labelled rows outside the held-out fold (``sampling.labelled_sample``); None
+    without at least two labels and one text.
     """
-    marked = (labels.select(F.col("doc_id").alias("l_doc"), F.col(label).cast("int").alias("label"))
-              .where(F.col("label").isNotNull() & (_remainder(F.col("l_doc"), fold) != held)).distinct())
-    classes = tuple(sorted(r["label"] for r in marked.select("label").distinct().limit(MAX_LABELS + 1).collect()))
-    if not 2 <= len(classes) <= MAX_LABELS:
+    found = labelled_sample(documents, labels, label, fold, held, max_docs)
+    if found is None:
         return None
-    texts = documents.select("doc_id", "text").where(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
-    rows = (texts.select("doc_id", "h").join(marked, F.col("doc_id") == F.col("l_doc"))
-            .groupBy("label", "h").agg(F.min("doc_id").alias("s_doc")))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    chosen = (rows.withColumn("rank", rank).where(F.col("rank") <= max_docs)
-              .select("label", "s_doc", F.col("h").alias("s_hash")))
-    # max_docs rows of three numbers for each label: small enough for every task
-    sample = texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("s_doc")) & (F.col("h") == F.col("s_hash")))
+    classes, sample = found
 
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         texts, answers = [], []
@@ -150,7 +137,7 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", fold: i
             yield pa.RecordBatch.from_arrays([pa.array([model.folded().tobytes()]), pa.array([model.bias.tobytes()])],
                                              names=["folded", "bias"])
 
-    row = sample.select("label", "text").repartition(1).mapInArrow(learn, "folded binary, bias binary").first()
+    row = sample.repartition(1).mapInArrow(learn, "folded binary, bias binary").first()
     if row is None:
         return None
     folded = np.frombuffer(row["folded"], dtype=np.float32).reshape(BUCKETS, len(classes))
@@ -158,10 +145,6 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", fold: i
     return Model(folded, np.eye(len(classes), dtype=np.float32), np.frombuffer(row["bias"], dtype=np.float32), classes)
 
 
-def _remainder(doc_id, fold: int):
-    return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(fold)
-
-
 def score(documents: DataFrame, model: Model | None, positive: int = 1, fold: int = 3, held: int = 1) -> DataFrame:
     """Score of every whole text: (doc_id, held_out, score, predicted).
 
@@ -185,7 +168,7 @@ def score(documents: DataFrame, model: Model | None, positive: int = 1, fold: in
 
     kind = documents.schema["doc_id"].dataType.simpleString()
     return (documents.select("doc_id", "text").mapInArrow(apply, f"doc_id {kind}, score double")
-            .select("doc_id", F.coalesce(_remainder(F.col("doc_id"), fold) == held, F.lit(False)).alias("held_out"),
+            .select("doc_id", F.coalesce(remainder(F.col("doc_id"), fold) == held, F.lit(False)).alias("held_out"),
                     "score", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int").alias("predicted")))
 
 
