@@ -6,9 +6,9 @@ Features are hashed words (folded to lower case, punctuation cut off) and word b
 log2(1 + count); only those that occur much more often in toxic texts are used, so a
 long clean text gains nothing from its length.
 
-The labels only say toxic or not.  Toxic training documents are graded by the density of marker words - words whose
+The labels only say toxic or not.  Toxic training documents are graded by the amount of marker words - words whose
 document frequency among toxic training documents is much higher than among the others: grades 1, 2 and 3 are the
-thirds of that density.
+thirds of that amount, summed as the features are.
 
 Scale: the training sample is bounded by ``MAX_TRAIN_DOCS`` a label; scoring is a map-only pass over whole texts.
 """
@@ -80,14 +80,14 @@ class Model:
 
 def grade(texts: list[bytes], toxic: np.ndarray) -> np.ndarray:
     """Ordered grades of training texts from the binary label (see the module text)."""
-    text, bucket, counts, n_words = word_counts(texts)
+    text, bucket, counts, _ = word_counts(texts)
     total = toxic.sum(), len(toxic) - toxic.sum()
     seen = [np.bincount(bucket[toxic[text] == k], minlength=BUCKETS) for k in (1, 0)]
     odds = ((seen[0] + 0.5) / (total[0] + 1)) / ((seen[1] + 0.5) / (total[1] + 1))
     marker = (odds >= MARKER_ODDS) & (seen[0] >= MIN_DOCS)
-    density = np.bincount(text, weights=counts * marker[bucket], minlength=len(texts)) / np.maximum(n_words, 1)
-    cuts = np.quantile(density[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1)) if total[0] else []
-    return np.where(toxic == 1, 1 + np.searchsorted(cuts, density, side="right"), 0).clip(0, GRADES - 1)
+    amount = np.bincount(text, weights=np.log2(1 + counts) * marker[bucket], minlength=len(texts))
+    cuts = np.quantile(amount[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1)) if total[0] else []
+    return np.where(toxic == 1, 1 + np.searchsorted(cuts, amount, side="right"), 0).clip(0, GRADES - 1)
 
 
 def _associated(bucket: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) -> np.ndarray:
@@ -129,6 +129,7 @@ def train(texts: list[bytes], grades: np.ndarray, grade_count: int = GRADES) ->
         for value, step, total in ((w, d_w, sums[0]), (params, d_params, sums[1])):
             total += step * step
             value -= RATE * step / np.sqrt(total)
+        np.maximum(w, 0, out=w)  # the features are signs of toxicity, never of its absence
     weights = np.zeros(BUCKETS)
     weights[names] = w
     return Model(weights, params[0] + np.concatenate(([0], np.cumsum(np.exp(params[1:])))))
