@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import chat, compress_lang, decontaminate, ordinal_toxicity, quality_rules, subword_quality, warc
+from strata.llm import chat, compress_lang, decontaminate, ordinal_toxicity, quality_rules, sentencepiece_trie, subword_quality, warc
 
 REGISTRY = {
+    "op2_shared_prefix_viterbi": sentencepiece_trie.op2_shared_prefix_viterbi,
     "op4_zstd_dictionaries": compress_lang.op4_zstd_dictionaries,
     "op10_cumulative_link": ordinal_toxicity.op10_cumulative_link,
     "op7_subword_embeddings": subword_quality.op7_subword_embeddings,
