@@ -18,10 +18,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.sampling import remainder
+from strata.llm.sampling import lowest_hashes, remainder
 from strata.llm.textvec import utf8
 
 #: sample bounds: languages (the most frequent ones), texts of each, bytes of a dictionary
@@ -43,20 +43,16 @@ def learn_dictionaries(documents: DataFrame, fold: int = 4, held: int = 2, max_l
                        sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
     """Dictionary content of each language, from rows (doc_id, text, lang) outside the held-out fold.
 
-    The sample of a language is its ``sample_docs`` different texts with the lowest text hashes; a dictionary takes an
+    The sample of a language is about ``sample_docs`` different texts, those with the lowest text hashes; a dictionary takes an
     equal share of bytes from each, up to ``dict_bytes``.  Null texts and languages don't take part.
     """
     held_out = F.coalesce(remainder(F.col("doc_id"), fold) == held, F.lit(False))
     rows = (documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
             .where((F.length("text") > 0) & F.col("lang").isNotNull() & ~held_out))
     keyed = rows.select("lang", F.xxhash64("text").alias("h"))
-    top = keyed.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(max_languages).select(
-        F.col("lang").alias("t_lang"))
-    rank = F.row_number().over(Window.partitionBy("lang").orderBy("h"))
-    chosen = (keyed.distinct().join(F.broadcast(top), F.col("lang") == F.col("t_lang"))
-              .withColumn("rank", rank).where(F.col("rank") <= sample_docs)
-              .select(F.col("lang").alias("s_lang"), F.col("h").alias("s_hash")))
-    # at most max_languages * sample_docs keys
+    chosen = lowest_hashes(keyed.distinct(), "lang", sample_docs, max_languages).select(
+        F.col("lang").alias("s_lang"), F.col("h").alias("s_hash"))
+    # about max_languages * sample_docs keys
     sample = (rows.withColumn("h", F.xxhash64("text"))
               .join(F.broadcast(chosen), (F.col("lang") == F.col("s_lang")) & (F.col("h") == F.col("s_hash")))
               .select("lang", "h", "text"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 #: labels that a model tells apart at most
@@ -14,11 +14,23 @@ def remainder(doc_id: Column, fold: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % F.lit(fold)
 
 
+def lowest_hashes(keys: DataFrame, group: str, n: int, max_groups: int) -> DataFrame:
+    """About ``n`` rows of each group (all of a smaller one): those whose hash ``h`` lies in the lowest n-th part.
+
+    ``keys`` has distinct (group, h) rows and ``h`` is a 64-bit hash, so a group's share follows from its row count and
+    no group is ever sorted or gathered.  Only the ``max_groups`` largest groups take part; their counts are broadcast.
+    """
+    counts = (keys.groupBy(group).agg(F.count("*").alias("n_rows"))
+              .orderBy(F.desc("n_rows"), group).limit(max_groups).withColumnRenamed(group, "g_name"))
+    return (keys.join(F.broadcast(counts), F.col(group) == F.col("g_name"))
+            .where(F.col("h") / F.lit(2.0 ** 64) + 0.5 < F.lit(float(n)) / F.col("n_rows")).select(*keys.columns))
+
+
 def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fold: int, held: int,
                     max_docs: int) -> tuple[tuple[int, ...], DataFrame] | None:
     """Classes and a sample (label, text) of the labelled rows outside the held-out fold.
 
-    The sample takes ``max_docs`` different texts of each label, those with the lowest hashes, so it depends neither
+    The sample takes about ``max_docs`` different texts of each label, those with the lowest hashes, so it depends neither
     on the layout of the data nor on its size.  Rows with a null or empty text or a null label don't take part.  None
     if fewer than two labels occur, or more than ``MAX_LABELS``.
     """
@@ -30,9 +42,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fold: i
     texts = documents.select("doc_id", "text").where(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
     rows = (texts.select("doc_id", "h").join(marked, F.col("doc_id") == F.col("l_doc"))
             .groupBy("label", "h").agg(F.min("doc_id").alias("s_doc")))
-    rank = F.row_number().over(Window.partitionBy("label").orderBy("h"))
-    chosen = (rows.withColumn("rank", rank).where(F.col("rank") <= max_docs)
-              .select("label", F.col("s_doc"), F.col("h").alias("s_hash")))
-    # max_docs rows of three numbers for each of MAX_LABELS labels: small enough for every task
+    # about max_docs rows of three numbers for each of MAX_LABELS labels: small enough for every task
+    chosen = lowest_hashes(rows, "label", max_docs, MAX_LABELS).select("label", "s_doc", F.col("h").alias("s_hash"))
     sample = texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("s_doc")) & (F.col("h") == F.col("s_hash")))
     return classes, sample.select("label", "text")
