@@ -18,7 +18,7 @@ Nothing is collected to the driver; tables between the steps are written to the
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -164,11 +164,17 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= F.lit(threshold) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
-def _rest(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def sorted_set(value: pa.Scalar) -> np.ndarray:
+    return np.sort(value.values.to_numpy(zero_copy_only=False))
+
+
+def link_rest(buckets: DataFrame, payload: DataFrame, threshold: float,
+              to_set: Callable[[pa.Scalar], np.ndarray] = sorted_set) -> DataFrame:
     """Links across the components of a bucket: (component a, component b) pairs that join them.
 
     ``buckets`` has (key, class_id, component, main): ``main`` is the component of the bucket's hub.  Each member outside
-    it meets all members, in units of ``UNIT_MINORS`` x ``UNIT_MEMBERS``.
+    it meets all members, in units of ``UNIT_MINORS`` x ``UNIT_MEMBERS``.  ``payload`` is a table (class_id, payload),
+    and ``to_set`` makes a sorted shingle set of a payload.
     """
     minor = F.col("component") != F.col("main")
     counts = buckets.groupBy("key").agg(F.sum(minor.cast("long")).alias("n_minors"), F.count("*").alias("n"))
@@ -185,26 +191,25 @@ def _rest(buckets: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     as_member = sized.select(
         "key", F.explode(F.sequence(F.lit(0), F.col("minor_blocks") - 1)).alias("x"),
         F.pmod(spot, "member_blocks").cast("int").alias("y"), "class_id", "component", F.lit(1).alias("side"))
-    units = as_minor.unionByName(as_member).join(sets, "class_id")
+    units = as_minor.unionByName(as_member).join(payload, "class_id")
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, minors, members = None, [], []
         for batch in batches:
             out: set[tuple[int, int]] = set()
-            sets_column = batch.column("set")
+            values = batch.column("payload")
             rows = zip(*(batch.column(c).to_pylist() for c in ("key", "x", "y", "side", "component")), strict=True)
             for i, (key, x, y, side, component) in enumerate(rows):
                 if (key, x, y) != current:
                     out |= link_unit(minors, members, threshold)
                     current, minors, members = (key, x, y), [], []
-                own = np.sort(sets_column[i].values.to_numpy(zero_copy_only=False))
-                (members if side else minors).append((component, own))
+                (members if side else minors).append((component, to_set(values[i])))
             if out:
                 yield _pairs(out)
         if out := link_unit(minors, members, threshold):
             yield _pairs(out)
 
-    return (units.select("key", "x", "y", "side", "component", "set").repartition("key", "x", "y")
+    return (units.select("key", "x", "y", "side", "component", "payload").repartition("key", "x", "y")
             .sortWithinPartitions("key", "x", "y", "side").mapInArrow(link, "a long, b long"))
 
 
@@ -235,6 +240,31 @@ def link_unit(minors: list[tuple[int, np.ndarray]], members: list[tuple[int, np.
     return found
 
 
+def join_components(members: DataFrame, links: DataFrame, payload: DataFrame, threshold: float,
+                    to_set: Callable[[pa.Scalar], np.ndarray] = sorted_set) -> DataFrame:
+    """Components (node, component) of all links inside the buckets ``members`` (key, class_id, hub).
+
+    ``links`` (a, b) are the verified pairs of members and hubs; buckets that these leave in several components go
+    through ``link_rest``.
+    """
+    labels = connected_components(links)
+    own = labels.select(F.col("node").alias("l_node"), F.col("component").alias("l_component"))
+    placed = members.join(own, F.col("class_id") == F.col("l_node"), "left").select(
+        "key", "class_id", "hub", F.coalesce("l_component", "class_id").alias("component"))
+    main = placed.where(F.col("class_id") == F.col("hub")).select(
+        F.col("key").alias("m_key"), F.col("component").alias("main"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
+                                      F.count("*").alias("n")).where("lo < hi AND n > 2")
+    open_buckets = (placed.join(mixed.select(F.col("key").alias("x_key")), F.col("key") == F.col("x_key"), "left_semi")
+                    .join(main, F.col("key") == F.col("m_key")).select("key", "class_id", "component", "main"))
+    merged = connected_components(link_rest(open_buckets, payload, threshold, to_set))
+    joined = merged.select(F.col("node").alias("j_node"), F.col("component").alias("j_component"))
+    return labels.join(joined, F.col("component") == F.col("j_node"), "left").select(
+        "node", F.coalesce("j_component", "component").alias("component")).unionByName(
+        joined.join(labels.select("node"), F.col("j_node") == F.col("node"), "left_anti").select(
+            F.col("j_node").alias("node"), F.col("j_component").alias("component")))
+
+
 def near_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """Near-duplicate group of each document: (row_id, doc_id, text_hash, class_id, n_shingles, component, n_links).
 
@@ -266,23 +296,7 @@ def near_groups(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame
     pairs = members.where(F.col("class_id") != F.col("hub")).select(
         F.col("class_id").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(similar(pairs, sets, threshold), "links")
-    labels = connected_components(links)
-    # buckets that still hold several components
-    own = labels.select(F.col("node").alias("l_node"), F.col("component").alias("l_component"))
-    placed = members.join(own, F.col("class_id") == F.col("l_node"), "left").select(
-        "key", "class_id", "hub", F.coalesce("l_component", "class_id").alias("component"))
-    main = placed.where(F.col("class_id") == F.col("hub")).select(
-        F.col("key").alias("m_key"), F.col("component").alias("main"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where(
-        "lo < hi").select(F.col("key").alias("x_key"))
-    open_buckets = (placed.join(mixed, F.col("key") == F.col("x_key"), "left_semi")
-                    .join(main, F.col("key") == F.col("m_key")).select("key", "class_id", "component", "main"))
-    merged = connected_components(_rest(open_buckets, sets, threshold))
-    joined = merged.select(F.col("node").alias("j_node"), F.col("component").alias("j_component"))
-    final = labels.join(joined, F.col("component") == F.col("j_node"), "left").select(
-        "node", F.coalesce("j_component", "component").alias("component")).unionByName(
-        joined.join(labels.select(F.col("node")), F.col("j_node") == F.col("node"), "left_anti").select(
-            F.col("j_node").alias("node"), F.col("j_component").alias("component")))
+    final = join_components(members, links, sets.withColumnRenamed("set", "payload"), threshold)
     linked = links.select(F.explode(F.array("a", "b")).alias("n_node")).groupBy("n_node").agg(
         F.count("*").alias("n_links"))
     by_class = (first.join(final, F.col("class_id") == F.col("node"), "left")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from strata.llm import chat, compress_lang, decontaminate, near_dup, ordinal_toxicity, quality_rules, sentencepiece_trie, subword_quality, warc
+from strata.llm import chat, compress_lang, decontaminate, line_dedup, near_dup, ordinal_toxicity, quality_rules, sentencepiece_trie, subword_quality, warc
 
 REGISTRY = {
+    "op9_line_minhash": line_dedup.op9_line_minhash,
     "op3_probminhash": near_dup.op3_probminhash,
     "op2_shared_prefix_viterbi": sentencepiece_trie.op2_shared_prefix_viterbi,
     "op4_zstd_dictionaries": compress_lang.op4_zstd_dictionaries,
