@@ -246,21 +246,22 @@ def remove_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataFram
 
     Where a text changes, ``n_chars`` (if it is there) follows it; a document of which no text is left goes.
     """
-    names = documents.columns
     found = materialize(duplicate_lines(documents, threshold).where(F.size("removed") > 0), "removed")
-    gone = found.groupBy("doc_id", "text_hash").agg(F.first("removed").alias("_removed")).withColumnsRenamed(
-        {"doc_id": "_g_doc", "text_hash": "_g_hash"})
-    rows = documents.withColumn("_text_hash", F.xxhash64("text"))
-    joined = rows.join(gone, F.col("doc_id").eqNullSafe(F.col("_g_doc")) & (F.col("_text_hash") == F.col("_g_hash")),
-                       "left")
-    rest = F.array_join(F.filter(F.split("text", "\n", -1), lambda s, i: ~F.array_contains("_removed", i)), "\n")
-    changed = F.col("_removed").isNotNull()
-    joined = joined.withColumn("_rest", F.when(changed, rest)).where(~changed | F.col("_rest").rlike(r"\S"))
-    put = {"text": F.when(changed, F.col("_rest")).otherwise(F.col("text"))}
-    if "n_chars" in names:
-        put["n_chars"] = F.when(changed, F.char_length("_rest").cast(documents.schema["n_chars"].dataType)).otherwise(
-            F.col("n_chars"))
-    return joined.select(*(put[n].alias(n) if n in put else F.col(n) for n in names))
+    gone = found.groupBy("doc_id", "text_hash").agg(F.first("removed").alias("removed")).withColumnsRenamed(
+        {"doc_id": "g_doc", "text_hash": "g_hash"})
+    # the row travels as one column, so its own names can't meet the ones used here
+    packed = documents.select(F.struct(*(F.col(f"`{n}`") for n in documents.columns)).alias("row"),
+                              F.col("doc_id").alias("p_doc"), F.xxhash64("text").alias("p_hash"))
+    text, changed = F.col("row")["text"], F.col("removed").isNotNull()
+    rest = F.array_join(F.filter(F.split(text, "\n", -1), lambda s, i: ~F.array_contains("removed", i)), "\n")
+    joined = (packed.join(gone, F.col("p_doc").eqNullSafe(F.col("g_doc")) & (F.col("p_hash") == F.col("g_hash")), "left")
+              .withColumn("rest", F.when(changed, rest)).where(~changed | F.col("rest").rlike(r"\S")))
+    put = {n: F.col("row")[n] for n in documents.columns}
+    put["text"] = F.when(changed, F.col("rest")).otherwise(text)
+    if "n_chars" in put:
+        put["n_chars"] = F.when(changed, F.char_length("rest").cast(documents.schema["n_chars"].dataType)).otherwise(
+            put["n_chars"])
+    return joined.select(*(c.alias(n) for n, c in put.items()))
 
 
 def op9_line_minhash(spark, sf_dir: str) -> DataFrame:

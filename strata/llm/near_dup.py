@@ -316,18 +316,18 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     A null doc_id counts as larger than all others; of several rows with the smallest one stays.
     """
     groups = materialize(mark_kept(near_groups(documents, threshold)), "groups")
-    kept = groups.where("kept").groupBy("doc_id", "text_hash").agg(F.count("*").alias("k_rows")).withColumnsRenamed(
-        {"doc_id": "k_doc", "text_hash": "k_hash"})
-    names = documents.columns
-    rows = documents.withColumn("_text_hash", F.xxhash64("text"))
-    found = rows.join(kept.select("k_doc", "k_hash"), F.col("doc_id").eqNullSafe(F.col("k_doc"))
-                      & (F.col("_text_hash") == F.col("k_hash")), "left_semi")
-    # rows that are equal in doc_id and text: as many stay as are kept (one, or all where the text has no words)
+    kept = groups.where("kept").select(F.col("doc_id").alias("k_doc"), F.col("text_hash").alias("k_hash")).distinct()
+    # the row travels as one column, so its own names can't meet the ones used here
+    packed = documents.select(F.struct(*(F.col(f"`{n}`") for n in documents.columns)).alias("row"),
+                              F.col("doc_id").alias("p_doc"), F.xxhash64("text").alias("p_hash"))
+    found = packed.join(kept, F.col("p_doc").eqNullSafe(F.col("k_doc")) & (F.col("p_hash") == F.col("k_hash")),
+                        "left_semi")
+    # rows that are equal in doc_id and text: one stays, or all where the text has no words
     again = groups.where(F.col("n_shingles") > 0).groupBy("doc_id", "text_hash").count().where("count > 1")
     if not again.isEmpty():
-        blank = F.length(F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x09-\x0D]", " "))) == 0
-        found = found.where(blank).unionByName(found.where(~blank).dropDuplicates(["doc_id", "_text_hash"]))
-    return found.select(*names)
+        worded = F.coalesce(F.col("row")["text"].rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+        found = found.where(~worded).unionByName(found.where(worded).dropDuplicates(["p_doc", "p_hash"]))
+    return found.select("row.*")
 
 
 def mark_kept(groups: DataFrame) -> DataFrame:
