@@ -26,15 +26,17 @@ from pyspark.sql import functions as F
 from strata.llm.textvec import SPACE_BYTES, Texts, mix64, slices, utf8, windows
 
 #: share of a language's words from which a word is common
-MIN_SHARE = 0.004
+MIN_SHARE = 0.002
 #: hash cells of each of the two tables of the first pass
 CELLS = 2048
 #: languages that give references: the most frequent ones, each with so many documents at least
 MAX_LANGUAGES, MIN_REFERENCE_DOCS = 200, 5
 #: guards: a histogram of fewer characters or words than this is not judged
-MIN_CHARS, MIN_WORDS = 200, 40
-#: verdict limits of the two distances
-MAX_CLASS_DISTANCE, MAX_WORD_DISTANCE = 0.29, 0.42
+MIN_CHARS, MIN_WORDS = 200, 60
+#: verdict limits of the two distances; a sample of n words strays from its source by about 1 / sqrt(n), which the limit
+#: of the word distance allows for: limit = base + slack / sqrt(n)
+MAX_CLASS_DISTANCE = 0.29
+WORD_DISTANCE_BASE, WORD_DISTANCE_SLACK = 0.20, 1.55
 REPEAT_WIDTH = 8
 
 # ---- fixed values: character classes by (first) byte ----
@@ -218,7 +220,7 @@ def _word_distance(hashes: np.ndarray, text: np.ndarray, n_words: np.ndarray, re
 
 
 def judge(documents: DataFrame, references: list[Reference], max_class: float = MAX_CLASS_DISTANCE,
-          max_words: float = MAX_WORD_DISTANCE) -> DataFrame:
+          word_base: float = WORD_DISTANCE_BASE, word_slack: float = WORD_DISTANCE_SLACK) -> DataFrame:
     """Counts and verdict of each document (doc_id, text).
 
     Columns: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, class_distance,
@@ -244,7 +246,8 @@ def judge(documents: DataFrame, references: list[Reference], max_class: float =
                     by_class = by_word = np.zeros(texts.n)
                 no_class = (histogram.sum(axis=1) < MIN_CHARS) | (not refs)
                 no_word = (n_words < MIN_WORDS) | (not refs)
-                kept = ~failed & (no_class | (by_class <= max_class)) & (no_word | (by_word <= max_words))
+                limit = word_base + word_slack / np.sqrt(np.maximum(n_words, 1))
+                kept = ~failed & (no_class | (by_class <= max_class)) & (no_word | (by_word <= limit))
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id"), *(pa.array(c.astype(np.int64)) for c in base.values()), pa.array(failed),
                      pa.array(by_class, mask=no_class), pa.array(by_word, mask=no_word), pa.array(kept)],
