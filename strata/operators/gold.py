@@ -26,8 +26,9 @@ def _r2(c):
 def daily_revenue(clean: DataFrame, percentiles: str = "exact") -> DataFrame:
     """trip_date -> volume, revenue parts, averages and fare percentiles.
 
-    ``percentiles``: ``exact`` (interpolated, distributed histogram) or
-    ``approx`` (``percentile_approx`` sketch, an actual element).
+    ``percentiles``: ``exact`` (interpolated, distributed histogram),
+    ``approx`` (``percentile_approx`` sketch, an actual element) or ``none``
+    (for readers of the other columns).
     """
     t = clean.select(X.trip_date("pickup_at").alias("trip_date"), "total_amount", "driver_pay",
                      "tips", "congestion_surcharge", "trip_miles", "trip_minutes", "waiting_minutes")
@@ -45,8 +46,10 @@ def daily_revenue(clean: DataFrame, percentiles: str = "exact") -> DataFrame:
         q = approx_quantiles("total_amount", FARE_PERCENTILES)
         return t.groupBy("trip_date").agg(*measures, *[_r2(c).alias(n) for c, n in
                                                       zip(q, FARE_PERCENTILES)])
+    if percentiles == "none":
+        return t.groupBy("trip_date").agg(*measures)
     if percentiles != "exact":
-        raise ValueError("percentiles must be 'exact' or 'approx'")
+        raise ValueError("percentiles must be 'exact', 'approx' or 'none'")
     base = t.groupBy("trip_date").agg(*measures)
     qs = exact_quantiles(t, ["trip_date"], "total_amount", FARE_PERCENTILES)
     qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])

@@ -9,13 +9,11 @@ window over an already aggregated (small) table.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.joins import join_on_keys, latest_per_key
+from strata.operators.joins import join_on_keys, latest_per_key, order_number
 from strata.operators.quantiles import exact_quantiles
 
 ENGINE_METRICS = ("query_duration_ms", "read_rows", "read_bytes", "memory_usage")
@@ -29,18 +27,14 @@ CELL = ("question_id", "layer")
 def enrich_with_engine_log(client: DataFrame, log: DataFrame, finished: str = "QueryFinish") -> DataFrame:
     """Attach engine counters to client measurements by tag.
 
-    Only finished log entries of the measured tags count (``left_semi``
-    against the tags, not a literal IN list); when a tag was logged more
-    than once the latest entry wins.  A measurement without a log entry keeps
+    Only finished log entries of the measured tags count; when a tag was
+    logged more than once the latest entry wins.  A measurement without a log entry keeps
     0 for the engine counters and its own client-side ``result_rows``.
     """
-    tags = client.select(F.col("tag").alias("log_comment"))
-    finished_log = (log.filter(F.col("type") == finished)
-                    .join(tags, "log_comment", "left_semi"))
-    # latest entry wins; the counters break exact time ties deterministically
-    latest = latest_per_key(finished_log, ["log_comment"],
-                            ["event_time", *ENGINE_METRICS, "result_rows"],
-                            [*ENGINE_METRICS, "result_rows"])
+    # the left join below keeps the measured tags only; entries of other tags
+    # fall away there, after one map-side combined row per tag
+    finished_log = log.filter(F.col("type") == finished)
+    latest = latest_per_key(finished_log, ["log_comment"], "event_time", [*ENGINE_METRICS, "result_rows"])
     latest = latest.withColumnRenamed("result_rows", "engine_result_rows")
     joined = client.join(latest, client.tag == latest.log_comment, "left")
     return joined.select(
@@ -50,10 +44,9 @@ def enrich_with_engine_log(client: DataFrame, log: DataFrame, finished: str = "Q
 
 
 def consolidate_layers(client: DataFrame, log: DataFrame, layers=X.LAYER_ORDER) -> DataFrame:
-    """SET-1: concatenate the three layers' measurement lists, then attach the
-    engine log once (one pass over the log instead of one per layer)."""
-    parts = [client.filter(F.col("layer") == l) for l in layers]
-    return enrich_with_engine_log(reduce(DataFrame.unionByName, parts), log)
+    """SET-1: the measurements of the three layers as one list, with the engine
+    log attached once (one pass over either input)."""
+    return enrich_with_engine_log(client.filter(F.col("layer").isin(*layers)), log)
 
 
 # --------------------------------------------------------------------------
@@ -72,8 +65,9 @@ def run_summary(results: DataFrame, digits: int | None = None) -> DataFrame:
         F.avg("read_bytes").cast("long").alias("read_bytes"),     # int(mean): truncation
         F.avg("read_rows").cast("long").alias("read_rows"),
         F.max("memory_usage").alias("memory_peak"),
-        # "last" = the latest appended row: capture time, then run, then iteration
-        F.max_by("result_rows", F.struct("captured_at", "run_id", "iteration")).alias("result_rows"),
+        # "last" = the latest appended row: capture time, then iteration (then a hash of the run)
+        F.max_by("result_rows", order_number(F.col("captured_at"), F.col("iteration").cast("long") * F.lit(1 << 32)
+                                             + F.pmod(F.hash("run_id"), F.lit(1 << 31)))).alias("result_rows"),
     ))
 
 
@@ -116,18 +110,19 @@ def latest_runs(results: DataFrame, n: int = 10) -> DataFrame:
     """Per-run statistics of the ``n`` most recent runs (by capture time).
 
     Runs are ranked on a per-run table (one row per run) with a top-n; the n
-    survivors are a proven-small set and are broadcast into the semi-join.
+    survivors enter the semi-join, whose strategy the optimizer picks.
     """
     runs = results.groupBy("run_id").agg(F.min("captured_at").alias("run_ts"))
     top = runs.orderBy(F.col("run_ts").desc(), F.col("run_id").desc()).limit(n).select("run_id")
-    return per_run_stats(results).join(F.broadcast(top), "run_id", "left_semi")
+    return per_run_stats(results).join(top, "run_id", "left_semi")
 
 
 # --------------------------------------------------------------------------
 # AGG-10 / PRJ-21 / AGG-13: cross-run consistency
 # --------------------------------------------------------------------------
 
-def cross_run_stats(results: DataFrame) -> DataFrame:
+def cross_run_cells(results: DataFrame) -> DataFrame:
+    """Cross-run statistics per cell, without the percentiles."""
     g = results.groupBy(*CELL).agg(
         F.count(F.lit(1)).alias("total_samples"),
         F.count_distinct("run_id").alias("total_runs"),
@@ -137,12 +132,15 @@ def cross_run_stats(results: DataFrame) -> DataFrame:
         F.round(F.stddev_pop("wall_ms"), 1).alias("wall_stddev"),
         F.min("read_rows").alias("read_rows"),
         X.human_bytes(F.min("read_bytes")).alias("read_bytes_h"))
+    return g.withColumn("cv_pct", F.round(X.cv_pct(F.col("engine_stddev"), F.col("engine_avg")), 2))
+
+
+def cross_run_stats(results: DataFrame) -> DataFrame:
     q = exact_quantiles(results, list(CELL), "query_duration_ms",
                         {"engine_p50": 0.5, "engine_p95": 0.95})
     q = q.select(*CELL, F.round("engine_p50", 1).alias("engine_p50"),
                  F.round("engine_p95", 1).alias("engine_p95"))
-    out = join_on_keys(g, q, list(CELL), "left")
-    return (out.withColumn("cv_pct", F.round(X.cv_pct(F.col("engine_stddev"), F.col("engine_avg")), 2))
+    return (join_on_keys(cross_run_cells(results), q, list(CELL), "left")
             .orderBy("question_id", X.layer_ordinal(F.col("layer"))))
 
 
@@ -190,7 +188,7 @@ def latest_measurements(results: DataFrame, n: int = 100) -> DataFrame:
 
 
 __all__ = ["enrich_with_engine_log", "consolidate_layers", "run_summary", "speedup_by_layer",
-           "per_run_stats", "latest_runs", "cross_run_stats", "cv_bands", "cv_share", "cell_stats",
+           "per_run_stats", "latest_runs", "cross_run_cells", "cross_run_stats", "cv_bands", "cv_share", "cell_stats",
            "latest_measurements", "evidence_document"]
 
 

@@ -1,64 +1,41 @@
-"""Join helpers: size-checked broadcast lookups and latest-row selection."""
+"""Join helpers: latest-row selection and null-safe key joins.
+
+Lookup joins carry no hint: the optimizer broadcasts a dimension by its size
+in bytes (``spark.sql.autoBroadcastJoinThreshold``), and adaptive execution
+does so at run time from the bytes it has seen.  Building a query never
+starts a job.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A dimension is broadcast only when it is proven to have at most this many
-# rows.  Zone-style lookups are a few hundred rows; the bound leaves headroom
-# while keeping the broadcast well under executor memory.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def row_count_at_most(df: DataFrame, bound: int) -> bool:
-    """True if ``df`` has at most ``bound`` rows.
 
-    Scans at most ``bound + 1`` rows (a LIMIT stops the scan early), so the
-    check itself stays cheap even when the answer is "no".
+def order_number(time: Column, tie: Column) -> Column:
+    """``(time, tie)`` as one fixed-width number, for ``max_by`` / ``min_by``:
+    microseconds first, then the integer ``tie``.  With a fixed-width order
+    Spark aggregates in a hash table and combines map-side; an order of
+    several columns (a struct) would sort every row by key first.
     """
-    return df.limit(bound + 1).count() <= bound
-
-
-_SIZE_CHECKS: dict[tuple, bool] = {}
-
-
-def is_small(dim: DataFrame, bound: int = BROADCAST_MAX_ROWS) -> bool:
-    """Size check of a dimension, remembered per (plan, input files, bound).
-
-    A refresh writes new files, so a rewritten dimension is checked again.
-    """
-    key = (dim.semanticHash(), tuple(sorted(dim.inputFiles())), bound)
-    if key not in _SIZE_CHECKS:
-        _SIZE_CHECKS[key] = row_count_at_most(dim, bound)
-    return _SIZE_CHECKS[key]
-
-
-def lookup_join(fact: DataFrame, dim: DataFrame, on: Column, how: str = "left",
-                max_broadcast_rows: int = BROADCAST_MAX_ROWS, small: bool | None = None) -> DataFrame:
-    """Fact-to-dimension join that broadcasts the dimension only after its
-    size is checked (``small`` passes an already made check); otherwise it
-    leaves the strategy to the optimizer (sort-merge, or AQE's runtime
-    switch to broadcast)."""
-    if small is None:
-        small = is_small(dim, max_broadcast_rows)
-    if small:
-        dim = F.broadcast(dim)
-    return fact.join(dim, on, how)
+    micros = F.timestamp_diff("MICROSECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
+                              time.cast("timestamp_ntz"))
+    scale = F.lit("20000000000000000000").cast("decimal(20,0)")     # over the range of a 64-bit tie
+    return (micros.cast("decimal(17,0)") * scale).cast("decimal(38,0)") \
+        + F.coalesce(tie.cast("decimal(20,0)"), F.lit(0).cast("decimal(20,0)"))
 
 
-def latest_per_key(df: DataFrame, keys: list[str], order: list[str],
-                   values: list[str]) -> DataFrame:
-    """One row per key: the ``values`` of the row that is greatest under
-    ``order`` (e.g. the latest event time, ties broken by further columns).
+def latest_per_key(df: DataFrame, keys: list[str], time: str, values: list[str]) -> DataFrame:
+    """One row per key: the ``values`` (of fixed width) of its latest row by ``time``.
 
-    Written as an aggregation (``max_by`` over a struct), so Spark combines
-    map-side before the shuffle and a key with many duplicates never has to
-    be buffered or sorted in one task.
+    Rows of the same time are told apart by a hash of their values, so all
+    columns come from one row and the choice doesn't depend on the plan.  An
+    aggregation, combined map-side: a key with many duplicates is never
+    buffered or sorted in one task.
     """
-    best = F.max_by(F.struct(*[F.col(v) for v in values]), F.struct(*[F.col(o) for o in order]))
-    return (df.groupBy(*keys).agg(best.alias("_best"))
-            .select(*keys, *[F.col("_best")[v].alias(v) for v in values]))
+    order = order_number(F.col(time), F.xxhash64(*[F.col(v) for v in values]))
+    ordered = df.select(*keys, *values, order.alias("_order"))
+    return ordered.groupBy(*keys).agg(*[F.max_by(v, "_order").alias(v) for v in values])
 
 
 def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:

@@ -22,13 +22,13 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strata.operators.joins import join_on_keys
+from strata.operators.joins import join_on_keys, order_number
 
 ORDER = ("ts", "sample_id")
 
 
-def _order_struct() -> Column:
-    return F.struct(*[F.col(c) for c in ORDER])
+def _order() -> Column:
+    return order_number(*[F.col(c) for c in ORDER])
 
 
 def with_window(samples: DataFrame, seconds: int) -> DataFrame:
@@ -71,7 +71,7 @@ def last_per_window(samples: DataFrame, labels: list[str], seconds: int) -> Data
     """Instant value of each series at the end of each window (its last sample)."""
     keys = ["metric", *labels, "window_start"]
     return (with_window(samples, seconds).groupBy(*keys)
-            .agg(F.max_by("value", _order_struct()).alias("value")))
+            .agg(F.max_by("value", _order()).alias("value")))
 
 
 def instant_at(samples: DataFrame, labels: list[str], at: str, lookback_seconds: int = 300) -> DataFrame:
@@ -82,7 +82,7 @@ def instant_at(samples: DataFrame, labels: list[str], at: str, lookback_seconds:
     lo = F.timestamp_add("SECOND", F.lit(-int(lookback_seconds)), t)
     return (samples.filter((F.col("ts") <= t) & (F.col("ts") > lo))
             .groupBy("metric", *labels)
-            .agg(F.max_by("value", _order_struct()).alias("value"), F.max("ts").alias("ts")))
+            .agg(F.max_by("value", _order()).alias("value"), F.max("ts").alias("ts")))
 
 
 # --------------------------------------------------------------------------
@@ -124,8 +124,8 @@ def increase(samples: DataFrame, labels: list[str], seconds: int,
     steps = _windowed_steps(samples, labels, chunk)              # window_start = chunk start
     per_chunk = steps.groupBy(*series, "window_start").agg(
         F.sum(_counter_step(F.col("value"), F.col("prev_value"))).alias("inner"),
-        F.min_by("value", _order_struct()).alias("first_value"),
-        F.max_by("value", _order_struct()).alias("last_value"))
+        F.min_by("value", _order()).alias("first_value"),
+        F.max_by("value", _order()).alias("last_value"))
     along = Window.partitionBy(*series).orderBy("window_start")
     prev_last = F.lag("last_value").over(along)
     carried = F.when(prev_last.isNull(), F.lit(0.0)).otherwise(_counter_step(F.col("first_value"), prev_last))
@@ -134,12 +134,10 @@ def increase(samples: DataFrame, labels: list[str], seconds: int,
     if chunk != seconds:
         chunk_inc = chunk_inc.withColumn(
             "window_start", F.window("chunk_start", f"{int(seconds)} seconds").start)
-        out = chunk_inc.groupBy(*series, "window_start").agg(F.round(F.sum("inc"), 4).alias("increase"))
+        out = chunk_inc.groupBy(*series, "window_start").agg(F.sum("inc").alias("increase"))
     else:
         out = chunk_inc.select(*series, F.col("chunk_start").alias("window_start"),
-                               F.round("inc", 4).alias("increase"))
-    # the increase is already rounded, so this division is exact IEEE in any
-    # engine; rounding it again would hit decimal ties (x.xxx5)
+                               F.col("inc").alias("increase"))
     return out.withColumn("rate", F.col("increase") / F.lit(float(seconds)))
 
 
@@ -151,32 +149,31 @@ def irate(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
     """Per-second rate from the last two samples of each series in a window
     (windows with fewer than two samples give no row).
 
-    No window function: the last sample per (series, window) is an
-    aggregation; the one before it is the greatest sample ordered before the
-    last, found by joining the samples to the (one row per series-window)
-    last-sample table and aggregating again.  A hot series-window is thus
-    combined map-side, and the join's skewed partitions can be split by AQE.
+    Two hash aggregations, no window function: the last sample per (series,
+    window), then the greatest sample ordered before it, found by joining the
+    samples to the (one row per series-window) last-sample table.  A hot
+    series-window is combined map-side, and the join's skewed partitions can
+    be split by AQE.
     """
     series = ["metric", *labels]
     keys = [*series, "window_start"]
-    s = with_window(samples, seconds)
-    last = s.groupBy(*keys).agg(F.max_by(F.struct("ts", "sample_id", "value"), _order_struct()).alias("l"))
-    before = (join_on_keys(s, last, keys)
-              .filter(F.struct("ts", "sample_id") < F.struct(F.col("l.ts"), F.col("l.sample_id"))))
+    s = with_window(samples, seconds).select(*keys, "ts", "value", _order().alias("_order"))
+    last = s.groupBy(*keys).agg(F.max("_order").alias("_last"), F.max("ts").alias("_last_ts"),
+                                F.max_by("value", "_order").alias("_last_value"))
+    before = join_on_keys(s, last, keys).filter(F.col("_order") < F.col("_last"))
     prev = before.groupBy(*keys).agg(
-        F.max_by(F.struct("ts", "value"), _order_struct()).alias("p"),
-        F.first("l").alias("l"))
-    dt = F.timestamp_diff("MICROSECOND", F.col("p.ts"), F.col("l.ts")) / F.lit(1e6)
-    step = _counter_step(F.col("l.value"), F.col("p.value"))
-    return prev.select(*keys, F.round(F.when(dt > 0, step / dt), 6).alias("irate"))
+        F.max_by("value", "_order").alias("_value"), F.max("ts").alias("_ts"),
+        F.max("_last_ts").alias("_last_ts"), F.max("_last_value").alias("_last_value"))
+    dt = F.timestamp_diff("MICROSECOND", F.col("_ts"), F.col("_last_ts")) / F.lit(1e6)
+    step = _counter_step(F.col("_last_value"), F.col("_value"))
+    return prev.select(*keys, F.when(dt > 0, step / dt).alias("irate"))
 
 
 def delta(samples: DataFrame, labels: list[str], seconds: int) -> DataFrame:
     """Gauge change over a window: last minus first sample."""
     series = ["metric", *labels]
     return (with_window(samples, seconds).groupBy(*series, "window_start")
-            .agg(F.round(F.max_by("value", _order_struct()) - F.min_by("value", _order_struct()), 4)
-                 .alias("delta")))
+            .agg((F.max_by("value", _order()) - F.min_by("value", _order())).alias("delta")))
 
 
 # --------------------------------------------------------------------------
@@ -200,10 +197,13 @@ def pivot_metrics(vec: DataFrame, metrics: list[str], labels: list[str]) -> Data
 
 
 def vector_ratio(vec: DataFrame, num: str, den: str, labels: list[str]) -> DataFrame:
-    """num / den on matching label sets; a side without a match (or a zero
-    denominator) yields no row."""
+    """num / den on matching label sets; a side without a match yields no row.
+    Division follows floating-point rules: x / 0 is +Inf or -Inf, 0 / 0 NaN."""
     p = pivot_metrics(vec, [num, den], labels)
-    r = F.col(num) / F.nullif(F.col(den), F.lit(0.0))
+    n, d = F.col(num), F.col(den)
+    # Spark's division has no infinities: spell them out (the sign of a zero doesn't matter here)
+    by_zero = F.when(n > 0, F.lit(float("inf"))).when(n < 0, F.lit(float("-inf"))).otherwise(F.lit(float("nan")))
+    r = F.when(n.isNotNull() & d.isNotNull(), F.when(d == 0, by_zero).otherwise(n / F.nullif(d, F.lit(0.0))))
     return p.select("window_start", *labels, r.alias("value")).filter(F.col("value").isNotNull())
 
 
@@ -211,7 +211,7 @@ def vector_sum(vec: DataFrame, metrics: list[str], labels: list[str]) -> DataFra
     """Sum of several metrics on matching label sets; a missing term drops the set."""
     p = pivot_metrics(vec, metrics, labels)
     total = reduce(lambda a, b: a + b, [F.col(m) for m in metrics])
-    return p.select("window_start", *labels, F.round(total, 4).alias("value")).filter(
+    return p.select("window_start", *labels, total.alias("value")).filter(
         F.col("value").isNotNull())
 
 

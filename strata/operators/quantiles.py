@@ -6,25 +6,32 @@ memory.  ``exact_quantiles`` instead:
 
 1. counts ``(keys, value)`` pairs with an ordinary aggregation (map-side
    combine; the shuffle is spread by value, so a hot key is split),
-2. range-partitions that histogram by ``(keys, value)`` (Spark samples the
-   boundaries), so even a key holding a third of all rows spans many
-   balanced partitions,
-3. computes running counts inside each (partition, key) slice, and the
-   offset of each slice from the totals of the slices before it (a window
-   over one row per slice), so every rank is global without any task
-   seeing a whole key,
-4. picks the two ranks around ``(n - 1) * p`` and interpolates linearly
+2. cuts the values of every key into fixed buckets (``value_bucket``, an
+   order-preserving function of the value alone) and counts each bucket;
+   running sums over this small table say which bucket holds each rank,
+3. ranks only the values in those buckets, and
+4. picks the two values around ``(n - 1) * p`` and interpolates linearly
    (the continuous definition used by SQL ``percentile_cont``).
 
-``approx_quantiles`` wraps ``percentile_approx`` (a bounded-size sketch that
-returns an actual element).
+Nothing depends on partition numbers or on how the planner shares work, so
+the result is the same under any plan.  ``approx_quantiles`` wraps
+``percentile_approx`` (a bounded-size sketch that returns an actual element).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: buckets per unit of ln(1 + |value|): near 20, a bucket is about 0.02 wide
+BUCKETS_PER_LOG = 1024
+
+
+def value_bucket(v: Column) -> Column:
+    """Bucket number of a double; larger values never have smaller numbers
+    (NaN, which Spark orders last, has the largest)."""
+    step = F.floor(F.log1p(F.abs(v)) * F.lit(float(BUCKETS_PER_LOG)))
+    return F.when(F.isnan(v), F.lit((1 << 63) - 1)).when(v < 0, -step - 1).otherwise(step).cast("long")
 
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str,
@@ -42,36 +49,37 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str,
 def quantiles_from_histogram(hist: DataFrame, keys: list[str], value: str, count: str,
                              probs: dict[str, float]) -> DataFrame:
     """Exact quantiles from a histogram with one row per (keys, value) and its
-    ``count`` (e.g. one grouping set of a larger aggregation).  NULL values
-    must already be removed."""
+    ``count``.  NULL values must already be removed."""
     # One non-NULL struct key: struct equality matches NULL fields (NULL keys
-    # form a group, as in groupBy), and window, aggregate and join all
-    # partition on the same plain columns, so no extra exchange is needed.
+    # form a group, as in groupBy).
     k = F.struct(*keys) if keys else F.lit(True)
-    hist = hist.select(k.alias("_k"), F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
-    # global (key, value) order in balanced ranges; partition ids follow it
-    ranged = hist.repartitionByRange("_k", "_v").withColumn("_pid", F.spark_partition_id())
-    in_slice = Window.partitionBy("_pid", "_k").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranged = ranged.withColumn("_run", F.sum("_c").over(in_slice))
-    slices = ranged.groupBy("_pid", "_k").agg(F.sum("_c").alias("_slice_n"))
-    before = Window.partitionBy("_k").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    slices = (slices.withColumn("_off", F.coalesce(F.sum("_slice_n").over(before), F.lit(0)))
-                    .withColumn("_n", F.sum("_slice_n").over(Window.partitionBy("_k")))
-                    .drop("_slice_n"))
-    # one row per (partition, key) slice: a small table, joined back
-    ranked = ranged.join(slices, ["_pid", "_k"])
-    hi_rank = F.col("_off") + F.col("_run")                               # exclusive end
-    lo_rank = hi_rank - F.col("_c")                                        # inclusive start
+    v = F.col(value).cast("double")
+    hist = hist.select(k.alias("_k"), v.alias("_v"), value_bucket(v).alias("_b"), F.col(count).alias("_c"))
+    along = Window.partitionBy("_k").orderBy("_b").rowsBetween(Window.unboundedPreceding, 0)
+    buckets = (hist.groupBy("_k", "_b").agg(F.sum("_c").alias("_bn"))
+               .withColumn("_end", F.sum("_bn").over(along))
+               .withColumn("_n", F.sum("_bn").over(Window.partitionBy("_k"))))
+    position = {name: (F.col("_n") - 1) * F.lit(float(p)) for name, p in probs.items()}
+    start = F.col("_end") - F.col("_bn")
+    holds = F.lit(False)
+    for pos in position.values():
+        for rank in (F.floor(pos), F.ceil(pos)):
+            holds = holds | ((start <= rank) & (rank < F.col("_end")))
+    wanted = buckets.filter(holds).select(F.col("_k").alias("_wk"), F.col("_b").alias("_wb"),
+                                          start.alias("_before"), "_n")
+    found = hist.join(wanted, (F.col("_k") == F.col("_wk")) & (F.col("_b") == F.col("_wb")))
+    inside = Window.partitionBy("_k", "_b").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    found = found.withColumn("_hi", F.col("_before") + F.sum("_c").over(inside))          # exclusive end
+    lo_rank, hi_rank = F.col("_hi") - F.col("_c"), F.col("_hi")
     aggs = []
-    for name, p in probs.items():
-        pos = (F.col("_n") - 1) * F.lit(float(p))
+    for name, pos in position.items():
         lo, hi = F.floor(pos), F.ceil(pos)
         aggs += [
             F.max(F.when((lo_rank <= lo) & (lo < hi_rank), F.col("_v"))).alias(f"_{name}_lo"),
             F.max(F.when((lo_rank <= hi) & (hi < hi_rank), F.col("_v"))).alias(f"_{name}_hi"),
             F.max(pos - lo).alias(f"_{name}_f"),
         ]
-    picked = ranked.groupBy("_k").agg(*aggs)
+    picked = found.groupBy("_k").agg(*aggs)
     return picked.select(*[F.col("_k")[c].alias(c) for c in keys], *[
         (F.col(f"_{n}_lo") + (F.col(f"_{n}_hi") - F.col(f"_{n}_lo")) * F.col(f"_{n}_f")).alias(n)
         for n in probs])

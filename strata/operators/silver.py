@@ -12,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.joins import is_small, lookup_join
 
 # fixed values: the reference's trip-window and quality thresholds
 DEFAULT_WINDOW = ("2023-01-01", "2024-01-01")
@@ -114,8 +113,7 @@ def enrich(clean_df: DataFrame, zones: DataFrame, zone_key_cast: str | None = No
     do = z.select(F.col("LocationID").alias("do_id"), F.col("Borough").alias("dropoff_borough"),
                   F.col("Zone").alias("dropoff_zone"))
     trips = clean_df.select(*ENRICHED_TRIP_COLUMNS, "pickup_location_id", "dropoff_location_id")
-    small = is_small(zones)       # one check serves both lookups
-    out = lookup_join(trips, pu, F.col("pickup_location_id") == F.col("pu_id"), small=small)
-    out = lookup_join(out, do, F.col("dropoff_location_id") == F.col("do_id"), small=small)
+    out = trips.join(pu, F.col("pickup_location_id") == F.col("pu_id"), "left")
+    out = out.join(do, F.col("dropoff_location_id") == F.col("do_id"), "left")
     return out.select(*ENRICHED_TRIP_COLUMNS, "pickup_borough", "pickup_zone",
                       "dropoff_borough", "dropoff_zone")

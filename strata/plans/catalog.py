@@ -57,7 +57,7 @@ REGISTRY: dict[str, Query] = {
     # questions per layer
     "q1_bronze": lambda spark, d: Q.q1_bronze(_m(spark, d).bronze_trips, fixtures.FIXTURE_WINDOW),
     "q1_silver": lambda spark, d: Q.q1_silver(_m(spark, d).clean),
-    "q1_gold": lambda spark, d: Q.q1_gold(_m(spark, d).gold("daily_revenue")),
+    "q1_gold": lambda spark, d: Q.q1_gold(_m(spark, d).gold("daily_revenue", percentiles="none")),
     "q2_bronze": lambda spark, d: Q.q2_bronze(_m(spark, d).bronze_trips, _m(spark, d).bronze_zones,
                                               fixtures.FIXTURE_WINDOW),
     "q2_silver": lambda spark, d: Q.q2_silver(_m(spark, d).enriched),
@@ -76,26 +76,31 @@ REGISTRY: dict[str, Query] = {
     "per_run_stats": lambda spark, d: H.per_run_stats(_results(spark, d)),
     "latest_runs": lambda spark, d: H.latest_runs(_results(spark, d)),
     "cross_run_stats": lambda spark, d: H.cross_run_stats(_results(spark, d)),
-    "cv_bands": lambda spark, d: H.cv_bands(H.cross_run_stats(_results(spark, d))),
-    "cv_share": lambda spark, d: H.cv_share(H.cross_run_stats(_results(spark, d))),
+    "cv_bands": lambda spark, d: H.cv_bands(H.cross_run_cells(_results(spark, d))),
+    "cv_share": lambda spark, d: H.cv_share(H.cross_run_cells(_results(spark, d))),
     "cell_stats": lambda spark, d: H.cell_stats(_results(spark, d)),
     "latest_measurements": lambda spark, d: H.latest_measurements(_results(spark, d)),
     # sources and sinks
     "ingest_audit": lambda spark, d: tables.ingest_audit(
         _m(spark, d).bronze_trips.withColumn("_batch", F.date_format("pickup_datetime", "yyyy-MM"))),
-    "table_footprint": lambda spark, d: _footprint(spark, d),
-    "table_rows": lambda spark, d: _footprint(spark, d).select("layer", "table", "rows"),
+    # both measure what is there; nothing is built, moved or registered
+    "table_footprint": lambda spark, d: footprint.table_footprint(
+        spark, {("input", t): f"{d}/{t}.parquet" for t in INPUT_TABLES}),
+    "table_rows": lambda spark, d: footprint.row_counts(_layer_tables(_m(spark, d))),
     # metric rollups
     "metric_select": lambda spark, d: MET.select_series(
         _samples(spark, d), "click", [("instance", "=~", "[0-3]"), ("instance", "!=", "1"),
                                       ("instance", "!~", "3")]),
     "metric_instant": lambda spark, d: MET.last_per_window(_samples(spark, d), LABELS, HOUR),
-    "metric_rate": lambda spark, d: MET.increase(
-        MET.select_series(_samples(spark, d), "click"), LABELS, RATE_WINDOW),
-    "metric_irate": lambda spark, d: MET.irate(
-        MET.select_series(_samples(spark, d), "signup"), LABELS, DAY),
-    "metric_delta": lambda spark, d: MET.delta(
-        MET.select_series(_samples(spark, d), "purchase"), LABELS, DAY),
+    # results are rounded here, after all filters: the operators themselves keep full precision
+    "metric_rate": lambda spark, d: _rounded(MET.increase(
+        MET.select_series(_samples(spark, d), "click"), LABELS, RATE_WINDOW), increase=4, rate=8),
+    "metric_irate": lambda spark, d: _rounded(MET.irate(
+        MET.select_series(_samples(spark, d), "signup"), LABELS, DAY), irate=6),
+    "metric_delta": lambda spark, d: _rounded(MET.delta(
+        MET.select_series(_samples(spark, d), "purchase"), LABELS, DAY), delta=4),
+    "metric_instant_at": lambda spark, d: MET.instant_at(
+        _samples(spark, d), LABELS, INSTANT, INSTANT_LOOKBACK),
     "metric_sum_by": lambda spark, d: _sum_by_metric(_samples(spark, d)),
     "metric_min_of_avg": lambda spark, d: _min_of_avg_rate(_samples(spark, d)),
     "metric_ratio": lambda spark, d: MET.aggregate_by(
@@ -104,18 +109,23 @@ REGISTRY: dict[str, Query] = {
     "metric_ratio_by_instance": lambda spark, d: MET.aggregate_by(
         MET.vector_ratio(MET.last_per_window(_samples(spark, d), LABELS, HOUR), "click", "view", LABELS)
         .withColumn("value", F.round("value", 6)), "value", LABELS, "min"),
-    "metric_vector_sum": lambda spark, d: MET.vector_sum(
-        MET.last_per_window(_samples(spark, d), LABELS, HOUR), ["click", "view", "purchase"], LABELS),
+    "metric_vector_sum": lambda spark, d: _rounded(MET.vector_sum(
+        MET.last_per_window(_samples(spark, d), LABELS, HOUR), ["click", "view", "purchase"], LABELS), value=4),
     "metric_positive_count": lambda spark, d: _positive_count(_samples(spark, d)),
-    "metric_topk": lambda spark, d: MET.topk(
+    "metric_topk": lambda spark, d: _rounded(MET.topk(
         MET.aggregate_by(MET.rate(_samples(spark, d), LABELS, RATE_WINDOW), "rate",
-                         ["metric", *LABELS], "sum", "value"), "value", 5, ["metric", *LABELS]),
+                         ["metric", *LABELS], "sum", "value"), "value", 5, ["metric", *LABELS]), value=8),
 }
 
 # Window lengths are scaled to the fixture's sample density (one sample per
 # series every ~75 minutes), not to a 15-second scrape interval.
 LABELS = ["instance"]
 HOUR, RATE_WINDOW, DAY = 3600, 6 * 3600, 86400
+INSTANT, INSTANT_LOOKBACK = "2024-01-10 00:00:00", 2 * 86400
+
+
+def _rounded(df: DataFrame, **digits: int) -> DataFrame:
+    return df.withColumns({c: F.round(c, n) for c, n in digits.items()})
 
 
 def _samples(spark, d):
@@ -132,7 +142,7 @@ def _sum_by_metric(samples):
 def _min_of_avg_rate(samples):
     r = MET.rate(MET.select_series(samples, None, [("metric", "=~", "click|view")]), LABELS, RATE_WINDOW)
     per_instance = MET.aggregate_by(r, "rate", LABELS, "avg", "value")
-    return MET.sort_desc(MET.aggregate_by(per_instance, "value", [], "min"), "value")
+    return MET.sort_desc(_rounded(MET.aggregate_by(per_instance, "value", [], "min"), value=8), "value")
 
 
 def _positive_count(samples):
@@ -141,15 +151,16 @@ def _positive_count(samples):
     return MET.aggregate_by(per_instance, "delta", [], "count", "value")
 
 
-def _footprint(spark, d):
-    """Build every layer into a fresh folder under the shared checkpoint
-    location, then measure the stored tables."""
-    import uuid
-    from strata.plans import pipeline
-    from strata.session import scratch_path
-    root = scratch_path(spark, f"warehouse-{uuid.uuid4().hex[:8]}")
-    built = pipeline.build(_m(spark, d), root=root, run_tests=False)
-    return footprint.table_footprint(spark, built.locations())
+# fixed values: the input tables that the trip and measurement fixtures are derived from
+INPUT_TABLES = ("events", "lineitem", "nation", "orders", "region", "supplier")
+
+
+def _layer_tables(m: Medallion) -> dict[tuple[str, str], DataFrame]:
+    """Every table of a refresh, by layer, as it would be stored."""
+    return {("bronze", "fhvhv_trips"): m.bronze_trips, ("bronze", "taxi_zones"): m.bronze_zones,
+            ("silver", "fhvhv_trips_clean"): m.clean,
+            **{("gold", g): m.gold(g, percentiles="none") if g == "daily_revenue" else m.gold(g)
+               for g in gold.GOLD_MODELS}}
 
 
 def _mirror_clean(spark, d):

@@ -458,8 +458,8 @@ def _rate_cte(seconds, where, name="rates"):
   FROM samples WHERE {where}),
 {name} AS (
   SELECT metric, instance, window_start,
-         round(coalesce(sum({_STEP}), 0), 4) AS increase,
-         round(coalesce(sum({_STEP}), 0), 4) / {float(seconds)} AS rate
+         coalesce(sum({_STEP}), 0) AS increase,
+         coalesce(sum({_STEP}), 0) / {float(seconds)} AS rate
   FROM {name}_steps GROUP BY 1, 2, 3)"""
 
 
@@ -468,7 +468,8 @@ SQL.update({
 SELECT * FROM samples WHERE metric = 'click' AND regexp_full_match(instance, '[0-3]')
   AND instance <> '1' AND NOT regexp_full_match(instance, '3')""",
     "metric_instant": with_(SAMPLES, _last(3600)) + "SELECT * FROM inst",
-    "metric_rate": with_(SAMPLES, _rate_cte(21600, "metric = 'click'")) + "SELECT * FROM rates",
+    "metric_rate": with_(SAMPLES, _rate_cte(21600, "metric = 'click'")) + """
+SELECT metric, instance, window_start, round(increase, 4) AS increase, round(rate, 8) AS rate FROM rates""",
     "metric_irate": with_(SAMPLES) + f"""
 , steps AS (
   SELECT *, {_w(86400)} AS window_start,
@@ -482,6 +483,10 @@ last AS (
   FROM steps WHERE prev IS NOT NULL)
 SELECT metric, instance, window_start, round(CASE WHEN dt > 0 THEN ({_STEP}) / dt END, 6) AS irate
 FROM last WHERE rn = 1""",
+    "metric_instant_at": with_(SAMPLES) + """
+SELECT metric, instance, arg_max(value, (ts, sample_id)) AS value, max(ts) AS ts FROM samples
+WHERE ts <= TIMESTAMP '2024-01-10 00:00:00' AND ts > TIMESTAMP '2024-01-10 00:00:00' - INTERVAL 172800 SECONDS
+GROUP BY 1, 2""",
     "metric_delta": with_(SAMPLES) + f"""
 SELECT metric, instance, {_w(86400)} AS window_start,
        round(arg_max(value, (ts, sample_id)) - arg_min(value, (ts, sample_id)), 4) AS delta
@@ -491,15 +496,18 @@ SELECT window_start, metric, round(sum(value), 4) AS sum_value, round(avg(value)
        min(value) AS min_value, count(*) AS series
 FROM inst GROUP BY 1, 2""",
     "metric_min_of_avg": with_(SAMPLES, _rate_cte(21600, "regexp_full_match(metric, 'click|view')")) + """
-SELECT window_start, min(value) AS value FROM (
+SELECT window_start, round(min(value), 8) AS value FROM (
   SELECT window_start, instance, avg(rate) AS value FROM rates GROUP BY 1, 2)
 GROUP BY 1 ORDER BY value DESC""",
     "metric_ratio": with_(SAMPLES, _last(3600)) + """
 SELECT window_start, min(value) AS value FROM (
   SELECT window_start, instance,
-         round(max(CASE WHEN metric = 'click' THEN value END)
-               / nullif(max(CASE WHEN metric = 'view' THEN value END), 0), 6) AS value
-  FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+         CASE WHEN v <> 0 THEN round(c / v, 6) WHEN c > 0 THEN 'Infinity'::DOUBLE WHEN c < 0 THEN '-Infinity'::DOUBLE
+              WHEN c = 0 AND v = 0 THEN 'NaN'::DOUBLE END AS value
+  FROM (SELECT window_start, instance, max(CASE WHEN metric = 'click' THEN value END) AS c,
+               max(CASE WHEN metric = 'view' THEN value END) AS v
+        FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+  WHERE c IS NOT NULL AND v IS NOT NULL)
 WHERE value IS NOT NULL GROUP BY 1""",
     "metric_vector_sum": with_(SAMPLES, _last(3600)) + """
 SELECT * FROM (
@@ -511,13 +519,13 @@ WHERE value IS NOT NULL""",
     "metric_positive_count": with_(SAMPLES) + f"""
 , d AS (
   SELECT metric, instance, {_w(86400)} AS window_start,
-         round(arg_max(value, (ts, sample_id)) - arg_min(value, (ts, sample_id)), 4) AS delta
+         arg_max(value, (ts, sample_id)) - arg_min(value, (ts, sample_id)) AS delta
   FROM samples WHERE metric = 'purchase' GROUP BY 1, 2, 3)
 SELECT window_start, count(*) AS value FROM (
   SELECT window_start, instance, sum(delta) AS delta FROM d WHERE delta > 0 GROUP BY 1, 2)
 GROUP BY 1""",
     "metric_topk": with_(SAMPLES, _rate_cte(21600, "true")) + """
-SELECT window_start, metric, instance, value FROM (
+SELECT window_start, metric, instance, round(value, 8) AS value FROM (
   SELECT window_start, metric, instance, sum(rate) AS value,
          row_number() OVER (PARTITION BY window_start ORDER BY sum(rate) DESC, metric, instance) AS rn
   FROM rates GROUP BY 1, 2, 3)
@@ -537,9 +545,12 @@ SQL["silver_enriched_smallint_keys"] = with_(BRONZE_TRIPS, ZONES, CLEAN_MIRROR,
 SQL["metric_ratio_by_instance"] = with_(SAMPLES, _last(3600)) + """
 SELECT window_start, instance, min(value) AS value FROM (
   SELECT window_start, instance,
-         round(max(CASE WHEN metric = 'click' THEN value END)
-               / nullif(max(CASE WHEN metric = 'view' THEN value END), 0), 6) AS value
-  FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+         CASE WHEN v <> 0 THEN round(c / v, 6) WHEN c > 0 THEN 'Infinity'::DOUBLE WHEN c < 0 THEN '-Infinity'::DOUBLE
+              WHEN c = 0 AND v = 0 THEN 'NaN'::DOUBLE END AS value
+  FROM (SELECT window_start, instance, max(CASE WHEN metric = 'click' THEN value END) AS c,
+               max(CASE WHEN metric = 'view' THEN value END) AS v
+        FROM inst WHERE metric IN ('click', 'view') GROUP BY 1, 2)
+  WHERE c IS NOT NULL AND v IS NOT NULL)
 WHERE value IS NOT NULL GROUP BY 1, 2"""
 
 _ENRICHED_SMALLINT = ENRICHED.replace(

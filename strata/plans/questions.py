@@ -16,7 +16,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
-from strata.operators.joins import is_small, lookup_join
 from strata.operators.silver import DEFAULT_WINDOW, gross_amount, in_window
 
 TOP_K = 10   # fixed value: size of the Q2 ranking
@@ -42,12 +41,9 @@ def q1_silver(clean: DataFrame) -> DataFrame:
 
 
 def q1_gold(daily_revenue: DataFrame) -> DataFrame:
-    """The stored gold table has one row per day (bounded by the calendar,
-    not by the data), so it is sorted in one task: no range-partition
-    sampling job and no shuffle."""
     return (daily_revenue.select("trip_date", F.col("total_trips").alias("trips"),
                                  F.col("gross_revenue_usd").alias("revenue_usd"))
-            .coalesce(1).sortWithinPartitions("trip_date"))
+            .orderBy("trip_date"))
 
 
 def top_by_revenue(pairs: DataFrame, k: int = TOP_K) -> DataFrame:
@@ -68,9 +64,8 @@ def q2_bronze(bronze: DataFrame, zones: DataFrame, window=DEFAULT_WINDOW,
          .select(X.id_cast_for(bronze, "PULocationID").alias("pu_key"),
                  X.id_cast_for(bronze, "DOLocationID").alias("do_key"),
                  gross_amount("double").alias("amount")))
-    small = is_small(zones)
-    t = lookup_join(t, pu, F.col("pu_key") == F.col("pu_id"), small=small)
-    t = lookup_join(t, do, F.col("do_key") == F.col("do_id"), small=small)
+    t = t.join(pu, F.col("pu_key") == F.col("pu_id"), "left")
+    t = t.join(do, F.col("do_key") == F.col("do_id"), "left")
     pairs = (t.filter(F.col("pickup_borough").isNotNull() & F.col("dropoff_borough").isNotNull())
              .groupBy("pickup_borough", "dropoff_borough")
              .agg(F.count(F.lit(1)).alias("trips"), F.round(F.sum("amount"), 2).alias("revenue_usd")))

@@ -8,6 +8,7 @@ of files, with ``mapInPandas``.  Nothing but per-file numbers returns.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -45,6 +46,13 @@ def file_stats(spark: SparkSession, files: list[str]) -> DataFrame:
     return lst.mapInPandas(_footer_reader(), _FILE_STATS)
 
 
+def row_counts(tables: dict[tuple[str, str], DataFrame]) -> DataFrame:
+    """(layer, table, rows): a plain count of each given DataFrame."""
+    parts = [df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(layer).alias("layer"), F.lit(name).alias("table"), "rows")
+             for (layer, name), df in tables.items()]
+    return reduce(DataFrame.unionByName, parts).orderBy("layer", "table")
+
+
 def table_footprint(spark: SparkSession, tables: dict[tuple[str, str], str]) -> DataFrame:
     """One row per (layer, table); ``tables`` maps it to a table name or a path.
 
