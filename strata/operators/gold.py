@@ -146,16 +146,14 @@ SORT_KEYS = {
 # One scan for four models: grouping sets over the clean trips
 # --------------------------------------------------------------------------
 
-# each fused model and its grouping keys; the last set is the (day, fare)
-# histogram behind the exact daily fare percentiles
+# each fused model and its grouping keys
 FUSED_SETS = {
     "daily_revenue": ("trip_date",),
     "hourly_demand": ("weekday", "hour_of_day"),
     "driver_economics": ("month",),
     "shared_vs_solo": ("ride_type",),
-    "_fare_histogram": ("trip_date", "_fare"),
 }
-_FUSED_KEYS = ("trip_date", "weekday", "hour_of_day", "month", "ride_type", "_fare")
+_FUSED_KEYS = ("trip_date", "weekday", "hour_of_day", "month", "ride_type")
 _SUMMED = ("total_amount", "driver_pay", "tips", "congestion_surcharge", "trip_miles",
            "trip_minutes", "waiting_minutes", "base_fare", "driver_pct_of_fare")
 
@@ -168,16 +166,15 @@ def _gid(model: str) -> int:
 
 
 def fused_aggregates(clean: DataFrame) -> DataFrame:
-    """Sums and counts of every measure for all four key sets, plus the
-    (day, fare) histogram, in one aggregation: one scan of silver and one
-    (map-side combined) shuffle instead of one of each per model.  Output:
+    """Sums and counts of every measure for all four key sets in one
+    aggregation: one scan of silver and one (map-side combined) shuffle instead
+    of one of each per model.  Output:
     one row per group per set, ``_gid`` telling the sets apart."""
     t = clean.select(X.trip_date("pickup_at").alias("trip_date"),
                      X.iso_weekday("pickup_at").alias("weekday"),
                      X.hour_of_day("pickup_at").alias("hour_of_day"),
                      X.month_start("pickup_at").alias("month"),
                      X.ride_type("shared_matched", "shared_requested").alias("ride_type"),
-                     F.col("total_amount").cast("double").alias("_fare"),   # key copy of the fare
                      *_SUMMED)
     aggs = [F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n")]
     aggs += [F.sum(c).alias(f"_s_{c}") for c in _SUMMED]
@@ -190,10 +187,15 @@ def _avg(c):
     return _r2(X.safe_div(F.col(f"_s_{c}"), F.col(f"_c_{c}")))
 
 
-def models_from_fused(fused: DataFrame, clean: DataFrame | None = None) -> dict[str, DataFrame]:
+def fare_histogram(clean: DataFrame) -> DataFrame:
+    """(trip_date, _fare) -> count, behind the exact daily fare percentiles."""
+    return (clean.select(X.trip_date("pickup_at").alias("trip_date"), F.col("total_amount").cast("double").alias("_fare"))
+            .filter(F.col("_fare").isNotNull()).groupBy("trip_date", "_fare").agg(F.count(F.lit(1)).alias("_n")))
+
+
+def models_from_fused(fused: DataFrame, hist: DataFrame) -> dict[str, DataFrame]:
     """The four models, each a filter + projection of the fused aggregate; the
-    daily model joins its exact fare percentiles, computed from the fused
-    (day, fare) histogram (``clean`` is not read again)."""
+    daily model joins its exact fare percentiles from the ``fare_histogram``."""
     f = {m: fused.filter(F.col("_gid") == _gid(m)) for m in FUSED_SETS}
     s = lambda c: _r2(F.col(f"_s_{c}"))
     daily = f["daily_revenue"].select(
@@ -201,8 +203,6 @@ def models_from_fused(fused: DataFrame, clean: DataFrame | None = None) -> dict[
         s("driver_pay").alias("total_driver_pay_usd"), s("tips").alias("total_tips_usd"),
         s("congestion_surcharge").alias("total_congestion_usd"), _avg("trip_miles").alias("avg_trip_miles"),
         _avg("trip_minutes").alias("avg_trip_minutes"), _avg("waiting_minutes").alias("avg_waiting_minutes"))
-    hist = (fused.filter((F.col("_gid") == _gid("_fare_histogram")) & F.col("_fare").isNotNull())
-            .select("trip_date", "_fare", "_n"))
     qs = quantiles_from_histogram(hist, ["trip_date"], "_fare", "_n", FARE_PERCENTILES)
     qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
     return {

@@ -68,15 +68,39 @@ def relationship_failures(child: DataFrame, child_col: str, parent: DataFrame, p
         _status(F.col("failures")).alias("status"))
 
 
-def run_declared_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS) -> DataFrame:
-    """The full report: one row per (model, column, test) with failures and status."""
+def model_report(df: DataFrame, model: str, tests: dict[str, list[str]]) -> DataFrame:
+    """All declared tests of one model in one pass: (model, column_name, test, failures).
+
+    A unique column groups the rows first, and the not-null counts are summed over
+    its groups; without one the whole model is one aggregate.  Further unique
+    columns, which no declared model has, take a pass each.
+    """
+    null = [c for c, t in tests.items() if "not_null" in t]
+    unique = [c for c, t in tests.items() if "unique" in t]
     parts = []
-    for model, cols in tests.items():
-        df = models[model]
-        nn = [c for c, t in cols.items() if "not_null" in t]
-        if nn:
-            parts.append(not_null_counts(df, model, nn))
-        parts += [unique_failures(df, model, c) for c, t in cols.items() if "unique" in t]
+    if unique:
+        key = unique[0]
+        grouped = df.groupBy(F.col(key).alias("_key")).agg(
+            F.count(F.lit(1)).alias("_n"),
+            *[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(null)])
+        wide = grouped.agg(
+            F.count_if(F.col("_key").isNotNull() & (F.col("_n") > 1)).alias("_unique"),
+            *[F.coalesce(F.sum(f"_null_{i}"), F.lit(0)).alias(f"_null_{i}") for i in range(len(null))])
+        cells = [(key, "unique", "_unique"), *((c, "not_null", f"_null_{i}") for i, c in enumerate(null))]
+    else:
+        wide = df.agg(*[F.count_if(F.col(c).isNull()).alias(f"_null_{i}") for i, c in enumerate(null)])
+        cells = [(c, "not_null", f"_null_{i}") for i, c in enumerate(null)]
+    rows = [F.struct(F.lit(model).alias("model"), F.lit(c).alias("column_name"), F.lit(t).alias("test"),
+                     F.col(n).cast("long").alias("failures")) for c, t, n in cells]
+    parts.append(wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*"))
+    parts += [unique_failures(df, model, c) for c in unique[1:]]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def run_declared_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS) -> DataFrame:
+    """The full report: one row per (model, column, test) with failures and
+    status, for the declared tests of the models given (one pass over each)."""
+    parts = [model_report(models[m], m, t) for m, t in tests.items() if m in models]
     report = reduce(DataFrame.unionByName, parts)
     return report.withColumn("status", _status(F.col("failures")))
 

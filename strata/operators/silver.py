@@ -59,15 +59,16 @@ def clean(bronze: DataFrame, window=DEFAULT_WINDOW, minute_mode: str = "boundary
     ``minute_mode`` selects how minute differences are counted: ``boundary``
     (minute marks crossed) or ``elapsed`` (whole minutes elapsed).
     ``id_cast`` is ``safe`` (NULL on anything outside 0..65535) or ``strict``
-    (narrowing SMALLINT cast that raises on overflow).
+    (the second dialect: ids and minutes narrowed by a SMALLINT cast that raises
+    on overflow).
     """
     if minute_mode not in MINUTE_MODES:
         raise ValueError(f"minute_mode must be one of {MINUTE_MODES}")
     minutes = X.minutes_boundary if minute_mode == "boundary" else X.minutes_elapsed
     if id_cast == "safe":
-        to_id = lambda c: X.id_cast_for(bronze, c)
+        to_id, narrow = (lambda c: X.id_cast_for(bronze, c)), (lambda c: c)
     else:
-        to_id = X.smallint_strict
+        to_id, narrow = X.smallint_strict, (lambda c: c.cast("smallint"))
     return (bronze
             .filter(quality_predicate(window))
             .select(
@@ -84,8 +85,8 @@ def clean(bronze: DataFrame, window=DEFAULT_WINDOW, minute_mode: str = "boundary
                 X.flag_is_yes("shared_match_flag").alias("shared_matched"),
                 X.flag_is_yes("access_a_ride_flag").alias("access_a_ride"),
                 X.flag_is_yes("wav_request_flag").alias("wav_requested"),
-                minutes("request_datetime", "pickup_datetime").alias("waiting_minutes"),
-                minutes("pickup_datetime", "dropoff_datetime").alias("trip_minutes"),
+                narrow(minutes("request_datetime", "pickup_datetime")).alias("waiting_minutes"),
+                narrow(minutes("pickup_datetime", "dropoff_datetime")).alias("trip_minutes"),
                 gross_amount().cast("float").alias("total_amount"),
                 X.guarded_pct("driver_pay", "base_passenger_fare").alias("driver_pct_of_fare"),
             ))
@@ -117,3 +118,12 @@ def enrich(clean_df: DataFrame, zones: DataFrame, zone_key_cast: str | None = No
     out = out.join(do, F.col("dropoff_location_id") == F.col("do_id"), "left")
     return out.select(*ENRICHED_TRIP_COLUMNS, "pickup_borough", "pickup_zone",
                       "dropoff_borough", "dropoff_zone")
+
+
+def enriched_view_sql(clean_table: str, zones_table: str) -> str:
+    """The enriched model over stored tables, as the definition of a catalog view."""
+    trips = ", ".join(f"t.{c}" for c in ENRICHED_TRIP_COLUMNS)
+    return (f"SELECT {trips}, pu.Borough AS pickup_borough, pu.Zone AS pickup_zone, "
+            f"dz.Borough AS dropoff_borough, dz.Zone AS dropoff_zone FROM {clean_table} t "
+            f"LEFT JOIN {zones_table} pu ON t.pickup_location_id = pu.LocationID "
+            f"LEFT JOIN {zones_table} dz ON t.dropoff_location_id = dz.LocationID")

@@ -58,6 +58,7 @@ def _uid(col: str) -> str:
 def _clean_cte(minute_fn: str, strict_ids: bool = False) -> str:
     pu = "CAST(PULocationID AS SMALLINT)" if strict_ids else _uid('PULocationID')
     do = "CAST(DOLocationID AS SMALLINT)" if strict_ids else _uid('DOLocationID')
+    minutes = "SMALLINT" if strict_ids else "INTEGER"
     return f"""
 clean AS (
   SELECT
@@ -74,8 +75,8 @@ clean AS (
     shared_match_flag = 'Y' AS shared_matched,
     access_a_ride_flag = 'Y' AS access_a_ride,
     wav_request_flag = 'Y' AS wav_requested,
-    CAST({minute_fn}('minute', request_datetime, pickup_datetime) AS INTEGER) AS waiting_minutes,
-    CAST({minute_fn}('minute', pickup_datetime, dropoff_datetime) AS INTEGER) AS trip_minutes,
+    CAST({minute_fn}('minute', request_datetime, pickup_datetime) AS {minutes}) AS waiting_minutes,
+    CAST({minute_fn}('minute', pickup_datetime, dropoff_datetime) AS {minutes}) AS trip_minutes,
     CAST(base_passenger_fare + tolls + bcf + sales_tax + congestion_surcharge + airport_fee + tips
          AS FLOAT) AS total_amount,
     CASE WHEN base_passenger_fare > 0 THEN CAST(driver_pay / base_passenger_fare * 100 AS FLOAT)

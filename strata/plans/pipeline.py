@@ -9,15 +9,21 @@ rows instead of recomputing from the trips.
 from __future__ import annotations
 
 import time
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.operators import gold, quality, silver
 from strata.plans.layers import Medallion
+from strata.session import scratch_path
 from strata.sinks import tables
 
 
+# fixed value: the name of the enriched view
+ENRICHED_VIEW = "silver.fhvhv_trips_enriched"
+
+
 @dataclass
 class Built:
     spark: SparkSession
@@ -40,8 +46,8 @@ class Built:
 
     @property
     def enriched(self) -> DataFrame:
-        """The view: recomputed from the stored clean table on each use."""
-        return silver.enrich(self.clean, self.zones)
+        """The catalog view: recomputed from the stored clean table on each use."""
+        return self.table(ENRICHED_VIEW)
 
     def gold(self, name: str) -> DataFrame:
         return self.table(f"gold.{name}")
@@ -69,10 +75,9 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
     they are), ``range`` range-partitions it first (one full shuffle; for
     inputs that are not clustered in time).
 
-    ``fuse`` computes the four clean-based gold models and the daily fare
-    histogram from one grouping-sets aggregation (one scan of silver instead
-    of five); the fused result is persisted while the tables are written,
-    then released."""
+    ``fuse`` computes the four clean-based gold models from one grouping-sets
+    aggregation, and the daily fare histogram from a second, narrow one (two
+    scans of silver instead of five)."""
     spark = m.spark
     b = Built(spark)
 
@@ -90,42 +95,48 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
     timed("silver_clean", lambda: tables.write_table(stored.clean, "silver.fhvhv_trips_clean",
                                                      gold.SORT_KEYS["fhvhv_trips_clean"], files,
                                                      how=silver_layout))
-    tables.create_view(b.enriched, "fhvhv_trips_enriched")
-    fused = gold.fused_aggregates(b.clean).persist() if fuse else None
-    if fused is not None:
-        # one scan of silver fills the cache; every fused table reads from it
-        timed("gold_fused_aggregate", fused.count)
-    built_models = gold.models_from_fused(fused) if fuse else {}
-    try:
-        for name, (src, fn) in gold.GOLD_MODELS.items():
-            df = built_models.get(name)
-            if df is None:
-                df = fn(b.clean if src == "clean" else b.enriched)
-            timed(f"gold_{name}", lambda: tables.write_table(df, f"gold.{name}", gold.SORT_KEYS.get(name), 1))
-    finally:
-        if fused is not None:
-            fused.unpersist()
+    tables.create_catalog_view(spark, ENRICHED_VIEW, silver.enriched_view_sql("silver.fhvhv_trips_clean",
+                                                                              "bronze.taxi_zones"))
+    # the silver tests come before gold: a refresh that fails them leaves gold as it was
+    b.failing_tests = []
     if run_tests:
-        models = {"fhvhv_trips_clean": b.clean, "fhvhv_trips_enriched": b.enriched,
-                  **{n: b.gold(n) for n in gold.GOLD_MODELS}}
-        report = quality.run_declared_tests(models)
-        t0 = time.perf_counter()
-        failing = quality.gate(report).collect()   # at most 17 rows
-        b.seconds["tests"] = round(time.perf_counter() - t0, 3)
-        b.failing_tests = [r.asDict() for r in failing]
-        if gate and failing:
-            raise RuntimeError(f"data tests failed: {b.failing_tests}")
+        timed("silver_tests", lambda: _test(b, {"fhvhv_trips_clean": b.clean, "fhvhv_trips_enriched": b.enriched}, gate))
+    built_models = {}
+    if fuse:
+        # both tables go to the shared folder: lost executors don't lose them, and every model reads them from there
+        scratch = scratch_path(spark, f"fused-{uuid.uuid4().hex}")
+        timed("gold_fused_aggregate", lambda: (gold.fused_aggregates(b.clean).write.parquet(f"{scratch}/sets"),
+                                               gold.fare_histogram(b.clean).write.parquet(f"{scratch}/fares")))
+        built_models = gold.models_from_fused(spark.read.parquet(f"{scratch}/sets"),
+                                              spark.read.parquet(f"{scratch}/fares"))
+    for name, (src, fn) in gold.GOLD_MODELS.items():
+        df = built_models.get(name)
+        if df is None:
+            df = fn(b.clean if src == "clean" else b.enriched)
+        timed(f"gold_{name}", lambda: tables.write_table(df, f"gold.{name}", gold.SORT_KEYS.get(name), 1))
+    if run_tests:
+        timed("gold_tests", lambda: _test(b, {n: b.gold(n) for n in gold.GOLD_MODELS}, gate))
+        b.seconds["tests"] = round(b.seconds["silver_tests"] + b.seconds["gold_tests"], 3)
     return b
 
 
+def _test(b: Built, models: dict[str, DataFrame], gate: bool) -> None:
+    """Run the declared tests of these models; with ``gate`` a failure ends the refresh here."""
+    failing = quality.gate(quality.run_declared_tests(models)).collect()   # at most one row per declared test
+    b.failing_tests += [r.asDict() for r in failing]
+    if gate and failing:
+        raise RuntimeError(f"data tests failed: {b.failing_tests}")
+
+
 # fixed values: the materialized tables that compaction rewrites
 COMPACTED = ("bronze.fhvhv_trips", "silver.fhvhv_trips_clean", *[f"gold.{g}" for g in gold.GOLD_MODELS])
 
 
-def compact_all(spark: SparkSession, files: int = 1) -> DataFrame:
+def compact_all(spark: SparkSession, files: int | None = None) -> DataFrame:
     """Compact every materialized table (bronze trips, silver clean, the five
     gold tables), each range-sorted by its own key; a table that fails is
-    reported and skipped, the rest still run."""
+    reported and skipped, the rest still run.  The file count follows from each
+    table's bytes unless given."""
     return tables.compact(spark, {t: gold.SORT_KEYS.get(t.split(".", 1)[1]) for t in COMPACTED}, files)
 
 
@@ -142,6 +153,8 @@ def attach(spark: SparkSession, root: str) -> list[str]:
     for layer, table in MATERIALIZED:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{table} USING parquet "
-                  f"LOCATION '{root.rstrip('/')}/{layer}/{table}'")
+                  f"LOCATION '{tables.latest_folder(spark, f'{root.rstrip('/')}/{layer}/{table}')}'")
         names.append(f"{layer}.{table}")
+    tables.create_catalog_view(spark, ENRICHED_VIEW, silver.enriched_view_sql("silver.fhvhv_trips_clean",
+                                                                              "bronze.taxi_zones"))
     return names

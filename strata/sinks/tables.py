@@ -52,9 +52,7 @@ def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None,
     the session and AQE coalesces small ranges toward the advisory size.
     """
     if not sort_by:
-        if files is not None:
-            return df.repartition(files)
-        return spread(df)
+        return df.repartition(files) if files is not None else df
     keys = [F.col(k) for k in sort_by]
     if how == "local" and files is None:
         return df.sortWithinPartitions(*keys)
@@ -64,16 +62,6 @@ def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None,
     return parts.sortWithinPartitions(*keys)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Keep the input's own partitioning, unless it has fewer partitions than
-    the cluster has cores (a small input in one file, one row group): then a
-    round-robin repartition gives every core a file to scan later.  At scale
-    the input already has far more splits than cores, so no shuffle is added.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def write_table(df: DataFrame, table: str, sort_by: list[str] | None = None, files: int | None = None,
                 fmt: str = "parquet", mode: str = "overwrite", how: str = "range") -> str:
     """Full-refresh materialization (drop + recreate) as a managed table."""
@@ -88,11 +76,18 @@ def write_path(df: DataFrame, path: str, sort_by: list[str] | None = None, files
 
 
 def create_view(df: DataFrame, name: str) -> str:
-    """View materialization: the definition is stored, nothing is computed."""
+    """View of this session: the definition is kept, nothing is computed."""
     df.createOrReplaceTempView(name)
     return name
 
 
+def create_catalog_view(spark: SparkSession, name: str, select: str) -> str:
+    """View materialization: the definition is stored in the catalog under
+    ``database.name``, for every session that shares it."""
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS {select}")
+    return name
+
+
 # fixed values: measurement table columns, in table order
 RESULT_COLUMNS = ("run_id", "captured_at", "question_id", "layer", "iteration", "wall_ms",
                   "query_duration_ms", "read_rows", "read_bytes", "memory_usage", "result_rows")
@@ -106,47 +101,88 @@ def append_measurements(spark: SparkSession, rows: DataFrame, table: str) -> str
     return table
 
 
-def compact(spark: SparkSession, tables: dict[str, list[str] | None], files: int = 1) -> DataFrame:
-    """Rewrite each table into ``files`` range-sorted files and swap it in.
+#: size of a file that compaction aims at
+TARGET_FILE_BYTES = 256 << 20
+
+
+def bytes_on_disk(spark: SparkSession, files: list[str]) -> int:
+    """Total size of files, from Spark's own file index (their content is not read)."""
+    if not files:
+        return 0
+    return spark.read.format("binaryFile").load(files).agg(F.sum("length")).first()[0] or 0
+
 
-    The new copy is written next to the old one, its row count is checked
-    against the original, and only then the names are swapped with
-    ``ALTER TABLE ... RENAME``.  A failing table is reported and skipped;
-    the others still run.  Returns one report row per table.
+def checksum(df: DataFrame) -> tuple[int, int]:
+    """Row count and an order-free sum of the row hashes."""
+    r = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64(*df.columns).cast("decimal(38,0)")).alias("s")).first()
+    return r["n"], int(r["s"] or 0)
+
+
+def compact(spark: SparkSession, tables: dict[str, list[str] | None], files: int | None = None,
+            target_bytes: int = TARGET_FILE_BYTES, delete_old: bool = True) -> DataFrame:
+    """Rewrite each table into few range-sorted files and point it at them.
+
+    The new copy goes to a fresh folder beside the table (``<table>__<stamp>``);
+    its rows and checksum are compared with the original, and then one metadata
+    step sets the table's location.  Until that step the table is as it was, after
+    it the new files serve; managed and external tables are treated alike, and
+    ``pipeline.attach`` finds the latest folder.  The old folder goes last
+    (``delete_old=False`` keeps it, e.g. while others still read it).  ``files``
+    defaults to the table's bytes over ``target_bytes``.  A table that fails is
+    reported and left alone; the others still run.  Returns one report row per
+    table.
     """
     report = []
     for table, sort_by in tables.items():
         t0 = time.time()
-        tmp, old = f"{table}__compact", f"{table}__precompact"
         try:
             src = spark.table(table)
-            before = len(src.inputFiles())
-            rows = src.count()
-            spark.sql(f"DROP TABLE IF EXISTS {tmp}")
-            write_table(src, tmp, sort_by, files)
-            new_rows = spark.table(tmp).count()
-            if new_rows != rows:
-                raise RuntimeError(f"row count changed {rows} -> {new_rows}")
-            spark.sql(f"DROP TABLE IF EXISTS {old}")
-            spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
-            spark.sql(f"ALTER TABLE {tmp} RENAME TO {table}")
-            spark.sql(f"DROP TABLE IF EXISTS {old}")
-            files_after = spark.table(table).inputFiles()
-            size = _bytes_on_disk(spark, files_after)
-            report.append((table, rows, before, len(files_after), size, "ok", "",
-                           round(time.time() - t0, 3)))
+            before = src.inputFiles()
+            old_bytes = bytes_on_disk(spark, before)
+            want = checksum(src)
+            base = _location(spark, table)
+            fresh = f"{base.split('__')[0]}__{time.time_ns():020d}"
+            layout(src, sort_by, files or max(1, -(-old_bytes // target_bytes))).write.parquet(fresh)
+            got = checksum(spark.read.parquet(fresh))
+            if got != want:
+                raise RuntimeError(f"rows or checksum changed: {want} -> {got}")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+            spark.catalog.refreshTable(table)
+            after = spark.table(table).inputFiles()
+            size = bytes_on_disk(spark, after)
+            if delete_old:
+                delete_path(spark, base)
+            report.append((table, want[0], len(before), len(after), size, "ok", "", round(time.time() - t0, 3)))
         except Exception as e:  # per-table failure is tolerated
-            report.append((table, None, None, None, None, "skipped", str(e)[:200],
-                           round(time.time() - t0, 3)))
+            report.append((table, None, None, None, None, "skipped", str(e)[:200], round(time.time() - t0, 3)))
     schema = ("table string, rows long, files_before long, files_after long, bytes_on_disk long, "
               "status string, error string, seconds double")
     return spark.createDataFrame(report, schema)
 
 
-def _bytes_on_disk(spark: SparkSession, files: list[str]) -> int:
-    """Total size of a table's files, read by the executors."""
-    from strata.sinks.footprint import file_stats
-    return file_stats(spark, files).agg(F.sum("bytes_on_disk")).first()[0] or 0
+def _location(spark: SparkSession, table: str) -> str:
+    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def delete_path(spark: SparkSession, path: str) -> bool:
+    """Delete a folder through Spark's file system (local, HDFS, object store)."""
+    fs, p = _hadoop_path(spark, path)
+    return fs.delete(p, True)
+
+
+def latest_folder(spark: SparkSession, path: str) -> str:
+    """The folder that holds a table: the latest of ``path`` and its compacted copies ``path__<stamp>``."""
+    fs, p = _hadoop_path(spark, path)
+    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}__*"))
+    names = sorted(s.getPath().toString() for s in found) if found else []
+    done = [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{n}/_SUCCESS"))]
+    return done[-1] if done else path
 
 
 def ingest_audit(bronze: DataFrame, batch_col: str = "_batch") -> DataFrame:

@@ -14,6 +14,7 @@ table.
 
 from __future__ import annotations
 
+import hashlib
 import os
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators import silver
 from strata.session import checkpoint_dir
+from strata.sources.landing import SchemaDriftError, files_missing_columns
 
 
 def landing_stream(spark: SparkSession, landing_dir: str, schema: StructType,
@@ -35,20 +37,34 @@ def landing_stream(spark: SparkSession, landing_dir: str, schema: StructType,
 
 
 def _run(df: DataFrame, out_path: str, checkpoint: str) -> int:
+    """Process what is there; the number of micro-batches committed so far,
+    over all runs of this checkpoint (a batch without new files isn't one)."""
     q = (df.writeStream.format("parquet").option("path", out_path)
          .option("checkpointLocation", checkpoint).outputMode("append")
          .trigger(availableNow=True).start())
     q.awaitTermination()
-    return len(q.recentProgress)
+    last = q.lastProgress
+    return 0 if last is None else last["batchId"] + int(last["numInputRows"] > 0)
 
 
 def ingest_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, schema: StructType,
                      checkpoint: str | None = None, silver_path: str | None = None,
-                     window=silver.DEFAULT_WINDOW) -> dict[str, int]:
+                     window=silver.DEFAULT_WINDOW, check_drift: bool = True) -> dict[str, int]:
     """Append the not-yet-seen landing files to bronze (and, with
     ``silver_path``, their cleaned rows to silver).  Returns the number of
-    micro-batches each stream ran."""
-    root = checkpoint or os.path.join(checkpoint_dir(spark), "ingest")
+    micro-batches that each stream has committed.
+
+    The default checkpoint belongs to the landing folder and the target, so
+    another target starts from the first file.  Files lacking a column of
+    ``schema`` are refused, as in the batch ingest.
+    """
+    if check_drift:
+        files = spark.read.option("recursiveFileLookup", "true").parquet(landing_dir).inputFiles()
+        short = files_missing_columns(spark, files, schema.fieldNames())
+        if short:
+            raise SchemaDriftError(f"{len(short)} file(s) lacking columns of the schema, e.g. {short[:5]}")
+    key = hashlib.sha256(f"{landing_dir}\n{bronze_path}\n{silver_path}".encode()).hexdigest()[:16]
+    root = checkpoint or os.path.join(checkpoint_dir(spark), f"ingest-{key}")
     src = landing_stream(spark, landing_dir, schema)
     out = {"bronze": _run(src, bronze_path, os.path.join(root, "bronze"))}
     if silver_path:

@@ -67,7 +67,7 @@ def test_irate_and_delta_match_pandas(spark):
     pdf["w"] = pdf["ts"].dt.floor("86400s")
     exp_delta, exp_irate = {}, {}
     for (m, inst, w), g in pdf.groupby(["metric", "instance", "w"]):
-        exp_delta[(m, inst, w)] = round(g["value"].iloc[-1] - g["value"].iloc[0], 4)
+        exp_delta[(m, inst, w)] = g["value"].iloc[-1] - g["value"].iloc[0]
         if len(g) >= 2:
             v, p = g["value"].iloc[-1], g["value"].iloc[-2]
             dt = (g["ts"].iloc[-1] - g["ts"].iloc[-2]).total_seconds()

@@ -45,7 +45,7 @@ def test_rejected_rows_add_up(spark):
 def test_fused_gold_equals_per_model_functions(spark):
     from strata.operators import gold
     m = Medallion(spark, SF_MID)
-    fused = gold.models_from_fused(gold.fused_aggregates(m.clean), m.clean)
+    fused = gold.models_from_fused(gold.fused_aggregates(m.clean), gold.fare_histogram(m.clean))
     for name, df in fused.items():
         single = m.gold(name)
         assert df.columns == single.columns, name

@@ -8,7 +8,9 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-QUERIES = E.queries()
+from strata.plans.catalog import REGISTRY
+
+QUERIES = {k: v for k, v in E.queries().items() if k in REGISTRY}
 
 
 def plan(df) -> str:
@@ -18,8 +20,8 @@ def plan(df) -> str:
     return buf.getvalue()
 
 
-# these two read Parquet footers on the executors through mapInPandas, by design
-FOOTER_READERS = {"table_footprint", "table_rows"}
+# reads Parquet footers on the executors through mapInPandas, by design
+FOOTER_READERS = {"table_footprint"}
 
 
 @pytest.mark.parametrize("name", sorted(n for n in QUERIES if n not in FOOTER_READERS))
@@ -31,6 +33,32 @@ def test_no_python_in_registered_queries(spark, name):
     assert "percentile(" not in p.lower().replace("percentile_approx(", ""), name
 
 
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_aggregates_are_hash_aggregates(spark, name):
+    """No registered query sorts its rows by key just to aggregate them."""
+    assert "SortAggregate" not in plan(QUERIES[name](spark, SF_SMALL)), name
+
+
+def test_building_a_query_starts_no_job(spark):
+    """Sizes are left to the optimizer: no eager check, no driver-side count."""
+    seen = []
+    for name in sorted(QUERIES):
+        spark.sparkContext.setJobGroup(f"build-{name}", name)
+        QUERIES[name](spark, SF_SMALL)
+        # reading a file's schema is Spark's own one-task job per table; nothing else may run
+        jobs = spark.sparkContext.statusTracker().getJobIdsForGroup(f"build-{name}")
+        info = [spark.sparkContext.statusTracker().getJobInfo(j) for j in jobs]
+        stages = [spark.sparkContext.statusTracker().getStageInfo(s) for i in info if i for s in i.stageIds]
+        seen += [(name, s.name) for s in stages if s and not s.name.startswith("parquet at")]
+    spark.sparkContext.setJobGroup("tests", "tests")
+    assert not seen
+
+
+def test_measurement_layers_are_scanned_once(spark):
+    p = plan(QUERIES["layer_union"](spark, SF_SMALL))
+    assert p.split("\n\n")[0].count("Scan parquet") <= 2
+
+
 def test_bronze_question_prunes_the_raw_scan(spark):
     p = plan(QUERIES["q1_bronze"](spark, SF_SMALL))
     scan_schema = [line for line in p.splitlines() if line.startswith("ReadSchema")][0]
