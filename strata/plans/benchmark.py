@@ -38,6 +38,7 @@ EVENT_LOG_CONF = {
 
 
 def tag(run_id: str, question: str, layer: str, iteration: int) -> str:
+    """The tag that ``exprs.bench_tag`` builds in a column."""
     # fixed values: tag prefix and layout
     return f"tcc_bench|{run_id}|{question}|{layer}|i{iteration}"
 

@@ -12,13 +12,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.functions import exprs as X
 from strata.operators import history as H
 from strata.operators import metrics as MET
 from strata.operators import gold, quality, silver
 from strata.plans import questions as Q
 from strata.plans.layers import Medallion
 from strata.sinks import footprint, tables
-from strata.sources import fixtures
+from strata.sources import fixtures, landing
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -81,6 +82,12 @@ REGISTRY: dict[str, Query] = {
     "cell_stats": lambda spark, d: H.cell_stats(_results(spark, d)),
     "latest_measurements": lambda spark, d: H.latest_measurements(_results(spark, d)),
     # sources and sinks
+    "landing_files": lambda spark, d: landing.read_trip_files(
+        spark, [f"{d}/events.parquet", f"{d}/events.parquet"], with_batch=False),
+    "landing_view": lambda spark, d: _nations_by_region(spark, d),
+    "bench_tags": lambda spark, d: _tags(spark, d),
+    "appended_measurements": lambda spark, d: tables.measurement_rows(_results(spark, d).drop("captured_at"))
+        .drop("captured_at"),
     "ingest_audit": lambda spark, d: tables.ingest_audit(
         _m(spark, d).bronze_trips.withColumn("_batch", F.date_format("pickup_datetime", "yyyy-MM"))),
     # both measure what is there; nothing is built, moved or registered
@@ -132,6 +139,20 @@ def _samples(spark, d):
     return fixtures.metric_samples(fixtures.table(spark, d, "events"))
 
 
+def _nations_by_region(spark, d):
+    """An aggregate over a view on the landing files (no copy)."""
+    landing.parquet_view(spark, f"{d}/nation.parquet", "landing_nation")
+    return spark.table("landing_nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("nations"))
+
+
+def _tags(spark, d):
+    """Tag of each measurement, and its parts read back."""
+    tagged = _results(spark, d).select("run_id", "question_id", "layer", "iteration", X.bench_tag(
+        "run_id", "question_id", "layer", "iteration").alias("tag"))
+    return tagged.select("tag", *[X.tag_part("tag", i).alias(n) for i, n in
+                                  enumerate(("prefix", "run_id", "question_id", "layer", "mark"))])
+
+
 def _sum_by_metric(samples):
     inst = MET.last_per_window(samples, LABELS, HOUR)
     return inst.groupBy("window_start", "metric").agg(

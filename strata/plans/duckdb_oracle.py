@@ -571,3 +571,11 @@ _TABLE_COUNTS = [
 SQL["table_rows"] = with_(BRONZE_TRIPS, ZONES, CLEAN, ENRICHED, DAILY, HOURLY, PAIRS, DRIVER, SHARED) + \
     "\nUNION ALL ".join(f"SELECT '{l}' AS layer, '{t}' AS \"table\", count(*) AS rows FROM {cte}"
                         for l, t, cte in _TABLE_COUNTS)
+
+SQL["landing_files"] = "SELECT * FROM events UNION ALL SELECT * FROM events"
+SQL["landing_view"] = "SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY 1"
+SQL["bench_tags"] = with_(RESULTS) + """
+SELECT 'tcc_bench|' || run_id || '|' || question_id || '|' || layer || '|i' || iteration AS tag,
+       'tcc_bench' AS prefix, run_id, question_id, layer, 'i' || iteration AS mark
+FROM results"""
+SQL["appended_measurements"] = with_(RESULTS) + "SELECT * EXCLUDE (captured_at) FROM results"

@@ -93,11 +93,17 @@ RESULT_COLUMNS = ("run_id", "captured_at", "question_id", "layer", "iteration",
                   "query_duration_ms", "read_rows", "read_bytes", "memory_usage", "result_rows")
 
 
-def append_measurements(spark: SparkSession, rows: DataFrame, table: str) -> str:
-    """Append measurement rows by column *name*; ``captured_at`` defaults to now."""
+def measurement_rows(rows: DataFrame) -> DataFrame:
+    """Rows as they are appended: the table's columns by *name*, in its order;
+    ``captured_at`` defaults to now."""
     if "captured_at" not in rows.columns:
         rows = rows.withColumn("captured_at", F.current_timestamp().cast("timestamp_ntz"))
-    rows.select(*RESULT_COLUMNS).write.mode("append").saveAsTable(table)
+    return rows.select(*RESULT_COLUMNS)
+
+
+def append_measurements(spark: SparkSession, rows: DataFrame, table: str) -> str:
+    """Append ``measurement_rows`` to a table."""
+    measurement_rows(rows).write.mode("append").saveAsTable(table)
     return table
 
 
