@@ -20,17 +20,19 @@ materialized first, so the questions read stored tables exactly as in the
 benchmark.  What to look for:
 
 * **Exchanges** — one hash exchange per aggregation (after a partial
-  aggregate), none for the zone lookups (they are broadcast after a size
-  check).  Global sorts add a range exchange over the *aggregated* rows only.
+  aggregate), none for the zone lookups (the optimizer broadcasts them by
+  their size in bytes).  Global sorts add a range exchange over the
+  *aggregated* rows only.
 * **Pushdown** — the window and fare predicates of the bronze questions appear
   in `PushedFilters`; `ReadSchema` lists only the columns used.
 * **Exact percentiles** — the daily model shuffles the (day, amount)
-  histogram, range-partitions it by (day, amount), computes running counts
-  per (partition, day) slice and slice offsets over a one-row-per-slice
-  table; no `percentile` aggregate buffers a whole group and no task sees a
-  whole day.
+  histogram, counts fixed value buckets, and ranks only the values in the
+  buckets that hold a wanted rank; no `percentile` aggregate buffers a whole
+  group, and nothing depends on partition numbers.
 * **Fused gold** — one scan of silver feeds an `Expand` (one copy of each row
-  per grouping set) and a single partial/final aggregation for four models.
+  per grouping set) and a single partial/final aggregation for four models;
+  the fare histogram is a second, two-column aggregate.
+* **Aggregates** — all are hash aggregates (`sort aggregates: 0`).
 * **Counter rates** — one exchange by (series, window) for the per-sample
   steps, one partial/final aggregate, one small exchange by series over the
   per-window rows.
@@ -52,7 +54,7 @@ def summary(p: str) -> str:
     windows = len(re.findall(r"Window \(", tree))
     python = "yes" if re.search("EvalPython|InPandas", p) else "no"
     return (f"hash/range exchanges: {exchanges}; broadcast exchanges: {broadcast}; joins: {joins}; "
-            f"windows: {windows}; python: {python}")
+            f"windows: {windows}; sort aggregates: {tree.count('SortAggregate')}; python: {python}")
 
 
 def main(argv):
@@ -76,7 +78,7 @@ def main(argv):
         "q2_gold": Q.q2_gold(b.gold("borough_pairs")),
         "gold daily_revenue (exact percentiles, recomputed from stored bronze)": m.__class__(
             spark, window=w, bronze_trips=b.bronze, bronze_zones=b.zones).gold("daily_revenue"),
-        "fused gold aggregate (daily, hourly, monthly, ride type and the fare histogram in one scan)":
+        "fused gold aggregate (daily, hourly, monthly and ride type in one scan)":
             __import__("strata.operators.gold", fromlist=["x"]).fused_aggregates(b.clean),
         "metric rate (6 h windows)": metrics.increase(
             fixtures.metric_samples(fixtures.table(spark, sf_dir, "events")), ["instance"], 21600),
