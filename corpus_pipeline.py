@@ -18,6 +18,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import compress_lang, decontaminate, line_dedup, near_dup, sentencepiece_trie
+from strata.llm.textvec import document_batches
 from strata.session import scratch_path
 
 #: SQL can express neither the compressed sizes nor the similarity components; the tests hold run() against brute force
@@ -45,13 +46,20 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sentencepiece_trie.encode_documents(docs, sentencepiece_trie.read_model())
 
 
-STAGES = [
+def _with_settings(stage):
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        document_batches(spark)
+        return stage(spark, docs, sf_dir)
+    return run_stage
+
+
+STAGES = [(name, _with_settings(stage)) for name, stage in (
     ("language_id", language_id),
     ("line_dedup", dedup_lines),
     ("near_dedup", dedup_documents),
     ("decontaminate", decontaminate_documents),
     ("tokenize", tokenize),
-]
+)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,6 @@ Scale: one map-only pass over the documents, no shuffle; memory per task is the
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Iterator
 

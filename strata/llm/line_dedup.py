@@ -2,12 +2,12 @@
 
 Lines of at least ``MIN_CHARS`` characters take part; shorter ones are never duplicates.  Equal lines are one node.
 Each distinct line of a batch gets ``BANDS`` x ``ROWS`` minima of its seven-character shingles; lines that share a band
-key form a bucket, and each member of a bucket is paired with its hub, the first in hash order.  Pairs are verified by
+key form a bucket, and each member of a bucket is paired with its hub, the smallest line hash.  Pairs are verified by
 the exact Jaccard similarity of their shingle sets; what a bucket then still holds in several components is compared in
 full, in bounded units (``near_dup.link_rest``).  One occurrence of each component stays: the first by doc_id, then by
 line number.
 
-Scale: texts are read by Spark and never gathered; the band keys are shuffled once and streamed in key order, so a
+Scale: texts are read by Spark and never gathered; the band keys are shuffled once, packed, and streamed, so that a
 bucket of any size takes constant memory; only texts of lines in shared buckets are kept for verification.
 """
 
@@ -28,23 +28,46 @@ from strata.llm.textvec import mix64, slices
 MIN_CHARS, SHINGLE_CHARS, THRESHOLD = 30, 7, 0.8
 #: a pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 5) ** 14 = 0.996
 BANDS, ROWS = 14, 5
+#: entries (band key and line) of a slot, about, and of a pack that a task gathers before it hands it on
+SLOT_ENTRIES, PACK_ENTRIES = 2_000_000, 1_000_000
 #: characters whose minima are taken at a time (keeps the work in the processor's cache)
-_STRIDE = 1 << 16
+_STRIDE = 1 << 15
 
 _RANDOM = mix64(np.arange(1, 2 * BANDS * ROWS + 1, dtype=np.uint64))
+_WEIGHTS = (mix64(np.arange(1001, 1001 + SHINGLE_CHARS, dtype=np.uint64)) | np.uint64(1)).astype(np.uint32)
 _FLIPS, _FACTORS = _RANDOM[::2].astype(np.uint32), (_RANDOM[1::2] | np.uint64(1)).astype(np.uint32)
 
 
 def shingle_hashes(points: np.ndarray) -> np.ndarray:
     """64-bit hash of the character shingle that starts at each code point (shorter by SHINGLE_CHARS - 1)."""
-    n = len(points) - SHINGLE_CHARS + 1
-    if n <= 0:
-        return np.zeros(0, dtype=np.uint64)
-    out = points[:n].astype(np.uint64)
-    for j in range(1, SHINGLE_CHARS):
-        out *= np.uint64(0x9E3779B97F4A7C15)
-        out += points[j:j + n]
-    return mix64(out)
+    n = max(len(points) - SHINGLE_CHARS + 1, 0)
+    out = np.empty(n, dtype=np.uint64)
+    for at in range(0, n, _STRIDE):
+        to = out[at:at + _STRIDE]
+        to[:] = points[at:at + len(to)]
+        for j in range(1, SHINGLE_CHARS):
+            to *= np.uint64(0x9E3779B97F4A7C15)
+            to += points[at + j:at + j + len(to)]
+        to[:] = mix64(to)
+    return out
+
+
+def short_hashes(points: np.ndarray) -> np.ndarray:
+    """32-bit hash of the character shingle that starts at each code point, for the minima."""
+    n = max(len(points) - SHINGLE_CHARS + 1, 0)
+    out, part = np.empty(n, dtype=np.uint32), np.empty(_STRIDE, dtype=np.uint32)
+    for at in range(0, n, _STRIDE):
+        to = out[at:at + _STRIDE]
+        term = part[:len(to)]
+        np.multiply(points[at:at + len(to)], _WEIGHTS[0], out=to)
+        for j in range(1, SHINGLE_CHARS):
+            np.multiply(points[at + j:at + j + len(to)], _WEIGHTS[j], out=term)
+            to += term
+        for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+            np.right_shift(to, np.uint32(shift), out=term)
+            to ^= term
+            to *= np.uint32(factor)
+    return out
 
 
 def code_points(text: str) -> np.ndarray:
@@ -53,20 +76,20 @@ def code_points(text: str) -> np.ndarray:
 
 def minima(hashes: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """Minima of each hash function over each range of shingles (ranges x BANDS * ROWS); ranges are in order."""
-    out = np.empty((len(starts), BANDS * ROWS), dtype=np.uint32)
-    short = (hashes >> np.uint64(32)).astype(np.uint32)
+    out = np.empty((BANDS * ROWS, len(starts)), dtype=np.uint32)
     first = 0
     while first < len(starts):
         last = max(first + 1, int(np.searchsorted(ends, starts[first] + _STRIDE, side="right")))
         lo, hi = starts[first], ends[last - 1]
-        part = short[lo:hi]
+        part, values = hashes[lo:hi], np.zeros(hi - lo + 1, dtype=np.uint32)
         # ranges with the gaps between them (shingles across a line end belong to none)
         edges = np.stack((starts[first:last], ends[first:last]), axis=1).ravel() - lo
         for k in range(BANDS * ROWS):
-            values = np.append((part ^ _FLIPS[k]) * _FACTORS[k], np.uint32(0))
-            out[first:last, k] = np.minimum.reduceat(values, edges)[::2]
+            np.bitwise_xor(part, _FLIPS[k], out=values[:-1])
+            np.multiply(values[:-1], _FACTORS[k], out=values[:-1])
+            out[k, first:last] = np.minimum.reduceat(values, edges)[::2]
         first = last
-    return out
+    return out.T
 
 
 def band_keys(values: np.ndarray) -> np.ndarray:
@@ -83,73 +106,132 @@ def line_hashes(text: Column) -> Column:
     return F.transform(F.split(text, "\n", -1), lambda s: F.when(F.char_length(s) >= MIN_CHARS, F.xxhash64(s)))
 
 
-def _band_rows(documents: DataFrame) -> DataFrame:
-    """(line, keys) of the distinct lines of each batch."""
+def _packed_bands(documents: DataFrame, slots: int) -> DataFrame:
+    """(slot, keys, lines): band keys and lines of the distinct lines of a batch, packed by slot (key modulo ``slots``).
+
+    Packing spares the shuffle a row for each band of each line.
+    """
+    def pack(keys: list[np.ndarray], lines: list[np.ndarray]) -> pa.RecordBatch:
+        key, line = np.concatenate(keys), np.concatenate(lines)
+        slot = (key.view(np.uint64) % np.uint64(slots)).astype(np.int64)
+        order = np.argsort(slot, kind="stable")
+        slot, key, line = slot[order], key[order], line[order]
+        edges = np.concatenate(([0], np.flatnonzero(np.diff(slot)) + 1, [len(slot)]))
+        ends = pa.array(edges, pa.int32())
+        return pa.RecordBatch.from_arrays(
+            [pa.array(slot[edges[:-1]]), pa.ListArray.from_arrays(ends, pa.array(key)),
+             pa.ListArray.from_arrays(ends, pa.array(line))], names=["slot", "keys", "lines"])
+
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, lines, held = [], [], 0
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = batch.column("text").cast(pa.string()).to_pylist()
                 points = code_points("\n".join(texts) + "\n")
                 ends = np.flatnonzero(points == 0x0A)
                 starts = np.concatenate(([0], ends[:-1] + 1))
-                lines = batch.column("lines").flatten()
-                part = np.flatnonzero(lines.is_valid().to_numpy(zero_copy_only=False))
-                numbers = lines.drop_null().to_numpy()
+                found = batch.column("lines").flatten()
+                part = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
+                numbers = found.drop_null().to_numpy()
                 _, first = np.unique(numbers, return_index=True)
                 first.sort()
                 at = part[first]
-                keys = band_keys(minima(shingle_hashes(points), starts[at], ends[at] - SHINGLE_CHARS + 1))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(numbers[first]),
-                     pa.ListArray.from_arrays(np.arange(len(at) + 1, dtype=np.int32) * BANDS, keys.ravel())],
-                    names=["line", "keys"])
+                if not len(at):
+                    continue
+                own = band_keys(minima(short_hashes(points), starts[at], ends[at] - SHINGLE_CHARS + 1))
+                keys.append(own.ravel())
+                lines.append(np.repeat(numbers[first], BANDS))
+                held += own.size
+                if held > PACK_ENTRIES:
+                    yield pack(keys, lines)
+                    keys, lines, held = [], [], 0
+        if held:
+            yield pack(keys, lines)
 
     return (documents.where(F.length("text") >= MIN_CHARS).select("text", line_hashes(F.col("text")).alias("lines"))
-            .mapInArrow(apply, "line long, keys array<long>"))
+            .mapInArrow(apply, "slot long, keys array<long>, lines array<long>"))
 
 
-def buckets_of(rows: DataFrame) -> DataFrame:
-    """(key, class_id, hub) for the lines of all buckets with two or more distinct lines.
+class Buckets:
+    """Buckets of one slot, fed in pieces: knows each key's hub (the line that came first) and whether it was given out.
 
-    ``rows`` has (key, line).  They are streamed in (key, line) order; the state is one bucket's hub.
+    The state is one entry for each different key of the slot, however often a key occurs.
     """
+
+    def __init__(self):
+        self.keys = np.zeros(0, dtype=np.int64)
+        self.hubs = np.zeros(0, dtype=np.int64)
+        self.shown = np.zeros(0, dtype=bool)
+
+    def add(self, keys: np.ndarray, lines: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """New members (key, line, hub) of buckets with two or more lines; a line may be given again."""
+        order = np.lexsort((lines, keys))
+        keys, lines = keys[order], lines[order]
+        first = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+        names = keys[first]
+        at = np.searchsorted(self.keys, names)
+        at[at == len(self.keys)] = 0
+        known = self.keys[at] == names if len(self.keys) else np.zeros(len(names), dtype=bool)
+        hubs = np.where(known, self.hubs[at] if len(self.keys) else 0, lines[first])
+        shown = np.where(known, self.shown[at] if len(self.keys) else False, False)
+        group = np.cumsum(np.concatenate(([0], (keys[1:] != keys[:-1]).astype(np.int64))))
+        other = lines != hubs[group]
+        opened = ~shown & (np.bincount(group[other], minlength=len(names)) > 0)
+        k = np.concatenate((names[opened], keys[other]))
+        c = np.concatenate((hubs[opened], lines[other]))
+        h = np.concatenate((hubs[opened], hubs[group[other]]))
+        self.shown[at[known & opened]] = True
+        fresh = ~known
+        merged = np.concatenate((self.keys, names[fresh]))
+        order = np.argsort(merged, kind="stable")
+        self.keys = merged[order]
+        self.hubs = np.concatenate((self.hubs, hubs[fresh]))[order]
+        self.shown = np.concatenate((self.shown, opened[fresh]))[order]
+        return k, c, h
+
+
+def buckets_of(packed: DataFrame) -> DataFrame:
+    """(key, class_id, hub) for the lines of all buckets with two or more distinct lines, from (slot, keys, lines)."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        key = line = hub = None
-        shown = True  # has the hub's own row been given out?
+        slot, state, keys, lines, held = None, Buckets(), [], [], 0
+
+        def feed() -> Iterator[pa.RecordBatch]:
+            if keys:
+                found = state.add(np.concatenate(keys), np.concatenate(lines))
+                if len(found[0]):
+                    yield pa.RecordBatch.from_arrays([pa.array(a) for a in found], names=["key", "class_id", "hub"])
+
         for batch in batches:
-            keys, lines = batch.column("key").to_numpy(), batch.column("line").to_numpy()
-            same_key = np.empty(len(keys), dtype=bool)
-            same_key[1:] = keys[1:] == keys[:-1]
-            same_line = np.empty(len(keys), dtype=bool)
-            same_line[1:] = lines[1:] == lines[:-1]
-            if not len(keys):
-                continue
-            same_key[0], same_line[0] = keys[0] == key, lines[0] == line
-            fresh = ~(same_key & same_line)
-            if not fresh.any():
-                continue
-            keys, lines, same_key = keys[fresh], lines[fresh], same_key[fresh]
-            start = np.where(same_key, -1, np.arange(len(keys)))
-            start = np.maximum.accumulate(start)
-            hubs = np.where(start >= 0, lines[np.maximum(start, 0)], 0 if hub is None else hub)
-            followed = np.append(same_key[1:], False) & ~same_key  # a bucket's first line with another behind it
-            out = same_key | followed
-            k, c, h = keys[out], lines[out], hubs[out]
-            if same_key[0] and not shown:
-                k, c, h = (np.concatenate(([v], a)) for v, a in ((key, k), (hub, c), (hub, h)))
-            shown = bool(followed[start[-1]]) if start[-1] >= 0 else True
-            key, line, hub = keys[-1], lines[-1], hubs[-1]
-            if len(k):
-                yield pa.RecordBatch.from_arrays([pa.array(a.astype(np.int64)) for a in (k, c, h)],
-                                                 names=["key", "class_id", "hub"])
-
-    return rows.repartition("key").sortWithinPartitions("key", "line").mapInArrow(
-        apply, "key long, class_id long, hub long")
-
-
-def text_set(value: pa.Scalar) -> np.ndarray:
-    """Sorted distinct shingle hashes of a line."""
-    return np.unique(shingle_hashes(code_points(value.as_py())))
+            key_lists, line_lists = batch.column("keys"), batch.column("lines")
+            for i, own in enumerate(batch.column("slot").to_pylist()):
+                if own != slot or held > PACK_ENTRIES:
+                    yield from feed()
+                    keys, lines, held = [], [], 0
+                    if own != slot:
+                        slot, state = own, Buckets()
+                if len(key_lists[i].values):
+                    keys.append(key_lists[i].values.to_numpy())
+                    lines.append(line_lists[i].values.to_numpy())
+                    held += len(keys[-1])
+        yield from feed()
+
+    return packed.repartition("slot").sortWithinPartitions("slot").mapInArrow(
+        apply, "key long, class_id long, hub long").distinct()
+
+
+def line_sets(lines: pa.Array) -> list[np.ndarray]:
+    """Sorted distinct shingle hashes of each line."""
+    texts = lines.to_pylist()
+    starts = np.concatenate(([0], np.cumsum([len(t) + 1 for t in texts]))).astype(np.int64)
+    hashes = shingle_hashes(code_points("\n".join(texts) + "\n" * SHINGLE_CHARS))[:starts[-1]]
+    ends = np.maximum(starts[:-1], starts[1:] - SHINGLE_CHARS)  # shingles across a line end belong to none
+    for a, b in zip(starts[:-1].tolist(), ends.tolist(), strict=True):
+        hashes[a:b].sort()
+    # what differs from its left neighbour, and every line's first
+    fresh = np.ones(len(hashes), dtype=bool)
+    fresh[1:] = hashes[1:] != hashes[:-1]
+    fresh[starts[:-1][ends > starts[:-1]]] = True
+    return [hashes[a:b][fresh[a:b]] for a, b in zip(starts[:-1].tolist(), ends.tolist(), strict=True)]
 
 
 def similar_lines(pairs: DataFrame, payload: DataFrame, threshold: float) -> DataFrame:
@@ -159,18 +241,21 @@ def similar_lines(pairs: DataFrame, payload: DataFrame, threshold: float) -> Dat
     both = pairs.join(one, "a").join(two, "b")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            keep, seen = [], {}
-            for a, b, x, y in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), batch.column("text_a"),
-                                  batch.column("text_b"), strict=True):
-                if b not in seen:
-                    if len(seen) > 1000:
-                        seen.clear()
-                    seen[b] = text_set(y)
-                one_set, other = text_set(x), seen[b]
-                common = len(np.intersect1d(one_set, other, assume_unique=True))
-                keep.append(common >= threshold * (len(one_set) + len(other) - common))
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+        for whole in batches:
+            for batch in slices(whole, "text_a"):
+                # the join brings the pairs of a line together: its set is made once
+                names, number = np.unique(batch.column("b").to_numpy(), return_inverse=True)
+                first = np.zeros(len(names), dtype=np.int64)
+                first[number[::-1]] = np.arange(len(number))[::-1]
+                theirs = line_sets(batch.column("text_b").take(pa.array(first)))
+                keep = np.zeros(batch.num_rows, dtype=bool)
+                for i, own in enumerate(line_sets(batch.column("text_a"))):
+                    other = theirs[number[i]]
+                    total = len(own) + len(other)
+                    if min(len(own), len(other)) >= threshold * max(len(own), len(other)):
+                        common = len(np.intersect1d(own, other, assume_unique=True))
+                        keep[i] = common >= threshold * (total - common)
+                yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return both.select("a", "b", "text_a", "text_b").mapInArrow(verify, "a long, b long")
 
@@ -189,7 +274,7 @@ def _distinct_lines(documents: DataFrame) -> DataFrame:
                             given.add(number)
                             numbers.append(number)
                             texts.append(line)
-                if len(given) > 500_000:
+                if len(given) > 200_000:
                     given.clear()
                 yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int64()), pa.array(texts, pa.string())],
                                                  names=["class_id", "payload"])
@@ -215,24 +300,34 @@ def duplicate_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     null doc_id comes after all others; short lines always stay; an empty table gives an empty result; only doc_id and
     text are read, so other columns may have any name.
     """
-    members = materialize(buckets_of(_band_rows(documents).select(F.explode("keys").alias("key"), "line")), "members")
+    docs = materialize(documents.select("doc_id", F.xxhash64("text").alias("text_hash"),
+                                        line_hashes(F.col("text")).alias("lines")), "occurrences")
+    n_lines = docs.agg(F.sum(F.size(F.filter("lines", lambda x: x.isNotNull())).cast("long"))).first()[0] or 0
+    slots = 1 + max(n_lines, 0) * BANDS // SLOT_ENTRIES
+    found = materialize(buckets_of(_packed_bands(documents, slots)), "buckets")
+    # one hub for all buckets of a family, as far as possible: the smallest line, so that pairs repeat and fall together
+    hubs = found.groupBy("key").agg(F.min("class_id").alias("least")).withColumnRenamed("key", "h_key")
+    members = materialize(found.join(hubs, F.col("key") == F.col("h_key"))
+                          .select("key", "class_id", F.col("least").alias("hub")), "members")
     wanted = members.select(F.col("class_id").alias("w_line")).distinct()
     found = _distinct_lines(documents).join(wanted, F.col("class_id") == F.col("w_line"), "left_semi")
     payload = materialize(found.groupBy("class_id").agg(F.min("payload").alias("payload")), "lines")
     pairs = members.where(F.col("class_id") != F.col("hub")).select(
         F.col("class_id").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(similar_lines(pairs, payload, threshold), "links")
-    labels = join_components(members, links, payload, threshold, text_set)
-
-    docs = materialize(documents.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                                        line_hashes(F.col("text")).alias("lines")), "occurrences")
+    labels = join_components(members, links, payload, threshold, line_sets)
     at = (docs.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
           .where(F.col("line").isNotNull()).withColumn("place", _order(documents)))
-    at = at.join(labels, F.col("line") == F.col("node"), "left").select(
-        "doc_id", "text_hash", "line_no", "place", F.coalesce("component", "line").alias("component"))
-    first = at.groupBy("component").agg(F.min("place").alias("first"), F.max("place").alias("last")).where(
-        "first < last").select(F.col("component").alias("f_component"), "first")
-    gone = (at.join(first, F.col("component") == F.col("f_component")).where("place > first")
+    # first and last place of each line, then of each component; lines with an occurrence behind the component's first
+    # are few, and only they meet the occurrences again
+    by_line = at.groupBy("line").agg(F.min("place").alias("line_first"), F.max("place").alias("line_last"))
+    placed = materialize(by_line.join(labels, F.col("line") == F.col("node"), "left").select(
+        "line", "line_first", "line_last", F.coalesce("component", "line").alias("component"))
+        .where(F.col("node").isNotNull() | (F.col("line_first") < F.col("line_last"))), "places")
+    first = placed.groupBy("component").agg(F.min("line_first").alias("first")).withColumnRenamed("component", "f_component")
+    behind = materialize(placed.join(first, F.col("component") == F.col("f_component")).where("line_last > first")
+                         .select(F.col("line").alias("b_line"), "first"), "behind")
+    gone = (at.join(behind, F.col("line") == F.col("b_line")).where("place > first")
             .groupBy(F.col("doc_id").alias("g_doc"), F.col("text_hash").alias("g_hash"))
             .agg(F.array_sort(F.collect_set("line_no")).alias("removed")))
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("g_doc")) & (F.col("text_hash") == F.col("g_hash")),

@@ -24,6 +24,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 from strata.llm.components import connected_components, materialize
 from strata.llm.textvec import Texts, mix64, slices, utf8, windows
@@ -164,17 +165,17 @@ def similar(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= F.lit(threshold) * (F.size("set_a") + F.size("set_b") - common)).select("a", "b")
 
 
-def sorted_set(value: pa.Scalar) -> np.ndarray:
-    return np.sort(value.values.to_numpy(zero_copy_only=False))
+def sorted_sets(column: pa.Array) -> list[np.ndarray]:
+    return [np.sort(v.values.to_numpy(zero_copy_only=False)) for v in column]
 
 
 def link_rest(buckets: DataFrame, payload: DataFrame, threshold: float,
-              to_set: Callable[[pa.Scalar], np.ndarray] = sorted_set) -> DataFrame:
+              to_sets: Callable[[pa.Array], list[np.ndarray]] = sorted_sets) -> DataFrame:
     """Links across the components of a bucket: (component a, component b) pairs that join them.
 
     ``buckets`` has (key, class_id, component, main): ``main`` is the component of the bucket's hub.  Each member outside
     it meets all members, in units of ``UNIT_MINORS`` x ``UNIT_MEMBERS``.  ``payload`` is a table (class_id, payload),
-    and ``to_set`` makes a sorted shingle set of a payload.
+    and ``to_sets`` makes the sorted shingle sets of a column of payloads.
     """
     minor = F.col("component") != F.col("main")
     counts = buckets.groupBy("key").agg(F.sum(minor.cast("long")).alias("n_minors"), F.count("*").alias("n"))
@@ -197,13 +198,13 @@ def link_rest(buckets: DataFrame, payload: DataFrame, threshold: float,
         current, minors, members = None, [], []
         for batch in batches:
             out: set[tuple[int, int]] = set()
-            values = batch.column("payload")
+            own_sets = to_sets(batch.column("payload"))
             rows = zip(*(batch.column(c).to_pylist() for c in ("key", "x", "y", "side", "component")), strict=True)
             for i, (key, x, y, side, component) in enumerate(rows):
                 if (key, x, y) != current:
                     out |= link_unit(minors, members, threshold)
                     current, minors, members = (key, x, y), [], []
-                (members if side else minors).append((component, to_set(values[i])))
+                (members if side else minors).append((component, own_sets[i]))
             if out:
                 yield _pairs(out)
         if out := link_unit(minors, members, threshold):
@@ -224,6 +225,15 @@ def link_unit(minors: list[tuple[int, np.ndarray]], members: list[tuple[int, np.
     found: set[tuple[int, int]] = set()
     if not minors or not members:
         return found
+    if len(minors) * len(members) <= 32:
+        for c, own in minors:
+            for d, other in members:
+                small, large = sorted((len(own), len(other)))
+                if c != d and small >= threshold * large:
+                    common = len(np.intersect1d(own, other, assume_unique=True))
+                    if common >= threshold * (small + large - common):
+                        found.add((min(c, d), max(c, d)))
+        return found
     component = np.array([c for c, _ in members])
     size = np.array([len(s) for _, s in members])
     owner = np.repeat(np.arange(len(members)), size)
@@ -241,7 +251,7 @@ def link_unit(minors: list[tuple[int, np.ndarray]], members: list[tuple[int, np.
 
 
 def join_components(members: DataFrame, links: DataFrame, payload: DataFrame, threshold: float,
-                    to_set: Callable[[pa.Scalar], np.ndarray] = sorted_set) -> DataFrame:
+                    to_sets: Callable[[pa.Array], list[np.ndarray]] = sorted_sets) -> DataFrame:
     """Components (node, component) of all links inside the buckets ``members`` (key, class_id, hub).
 
     ``links`` (a, b) are the verified pairs of members and hubs; buckets that these leave in several components go
@@ -254,10 +264,13 @@ def join_components(members: DataFrame, links: DataFrame, payload: DataFrame, th
     main = placed.where(F.col("class_id") == F.col("hub")).select(
         F.col("key").alias("m_key"), F.col("component").alias("main"))
     mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"),
-                                      F.count("*").alias("n")).where("lo < hi AND n > 2")
-    open_buckets = (placed.join(mixed.select(F.col("key").alias("x_key")), F.col("key") == F.col("x_key"), "left_semi")
+                                      F.count("*").alias("n"), F.sum(F.xxhash64("class_id", "hub").cast("decimal(38,0)"))
+                                      .alias("same")).where("lo < hi AND n > 2")
+    # buckets of different bands often hold the very same classes: one of them is enough
+    alike = mixed.groupBy("n", "lo", "hi", "same").agg(F.min("key").alias("x_key"))
+    open_buckets = (placed.join(alike.select("x_key"), F.col("key") == F.col("x_key"), "left_semi")
                     .join(main, F.col("key") == F.col("m_key")).select("key", "class_id", "component", "main"))
-    merged = connected_components(link_rest(open_buckets, payload, threshold, to_set))
+    merged = connected_components(link_rest(open_buckets, payload, threshold, to_sets))
     joined = merged.select(F.col("node").alias("j_node"), F.col("component").alias("j_component"))
     return labels.join(joined, F.col("component") == F.col("j_node"), "left").select(
         "node", F.coalesce("j_component", "component").alias("component")).unionByName(
@@ -315,7 +328,7 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
     A null doc_id counts as larger than all others; of several rows with the smallest one stays.
     """
-    groups = materialize(mark_kept(near_groups(documents, threshold)), "groups")
+    groups = materialize(mark_kept(materialize(near_groups(documents, threshold), "groups")), "marked")
     kept = groups.where("kept").select(F.col("doc_id").alias("k_doc"), F.col("text_hash").alias("k_hash")).distinct()
     # the row travels as one column, so its own names can't meet the ones used here
     packed = documents.select(F.struct(*(F.col(f"`{n}`") for n in documents.columns)).alias("row"),
@@ -332,14 +345,19 @@ def keep_one(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
 
 def mark_kept(groups: DataFrame) -> DataFrame:
     """Adds group_id (the smallest doc_id of the component) and kept (its one row that stays)."""
-    least = groups.groupBy("component").agg(F.min("doc_id").alias("group_id")).withColumnRenamed("component", "g_component")
-    named = groups.join(least, F.col("component") == F.col("g_component")).drop("g_component")
-    stay = (named.where(F.col("doc_id").eqNullSafe(F.col("group_id"))).groupBy("component")
-            .agg(F.min("row_id").alias("s_row")).select("s_row"))
-    return (named.join(stay, F.col("row_id") == F.col("s_row"), "left")
-            .withColumn("kept", F.col("s_row").isNotNull()).drop("s_row"))
+    by_doc = groups.groupBy("component", "doc_id").agg(F.min("row_id").alias("row"))
+    order = F.col("doc_id")
+    if isinstance(groups.schema["doc_id"].dataType, IntegralType):  # a null comes last
+        order = F.coalesce(order.cast("decimal(20,0)"), F.lit("9999999999999999999").cast("decimal(20,0)"))
+    # a doc_id comes once in a component here, so the order has no ties; written first, so that the join below is a join
+    # of two exchanges, which adaptive execution splits where a component is large
+    best = materialize(by_doc.groupBy("component").agg(
+        F.min("doc_id").alias("group_id"), F.coalesce(F.min_by("row", order), F.min("row")).alias("stays"))
+        .withColumnRenamed("component", "g_component"), "kept")
+    return (groups.join(best, F.col("component") == F.col("g_component"))
+            .withColumn("kept", F.col("row_id") == F.col("stays")).drop("g_component", "stays"))
 
 
 def op3_probminhash(spark, sf_dir: str) -> DataFrame:
-    groups = mark_kept(near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")))
+    groups = mark_kept(materialize(near_groups(spark.read.parquet(f"{sf_dir}/documents.parquet")), "groups"))
     return groups.select("doc_id", "group_id", "kept", "n_shingles", "n_links")

@@ -19,7 +19,9 @@ Scale: a map-only pass over whole texts; a task keeps the model, one batch, and
 from __future__ import annotations
 
 import hashlib
+import itertools
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -34,8 +36,10 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 #: kinds of pieces in a model file (fixed values of the format)
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
-#: words that a task remembers from batch to batch
-CACHE_WORDS = 300_000
+#: words, and pairs of pieces, that a worker remembers from batch to batch (about 40 MB together)
+CACHE_WORDS, KNOWN_PAIRS = 150_000, 150_000
+#: more than any piece number
+_PAIR = 1 << 24
 #: default model (a parameter everywhere)
 MODEL_NAME = "piece_bpe_32k.model"
 
@@ -73,15 +77,19 @@ class Model:
         if self.kind not in (UNIGRAM, BPE):
             raise ValueError(f"models of type {self.kind} are not supported")
         self.score = [s for _, s, _ in pieces]
+        # what each piece stands for in a decoded text
+        self.shown = [bytes([int(p[3:5], 16)]) if t == _BYTE else b"" if t == _CONTROL else " \u2047 ".encode()
+                      if t == _UNKNOWN else p.replace(MARK, " ").encode() for p, _, t in pieces]
         self.size = [len(p) for p, _, _ in pieces]
+        self._apart: dict[int, bool] = {}
         # all pieces that end at a place, longest first
         self.matches = ahocorasick.Automaton()
         for piece, i in self.ids.items():
-            self.matches.add_word(piece, i)
+            # a piece that the merges of its own text don't make never comes up in an encoding
+            if self.kind == UNIGRAM or self._merge(piece) == [piece]:
+                self.matches.add_word(piece, i)
         self.matches.make_automaton()
         self.floor = min((self.score[i] for i in self.ids.values()), default=0.0) - 10.0
-        self._apart: dict[tuple[int, int], bool] = {}
-        self._reached: dict[int, bool] = {}
 
     # -- BPE: which neighbours do the merges leave apart? -------------------------------------------------------
 
@@ -103,11 +111,11 @@ class Model:
 
     def apart(self, left: int, right: int) -> bool:
         """Do the merges of the two pieces' joint text end in exactly these two?"""
-        key = (left, right)
-        found = self._apart.get(key)
-        if found is None:
-            a, b = self._text(left), self._text(right)
-            found = self._apart[key] = self._merge(a + b) == [a, b]
+        a, b = self._text(left), self._text(right)
+        found = self._merge(a + b) == [a, b]
+        if len(self._apart) >= KNOWN_PAIRS:
+            self._apart.clear()
+        self._apart[left * _PAIR + right] = found
         return found
 
     # -- search ----------------------------------------------------------------------------------------------
@@ -157,26 +165,17 @@ class Model:
             start = last + 1 - size[piece]
             if start:
                 left = table[start][2]
-                fits = apart.get((left, piece))
+                fits = apart.get(left * _PAIR + piece)
                 if fits is None:
                     fits = self.apart(left, piece)
-            else:
-                fits = True
-            if fits and self.reached(piece):
-                table.append((0.0, start, piece))
-                filled += 1
+                if not fits:
+                    continue
+            table.append((0.0, start, piece))
+            filled += 1
         while filled < len(word):
             table.append((0.0, filled, -1 - ord(word[filled])))
             filled += 1
 
-    def reached(self, piece: int) -> bool:
-        """Do the merges of the piece's own text end in the piece?"""
-        found = self._reached.get(piece)
-        if found is None:
-            text = self.pieces[piece][0]
-            found = self._reached[piece] = self._merge(text) == [text]
-        return found
-
     def _back(self, word: str, table: list[tuple]) -> list[int]:
         ids: list[int] = []
         at = len(word)
@@ -202,40 +201,31 @@ class Model:
         marked = text.replace(" ", MARK)
         return MARK + marked if self.dummy_prefix else marked
 
-    def encode(self, texts: list[str], cache: dict[str, list[int]] | None = None) -> list[list[int]]:
-        """Piece numbers of whole texts."""
+    def encode_arrays(self, texts: list[str], cache: dict[str, bytes] | None = None) -> list[np.ndarray]:
+        """Piece numbers of whole texts (int32 arrays); ``cache`` is the word table, filled on the way."""
         cut = [_WORDS.findall(self.mark(t)) for t in texts]
         known = cache if cache is not None else {}
         if len(known) > CACHE_WORDS:
             known.clear()
-        fresh = {w for words in cut for w in words}.difference(known)
-        known.update(self.encode_words(list(fresh)))
-        return [[i for w in words for i in known[w]] for words in cut]
+        fresh = set(itertools.chain.from_iterable(cut)).difference(known)
+        for word, ids in self.encode_words(list(fresh)).items():
+            known[word] = array("i", ids).tobytes()
+        return [np.frombuffer(b"".join([known[w] for w in words]), dtype=np.int32) for words in cut]
+
+    def encode(self, texts: list[str], cache: dict[str, bytes] | None = None) -> list[list[int]]:
+        return [ids.tolist() for ids in self.encode_arrays(texts, cache)]
 
     def decode(self, ids: list[int]) -> str:
         """Text of piece numbers: byte pieces are joined, marks become blanks, the blank put in front goes."""
-        out: list[str] = []
-        held = bytearray()
-        value = {i: b for b, i in self.bytes.items()}
-        for i in ids:
-            if i in value:
-                held.append(value[i])
-                continue
-            if held:
-                out.append(held.decode("utf-8", "replace"))
-                held.clear()
-            piece, _, kind = self.pieces[i]
-            out.append("" if kind == _CONTROL else " ⁇ " if kind == _UNKNOWN else piece)
-        if held:
-            out.append(held.decode("utf-8", "replace"))
-        text = "".join(out).replace(MARK, " ")
+        shown = self.shown
+        text = b"".join([shown[i] for i in ids]).decode("utf-8", "replace")
         return text[1:] if self.dummy_prefix and text.startswith(" ") else text
 
 
-_LOADED: dict[bytes, tuple[Model, dict[str, list[int]]]] = {}
+_LOADED: dict[bytes, tuple[Model, dict[str, bytes]]] = {}
 
 
-def loaded(content: bytes) -> tuple[Model, dict[str, list[int]]]:
+def loaded(content: bytes) -> tuple[Model, dict[str, bytes]]:
     """Model and word table of this worker process (made once, used by all its tasks)."""
     key = hashlib.sha256(content).digest()
     if key not in _LOADED:
@@ -264,11 +254,13 @@ def encode_documents(documents: DataFrame, model: bytes) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 texts = batch.column("text").cast(pa.string()).to_pylist()
-                ids = m.encode([t or "" for t in texts], cache)
-                back = [t is not None and m.decode(i) == t for t, i in zip(texts, ids, strict=True)]
+                ids = m.encode_arrays([t or "" for t in texts], cache)
+                back = [t is not None and m.decode(i.tolist()) == t for t, i in zip(texts, ids, strict=True)]
+                size = np.array([len(i) for i in ids], dtype=np.int64)
+                ends = np.concatenate(([0], np.cumsum(size))).astype(np.int32)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(ids, pa.list_(pa.int32())),
-                     pa.array([len(i) for i in ids], pa.int64()), pa.array(back, pa.bool_())],
+                    [batch.column("doc_id"), pa.ListArray.from_arrays(ends, pa.array(np.concatenate(ids))),
+                     pa.array(size), pa.array(back, pa.bool_())],
                     names=["doc_id", "input_ids", "n_tokens", "round_trip"])
 
     kind = documents.schema["doc_id"].dataType.simpleString()

@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-MAX_BATCH_BYTES = 2 << 20
+MAX_BATCH_BYTES = 1 << 20
 
 #: bytes that separate words: blank, tab, line feed, vertical tab, form feed, carriage return
 SPACE_BYTES = np.zeros(256, dtype=bool)
@@ -48,6 +48,18 @@ def _powers(n: int) -> np.ndarray:
     return _POWERS
 
 
+def document_batches(spark) -> None:
+    """Session settings for rows that hold whole texts: Arrow batches of 1,000 rows and 8 MB.
+
+    Spark's default of 10,000 rows suits narrow rows; with texts, a task's buffers on both sides would take hundreds of
+    megabytes.  Settings that the session has made itself stay.
+    """
+    for key, default, value in (("spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"),
+                                ("spark.sql.execution.arrow.maxBytesPerBatch", "67108864b", "8388608b")):
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, value)
+
+
 def slices(batch: pa.RecordBatch, column: str, max_bytes: int = MAX_BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut a record batch into runs of rows whose text column holds at most ``max_bytes`` (or one row)."""
     if batch.num_rows == 0:
@@ -61,6 +73,7 @@ def slices(batch: pa.RecordBatch, column: str, max_bytes: int = MAX_BATCH_BYTES)
             start, total = i, 0
         total += int(size)
     yield batch.slice(start)
+    pa.default_memory_pool().release_unused()  # workers are few and live long: what a batch needed goes back
 
 
 def utf8(column: pa.Array) -> list[bytes]:

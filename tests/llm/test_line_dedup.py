@@ -81,20 +81,22 @@ def test_odd_rows(spark, odd, empty):
     assert L.duplicate_lines(empty).count() == 0 and L.remove_lines(empty).count() == 0
 
 
-def test_streamed_buckets_over_batch_edges(spark):
+def test_streamed_buckets_in_pieces(spark, monkeypatch):
     random.seed(7)
     rows = [(random.randrange(40), random.randrange(30)) for _ in range(600)] + [(1000, 5)] * 4 + [(-5, -1), (-5, 3)]
     groups = {}
     for k, line in rows:
         groups.setdefault(k, set()).add(line)
-    want = sorted((k, x, min(v)) for k, v in groups.items() if len(v) > 1 for x in v)
-    df = spark.createDataFrame(rows, "key long, line long")
-    for size in ("1", "2", "7", "10000"):
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", size)
-        try:
-            assert sorted(tuple(r) for r in L.buckets_of(df).collect()) == want
-        finally:
-            spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    want = {k: v for k, v in groups.items() if len(v) > 1}
+    for size in (1, 7, 10 ** 6):
+        monkeypatch.setattr(L, "PACK_ENTRIES", size)
+        packs = [(k % 3, [a for a, _ in part if a % 3 == k % 3], [b for a, b in part if a % 3 == k % 3])
+                 for at in range(0, len(rows), 50) for part in [rows[at:at + 50]] for k in range(3)]
+        got = {}
+        for r in L.buckets_of(spark.createDataFrame(packs, "slot long, keys array<long>, lines array<long>")).collect():
+            got.setdefault(r.key, []).append((r.class_id, r.hub))
+        assert {k: {c for c, _ in v} for k, v in got.items()} == want
+        assert all(len(v) == len(set(v)) and len({h for _, h in v}) == 1 and v[0][1] in want[k] for k, v in got.items())
 
 
 def test_minima_estimate_the_similarity():
@@ -103,8 +105,8 @@ def test_minima_estimate_the_similarity():
     other = line[: len(line) // 2] + prose(12, 9) + line[len(line) // 2:]
     points = L.code_points(line + "\n" + other + "\n")
     a, b = len(line), len(line) + 1 + len(other)
-    got = L.minima(L.shingle_hashes(points), np.array([0, a + 1]), np.array([a - 6, b - 6]))
+    got = L.minima(L.short_hashes(points), np.array([0, a + 1]), np.array([a - 6, b - 6]))
     x, y = (set(s[i:i + 7] for i in range(len(s) - 6)) for s in (line, other))
     assert abs((got[0] == got[1]).mean() - len(x & y) / len(x | y)) < 0.2
-    alone = L.minima(L.shingle_hashes(L.code_points(other)), np.array([0]), np.array([len(other) - 6]))
+    alone = L.minima(L.short_hashes(L.code_points(other)), np.array([0]), np.array([len(other) - 6]))
     assert (alone[0] == got[1]).all()
