@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.sampling import labelled_sample, remainder
-from strata.llm.textvec import Texts, slices, utf8
+from strata.llm.textvec import MAX_BATCH_BYTES, Texts, slices, utf8
 
 MAX_TRAIN_DOCS = 4000
 BUCKETS = 1 << 20
@@ -49,7 +49,22 @@ _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
 
 
 def word_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (text, bucket) pairs in order, their counts, and the number of words of each text."""
+    """Distinct (text, bucket) pairs in order, their counts, and the number of words of each text.
+
+    Texts are taken a batch of MAX_BATCH_BYTES at a time, so memory follows the distinct words, not the characters.
+    """
+    parts, start, size = [], 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > MAX_BATCH_BYTES:
+            parts.append(_batch_counts(texts[start:i], start))
+            start, size = i, 0
+        size += len(text)
+    parts.append(_batch_counts(texts[start:], start))
+    return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
+
+
+def _batch_counts(texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """``word_counts`` of one batch, whose texts are numbered from ``first``."""
     batch = Texts([t.translate(_FOLD.tobytes()) for t in texts])
     starts, ends, text = batch.spans(_WORD)
     found, owner = [batch.hashes(starts, ends)], [text]
@@ -60,7 +75,7 @@ def word_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray,
     n_words = np.bincount(text, minlength=len(texts))
     text, bucket = np.concatenate(owner), (np.concatenate(found) % np.uint64(BUCKETS)).astype(np.int64)
     pairs, counts = np.unique(text.astype(np.int64) * BUCKETS + bucket, return_counts=True)
-    return pairs // BUCKETS, pairs % BUCKETS, counts, n_words
+    return pairs // BUCKETS + first, pairs % BUCKETS, counts, n_words
 
 
 @dataclass(frozen=True)
