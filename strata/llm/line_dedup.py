@@ -284,12 +284,10 @@ def _distinct_lines(documents: DataFrame) -> DataFrame:
 
 
 def _order(documents: DataFrame) -> Column:
-    """Place of an occurrence (doc_id, text_hash, line_no) as one number; a null doc_id comes last."""
+    """Order of documents by doc_id as a 64-bit number; a null comes last."""
     kind = documents.schema["doc_id"].dataType
-    number = F.col("doc_id") if isinstance(kind, IntegralType) else F.xxhash64("doc_id")
-    last = F.lit("9999999999999999999").cast("decimal(20,0)")
-    return (F.coalesce(number.cast("decimal(20,0)"), last) * F.lit("1000000000000000000").cast("decimal(19,0)")
-            + (F.pmod("text_hash", F.lit(10 ** 9)) * F.lit(10 ** 9) + F.col("line_no")).cast("decimal(18,0)"))
+    number = F.col("doc_id").cast("long") if isinstance(kind, IntegralType) else F.xxhash64("doc_id")
+    return F.when(F.col("doc_id").isNull(), F.lit((1 << 63) - 1)).otherwise(number)
 
 
 def duplicate_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -316,18 +314,28 @@ def duplicate_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
         F.col("class_id").alias("a"), F.col("hub").alias("b")).distinct()
     links = materialize(similar_lines(pairs, payload, threshold), "links")
     labels = join_components(members, links, payload, threshold, line_sets)
-    at = (docs.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
-          .where(F.col("line").isNotNull()).withColumn("place", _order(documents)))
-    # first and last place of each line, then of each component; lines with an occurrence behind the component's first
-    # are few, and only they meet the occurrences again
-    by_line = at.groupBy("line").agg(F.min("place").alias("line_first"), F.max("place").alias("line_last"))
+    at = (docs.select("doc_id", "text_hash", _order(documents).alias("place"), F.posexplode("lines").alias("line_no", "line"))
+          .where(F.col("line").isNotNull()))
+    # the first document of each line, then of each component; only lines of components with several occurrences
+    # meet the occurrences again
+    by_line = at.groupBy("line").agg(F.min("place").alias("line_first"), F.count("*").alias("n"))
     placed = materialize(by_line.join(labels, F.col("line") == F.col("node"), "left").select(
-        "line", "line_first", "line_last", F.coalesce("component", "line").alias("component"))
-        .where(F.col("node").isNotNull() | (F.col("line_first") < F.col("line_last"))), "places")
-    first = placed.groupBy("component").agg(F.min("line_first").alias("first")).withColumnRenamed("component", "f_component")
-    behind = materialize(placed.join(first, F.col("component") == F.col("f_component")).where("line_last > first")
-                         .select(F.col("line").alias("b_line"), "first"), "behind")
-    gone = (at.join(behind, F.col("line") == F.col("b_line")).where("place > first")
+        "line", "line_first", "n", F.coalesce("component", "line").alias("component"))
+        .where(F.col("node").isNotNull() | (F.col("n") > 1)), "places")
+    first = placed.groupBy("component").agg(F.min("line_first").alias("first"), F.sum("n").alias("all")).where(
+        F.col("all") > 1).select(F.col("component").alias("f_component"), "first")
+    shared = materialize(placed.join(first, F.col("component") == F.col("f_component")).select(
+        F.col("line").alias("s_line"), "component", "first"), "shared")
+    hits = materialize(at.join(shared, F.col("line") == F.col("s_line")).select(
+        "doc_id", "text_hash", "line_no", "component", (F.col("place") == F.col("first")).alias("in_first")), "hits")
+    # the occurrence that stays: in the first document (the smaller text hash, should a doc_id have two texts) the
+    # first line; written, so that the join below is one of two exchanges, which adaptive execution splits
+    stays = materialize(
+        hits.where("in_first").groupBy("component", "text_hash").agg(F.min("line_no").alias("line_no"))
+        .groupBy("component").agg(F.min("text_hash").alias("k_hash"), F.min_by("line_no", "text_hash").alias("k_line"))
+        .withColumnRenamed("component", "k_component"), "stays")
+    kept = F.col("in_first") & (F.col("text_hash") == F.col("k_hash")) & (F.col("line_no") == F.col("k_line"))
+    gone = (hits.join(stays, F.col("component") == F.col("k_component")).where(~kept)
             .groupBy(F.col("doc_id").alias("g_doc"), F.col("text_hash").alias("g_hash"))
             .agg(F.array_sort(F.collect_set("line_no")).alias("removed")))
     return docs.join(gone, F.col("doc_id").eqNullSafe(F.col("g_doc")) & (F.col("text_hash") == F.col("g_hash")),
