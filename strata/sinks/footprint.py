@@ -30,7 +30,8 @@ def _footer_reader():
         for b in batches:
             out = []
             for path in b["file"]:
-                fs, p = pafs.FileSystem.from_uri(path)
+                # Hadoop's name of the S3 scheme is not pyarrow's
+                fs, p = pafs.FileSystem.from_uri(path.replace("s3a://", "s3://", 1))
                 size = fs.get_file_info(p).size
                 with fs.open_input_file(p) as f:
                     md = pq.ParquetFile(f).metadata
