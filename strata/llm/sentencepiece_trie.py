@@ -36,8 +36,8 @@ MARK = "▁"
 UNIGRAM, BPE = 1, 2
 #: kinds of pieces in a model file (fixed values of the format)
 _NORMAL, _UNKNOWN, _CONTROL, _USER, _BYTE, _UNUSED = 1, 2, 3, 4, 6, 5
-#: words, and pairs of pieces, that a worker remembers from batch to batch (about 40 MB together)
-CACHE_WORDS, KNOWN_PAIRS = 150_000, 150_000
+#: words, and pairs of pieces, that a worker remembers from batch to batch (about 80 MB together)
+CACHE_WORDS, KNOWN_PAIRS = 300_000, 200_000
 #: more than any piece number
 _PAIR = 1 << 24
 #: default model (a parameter everywhere)
