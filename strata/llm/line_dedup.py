@@ -1,7 +1,8 @@
 """Fuzzy line deduplication over a corpus: MinHash of character shingles, banding, exact verification, union-find.
 
-Lines of at least ``MIN_CHARS`` characters take part; shorter ones are never duplicates.  Equal lines are one node.
-Each distinct line of a batch gets ``BANDS`` x ``ROWS`` minima of its seven-character shingles; lines that share a band
+Every line that holds a word (a letter or a digit) takes part, and so does any line of ``WORDLESS_CHARS`` characters or
+more.  Equal lines are one node, whatever their length; lines of fewer than ``MIN_CHARS`` characters have no shingle, so
+they are duplicates of equal lines only.  Each longer distinct line of a batch gets ``BANDS`` x ``ROWS`` minima of its seven-character shingles; lines that share a band
 key form a bucket, and each member of a bucket is paired with its hub, the smallest line hash.  Pairs are verified by
 the exact Jaccard similarity of their shingle sets; what a bucket then still holds in several components is compared in
 full, in bounded units (``near_dup.link_rest``).  One occurrence of each component stays: the first by doc_id, then by
@@ -25,7 +26,11 @@ from strata.llm.components import materialize
 from strata.llm.near_dup import join_components
 from strata.llm.textvec import mix64, slices
 
-MIN_CHARS, SHINGLE_CHARS, THRESHOLD = 30, 7, 0.8
+SHINGLE_CHARS, THRESHOLD = 7, 0.8
+#: a line of fewer characters has no shingle: it is compared as a whole only
+MIN_CHARS = SHINGLE_CHARS
+#: a shorter line without a letter or digit (blank, a rule, a bracket) is layout and always stays
+WORDLESS_CHARS = 30
 #: a pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 5) ** 14 = 0.996
 BANDS, ROWS = 14, 5
 #: entries (band key and line) of a slot, about, and of a pack that a task gathers before it hands it on
@@ -103,7 +108,8 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 def line_hashes(text: Column) -> Column:
     """Hash of each line of a text, null for lines that don't take part; null for a null text."""
-    return F.transform(F.split(text, "\n", -1), lambda s: F.when(F.char_length(s) >= MIN_CHARS, F.xxhash64(s)))
+    return F.transform(F.split(text, "\n", -1), lambda s: F.when(
+        s.rlike(r"[\p{L}\p{N}]") | (F.char_length(s) >= WORDLESS_CHARS), F.xxhash64(s)))
 
 
 def _packed_bands(documents: DataFrame, slots: int) -> DataFrame:
@@ -131,8 +137,8 @@ def _packed_bands(documents: DataFrame, slots: int) -> DataFrame:
                 ends = np.flatnonzero(points == 0x0A)
                 starts = np.concatenate(([0], ends[:-1] + 1))
                 found = batch.column("lines").flatten()
-                part = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False))
-                numbers = found.drop_null().to_numpy()
+                part = np.flatnonzero(found.is_valid().to_numpy(zero_copy_only=False) & (ends - starts >= MIN_CHARS))
+                numbers = found.take(pa.array(part)).to_numpy()
                 _, first = np.unique(numbers, return_index=True)
                 first.sort()
                 at = part[first]
@@ -261,7 +267,7 @@ def similar_lines(pairs: DataFrame, payload: DataFrame, threshold: float) -> Dat
 
 
 def _distinct_lines(documents: DataFrame) -> DataFrame:
-    """(class_id, payload): hash and text of the lines that take part; a task gives each out once or a few times."""
+    """(class_id, payload): hash and text of the lines that have shingles; a task gives each out once or a few times."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         given: set[int] = set()
         for whole in batches:
@@ -270,7 +276,7 @@ def _distinct_lines(documents: DataFrame) -> DataFrame:
                 for text, lines in zip(batch.column("text").cast(pa.string()).to_pylist(),
                                        batch.column("lines").to_pylist(), strict=True):
                     for number, line in zip(lines, text.split("\n"), strict=True):
-                        if number is not None and number not in given:
+                        if number is not None and len(line) >= MIN_CHARS and number not in given:
                             given.add(number)
                             numbers.append(number)
                             texts.append(line)
@@ -295,7 +301,7 @@ def duplicate_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
 
     Documents are known by (doc_id, hash of the text), so repeated rows are one document, which keeps and loses the same
     lines in each row.  Line numbers start at 0.  Defined cases: a null text has no lines, an empty one has one line; a
-    null doc_id comes after all others; short lines always stay; an empty table gives an empty result; only doc_id and
+    null doc_id comes after all others; short lines without a word always stay; an empty table gives an empty result; only doc_id and
     text are read, so other columns may have any name.
     """
     docs = materialize(documents.select("doc_id", F.xxhash64("text").alias("text_hash"),

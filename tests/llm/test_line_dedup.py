@@ -110,3 +110,16 @@ def test_minima_estimate_the_similarity():
     assert abs((got[0] == got[1]).mean() - len(x & y) / len(x | y)) < 0.2
     alone = L.minima(L.short_hashes(L.code_points(other)), np.array([0]), np.array([len(other) - 6]))
     assert (alone[0] == got[1]).all()
+
+
+def test_short_lines_are_duplicates_of_equal_lines(spark):
+    """Brute force without a minimum: every repeated line with a letter or digit goes, however short."""
+    words = ["All rights reserved.", "OK", "7", "版权所有，保留一切权利。", "Ja", "Licensed under CC BY-NC 4.0."]
+    layout = ["", "---", "  ", "}", "***"]
+    rows = [(i, "\n".join([words[i % 6], layout[i % 5], words[(i + 1) % 6], layout[i % 5], words[i % 6]])) for i in range(12)]
+    seen, want = set(), {}
+    for i, t in rows:
+        want[i] = [k for k, line in enumerate(t.split("\n")) if any(c.isalnum() for c in line)
+                   and (line in seen or seen.add(line))]
+    df = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in rows], SCHEMA)
+    assert {r.doc_id: r.removed for r in L.duplicate_lines(df).collect()} == want
