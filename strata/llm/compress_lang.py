@@ -3,7 +3,10 @@
 For each language a zstandard raw-content dictionary holds text of that language; a document is encoded with every
 dictionary and belongs to the language with the smallest output.  Texts are encoded in blocks with a fresh context
 each, so that a long text is measured against the dictionaries and not against itself.  The margin between the best
-and the second language, relative to the size, says how sure the answer is; narrow ones are rejected.
+and the second language, relative to the size, says how sure the answer is; narrow ones are rejected.  Sizes are whole
+bytes, and the encoder stores a text as it is where that is about as small; so a text of which one byte is more than the
+least margin is encoded from several offsets behind a pad that makes the encoder compress, and the sizes are added up.
+One on which no dictionary saves a byte even so is too short for the measure and is not rejected by it.
 
 Scale: the dictionaries are built from a bounded sample (``SAMPLE_DOCS`` texts and ``DICT_BYTES`` a language);
 prediction is a map-only pass over whole texts.
@@ -32,6 +35,8 @@ BLOCK_BYTES = 1 << 10
 MIN_MATCH = 3
 #: a document is rejected where the runner-up needs less than this share more than the best language
 MIN_MARGIN = 0.01
+#: short texts: offsets (in characters) they are encoded from, and what goes before them
+OFFSETS, PAD = 16, bytes(64)
 #: margin at which the score is about 0.76
 SCORE_MARGIN = 0.05
 UNDETERMINED = "und"
@@ -97,19 +102,36 @@ class Coder:
                 min_match=MIN_MATCH, write_checksum=0, write_content_size=0, write_dict_id=0,
                 format=zstandard.FORMAT_ZSTD1_MAGICLESS)
             self._coders.append(zstandard.ZstdCompressor(dict_data=content, compression_params=parameters))
+        # the pad in each language, and an encoder that knows no language
+        self._pads = self.sizes(PAD)
+        self._plain = zstandard.ZstdCompressor(compression_params=zstandard.ZstdCompressionParameters.from_level(
+            3, source_size=BLOCK_BYTES, strategy=zstandard.STRATEGY_BTOPT, min_match=MIN_MATCH, write_checksum=0,
+            write_content_size=0, write_dict_id=0, format=zstandard.FORMAT_ZSTD1_MAGICLESS))
+
+    def fine_sizes(self, text: str) -> tuple[np.ndarray, bool]:
+        """Sizes of a short text added up over its first offsets, without the pad; and whether a dictionary saves a byte."""
+        padded = f" {text} "
+        parts = [PAD + padded[i:].encode() for i in range(min(len(padded) - 1, OFFSETS))]
+        sizes = sum(self.sizes(p) for p in parts)
+        plain = sum(len(self._plain.compress(p[i:i + BLOCK_BYTES])) for p in parts for i in range(0, len(p), BLOCK_BYTES))
+        return sizes - len(parts) * self._pads, bool(sizes.min() < plain)
 
     def sizes(self, text: bytes) -> np.ndarray:
         blocks = [text[i:i + BLOCK_BYTES] for i in range(0, len(text), BLOCK_BYTES)]
         return np.array([sum(len(c.compress(b)) for b in blocks) for c in self._coders], dtype=np.int64)
 
     def predict(self, text: str | None) -> tuple[str, float, float | None]:
-        """(language, score, margin); no language without a letter."""
+        """(language, score, margin); no language without a letter, no margin where there is nothing to compare."""
         if not text or not _LETTER.search(text) or not self.langs:
             return UNDETERMINED, 0.0, None
+        if len(self.langs) == 1:
+            return self.langs[0], 1.0, None
         sizes = self.sizes(text.lower().encode())
+        if sizes.min() * MIN_MARGIN < 1:
+            sizes, told = self.fine_sizes(text.lower())
+            if not told:
+                return self.langs[0], 0.0, None
         order = np.argsort(sizes, kind="stable")
-        if len(sizes) == 1:
-            return self.langs[0], 1.0, None
         best, second = sizes[order[0]], sizes[order[1]]
         margin = float(second - best) / max(float(best), 1.0)
         return self.langs[order[0]], float(np.tanh(margin / SCORE_MARGIN)), margin
@@ -121,7 +143,8 @@ def identify(documents: DataFrame, dictionaries: dict[str, bytes], fold: int = 4
 
     ``lang_pred`` is a learned language, or ``und`` for a null text, a text without a letter, or no languages at all.
     ``rejected`` marks ``und`` and margins below ``min_margin`` (ties among them; of equals the first name wins).
-    With one language there is nothing to compare and no margin.  Repeated rows each get a row, a null doc_id is not
+    With one language there is nothing to compare and no margin, nor where a text is so short that no dictionary saves a
+    byte on it: the first name with score 0, not rejected.  Repeated rows each get a row, a null doc_id is not
     held out, an empty table gives an empty result, and other columns may have any name.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()

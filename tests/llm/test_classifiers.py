@@ -137,3 +137,17 @@ def test_sample_is_bounded_and_takes_small_groups_whole(spark):
     got = {r.g: r["count"] for r in sampling.lowest_hashes(keys, "g", 600, 5).groupBy("g").count().collect()}
     assert got[1] == 500 and abs(got[0] - 600) < 120
     assert sampling.lowest_hashes(keys, "g", 600, 1).select("g").distinct().count() == 1
+
+
+def test_short_texts_are_measured_finer_than_a_byte(spark, tables):
+    short = tables[0].where("char_length(text) < 30 AND text RLIKE '\\\\p{L}'")
+    rows = C.identify(short, C.learn_dictionaries(tables[0])).join(short.select("doc_id", "lang", "n_chars"), "doc_id").collect()
+    assert len(rows) >= 50
+    assert np.mean([r.rejected for r in rows]) < 0.05
+    assert np.mean([r.lang == r.lang_pred for r in rows if r.n_chars >= 10]) > 0.85
+
+
+def test_a_text_without_evidence_is_not_rejected():
+    coder = C.Coder({"en": b"the words of a row without an id and one more " * 9, "fr": b"le chat est dans la maison du village " * 9})
+    assert coder.predict("Zq!") == ("en", 0.0, None) and not C._rejected(coder.predict("Zq!"), C.MIN_MARGIN)
+    assert [coder.predict(t)[0] for t in ("a row without", "dans la maison")] == ["en", "fr"]
