@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from strata.llm import (
     chat, compress_lang, decontaminate, line_dedup, merkle, near_dup, ordinal_toxicity, quality_rules,
-    sentencepiece_trie, subword_quality, warc,
+    secrets_grammar, sentencepiece_trie, spelling, subword_quality, warc,
 )
 from strata.llm.textvec import document_batches
 
@@ -33,11 +33,14 @@ REGISTRY: dict[str, Query] = {name: _with_settings(query) for name, query in {
     "op8_prefix_target": chat.op8_prefix_target,
     "op9_line_minhash": line_dedup.op9_line_minhash,
     "op10_cumulative_link": ordinal_toxicity.op10_cumulative_link,
+    "op11_blocked_gram": spelling.op11_blocked_gram,
+    "op12_grammar_inference": secrets_grammar.op12_grammar_inference,
     "op13_pointer_jumping": merkle.op13_pointer_jumping,
 }.items()}
 SQL = {
     "op5_chunked_records": warc.OP5_SQL,
     "op6_suffix_automaton": decontaminate.OP6_SQL,
     "op8_prefix_target": chat.OP8_SQL,
+    "op11_blocked_gram": spelling.OP11_SQL,
     "op13_pointer_jumping": merkle.OP13_SQL,
 }
