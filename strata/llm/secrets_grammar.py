@@ -10,9 +10,10 @@ automaton: fixed parts, like a leading ``AKIA``, stay chains, random tails becom
 Another automaton of this sort is learned from a sample of ordinary tokens of the texts.
 
 Scan.  Every token of ``MIN_TOKEN`` characters or more that no base span touches is a candidate.  It is scored by its mean
-log-likelihood per character under each format, and is a secret if one format explains it as it explains its own
-credentials (the mean of their scores, less ``SPREAD`` standard errors for a token of this length) and better, by
-``MARGIN``, than the ordinary automaton does.  Such spans are added as ``like_<kind>``; base spans stay.
+log-likelihood per character under each format.  It is typical of a format if, along its path, neither the likelihood nor
+the number of digits, lower-case and upper-case letters departs from what the states passed lead one to expect by more than
+``SPREAD`` standard deviations (a number of 16 digits is no typical hexadecimal run, though each digit is likely).  It is a
+secret if it is typical of a format and that explains it better, by ``MARGIN``, than the ordinary automaton.  Such spans are added as ``like_<kind>``; base spans stay.
 
 Scale.  One pass over the texts finds base spans and candidates; they are written to a table with little text in it.  The
 automata are learned on the driver from bounded samples: ``SAMPLE`` different values of each kind and of ordinary tokens,
@@ -64,8 +65,10 @@ SMOOTHING = 0.5
 _SYMBOLS = 66
 #: classes of symbols whose shares are compared as well
 _CLASSES = ("0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ")
-#: a candidate may score this many standard errors below a format's own credentials, and must this much above ordinary text
-SPREAD, MARGIN = 5.0, 0.1
+#: a candidate may depart this many standard deviations from a format, and must score this much above ordinary text
+SPREAD, MARGIN = 3.0, 0.1
+#: variance of a log-likelihood that is allowed for besides that of the state: shares are estimates
+SLACK = 0.05
 
 
 # --------------------------------------------------------------------------------------------------- base patterns
@@ -209,25 +212,35 @@ def learn(values: list[str], alpha: float = ALPHA) -> Automaton:
                      [{c: [n, place[t]] for c, (n, t) in a.edges[s].items()} for s in kept])
 
 
-@dataclass
 class Format:
-    """Automaton of a kind, with the mean and the spread of the log-likelihoods in its own credentials."""
-
-    automaton: Automaton
-    mean: float
-    spread: float
+    """Automaton of a kind, with what each of its states leads one to expect."""
 
-    @classmethod
-    def of(cls, values: list[str]) -> Format:
-        automaton = learn(values)
-        steps = [x for v in values for x in automaton.walk(v)]
-        mean = sum(steps) / len(steps)
-        return cls(automaton, mean, math.sqrt(sum((x - mean) ** 2 for x in steps) / len(steps)))
+    def __init__(self, values: list[str]):
+        a = self.automaton = learn(values)
+        self.expected = []   # per state: mean and variance of the log-likelihood, shares of the classes
+        for passes, stops, edges in zip(a.passes, a.stops, a.edges):
+            shares = [n / passes for n in (stops, *[n for n, _ in edges.values()]) if n]
+            mean = sum(p * math.log(p) for p in shares)
+            self.expected.append((mean, sum(p * (math.log(p) - mean) ** 2 for p in shares) + SLACK,
+                                  [sum(n for c, (n, _) in edges.items() if c in own) / passes for own in _CLASSES]))
 
     def fit(self, token: str) -> float | None:
-        """Score of a token that is typical of the format, else None."""
-        score = self.automaton.score(token)
-        return score if score >= self.mean - SPREAD * self.spread / math.sqrt(len(token) + 1) else None
+        """Mean log-likelihood of a token that is typical of the format, else None."""
+        a, state, total, mean, variance = self.automaton, 0, 0.0, 0.0, 0.0
+        surplus, spread = [0.0] * len(_CLASSES), [SLACK] * len(_CLASSES)
+        for symbol, step in zip([*token, ""], a.walk(token)):
+            m, v, shares = self.expected[state]
+            total, mean, variance = total + step, mean + m, variance + v
+            for i, share in enumerate(shares):
+                surplus[i] += (symbol != "" and symbol in _CLASSES[i]) - share
+                spread[i] += share * (1 - share)
+            edge = a.edges[state].get(symbol)
+            state = edge[1] if edge else state
+        if total < mean - SPREAD * math.sqrt(variance):
+            return None
+        if any(abs(d) > SPREAD * math.sqrt(v) for d, v in zip(surplus, spread)):
+            return None
+        return total / (len(token) + 1)
 
 
 @dataclass
@@ -251,7 +264,7 @@ class Formats:
 def learn_formats(values: dict[str, list[str]], plain: list[str]) -> Formats:
     """Formats of the kinds with enough different values, and the automaton of ordinary tokens where there are any."""
     own = {kind: sorted(set(values.get(kind, []))) for kind in KINDS}
-    return Formats({k: Format.of(v) for k, v in own.items() if len(v) >= MIN_SAMPLE}, learn(plain) if plain else None)
+    return Formats({k: Format(v) for k, v in own.items() if len(v) >= MIN_SAMPLE}, learn(plain) if plain else None)
 
 
 # ----------------------------------------------------------------------------------------------------- Spark passes
