@@ -8,12 +8,12 @@ months, ride types).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
 from strata.operators.joins import join_on_keys
-from strata.operators.quantiles import approx_quantiles, exact_quantiles, quantiles_from_histogram
+from strata.operators.quantiles import approx_quantiles, histogram, quantiles_from_histogram
 
 # fixed values: the fare percentiles reported per day
 FARE_PERCENTILES = {"median_fare_usd": 0.5, "p95_fare_usd": 0.95}
@@ -32,26 +32,26 @@ def daily_revenue(clean: DataFrame, percentiles: str = "exact") -> DataFrame:
     """
     t = clean.select(X.trip_date("pickup_at").alias("trip_date"), "total_amount", "driver_pay",
                      "tips", "congestion_surcharge", "trip_miles", "trip_minutes", "waiting_minutes")
-    measures = [
-        F.count(F.lit(1)).alias("total_trips"),
-        _r2(F.sum("total_amount")).alias("gross_revenue_usd"),
-        _r2(F.sum("driver_pay")).alias("total_driver_pay_usd"),
-        _r2(F.sum("tips")).alias("total_tips_usd"),
-        _r2(F.sum("congestion_surcharge")).alias("total_congestion_usd"),
-        _r2(F.avg("trip_miles")).alias("avg_trip_miles"),
-        _r2(F.avg("trip_minutes")).alias("avg_trip_minutes"),
-        _r2(F.avg("waiting_minutes")).alias("avg_waiting_minutes"),
-    ]
-    if percentiles == "approx":
-        q = approx_quantiles("total_amount", FARE_PERCENTILES)
-        return t.groupBy("trip_date").agg(*measures, *[_r2(c).alias(n) for c, n in
-                                                      zip(q, FARE_PERCENTILES)])
-    if percentiles == "none":
-        return t.groupBy("trip_date").agg(*measures)
+    measures = {
+        "total_trips": F.count(F.lit(1)),
+        "gross_revenue_usd": _r2(F.sum("total_amount")),
+        "total_driver_pay_usd": _r2(F.sum("driver_pay")),
+        "total_tips_usd": _r2(F.sum("tips")),
+        "total_congestion_usd": _r2(F.sum("congestion_surcharge")),
+        "avg_trip_miles": _r2(F.avg("trip_miles")),
+        "avg_trip_minutes": _r2(F.avg("trip_minutes")),
+        "avg_waiting_minutes": _r2(F.avg("waiting_minutes")),
+    }
+    if percentiles in ("approx", "none"):
+        if percentiles == "approx":
+            q = approx_quantiles("total_amount", FARE_PERCENTILES)
+            measures |= {n: _r2(c) for c, n in zip(q, FARE_PERCENTILES)}
+        return t.groupBy("trip_date").agg(*[c.alias(n) for n, c in measures.items()])
     if percentiles != "exact":
         raise ValueError("percentiles must be 'exact', 'approx' or 'none'")
-    base = t.groupBy("trip_date").agg(*measures)
-    qs = exact_quantiles(t, ["trip_date"], "total_amount", FARE_PERCENTILES)
+    # the day's measures and its fare histogram come from one scan
+    base, fares = histogram(t, ["trip_date"], "total_amount", measures, [c for c in t.columns if c != "trip_date"])
+    qs = quantiles_from_histogram(fares, ["trip_date"], "_v", "_c", FARE_PERCENTILES)
     qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
     # one row per day on both sides; a day whose amounts are all NULL has no
     # quantile row, hence the left join
@@ -153,33 +153,46 @@ FUSED_SETS = {
     "driver_economics": ("month",),
     "shared_vs_solo": ("ride_type",),
 }
-_FUSED_KEYS = ("trip_date", "weekday", "hour_of_day", "month", "ride_type")
+# the model over the enriched trips, and all of them
+PAIR_SET = {"borough_pairs": ("pickup_borough", "dropoff_borough")}
+PAIR_MEASURES = ("total_amount", "trip_miles", "trip_minutes")
+REPORT_SETS = {**FUSED_SETS, **PAIR_SET}
 _SUMMED = ("total_amount", "driver_pay", "tips", "congestion_surcharge", "trip_miles",
            "trip_minutes", "waiting_minutes", "base_fare", "driver_pct_of_fare")
 
 
-def _gid(model: str) -> int:
-    """``grouping_id()`` of a model's set: bit i is 1 when key i is not grouped."""
-    keys = FUSED_SETS[model]
-    n = len(_FUSED_KEYS)
-    return sum(1 << (n - 1 - i) for i, k in enumerate(_FUSED_KEYS) if k not in keys)
-
-
-def fused_aggregates(clean: DataFrame) -> DataFrame:
-    """Sums and counts of every measure for all four key sets in one
-    aggregation: one scan of silver and one (map-side combined) shuffle instead
-    of one of each per model.  Output:
-    one row per group per set, ``_gid`` telling the sets apart."""
-    t = clean.select(X.trip_date("pickup_at").alias("trip_date"),
-                     X.iso_weekday("pickup_at").alias("weekday"),
-                     X.hour_of_day("pickup_at").alias("hour_of_day"),
-                     X.month_start("pickup_at").alias("month"),
-                     X.ride_type("shared_matched", "shared_requested").alias("ride_type"),
-                     *_SUMMED)
+def set_id(own: tuple[str, ...], keys: list[str] | tuple[str, ...]) -> int:
+    """``grouping_id()`` of a set among all ``keys``: bit i is 1 when key i is not grouped."""
+    return sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in own)
+
+
+def set_keys(sets: dict[str, tuple[str, ...]]) -> list[str]:
+    """All grouping keys of some models, each once."""
+    return list(dict.fromkeys(k for own in sets.values() for k in own))
+
+
+def key_columns() -> dict[str, Column]:
+    """The grouping keys of all gold models as expressions over the enriched trips."""
+    return {"trip_date": X.trip_date("pickup_at"), "weekday": X.iso_weekday("pickup_at"),
+            "hour_of_day": X.hour_of_day("pickup_at"), "month": X.month_start("pickup_at"),
+            "ride_type": X.ride_type("shared_matched", "shared_requested"),
+            "pickup_borough": F.col("pickup_borough"), "dropoff_borough": F.col("dropoff_borough")}
+
+
+def fused_aggregates(trips: DataFrame, sets: dict[str, tuple[str, ...]] = FUSED_SETS,
+                     also_by: tuple[str, ...] = (), measures: tuple[str, ...] = _SUMMED) -> DataFrame:
+    """Sums and counts of every measure for all key sets in one aggregation:
+    one scan of silver and one (map-side combined) shuffle instead of one of
+    each per model.  Output: one row per group per set, ``_gid`` telling the
+    sets apart; ``also_by`` columns are part of every set."""
+    keys = set_keys(sets)
+    columns = key_columns()
+    t = trips.select(*also_by, *[columns[k].alias(k) for k in keys], *measures)
+    # the columns of every set come first, so that they don't change the sets' numbers
     aggs = [F.grouping_id().alias("_gid"), F.count(F.lit(1)).alias("_n")]
-    aggs += [F.sum(c).alias(f"_s_{c}") for c in _SUMMED]
-    aggs += [F.count(c).alias(f"_c_{c}") for c in _SUMMED]
-    return t.groupingSets([list(k) for k in FUSED_SETS.values()], *_FUSED_KEYS).agg(*aggs)
+    aggs += [F.sum(c).alias(f"_s_{c}") for c in measures]
+    aggs += [F.count(c).alias(f"_c_{c}") for c in measures]
+    return t.groupingSets([[*also_by, *own] for own in sets.values()], *also_by, *keys).agg(*aggs)
 
 
 def _avg(c):
@@ -193,18 +206,21 @@ def fare_histogram(clean: DataFrame) -> DataFrame:
             .filter(F.col("_fare").isNotNull()).groupBy("trip_date", "_fare").agg(F.count(F.lit(1)).alias("_n")))
 
 
-def models_from_fused(fused: DataFrame, hist: DataFrame) -> dict[str, DataFrame]:
+def models_from_fused(fused: DataFrame, hist: DataFrame | None,
+                      quantiles: DataFrame | None = None) -> dict[str, DataFrame]:
     """The four models, each a filter + projection of the fused aggregate; the
-    daily model joins its exact fare percentiles from the ``fare_histogram``."""
-    f = {m: fused.filter(F.col("_gid") == _gid(m)) for m in FUSED_SETS}
+    daily model joins its exact fare percentiles from the ``fare_histogram``, or
+    those of ``quantiles`` (by trip_date) where there is no histogram."""
+    f = {m: fused.filter(F.col("_gid") == set_id(own, set_keys(FUSED_SETS))) for m, own in FUSED_SETS.items()}
     s = lambda c: _r2(F.col(f"_s_{c}"))
     daily = f["daily_revenue"].select(
         "trip_date", F.col("_n").alias("total_trips"), s("total_amount").alias("gross_revenue_usd"),
         s("driver_pay").alias("total_driver_pay_usd"), s("tips").alias("total_tips_usd"),
         s("congestion_surcharge").alias("total_congestion_usd"), _avg("trip_miles").alias("avg_trip_miles"),
         _avg("trip_minutes").alias("avg_trip_minutes"), _avg("waiting_minutes").alias("avg_waiting_minutes"))
-    qs = quantiles_from_histogram(hist, ["trip_date"], "_fare", "_n", FARE_PERCENTILES)
-    qs = qs.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
+    if quantiles is None:
+        quantiles = quantiles_from_histogram(hist, ["trip_date"], "_fare", "_n", FARE_PERCENTILES)
+    qs = quantiles.select("trip_date", *[_r2(F.col(n)).alias(n) for n in FARE_PERCENTILES])
     return {
         "daily_revenue": join_on_keys(daily, qs, ["trip_date"], "left"),
         "hourly_demand": f["hourly_demand"].select(
@@ -222,3 +238,11 @@ def models_from_fused(fused: DataFrame, hist: DataFrame) -> dict[str, DataFrame]
             _avg("trip_miles").alias("avg_miles"), _avg("trip_minutes").alias("avg_minutes"),
             _avg("driver_pay").alias("avg_driver_pay_usd"), s("total_amount").alias("total_revenue_usd")),
     }
+
+
+def pairs_from_fused(fused: DataFrame) -> DataFrame:
+    """The borough pairs from the aggregate over ``PAIR_SET``."""
+    return fused.where("pickup_borough is not null and dropoff_borough is not null").select(
+        "pickup_borough", "dropoff_borough", F.col("_n").alias("trips"), _r2(F.col("_s_total_amount")).alias("revenue_usd"),
+        _avg("trip_miles").alias("avg_miles"), _avg("trip_minutes").alias("avg_minutes"),
+        _avg("total_amount").alias("avg_fare_usd"))

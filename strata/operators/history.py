@@ -9,12 +9,12 @@ window over an already aggregated (small) table.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strata.functions import exprs as X
 from strata.operators.joins import join_on_keys, latest_per_key, order_number
-from strata.operators.quantiles import exact_quantiles
+from strata.operators.quantiles import exact_quantiles, histogram, quantiles_from_histogram
 
 ENGINE_METRICS = ("query_duration_ms", "read_rows", "read_bytes", "memory_usage")
 CELL = ("question_id", "layer")
@@ -121,26 +121,36 @@ def latest_runs(results: DataFrame, n: int = 10) -> DataFrame:
 # AGG-10 / PRJ-21 / AGG-13: cross-run consistency
 # --------------------------------------------------------------------------
 
+def _cross_run_measures() -> dict[str, Column]:
+    return {
+        "total_samples": F.count(F.lit(1)),
+        "total_runs": F.count_distinct("run_id"),
+        "engine_avg": F.round(F.avg("query_duration_ms"), 1),
+        "engine_stddev": F.round(F.stddev_pop("query_duration_ms"), 1),
+        "wall_avg": F.round(F.avg("wall_ms"), 1),
+        "wall_stddev": F.round(F.stddev_pop("wall_ms"), 1),
+        "read_rows": F.min("read_rows"),
+        "read_bytes_h": X.human_bytes(F.min("read_bytes")),
+    }
+
+
+def _with_cv(cells: DataFrame) -> DataFrame:
+    return cells.withColumn("cv_pct", F.round(X.cv_pct(F.col("engine_stddev"), F.col("engine_avg")), 2))
+
+
 def cross_run_cells(results: DataFrame) -> DataFrame:
     """Cross-run statistics per cell, without the percentiles."""
-    g = results.groupBy(*CELL).agg(
-        F.count(F.lit(1)).alias("total_samples"),
-        F.count_distinct("run_id").alias("total_runs"),
-        F.round(F.avg("query_duration_ms"), 1).alias("engine_avg"),
-        F.round(F.stddev_pop("query_duration_ms"), 1).alias("engine_stddev"),
-        F.round(F.avg("wall_ms"), 1).alias("wall_avg"),
-        F.round(F.stddev_pop("wall_ms"), 1).alias("wall_stddev"),
-        F.min("read_rows").alias("read_rows"),
-        X.human_bytes(F.min("read_bytes")).alias("read_bytes_h"))
-    return g.withColumn("cv_pct", F.round(X.cv_pct(F.col("engine_stddev"), F.col("engine_avg")), 2))
+    return _with_cv(results.groupBy(*CELL).agg(*[c.alias(n) for n, c in _cross_run_measures().items()]))
 
 
 def cross_run_stats(results: DataFrame) -> DataFrame:
-    q = exact_quantiles(results, list(CELL), "query_duration_ms",
-                        {"engine_p50": 0.5, "engine_p95": 0.95})
-    q = q.select(*CELL, F.round("engine_p50", 1).alias("engine_p50"),
-                 F.round("engine_p95", 1).alias("engine_p95"))
-    return (join_on_keys(cross_run_cells(results), q, list(CELL), "left")
+    """Cross-run statistics per cell; all of them from one scan of the results."""
+    probs = {"engine_p50": 0.5, "engine_p95": 0.95}
+    cells, hist = histogram(results, list(CELL), "query_duration_ms", _cross_run_measures(),
+                            ["run_id", "query_duration_ms", "wall_ms", "read_rows", "read_bytes"])
+    q = quantiles_from_histogram(hist, list(CELL), "_v", "_c", probs)
+    q = q.select(*CELL, *[F.round(n, 1).alias(n) for n in probs])
+    return (join_on_keys(_with_cv(cells), q, list(CELL), "left")
             .orderBy("question_id", X.layer_ordinal(F.col("layer"))))
 
 
@@ -165,12 +175,9 @@ def cell_stats(results: DataFrame, value: str = "wall_ms",
                keys=("run_id", "question_id", "layer")) -> DataFrame:
     """mean, median, *sample* stdev (0 for a single sample) and CV per cell."""
     keys = list(keys)
-    g = results.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.avg(value).alias("_mean"),
-        F.coalesce(F.stddev_samp(value), F.lit(0.0)).alias("_sd"))
-    med = exact_quantiles(results, keys, value, {"median_ms": 0.5})
-    out = join_on_keys(g, med, keys, "left")
+    g, hist = histogram(results, keys, value, {
+        "n": F.count(F.lit(1)), "_mean": F.avg(value), "_sd": F.coalesce(F.stddev_samp(value), F.lit(0.0))}, [value])
+    out = join_on_keys(g, quantiles_from_histogram(hist, keys, "_v", "_c", {"median_ms": 0.5}), keys, "left")
     cv = F.when(F.col("n") > 1, X.cv_pct(F.col("_sd"), F.col("_mean"))).otherwise(F.lit(0.0))
     return out.select(*keys, "n", F.round("_mean", 2).alias("mean_ms"),
                       F.round("median_ms", 2).alias("median_ms"),

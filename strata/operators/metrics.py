@@ -41,8 +41,12 @@ def with_window(samples: DataFrame, seconds: int) -> DataFrame:
 # --------------------------------------------------------------------------
 
 def matcher(label: str, op: str, value: str) -> Column:
-    """Label matcher: ``=``, ``!=``, ``=~`` and ``!~`` (regexes fully anchored)."""
-    c = F.col(label)
+    """Label matcher: ``=``, ``!=``, ``=~`` and ``!~`` (regexes fully anchored).
+
+    A series without the label (NULL) counts as having it empty, so ``!=`` and
+    ``!~`` keep it, and ``=""`` and a regex that matches nothing find it.
+    """
+    c = F.coalesce(F.col(label), F.lit(""))
     if op == "=":
         return c == F.lit(value)
     if op == "!=":

@@ -10,10 +10,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strata.operators import silver
+from strata.operators import gold, silver
 
 REPORT_COLUMNS = ("model", "column_name", "test", "failures", "status")
 
@@ -105,6 +105,62 @@ def run_declared_tests(models: dict[str, DataFrame], tests=DECLARED_TESTS) -> Da
     return report.withColumn("status", _status(F.col("failures")))
 
 
+def fused_report(enriched: DataFrame) -> DataFrame:
+    """The full report of the silver and gold models from one scan of the fact.
+
+    ``enriched`` is the silver view with the zone names.  One grouping-sets aggregation has the groups of every gold model
+    and, as the empty set, the silver rows themselves, with the null counts of the tested columns; a second, small one
+    counts the failing groups per model.  A group is its key, so a unique column fails only where a model had a key
+    twice, and ``not_null`` on a key fails where its group is that of NULL.
+    """
+    keys = list(dict.fromkeys(c for own in gold.REPORT_SETS.values() for c in own))
+    silver_columns = list(DECLARED_TESTS["fhvhv_trips_clean"])
+    t = enriched.select(*[e.alias(n) for n, e in gold.key_columns().items()],
+                        *[F.col(c).alias(f"_m_{c}") for c in silver_columns])
+    sets = [list(own) for own in gold.REPORT_SETS.values()] + [[]]
+    groups = t.groupingSets(sets, *keys).agg(
+        F.grouping_id().alias("_gid"), F.count("_m_total_amount").alias("_amounts"),
+        *[F.count_if(F.col(f"_m_{c}").isNull()).alias(f"_nulls_{c}") for c in silver_columns])
+    gid = {m: gold.set_id(own, keys) for m, own in (*gold.REPORT_SETS.items(), ("silver", ()))}
+    # (model, column, test) -> failures among the groups of that model
+    cells = []
+    for model, tests in DECLARED_TESTS.items():
+        for column, kinds in tests.items():
+            for kind in kinds:
+                if model.startswith("fhvhv"):
+                    n = F.sum(F.when(F.col("_gid") == gid["silver"], F.col(f"_nulls_{column}")))
+                else:
+                    own = F.col("_gid") == gid[model]
+                    if model == "borough_pairs":      # the model leaves out trips without a borough
+                        own = own & F.col("pickup_borough").isNotNull() & F.col("dropoff_borough").isNotNull()
+                    # an aggregate is NULL where no trip of the group has the amount
+                    null = F.col(column).isNull() if column in keys else F.col("_amounts") == 0
+                    n = F.count_if(own & null) if kind == "not_null" else None
+                cells.append((model, column, kind, n))
+    repeated = {m: own for m, own in gold.REPORT_SETS.items() if any("unique" in k for k in DECLARED_TESTS[m].values())}
+    wide = groups.agg(*[n.alias(f"_{i}") for i, (*_, n) in enumerate(cells) if n is not None],
+                      *[(F.count_if((F.col("_gid") == gid[m]) & F.col(own[0]).isNotNull())
+                         - F.count_distinct(F.when(F.col("_gid") == gid[m], F.col(own[0])))).alias(f"_twice_{m}")
+                        for m, own in repeated.items()])
+    rows = [F.struct(F.lit(m).alias("model"), F.lit(c).alias("column_name"), F.lit(k).alias("test"),
+                     F.coalesce(F.col(f"_twice_{m}" if n is None else f"_{i}"), F.lit(0)).cast("long").alias("failures"))
+            for i, (m, c, k, n) in enumerate(cells)]
+    return wide.select(F.explode(F.array(*rows)).alias("r")).select("r.*").withColumn("status", _status(F.col("failures")))
+
+
+def observed_nulls(tests: dict[str, list[str]]) -> dict[str, Column]:
+    """Null counts of the not_null columns of a model, as aggregates that Spark collects while it writes the model."""
+    return {f"null_{c}": F.count_if(F.col(c).isNull()) for c, t in tests.items() if "not_null" in t}
+
+
+def observed_report(model: str, tests: dict[str, list[str]], metrics: dict, stored: DataFrame) -> list[dict]:
+    """Report rows of one model from ``observed_nulls`` metrics; only unique columns are read, from the staged rows."""
+    rows = [(c, "not_null", metrics[f"null_{c}"]) for c, t in tests.items() if "not_null" in t]
+    rows += [(c, "unique", unique_failures(stored, model, c).first()["failures"])
+             for c, t in tests.items() if "unique" in t]
+    return [dict(zip(REPORT_COLUMNS, (model, c, t, n, "fail" if n else "pass"))) for c, t, n in rows]
+
+
 def gate(report: DataFrame) -> DataFrame:
     """Failing checks only: an empty result means the refresh may proceed."""
     return report.filter(F.col("status") == "fail")

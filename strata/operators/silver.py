@@ -98,12 +98,12 @@ ENRICHED_TRIP_COLUMNS = ("pickup_at", "dropoff_at", "waiting_minutes", "trip_min
                          "wav_requested", "access_a_ride")
 
 
-def enrich(clean_df: DataFrame, zones: DataFrame, zone_key_cast: str | None = None) -> DataFrame:
+def enrich(clean_df: DataFrame, zones: DataFrame, zone_key_cast: str | None = None, also: tuple[str, ...] = ()) -> DataFrame:
     """silver.fhvhv_trips_enriched: clean trips + borough/zone names for both ends.
 
     Both lookups are left joins, so a trip whose id has no zone keeps NULL
     names.  ``zone_key_cast`` optionally casts the dimension key (the second
-    dialect compares SMALLINT keys).
+    dialect compares SMALLINT keys); ``also`` columns of the trips come last.
     """
     key = F.col("LocationID")
     if zone_key_cast:
@@ -113,11 +113,11 @@ def enrich(clean_df: DataFrame, zones: DataFrame, zone_key_cast: str | None = No
                   F.col("Zone").alias("pickup_zone"))
     do = z.select(F.col("LocationID").alias("do_id"), F.col("Borough").alias("dropoff_borough"),
                   F.col("Zone").alias("dropoff_zone"))
-    trips = clean_df.select(*ENRICHED_TRIP_COLUMNS, "pickup_location_id", "dropoff_location_id")
+    trips = clean_df.select(*ENRICHED_TRIP_COLUMNS, *also, "pickup_location_id", "dropoff_location_id")
     out = trips.join(pu, F.col("pickup_location_id") == F.col("pu_id"), "left")
     out = out.join(do, F.col("dropoff_location_id") == F.col("do_id"), "left")
     return out.select(*ENRICHED_TRIP_COLUMNS, "pickup_borough", "pickup_zone",
-                      "dropoff_borough", "dropoff_zone")
+                      "dropoff_borough", "dropoff_zone", *also)
 
 
 def enriched_view_sql(clean_table: str, zones_table: str) -> str:

@@ -8,6 +8,7 @@ in :mod:`strata.plans.duckdb_oracle`.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,9 @@ from strata.functions import exprs as X
 from strata.operators import history as H
 from strata.operators import metrics as MET
 from strata.operators import gold, quality, silver
+from strata.operators import step_metrics as STEP
 from strata.plans import questions as Q
+from strata.plans import stored
 from strata.plans.layers import Medallion
 from strata.sinks import footprint, tables
 from strata.sources import fixtures, landing
@@ -67,7 +70,7 @@ REGISTRY: dict[str, Query] = {
     "safe_location_cast": lambda spark, d: quality.cast_report(_m(spark, d).bronze_trips),
     "rejected_rows": lambda spark, d: quality.rejected_rows(_m(spark, d).bronze_trips,
                                                             fixtures.FIXTURE_WINDOW),
-    "dq_report": lambda spark, d: quality.run_declared_tests(_m(spark, d).models()),
+    "dq_report": lambda spark, d: quality.fused_report(_m(spark, d).enriched),
     "dq_relationships": lambda spark, d: _relationships(_m(spark, d)),
     # measurement history
     "engine_log_enriched": lambda spark, d: H.enrich_with_engine_log(*_client_and_log(spark, d)),
@@ -84,10 +87,8 @@ REGISTRY: dict[str, Query] = {
     # sources and sinks
     "landing_files": lambda spark, d: landing.read_trip_files(
         spark, [f"{d}/events.parquet", f"{d}/events.parquet"], with_batch=False),
-    "landing_view": lambda spark, d: _nations_by_region(spark, d),
+    "landing_view": stored.landing_view,
     "bench_tags": lambda spark, d: _tags(spark, d),
-    "appended_measurements": lambda spark, d: tables.measurement_rows(_results(spark, d).drop("captured_at"))
-        .drop("captured_at"),
     "ingest_audit": lambda spark, d: tables.ingest_audit(
         _m(spark, d).bronze_trips.withColumn("_batch", F.date_format("pickup_datetime", "yyyy-MM"))),
     # both measure what is there; nothing is built, moved or registered
@@ -108,6 +109,17 @@ REGISTRY: dict[str, Query] = {
         MET.select_series(_samples(spark, d), "purchase"), LABELS, DAY), delta=4),
     "metric_instant_at": lambda spark, d: MET.instant_at(
         _samples(spark, d), LABELS, INSTANT, INSTANT_LOOKBACK),
+    # on a step grid: overlapping windows, windows that are no multiple of the step, steps longer than the window
+    "metric_absent_labels": lambda spark, d: _by_matcher(fixtures.pod_samples(_events(spark, d))),
+    "metric_step_rate": lambda spark, d: _rounded(STEP.step_increase(
+        MET.select_series(_samples(spark, d), "click"), LABELS, HOUR, RATE_WINDOW), increase=4, rate=8),
+    "metric_step_irate": lambda spark, d: _rounded(STEP.step_irate(
+        MET.select_series(_samples(spark, d), "signup"), LABELS, 4 * HOUR, 10 * HOUR), irate=6),
+    "metric_step_delta": lambda spark, d: _rounded(STEP.step_delta(_samples(spark, d), LABELS, 5 * HOUR, 2 * HOUR), delta=4),
+    "metric_instant_range": lambda spark, d: STEP.step_instants(_samples(spark, d), LABELS, HOUR, 5 * HOUR // 2),
+    "metric_step_min_of_avg": lambda spark, d: _rounded(MET.aggregate_by(MET.aggregate_by(
+        STEP.step_increase(_samples(spark, d), LABELS, HOUR, RATE_WINDOW), "rate", LABELS, "avg", "value"),
+        "value", [], "min"), value=8),
     "metric_sum_by": lambda spark, d: _sum_by_metric(_samples(spark, d)),
     "metric_min_of_avg": lambda spark, d: _min_of_avg_rate(_samples(spark, d)),
     "metric_ratio": lambda spark, d: MET.aggregate_by(
@@ -124,6 +136,8 @@ REGISTRY: dict[str, Query] = {
                          ["metric", *LABELS], "sum", "value"), "value", 5, ["metric", *LABELS]), value=8),
 }
 
+REGISTRY.update(stored.REGISTRY)
+
 # Window lengths are scaled to the fixture's sample density (one sample per
 # series every ~75 minutes), not to a 15-second scrape interval.
 LABELS = ["instance"]
@@ -139,10 +153,15 @@ def _samples(spark, d):
     return fixtures.metric_samples(fixtures.table(spark, d, "events"))
 
 
-def _nations_by_region(spark, d):
-    """An aggregate over a view on the landing files (no copy)."""
-    landing.parquet_view(spark, f"{d}/nation.parquet", "landing_nation")
-    return spark.table("landing_nation").groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("nations"))
+# fixed values: one matcher of each kind, and two that only a missing label meets
+POD_MATCHERS = (("!=", "pod-1"), ("!~", "pod-[12]"), ("=", ""), ("=~", "pod-[01]|"), ("=~", ".*"), ("=", "pod-2"))
+
+
+def _by_matcher(samples):
+    """Samples that each label matcher selects."""
+    found = [MET.select_series(samples, None, [("pod", op, v)]).groupBy("metric", "pod").agg(
+        F.count(F.lit(1)).alias("samples")).select(F.lit(f"pod{op}{v}").alias("matcher"), "*") for op, v in POD_MATCHERS]
+    return reduce(DataFrame.unionByName, found)
 
 
 def _tags(spark, d):
@@ -210,4 +229,8 @@ def _relationships(m: Medallion) -> DataFrame:
     return a.unionByName(b)
 
 
+#: queries that run jobs when they are built: those that store tables, those whose exact quantiles are narrowed down round
+#: by round on a stored histogram, and the ingest that compares its files' columns
+EAGER = {*stored.REGISTRY, "gold_daily_revenue", "cross_run_stats", "cell_stats", "landing_files"}
+
 FLAGSHIP = "gold_daily_revenue"

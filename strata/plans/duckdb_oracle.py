@@ -573,9 +573,88 @@ SQL["table_rows"] = with_(BRONZE_TRIPS, ZONES, CLEAN, ENRICHED, DAILY, HOURLY, P
                         for l, t, cte in _TABLE_COUNTS)
 
 SQL["landing_files"] = "SELECT * FROM events UNION ALL SELECT * FROM events"
-SQL["landing_view"] = "SELECT n_regionkey, count(*) AS nations FROM nation GROUP BY 1"
+SQL["landing_view"] = """
+SELECT l_returnflag, l_linestatus, count(*) AS lines, max(l_shipdate) AS last_shipped FROM lineitem GROUP BY 1, 2"""
 SQL["bench_tags"] = with_(RESULTS) + """
 SELECT 'tcc_bench|' || run_id || '|' || question_id || '|' || layer || '|i' || iteration AS tag,
        'tcc_bench' AS prefix, run_id, question_id, layer, 'i' || iteration AS mark
 FROM results"""
 SQL["appended_measurements"] = with_(RESULTS) + "SELECT * EXCLUDE (captured_at) FROM results"
+
+# --------------------------------------------------------------------------
+# Stored tables: refresh, ingest, layout, incremental gold, CSV
+# --------------------------------------------------------------------------
+
+SQL["refreshed_lake"] = SQL["silver_enriched"]
+SQL["yearly_ingest"] = """
+SELECT * REPLACE (CASE WHEN year(o_orderdate) = 1997 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice),
+       strftime(o_orderdate, '%Y') AS batch FROM orders"""
+SQL["silver_layout"] = with_(*SILVER) + "SELECT 0::BIGINT AS overlaps, count(*) AS rows FROM clean"
+SQL["bucketed_run_stats"] = SQL["per_run_stats"]
+SQL["bucketed_engine_log"] = SQL["engine_log_enriched"]
+SQL["gold_incremental_daily"] = with_(*SILVER, DAILY) + \
+    "SELECT * EXCLUDE (median_fare_usd, p95_fare_usd) FROM daily_revenue"
+SQL["gold_incremental_pairs"] = SQL["gold_borough_pairs"]
+SQL["csv_rejects"] = """
+WITH spoilt AS (
+  SELECT *, CASE WHEN o_orderkey % 83 = 0 OR o_orderkey % 79 = 0 THEN 'columns'
+                 WHEN o_orderkey % 101 = 0 THEN 'type:o_totalprice' WHEN o_orderkey % 97 = 0 THEN 'type:o_orderdate'
+                 WHEN o_orderkey % 89 = 0 THEN 'missing:o_custkey' ELSE 'good' END AS reason FROM orders)
+SELECT reason, count(*) AS rows, round(sum(CASE WHEN reason = 'good' OR reason LIKE 'missing%' THEN o_totalprice END), 2) AS price,
+       count(CASE WHEN reason <> 'good' THEN 1 END) AS lines,
+       max(CASE WHEN reason = 'good' OR reason LIKE 'missing%' THEN o_orderdate END) AS last_day
+FROM spoilt GROUP BY 1"""
+SQL["csv_view"] = """
+SELECT c_nationkey, count(*) AS customers, round(sum(c_acctbal), 2) AS balance FROM customer GROUP BY 1"""
+
+# --------------------------------------------------------------------------
+# Metrics: absent labels, and windows on a step grid
+# --------------------------------------------------------------------------
+
+_POD_MATCHERS = {
+    "pod!=pod-1": "label <> 'pod-1'", "pod!~pod-[12]": "NOT regexp_full_match(label, 'pod-[12]')", "pod=": "label = ''",
+    "pod=~pod-[01]|": "regexp_full_match(label, 'pod-[01]|')", "pod=~.*": "true", "pod=pod-2": "label = 'pod-2'"}
+SQL["metric_absent_labels"] = """
+WITH pods AS (
+  SELECT metric, pod, coalesce(pod, '') AS label FROM (
+    SELECT event_type AS metric, CASE WHEN user_id % 3 <> 0 THEN 'pod-' || (user_id % 4) END AS pod FROM events))
+""" + "\nUNION ALL ".join(f"SELECT '{name}' AS matcher, metric, pod, count(*) AS samples FROM pods WHERE {test} GROUP BY 2, 3"
+                          for name, test in _POD_MATCHERS.items())
+
+
+def _step_windows(step: int, window: int, where: str) -> str:
+    """Every sample once for each window (t - window, t] that holds it, with its predecessor there."""
+    s, w = step * 1_000_000, window * 1_000_000
+    return f"""
+spread AS (
+  SELECT metric, instance, ts, value, sample_id, unnest(range((us + {s - 1}) // {s}, (us + {w - 1}) // {s} + 1)) AS k
+  FROM (SELECT *, epoch_us(ts) AS us FROM samples WHERE {where})),
+steps AS (
+  SELECT *, lag(value) OVER w AS prev, lag(ts) OVER w AS prev_ts, row_number() OVER w AS i, count(*) OVER (
+    PARTITION BY metric, instance, k) AS n
+  FROM spread WINDOW w AS (PARTITION BY metric, instance, k ORDER BY ts, sample_id)),
+at_steps AS (
+  SELECT metric, instance, make_timestamp(k * {s}) AS "at", make_timestamp(k * {s} - {w}) AS window_start,
+         sum({_STEP}) AS increase, arg_max(value, i) - arg_min(value, i) AS delta,
+         arg_max({_STEP}, i) AS last_step, date_diff('microsecond', arg_max(prev_ts, i), max(ts)) / 1e6 AS dt
+  FROM steps WHERE n > 1 GROUP BY metric, instance, k)"""
+
+
+SQL["metric_step_rate"] = with_(SAMPLES, _step_windows(3600, 21600, "metric = 'click'")) + """
+SELECT metric, instance, "at", window_start, round(increase, 4) AS increase, round(increase / 21600.0, 8) AS rate FROM at_steps"""
+SQL["metric_step_irate"] = with_(SAMPLES, _step_windows(14400, 36000, "metric = 'signup'")) + """
+SELECT metric, instance, "at", window_start, round(CASE WHEN dt > 0 THEN last_step / dt END, 6) AS irate FROM at_steps"""
+SQL["metric_step_delta"] = with_(SAMPLES, _step_windows(18000, 7200, "true")) + """
+SELECT metric, instance, "at", window_start, round(delta, 4) AS delta FROM at_steps"""
+SQL["metric_step_min_of_avg"] = with_(SAMPLES, _step_windows(3600, 21600, "true")) + """
+SELECT window_start, round(min(value), 8) AS value FROM (
+  SELECT window_start, instance, avg(increase / 21600.0) AS value FROM at_steps GROUP BY 1, 2) GROUP BY 1"""
+SQL["metric_instant_range"] = with_(SAMPLES) + """
+, once AS (SELECT metric, instance, ts, arg_max(value, sample_id) AS value FROM samples GROUP BY 1, 2, 3),
+grid AS (
+  SELECT metric, instance, make_timestamp(unnest(range(k0, k1 + 1)) * 3600000000) AS at FROM (
+    SELECT metric, instance, min((epoch_us(ts) + 3599999999) // 3600000000) AS k0,
+           max((epoch_us(ts) + 8999999999) // 3600000000) AS k1 FROM samples GROUP BY 1, 2))
+SELECT g.metric, g.instance, g.at, s.value, s.ts
+FROM grid g ASOF JOIN once s ON g.metric = s.metric AND g.instance = s.instance AND g.at >= s.ts
+WHERE s.ts > g.at - INTERVAL 9000 SECONDS"""

@@ -18,6 +18,7 @@ from strata.operators import gold, quality, silver
 from strata.plans.layers import Medallion
 from strata.session import scratch_path
 from strata.sinks import tables
+from strata.sinks.versions import delete_path
 
 
 # fixed value: the name of the enriched view
@@ -70,6 +71,12 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
     """Full refresh of every layer.  ``gate`` raises when a declared data test
     fails; the failing checks are kept in ``Built.failing_tests``.
 
+    Each table is staged, tested and then made current in one step, so a
+    refresh that fails leaves the tables that it hasn't reached as they were,
+    and one that fails a test leaves the tested table, too.  The tests cost no
+    scan: null counts are collected while the rows are written, and unique
+    columns are looked up in the staged gold tables, which are small.
+
     ``silver_layout``: ``local`` sorts silver by pickup time within each
     input partition (no shuffle; right when landing files are per month, as
     they are), ``range`` range-partitions it first (one full shuffle; for
@@ -80,28 +87,40 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
     scans of silver instead of five)."""
     spark = m.spark
     b = Built(spark)
+    b.failing_tests = []
 
     def timed(key, fn):
         t0 = time.perf_counter()
         fn()
         b.seconds[key] = round(time.perf_counter() - t0, 3)
 
+    def refresh(key, df, table, *models, n=files, how="range"):
+        """Write a table; ``models`` are those whose declared tests its rows decide."""
+        tests = {t: quality.DECLARED_TESTS[t] for t in models if run_tests}
+        columns = {c: ["not_null"] for t in tests.values() for c, kinds in t.items() if "not_null" in kinds}
+
+        def check(staged, seen):
+            failing = [r for t, own in tests.items() for r in quality.observed_report(t, own, seen, staged)
+                       if r["status"] == "fail"]
+            b.failing_tests.extend(failing)
+            if gate and failing:
+                raise RuntimeError(f"data tests failed: {b.failing_tests}")
+
+        timed(key, lambda: tables.write_table(
+            df, table, gold.SORT_KEYS.get(table.split(".", 1)[1]), n, how=how,
+            metrics=quality.observed_nulls(columns) or None, check=check if tests else None))
+
     timed("create_schemas", lambda: tables.create_layers(spark, root))
-    timed("ingest_trips", lambda: tables.write_table(m.bronze_trips, "bronze.fhvhv_trips", None, files))
-    timed("ingest_zones", lambda: tables.write_table(m.bronze_zones, "bronze.taxi_zones",
-                                                     gold.SORT_KEYS["taxi_zones"], 1))
+    refresh("ingest_trips", m.bronze_trips, "bronze.fhvhv_trips")
+    refresh("ingest_zones", m.bronze_zones, "bronze.taxi_zones", n=1)
     stored = Medallion(spark, window=m.window, minute_mode=m.minute_mode,
                        bronze_trips=b.bronze, bronze_zones=b.zones)
-    timed("silver_clean", lambda: tables.write_table(stored.clean, "silver.fhvhv_trips_clean",
-                                                     gold.SORT_KEYS["fhvhv_trips_clean"], files,
-                                                     how=silver_layout))
+    # the enriched view keeps every clean row and its pickup time, so the clean rows decide its test as well
+    refresh("silver_clean", stored.clean, "silver.fhvhv_trips_clean", "fhvhv_trips_clean", "fhvhv_trips_enriched",
+            how=silver_layout)
     tables.create_catalog_view(spark, ENRICHED_VIEW, silver.enriched_view_sql("silver.fhvhv_trips_clean",
                                                                               "bronze.taxi_zones"))
-    # the silver tests come before gold: a refresh that fails them leaves gold as it was
-    b.failing_tests = []
-    if run_tests:
-        timed("silver_tests", lambda: _test(b, {"fhvhv_trips_clean": b.clean, "fhvhv_trips_enriched": b.enriched}, gate))
-    built_models = {}
+    built_models, scratch = {}, None
     if fuse:
         # both tables go to the shared folder: lost executors don't lose them, and every model reads them from there
         scratch = scratch_path(spark, f"fused-{uuid.uuid4().hex}")
@@ -109,25 +128,18 @@ def build(m: Medallion, root: str | None = None, files: int | None = None,
                                                gold.fare_histogram(b.clean).write.parquet(f"{scratch}/fares")))
         built_models = gold.models_from_fused(spark.read.parquet(f"{scratch}/sets"),
                                               spark.read.parquet(f"{scratch}/fares"))
-    for name, (src, fn) in gold.GOLD_MODELS.items():
-        df = built_models.get(name)
-        if df is None:
-            df = fn(b.clean if src == "clean" else b.enriched)
-        timed(f"gold_{name}", lambda: tables.write_table(df, f"gold.{name}", gold.SORT_KEYS.get(name), 1))
-    if run_tests:
-        timed("gold_tests", lambda: _test(b, {n: b.gold(n) for n in gold.GOLD_MODELS}, gate))
-        b.seconds["tests"] = round(b.seconds["silver_tests"] + b.seconds["gold_tests"], 3)
+    try:
+        for name, (src, fn) in gold.GOLD_MODELS.items():
+            df = built_models.get(name)
+            if df is None:
+                df = fn(b.clean if src == "clean" else b.enriched)
+            refresh(f"gold_{name}", df, f"gold.{name}", name, n=1)
+    finally:
+        if scratch:
+            delete_path(spark, scratch)
     return b
 
 
-def _test(b: Built, models: dict[str, DataFrame], gate: bool) -> None:
-    """Run the declared tests of these models; with ``gate`` a failure ends the refresh here."""
-    failing = quality.gate(quality.run_declared_tests(models)).collect()   # at most one row per declared test
-    b.failing_tests += [r.asDict() for r in failing]
-    if gate and failing:
-        raise RuntimeError(f"data tests failed: {b.failing_tests}")
-
-
 # fixed values: the materialized tables that compaction rewrites
 COMPACTED = ("bronze.fhvhv_trips", "silver.fhvhv_trips_clean", *[f"gold.{g}" for g in gold.GOLD_MODELS])
 
@@ -148,13 +160,11 @@ MATERIALIZED = (("bronze", "fhvhv_trips"), ("bronze", "taxi_zones"), ("silver",
 def attach(spark: SparkSession, root: str) -> list[str]:
     """Register the tables of a lake folder written by ``build(root=...)`` in
     this session's catalog (e.g. a new process without a shared metastore).
-    Existing registrations are left alone; nothing is copied."""
+    Tables that are registered already are pointed to the lake's current versions; nothing is copied."""
     names = []
     for layer, table in MATERIALIZED:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer} LOCATION '{root.rstrip('/')}/{layer}'")
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {layer}.{table} USING parquet "
-                  f"LOCATION '{tables.latest_folder(spark, f'{root.rstrip('/')}/{layer}/{table}')}'")
-        names.append(f"{layer}.{table}")
+        names.append(tables.attach_table(spark, f"{layer}.{table}", f"{root.rstrip('/')}/{layer}/{table}"))
     tables.create_catalog_view(spark, ENRICHED_VIEW, silver.enriched_view_sql("silver.fhvhv_trips_clean",
                                                                               "bronze.taxi_zones"))
     return names

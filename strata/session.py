@@ -79,5 +79,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path for an intermediate table under the shared checkpoint folder."""
-    return os.path.join(checkpoint_dir(spark), name)
+    """A path for an intermediate table: in this application's folder under the shared checkpoint folder."""
+    return os.path.join(checkpoint_dir(spark), f"strata-{spark.sparkContext.applicationId}", name)
+
+
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete all intermediate tables of this application; results that still read them must have been written before."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(scratch_path(spark, ""))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -1,14 +1,18 @@
 """Table sinks: layer namespaces, sorted full-refresh writes, views, appends,
-compaction and the ingest audit (SNK-1..8)."""
+compaction and the ingest audit (SNK-1..8).  Refresh and compaction commit versions (``sinks.versions``)."""
 
 from __future__ import annotations
 
 import os
 import time
+from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from strata.sinks.versions import VersionedTable, delete_path, list_names
+
 # fixed values: layer namespaces, created with their literal names
 LAYERS = ("bronze", "silver", "gold")
 RESULTS_NAMESPACE = "benchmark"
@@ -63,12 +67,44 @@ def layout(df: DataFrame, sort_by: list[str] | None, files: int | None = None,
 
 
 def write_table(df: DataFrame, table: str, sort_by: list[str] | None = None, files: int | None = None,
-                fmt: str = "parquet", mode: str = "overwrite", how: str = "range") -> str:
-    """Full-refresh materialization (drop + recreate) as a managed table."""
-    layout(df, sort_by, files, how).write.format(fmt).mode(mode).saveAsTable(table)
+                fmt: str = "parquet", how: str = "range", metrics: dict[str, Column] | None = None,
+                check: Callable[[DataFrame, dict], None] | None = None, keep: int = 1) -> str:
+    """Full refresh of a table: staged, checked, then current in one step.
+
+    The rows go to a fresh folder of the table's versions; until they are complete and ``check`` has passed, the table
+    is as it was, for this and for every other session.  Queries planned on the old version go on reading it: ``keep``
+    earlier versions stay.  The catalog then points to the new folder.
+    """
+    spark = df.sparkSession
+    versions = VersionedTable(spark, table_path(spark, table))
+    version = versions.refresh(layout(df, sort_by, files, how), fmt, metrics, check)
+    register(spark, table, version.folder, fmt)
+    versions.vacuum(keep)
     return table
 
 
+def table_path(spark: SparkSession, table: str) -> str:
+    """Where a table of this name belongs: a folder of its database."""
+    database, _, name = table.rpartition(".")
+    return f"{_db_location(spark, database or spark.catalog.currentDatabase())}/{name}"
+
+
+def register(spark: SparkSession, table: str, folder: str, fmt: str = "parquet") -> None:
+    """Point the catalog's table to a folder; rows of the same columns take one metadata step."""
+    schema = spark.read.format(fmt).load(folder).schema
+    if spark.catalog.tableExists(table):
+        if _location(spark, table) == folder:
+            spark.catalog.refreshTable(table)
+            return
+        same = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in schema]
+        if same and _provider(spark, table) == fmt:
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{folder}'")
+            spark.catalog.refreshTable(table)
+            return
+        spark.sql(f"DROP TABLE {table}")    # other columns: the entry is made anew, the files of its versions stay
+    spark.catalog.createTable(table, path=folder, source=fmt, schema=schema)
+
+
 def write_path(df: DataFrame, path: str, sort_by: list[str] | None = None, files: int | None = None,
                mode: str = "overwrite") -> str:
     layout(df, sort_by, files).write.mode(mode).parquet(path)
@@ -107,6 +143,58 @@ def append_measurements(spark: SparkSession, rows: DataFrame, table: str) -> str
     return table
 
 
+# fixed values: what identifies a measurement
+MEASUREMENT_KEY = ("run_id", "question_id", "layer", "iteration")
+
+
+def append_once(rows: DataFrame, path: str, keys: tuple[str, ...] = MEASUREMENT_KEY, latest: str = "captured_at") -> str:
+    """Append rows to the Parquet table at ``path``, each key once, however often the append is repeated.
+
+    Rows whose key the table has already are left out (NULL equals NULL), so an append whose outcome is unknown can
+    simply be repeated.  Of rows with equal keys in one batch the one with the greatest ``latest`` goes in.  Spark's
+    commit makes a batch visible as a whole: a run that dies in the middle leaves no rows.
+    """
+    spark = rows.sparkSession
+    others = [c for c in rows.columns if c not in keys and c != latest]
+    one = rows.groupBy(*keys).agg(F.max(F.struct(F.col(latest), *[F.col(c) for c in others])).alias("_r"))
+    batch = one.select(*keys, "_r.*").select(*rows.columns)
+    if list_names(spark, path):
+        there = spark.read.schema(rows.schema).parquet(path).select(*[F.col(k).alias(f"_t_{k}") for k in keys])
+        same = [F.col(k).eqNullSafe(F.col(f"_t_{k}")) for k in keys]
+        batch = batch.join(there, reduce(Column.__and__, same), "left_anti")
+    batch.write.mode("append").parquet(path)
+    return path
+
+
+def write_bucketed(df: DataFrame, table: str, buckets: int, by: list[str], sort_by: list[str],
+                   path: str | None = None) -> str:
+    """Full refresh of a table that is dealt into ``buckets`` files by the hash of ``by`` and sorted inside them.
+
+    Grouping by all of ``by`` (or more columns), and joins with a table dealt alike on the same columns, need no shuffle.
+    """
+    # one task per bucket: otherwise every task would write a file into each
+    writer = df.repartition(buckets, *by).write.bucketBy(buckets, *by).sortBy(*sort_by).mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(table)
+    return table
+
+
+def file_ranges(df: DataFrame, key: str) -> DataFrame:
+    """(file, rows, lo, hi): the range of a key in every file of a stored table."""
+    return df.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.count(F.lit(1)).alias("rows"), F.min(key).alias("lo"), F.max(key).alias("hi"))
+
+
+def overlapping_files(df: DataFrame, key: str) -> DataFrame:
+    """(files, overlaps, rows): how many files reach into the key range of files that start earlier.
+
+    Where none does, a predicate on the key reads only the files of its range.  The window is over one row per file.
+    """
+    earlier = Window.orderBy("lo", "hi", "file").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = file_ranges(df, key).withColumn("reach", F.max("hi").over(earlier))
+    return ranges.agg(F.count(F.lit(1)).alias("files"), F.count_if(F.col("reach") > F.col("lo")).alias("overlaps"),
+                      F.coalesce(F.sum("rows"), F.lit(0)).alias("rows"))
+
+
 #: size of a file that compaction aims at
 TARGET_FILE_BYTES = 256 << 20
 
@@ -125,39 +213,41 @@ def checksum(df: DataFrame) -> tuple[int, int]:
 
 
 def compact(spark: SparkSession, tables: dict[str, list[str] | None], files: int | None = None,
-            target_bytes: int = TARGET_FILE_BYTES, delete_old: bool = True) -> DataFrame:
+            target_bytes: int = TARGET_FILE_BYTES, keep: int = 1) -> DataFrame:
     """Rewrite each table into few range-sorted files and point it at them.
 
-    The new copy goes to a fresh folder beside the table (``<table>__<stamp>``);
-    its rows and checksum are compared with the original, and then one metadata
-    step sets the table's location.  Until that step the table is as it was, after
-    it the new files serve; managed and external tables are treated alike, and
-    ``pipeline.attach`` finds the latest folder.  The old folder goes last
-    (``delete_old=False`` keeps it, e.g. while others still read it).  ``files``
-    defaults to the table's bytes over ``target_bytes``.  A table that fails is
-    reported and left alone; the others still run.  Returns one report row per
-    table.
+    The new copy is a version of its own (``sinks.versions``): it is staged, its rows and checksum are compared with
+    the original, and one commit makes it current.  Until then the table is as it was; managed, external and attached
+    tables are treated alike.  ``keep`` earlier versions stay for queries that still read them.  If the table has been
+    refreshed in the meantime, the copy is given up.  ``files`` defaults to the table's bytes over ``target_bytes``.  A
+    table that fails is reported and left alone; the others still run.  Returns one report row per table.
     """
     report = []
     for table, sort_by in tables.items():
         t0 = time.time()
         try:
+            versions = VersionedTable.at_location(spark, _location(spark, table))
+            version = versions.current()
+            if version:    # the catalog may still name an older one
+                register(spark, table, version.folder, version.fmt)
+            fmt = version.fmt if version else _provider(spark, table)
             src = spark.table(table)
             before = src.inputFiles()
             old_bytes = bytes_on_disk(spark, before)
             want = checksum(src)
-            base = _location(spark, table)
-            fresh = f"{base.split('__')[0]}__{time.time_ns():020d}"
-            layout(src, sort_by, files or max(1, -(-old_bytes // target_bytes))).write.parquet(fresh)
-            got = checksum(spark.read.parquet(fresh))
-            if got != want:
-                raise RuntimeError(f"rows or checksum changed: {want} -> {got}")
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
-            spark.catalog.refreshTable(table)
+            staged = versions.stage(layout(src, sort_by, files or max(1, -(-old_bytes // target_bytes))), fmt)
+            try:
+                got = checksum(spark.read.format(fmt).load(staged.folder))
+                if got != want:
+                    raise RuntimeError(f"rows or checksum changed: {want} -> {got}")
+                fresh = versions.commit(staged, after=version.number if version else 0)
+            except BaseException:
+                versions.discard(staged)
+                raise
+            register(spark, table, fresh.folder, fmt)
             after = spark.table(table).inputFiles()
             size = bytes_on_disk(spark, after)
-            if delete_old:
-                delete_path(spark, base)
+            versions.vacuum(keep)
             report.append((table, want[0], len(before), len(after), size, "ok", "", round(time.time() - t0, 3)))
         except Exception as e:  # per-table failure is tolerated
             report.append((table, None, None, None, None, "skipped", str(e)[:200], round(time.time() - t0, 3)))
@@ -166,29 +256,28 @@ def compact(spark: SparkSession, tables: dict[str, list[str] | None], files: int
     return spark.createDataFrame(report, schema)
 
 
-def _location(spark: SparkSession, table: str) -> str:
-    rows = spark.sql(f"DESCRIBE FORMATTED {table}").where("col_name = 'Location'").collect()
-    return rows[0]["data_type"].rstrip("/")
+def _described(spark: SparkSession, table: str, what: str) -> str:
+    return spark.sql(f"DESCRIBE FORMATTED {table}").where(F.col("col_name") == what).first()["data_type"]
 
 
-def _hadoop_path(spark: SparkSession, path: str):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+def _location(spark: SparkSession, table: str) -> str:
+    return _described(spark, table, "Location").rstrip("/")
 
 
-def delete_path(spark: SparkSession, path: str) -> bool:
-    """Delete a folder through Spark's file system (local, HDFS, object store)."""
-    fs, p = _hadoop_path(spark, path)
-    return fs.delete(p, True)
+def _provider(spark: SparkSession, table: str) -> str:
+    return _described(spark, table, "Provider").lower()
 
 
 def latest_folder(spark: SparkSession, path: str) -> str:
-    """The folder that holds a table: the latest of ``path`` and its compacted copies ``path__<stamp>``."""
-    fs, p = _hadoop_path(spark, path)
-    found = fs.globStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}__*"))
-    names = sorted(s.getPath().toString() for s in found) if found else []
-    done = [n for n in names if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{n}/_SUCCESS"))]
-    return done[-1] if done else path
+    """The folder that holds the current rows of the table at ``path``, as its log records it."""
+    return VersionedTable(spark, path).folder()
+
+
+def attach_table(spark: SparkSession, table: str, path: str) -> str:
+    """Point the catalog to the current version of the table stored at ``path``, also where it named an older one."""
+    version = VersionedTable(spark, path).current()
+    register(spark, table, version.folder if version else path, version.fmt if version else "parquet")
+    return table
 
 
 def ingest_audit(bronze: DataFrame, batch_col: str = "_batch") -> DataFrame:

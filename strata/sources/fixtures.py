@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.functions.exprs import add_seconds
@@ -169,13 +169,20 @@ def medallion_results(events: DataFrame) -> DataFrame:
 INSTANCES = 5
 
 
-def metric_samples(events: DataFrame) -> DataFrame:
+def metric_samples(events: DataFrame, *more: Column) -> DataFrame:
     """Long metric table: metric, instance label, ts, value, and a sample id
-    that breaks timestamp ties deterministically."""
+    that breaks timestamp ties deterministically; ``more`` labels come last."""
     return events.select(
         F.col("event_type").alias("metric"),
         (F.col("user_id") % INSTANCES).cast("string").alias("instance"),
         F.col("ts"),
         F.col("value"),
         F.col("event_id").alias("sample_id"),
+        *more,
     )
+
+
+def pod_samples(events: DataFrame) -> DataFrame:
+    """Metric samples with a second label, which a third of the users' series lack."""
+    pod = F.when(F.col("user_id") % 3 != 0, F.concat(F.lit("pod-"), (F.col("user_id") % 4).cast("string")))
+    return metric_samples(events, pod.alias("pod"))

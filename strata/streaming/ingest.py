@@ -23,6 +23,7 @@ from pyspark.sql.types import StructType
 
 from strata.operators import silver
 from strata.session import checkpoint_dir
+from strata.sinks.versions import list_names
 from strata.sources.landing import SchemaDriftError, files_missing_columns
 
 
@@ -47,6 +48,21 @@ def _run(df: DataFrame, out_path: str, checkpoint: str) -> int:
     return 0 if last is None else last["batchId"] + int(last["numInputRows"] > 0)
 
 
+def _check_new_files(spark: SparkSession, landing_dir: str, schema: StructType, checked: str) -> None:
+    """Refuse files that lack a column; ``checked`` remembers the files that earlier runs have looked into."""
+    listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
+              .load(landing_dir).select("path", "modificationTime", "length"))
+    new = listed
+    if list_names(spark, checked):
+        new = listed.join(spark.read.schema(listed.schema).parquet(checked), listed.columns, "left_anti")
+    rows = new.collect()    # the files of this run
+    short = files_missing_columns(spark, [r["path"] for r in rows], schema.fieldNames())
+    if short:
+        raise SchemaDriftError(f"{len(short)} file(s) lacking columns of the schema, e.g. {short[:5]}")
+    if rows:
+        spark.createDataFrame(rows, listed.schema).coalesce(1).write.mode("append").parquet(checked)
+
+
 def ingest_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, schema: StructType,
                      checkpoint: str | None = None, silver_path: str | None = None,
                      window=silver.DEFAULT_WINDOW, check_drift: bool = True) -> dict[str, int]:
@@ -55,16 +71,13 @@ def ingest_new_files(spark: SparkSession, landing_dir: str, bronze_path: str, sc
     micro-batches that each stream has committed.
 
     The default checkpoint belongs to the landing folder and the target, so
-    another target starts from the first file.  Files lacking a column of
+    another target starts from the first file.  New files lacking a column of
     ``schema`` are refused, as in the batch ingest.
     """
-    if check_drift:
-        files = spark.read.option("recursiveFileLookup", "true").parquet(landing_dir).inputFiles()
-        short = files_missing_columns(spark, files, schema.fieldNames())
-        if short:
-            raise SchemaDriftError(f"{len(short)} file(s) lacking columns of the schema, e.g. {short[:5]}")
     key = hashlib.sha256(f"{landing_dir}\n{bronze_path}\n{silver_path}".encode()).hexdigest()[:16]
     root = checkpoint or os.path.join(checkpoint_dir(spark), f"ingest-{key}")
+    if check_drift:
+        _check_new_files(spark, landing_dir, schema, os.path.join(root, "checked"))
     src = landing_stream(spark, landing_dir, schema)
     out = {"bronze": _run(src, bronze_path, os.path.join(root, "bronze"))}
     if silver_path:

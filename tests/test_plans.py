@@ -8,7 +8,7 @@ import pytest
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
-from strata.plans.catalog import REGISTRY
+from strata.plans.catalog import EAGER, REGISTRY
 
 QUERIES = {k: v for k, v in E.queries().items() if k in REGISTRY}
 
@@ -42,7 +42,7 @@ def test_aggregates_are_hash_aggregates(spark, name):
 def test_building_a_query_starts_no_job(spark):
     """Sizes are left to the optimizer: no eager check, no driver-side count."""
     seen = []
-    for name in sorted(QUERIES):
+    for name in sorted(set(QUERIES) - EAGER):
         spark.sparkContext.setJobGroup(f"build-{name}", name)
         QUERIES[name](spark, SF_SMALL)
         # reading a file's schema is Spark's own one-task job per table; nothing else may run
@@ -104,3 +104,35 @@ def test_local_layout_adds_no_shuffle_and_range_layout_one(spark):
 def test_null_safe_key_joins_stay_equi_joins(spark, name):
     p = plan(QUERIES[name](spark, SF_SMALL))
     assert "NestedLoop" not in p and "Cartesian" not in p, name
+
+
+@pytest.mark.parametrize("name", ["gold_daily_revenue", "cross_run_stats", "cell_stats"])
+def test_exact_quantiles_read_their_source_once(spark, name, monkeypatch):
+    """The source is read for the stored histogram alone, with one scan; what is left reads stored tables."""
+    from strata.operators import quantiles
+    written = []
+    real = quantiles._stored
+    monkeypatch.setattr(quantiles, "_stored", lambda df, table: (written.append((table, plan(df))), real(df, table))[1])
+    final = plan(QUERIES[name](spark, SF_SMALL))
+    made = [p for t, p in written if t == "histogram"]
+    assert len(made) == 1 and sum(SF_SMALL in p for _, p in written) == 1 and SF_SMALL not in final
+    tree = made[0].split("\n\n")[0]
+    assert tree.count("Scan parquet") == 1 and tree.count("Exchange") <= 2, tree
+    assert final.split("\n\n")[0].count(" Exchange") <= 5
+
+
+def test_the_data_test_report_scans_the_fact_once(spark):
+    tree = plan(QUERIES["dq_report"](spark, SF_SMALL)).split("\n\n")[0]
+    scans = [line for line in plan(QUERIES["dq_report"](spark, SF_SMALL)).splitlines() if "lineitem.parquet" in line]
+    assert len(scans) == 1 and tree.count("SortMergeJoin") == 0
+
+
+@pytest.mark.parametrize("name", ["bucketed_run_stats", "bucketed_engine_log"])
+def test_bucketed_measurements_need_no_shuffle(spark, name):
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(QUERIES[name](spark, SF_SMALL))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "Exchange" not in p and "Bucketed: true" in p

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as E
 from conftest import SF_SMALL
 from strata.operators import gold, metrics, quality
-from strata.operators.quantiles import exact_quantiles, value_bucket
+from strata.operators.quantiles import exact_quantiles, part_of, quantiles_from_histogram, refine
 from strata.plans import pipeline
 from strata.plans.layers import Medallion
 from strata.sinks import tables
@@ -38,11 +38,40 @@ def test_quantiles_do_not_depend_on_the_plan(spark, reuse, adaptive):
         assert np.allclose(got[k], np.quantile(v, [0, 0.5, 0.95]), rtol=1e-12), k
 
 
-def test_value_buckets_keep_the_order(spark):
+def test_parts_keep_the_order(spark):
     values = [float("-inf"), -1e308, -5.5, -5.4999, -1e-300, -0.0, 0.0, 1e-300, 0.3, 20.0, 20.01, 1e9, 1e308, float("inf"), float("nan")]
     df = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double")
-    got = [r.b for r in df.select("i", value_bucket(F.col("v")).alias("b")).orderBy("i").collect()]
-    assert got == sorted(got)
+    for lo, hi in ((-1e308, 1e308), (-5.5, 20.01), (20.0, 20.01), (0.3, 0.3)):
+        inside = df.where(f"v between {lo} and {hi} or abs(v) = double('infinity') or isnan(v)")
+        got = [r.b for r in inside.select("i", part_of(F.col("v"), F.lit(lo), F.lit(hi), 64).alias("b")).orderBy("i").collect()]
+        assert got == sorted(got) and got[0] == -1 and got[-2:] == [64, 65]
+        assert lo == hi or got[1] == 0 and got[-3] == 63
+
+
+@pytest.mark.parametrize("shape", ["narrow", "outliers", "geometric", "infinite", "repeated"])
+def test_no_task_ranks_more_than_the_bound(spark, shape):
+    """A hot group whose values lie close together, or far out, is split until its intervals are small."""
+    i = F.col("id").cast("double")
+    value = {"narrow": 1.7e9 + i * 1e-3, "outliers": F.when(i < 5, -1e300).when(i < 9, 1e300).otherwise(i * 1e-6),
+             "geometric": F.pow(F.lit(1.01), i - 10_000.0) * F.when(i % 2 == 0, -1.0).otherwise(1.0),
+             "infinite": F.when(i % 3 == 0, float("inf")).when(i % 3 == 1, float("-inf")).otherwise(i),
+             "repeated": F.floor(i / 100) + 0.0}[shape]
+    df = spark.range(20_000).select(F.when(F.col("id") % 4 == 3, 1).otherwise(0).alias("k"), value.alias("v"))
+    probs, bound = {"lo": 0.0, "mid": 0.5, "p95": 0.95, "hi": 1.0}, 50
+    hist = df.groupBy("k", "v").agg(F.count("*").alias("c")).cache()
+    plain = hist.select(F.struct("k").alias("_k"), F.col("v").alias("_v"), F.col("c").alias("_c"))
+    left = refine(plain, probs, bound, 8)
+    sizes = plain.join(left, (F.col("_k") == F.col("_wk")) & (F.col("_v") >= F.col("_lo")) & (F.col("_v") <= F.col("_hi"))) \
+        .groupBy("_wk", "_lo").count().agg(F.max("count")).first()[0]
+    assert sizes <= bound
+    got = {r.k: [r[n] for n in probs] for r in quantiles_from_histogram(hist, ["k"], "v", "c", probs, bound).collect()}
+    rows = df.collect()
+    for k in (0, 1):
+        v = np.sort([r.v for r in rows if r.k == k])
+        for p, g in zip(probs.values(), got[k]):
+            at = (len(v) - 1) * p
+            lo, hi = v[int(np.floor(at))], v[int(np.ceil(at))]
+            assert g == lo if lo == hi else g == pytest.approx(lo + (hi - lo) * (at - np.floor(at)), rel=1e-12), (shape, k, p)
 
 
 def _samples(spark, values):
@@ -116,6 +145,13 @@ def test_a_failing_compaction_leaves_the_table(spark, scratch, monkeypatch):
     assert tables._location(spark, "silver.stays") == where and spark.table("silver.stays").count() == 100
 
 
+def test_absent_labels_count_as_empty(spark):
+    s = spark.createDataFrame([("m", "a"), ("m", None), ("m", "b"), ("m", "")], "metric string, instance string")
+    keep = lambda op, v: sorted((r.instance or "-") for r in metrics.select_series(s, "m", [("instance", op, v)]).collect())
+    assert keep("!=", "a") == ["-", "-", "b"] and keep("!~", "a|c") == ["-", "-", "b"]
+    assert keep("=", "") == ["-", "-"] and keep("=~", ".*") == ["-", "-", "a", "b"] and keep("=~", ".+") == ["a", "b"]
+
+
 def test_a_failing_silver_test_leaves_gold(spark, scratch):
     root = os.path.join(scratch, "gate")
     good = fixtures.bronze_trips(spark, SF_SMALL)
