@@ -8,8 +8,9 @@ bytes, and the encoder stores a text as it is where that is about as small; so a
 least margin is encoded from several offsets behind a pad that makes the encoder compress, and the sizes are added up.
 One on which no dictionary saves a byte even so is too short for the measure and is not rejected by it.
 
-Scale: the dictionaries are built from a bounded sample (``SAMPLE_DOCS`` texts and ``DICT_BYTES`` a language);
-prediction is a map-only pass over whole texts.
+Scale: the dictionaries are built from a bounded sample.  Every language gets one; ``SAMPLE_DOCS`` texts and ``DICT_BYTES``
+a language are for up to ``FULL_LANGUAGES`` of them, more share the total, down to ``LEAST_DOCS`` and ``LEAST_BYTES``.
+Prediction is a map-only pass over whole texts, block by block.
 """
 
 from __future__ import annotations
@@ -25,10 +26,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.sampling import lowest_hashes, remainder
-from strata.llm.textvec import utf8
+from strata.llm.textvec import decoded, utf8
 
-#: sample bounds: languages (the most frequent ones), texts of each, bytes of a dictionary
-MAX_LANGUAGES, SAMPLE_DOCS, DICT_BYTES = 200, 400, 112 << 10
+#: sample bounds: texts of each language and bytes of a dictionary, for how many languages these are, and the least of both
+SAMPLE_DOCS, DICT_BYTES, FULL_LANGUAGES = 400, 112 << 10, 200
+LEAST_DOCS, LEAST_BYTES = 20, 4 << 10
 #: bytes of a block that is encoded with a fresh context
 BLOCK_BYTES = 1 << 10
 #: shortest match of the encoder: short ones catch the syllables of unknown words
@@ -41,11 +43,17 @@ OFFSETS, PAD = 16, bytes(64)
 SCORE_MARGIN = 0.05
 UNDETERMINED = "und"
 
-_LETTER = re.compile(r"[^\W\d_]")
+# Word characters other than digits and underscores; not all are letters: numerals like the roman ones are among them.
+_MAYBE_LETTER = re.compile(r"[^\W\d_]")
 
 
-def learn_dictionaries(documents: DataFrame, fold: int = 4, held: int = 2, max_languages: int = MAX_LANGUAGES,
-                       sample_docs: int = SAMPLE_DOCS, dict_bytes: int = DICT_BYTES) -> dict[str, bytes]:
+def has_letter(text: str) -> bool:
+    """Whether a text has a character of one of the letter categories."""
+    return any(m.group().isalpha() for m in _MAYBE_LETTER.finditer(text))
+
+
+def learn_dictionaries(documents: DataFrame, fold: int = 4, held: int = 2, sample_docs: int = SAMPLE_DOCS,
+                       dict_bytes: int = DICT_BYTES, full_languages: int = FULL_LANGUAGES) -> dict[str, bytes]:
     """Dictionary content of each language, from rows (doc_id, text, lang) outside the held-out fold.
 
     The sample of a language is about ``sample_docs`` different texts, those with the lowest text hashes; a dictionary takes an
@@ -55,11 +63,12 @@ def learn_dictionaries(documents: DataFrame, fold: int = 4, held: int = 2, max_l
     rows = (documents.select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
             .where((F.length("text") > 0) & F.col("lang").isNotNull() & ~held_out))
     keyed = rows.select("lang", F.xxhash64("text").alias("h"))
-    chosen = lowest_hashes(keyed.distinct(), "lang", sample_docs, max_languages).select(
+    part = max(1.0, rows.select("lang").distinct().count() / full_languages)
+    sample_docs, dict_bytes = max(LEAST_DOCS, int(sample_docs / part)), max(LEAST_BYTES, int(dict_bytes / part))
+    chosen = lowest_hashes(keyed.distinct(), "lang", sample_docs).select(
         F.col("lang").alias("s_lang"), F.col("h").alias("s_hash"))
-    # about max_languages * sample_docs keys
     sample = (rows.withColumn("h", F.xxhash64("text"))
-              .join(F.broadcast(chosen), (F.col("lang") == F.col("s_lang")) & (F.col("h") == F.col("s_hash")))
+              .join(chosen, (F.col("lang") == F.col("s_lang")) & (F.col("h") == F.col("s_hash")))
               .select("lang", "h", "text"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,7 +95,7 @@ def _piece(text: bytes, share: int) -> bytes:
 
 def fold(text: bytes) -> bytes:
     """Lower case, so that headings and shouting count as their language."""
-    return text.decode().lower().encode()
+    return text.decode("utf-8", "replace").lower().encode()
 
 
 class Coder:
@@ -122,15 +131,15 @@ class Coder:
 
     def predict(self, text: str | None) -> tuple[str, float, float | None]:
         """(language, score, margin); no language without a letter, no margin where there is nothing to compare."""
-        if not text or not _LETTER.search(text) or not self.langs:
+        if not text or not self.langs or not has_letter(text):
             return UNDETERMINED, 0.0, None
         if len(self.langs) == 1:
             return self.langs[0], 1.0, None
         sizes = self.sizes(text.lower().encode())
         if sizes.min() * MIN_MARGIN < 1:
             sizes, told = self.fine_sizes(text.lower())
-            if not told:
-                return self.langs[0], 0.0, None
+            if not told:     # the smallest size all the same, but no measure of how sure it is
+                return self.langs[int(np.argmin(sizes))], 0.0, None
         order = np.argsort(sizes, kind="stable")
         best, second = sizes[order[0]], sizes[order[1]]
         margin = float(second - best) / max(float(best), 1.0)
@@ -144,7 +153,7 @@ def identify(documents: DataFrame, dictionaries: dict[str, bytes], fold: int = 4
     ``lang_pred`` is a learned language, or ``und`` for a null text, a text without a letter, or no languages at all.
     ``rejected`` marks ``und`` and margins below ``min_margin`` (ties among them; of equals the first name wins).
     With one language there is nothing to compare and no margin, nor where a text is so short that no dictionary saves a
-    byte on it: the first name with score 0, not rejected.  Repeated rows each get a row, a null doc_id is not
+    byte on it: the smallest size with score 0, not rejected.  Malformed UTF-8 is read as U+FFFD, which is no letter.  Repeated rows each get a row, a null doc_id is not
     held out, an empty table gives an empty result, and other columns may have any name.
     """
     kind = documents.schema["doc_id"].dataType.simpleString()
@@ -185,7 +194,7 @@ def _predictor(documents: DataFrame, dictionaries: dict[str, bytes]):
     def predict(batches: Iterator[pa.RecordBatch]):
         coder = Coder(shipped.value)
         for batch in batches:
-            yield batch, [coder.predict(t) for t in batch.column("text").cast(pa.string()).to_pylist()]
+            yield batch, [coder.predict(t) for t in decoded(batch.column("text"))]
 
     return predict
 

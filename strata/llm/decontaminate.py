@@ -1,31 +1,35 @@
 """Benchmark decontamination with a generalised suffix automaton over the words of the test items.
 
-The automaton is built once on the driver from the benchmark (a fixed test set; its size is checked against
-``MAX_ITEM_WORDS``) and shipped to the tasks.  Training texts stream through it word by word; the state carries the
-length of the longest suffix of the words read so far that occurs in some item.  A word is *hit* when it lies in an
-occurrence of a window: 13 consecutive item words, or a whole item of fewer words.
+The items are dealt into blocks of about ``BLOCK_CHARS`` characters, one for most benchmarks.  The automaton of a block is
+built on the driver and shipped to the tasks.  Training texts stream through it word by word; the state carries the length
+of the longest suffix of the words read so far that occurs in some item.  A word is *hit* when it lies in an occurrence of a
+window: 13 consecutive item words, or a whole item of fewer words.
 
-Scale: one map-only pass over the documents, no shuffle; memory per task is the automaton plus one batch of texts.
+Scale: one map-only pass over the documents for each block, no shuffle with one block; with several, the spans of a document
+are brought together by its row.  Memory per task is one automaton plus one batch of texts.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.components import materialize
 from strata.llm.textvec import slices, utf8
 
 WINDOW = 13
 #: a document is contaminated from one hit word in this many
 COVERAGE = 20
-#: bound of the benchmark that is shipped to every task (words over all items)
-MAX_ITEM_WORDS = 20_000_000
+#: characters of the items of a block: an automaton takes about 150 bytes of memory a character (measured on random words:
+#: 208 MB for 1.4 million characters), and there is one at a time in the driver and one in every task
+BLOCK_CHARS = 1_000_000
 
 # bytes of a word after lower-casing A-Z: digits, a-z and everything beyond ASCII; all others separate words
 _FOLD = bytes((b + 32 if 0x41 <= b <= 0x5A else b) if 0x30 <= b <= 0x39 or 0x41 <= b <= 0x5A or 0x61 <= b <= 0x7A
@@ -143,51 +147,109 @@ class SuffixAutomaton:
         return spans, {item for s in reached for item in self.items_at[s]}
 
 
-def build_automaton(benchmark: DataFrame, window: int = WINDOW, max_words: int = MAX_ITEM_WORDS) -> SuffixAutomaton:
-    """Automaton of the items (item_id, text); null texts and items without words have no windows.
+def item_blocks(benchmark: DataFrame, block_chars: int = BLOCK_CHARS) -> tuple[DataFrame, int]:
+    """Different items (item_id, text, block) of a benchmark, dealt by hash into blocks of about ``block_chars``
+    characters, and the number of blocks; null texts are no items.  An item that is larger is a large block."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull()).distinct()
+    size = items.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
+    blocks = max(1, -(-size // block_chars))
+    return items.withColumn("block", F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks))), blocks
 
-    The item texts go through the driver, so their size is checked first, on the executors.
-    """
-    items = benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text").where(F.col("text").isNotNull())
-    size = items.agg(F.sum(F.length(F.col("text"))).alias("n")).first()["n"] or 0
-    if size > 2 * max_words:  # a word and its separator take two characters at least
-        raise ValueError(f"the benchmark has {size} characters; the bound is {2 * max_words}")
-    rows = items.distinct().collect()
-    return SuffixAutomaton([(r["item_id"] or "", r["text"].encode()) for r in rows], window)
 
+def automata(benchmark: DataFrame, window: int = WINDOW, block_chars: int = BLOCK_CHARS) -> Iterator[SuffixAutomaton]:
+    """The automaton of each block of the items, one after the other; items without words have no windows."""
+    items, blocks = item_blocks(benchmark, block_chars)
+    for block in range(blocks):
+        rows = items.where(F.col("block") == block).select("item_id", "text").collect()     # about block_chars characters
+        yield SuffixAutomaton([(r["item_id"] or "", r["text"].encode("utf-8", "replace")) for r in rows], window)
 
-def scan_documents(documents: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
-    """One row per document: n_words, hit word spans, items hit, coverage verdict.
 
-    Columns: doc_id, n_words, n_hit, spans (array of word ranges, end exclusive), items (sorted), contaminated.
-    Defined cases: a null or empty text has no words and is clean; repeated rows each get a row; only doc_id and text
-    are read, so other columns may have any name; an empty table gives an empty result.
-    """
-    shipped = documents.sparkSession.sparkContext.broadcast(automaton)
+def build_automaton(benchmark: DataFrame, window: int = WINDOW) -> SuffixAutomaton:
+    """Automaton of all items as one block, for a benchmark that is known to be small."""
+    return next(automata(benchmark, window, 1 << 62))
+
+
+_SPANS = "array<struct<start: long, end: long>>"
+_ARROW_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+
+
+def _scan(rows: DataFrame, key: str, automaton: SuffixAutomaton) -> DataFrame:
+    """(key, n_words, spans, items) of rows (key, text)."""
+    shipped = rows.sparkSession.sparkContext.broadcast(automaton)
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shipped.value
         for whole in batches:
             for batch in slices(whole, "text"):
-                n_words, n_hit, spans, items = [], [], [], []
+                n_words, spans, items = [], [], []
                 for text in utf8(batch.column("text")):
                     words = words_of(text)
                     found, names = machine.scan(words)
                     n_words.append(len(words))
-                    n_hit.append(sum(e - s for s, e in found))
                     spans.append([{"start": s, "end": e} for s, e in found])
                     items.append(sorted(names))
-                hit, total = np.array(n_hit, dtype=np.int64), np.array(n_words, dtype=np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(total), pa.array(hit),
-                     pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
-                     pa.array(items, pa.list_(pa.string())),
-                     pa.array((hit > 0) & (COVERAGE * hit >= total))],
-                    names=["doc_id", "n_words", "n_hit", "spans", "items", "contaminated"])
+                    [batch.column(key), pa.array(n_words, pa.int64()), pa.array(spans, _ARROW_SPANS),
+                     pa.array(items, pa.list_(pa.string()))], names=[key, "n_words", "spans", "items"])
+
+    return rows.select(key, "text").mapInArrow(
+        scan, f"{key} {rows.schema[key].dataType.simpleString()}, n_words long, spans {_SPANS}, items array<string>")
+
+
+def _joined_spans(spans: Column) -> Column:
+    """Overlapping and touching ranges of all blocks as one list of ranges, in order."""
+    def add(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        grown = F.concat(F.slice(done, 1, F.size(done) - 1), F.array(F.struct(
+            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"))))
+        return F.when((F.size(done) > 0) & (F.try_element_at(done, F.lit(-1))["end"] >= s["start"]), grown).otherwise(
+            F.concat(done, F.array(s)))
+    return F.aggregate(F.array_sort(spans), F.array().cast(_SPANS), add)
 
-    return documents.select("doc_id", "text").mapInArrow(
-        scan, f"doc_id {documents.schema['doc_id'].dataType.simpleString()}, n_words long, n_hit long, "
-              "spans array<struct<start: long, end: long>>, items array<string>, contaminated boolean")
+
+def _hits(rows: DataFrame, key: str, machines: Iterable[SuffixAutomaton]) -> DataFrame:
+    """(key, n_words, n_hit, spans, items, contaminated) of rows (key, text) whose keys differ if there are several blocks."""
+    parts = [_scan(rows, key, m) for m in machines]
+    found = parts[0]
+    if len(parts) > 1:
+        for p in parts[1:]:
+            found = found.unionByName(p)
+        found = found.groupBy(key).agg(
+            F.max("n_words").alias("n_words"), _joined_spans(F.flatten(F.collect_list("spans"))).alias("spans"),
+            F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"])
+    return found.select(key, "n_words", n_hit.alias("n_hit"), "spans", "items").withColumn(
+        "contaminated", (F.col("n_hit") > 0) & (COVERAGE * F.col("n_hit") >= F.col("n_words")))
+
+
+Machines = SuffixAutomaton | Iterable[SuffixAutomaton]
+
+
+def _taken(machines: Machines) -> tuple[SuffixAutomaton | None, Iterator[SuffixAutomaton]]:
+    """The automaton, if it is only one, or None and all of them, which need not be in memory together."""
+    if isinstance(machines, SuffixAutomaton):
+        return machines, iter(())
+    rest = iter(machines)
+    first, second = next(rest), next(rest, None)
+    return (first, iter(())) if second is None else (None, chain((first, second), rest))
+
+
+def scan_documents(documents: DataFrame, machines: Machines) -> DataFrame:
+    """One row per document: n_words, hit word spans, items hit, coverage verdict.
+
+    Columns: doc_id, n_words, n_hit, spans (array of word ranges, end exclusive), items (sorted), contaminated.
+    ``machines`` is the automaton of the items or those of their blocks (``automata``).  With several blocks the rows are numbered and
+    written first, so that what the blocks find in a row comes together however often its doc_id occurs.
+    Defined cases: a null or empty text has no words and is clean; repeated rows each get a row; only doc_id and text
+    are read, so other columns may have any name; an empty table gives an empty result.  Bytes that are no UTF-8 are
+    word characters like all beyond ASCII.
+    """
+    only, several = _taken(machines)
+    if only:
+        return _hits(documents, "doc_id", (only,))
+    rows = materialize(documents.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "numbered")
+    found = _hits(rows, "row", several).withColumnRenamed("row", "f_row")
+    return rows.select("row", "doc_id").join(found, F.col("row") == F.col("f_row")).drop("row", "f_row")
 
 
 def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
@@ -197,13 +259,39 @@ def cut_spans(text: str, spans: list[tuple[int, int]]) -> str:
     return "".join(text[a:b] for a, b in zip(edges[0::2], edges[1::2], strict=True))
 
 
-def remove_contamination(documents: DataFrame, automaton: SuffixAutomaton) -> DataFrame:
+def remove_contamination(documents: DataFrame, machines: Machines) -> DataFrame:
     """Documents without benchmark text: contaminated ones go, and the others lose their hit spans.
 
-    Rows keep all their columns; where a text changes, ``n_chars`` (if it is there) follows it.
+    Rows keep all their columns; where a text changes, ``n_chars`` (if it is there) follows it, and malformed UTF-8
+    becomes U+FFFD.  Null and empty texts have no hits and stay, repeated rows are treated alike, and an empty table
+    gives an empty result.
     """
-    shipped = documents.sparkSession.sparkContext.broadcast(automaton)
+    only, several = _taken(machines)
     names = documents.columns
+    if only is None:
+        # the row travels as one column beside what the blocks have found in it
+        rows = materialize(documents.select(
+            F.monotonically_increasing_id().alias("row"), "text",
+            F.struct(*(F.col(f"`{n}`") for n in names)).alias("whole")), "numbered")
+        found = _hits(rows, "row", several).where("n_hit > 0").withColumnRenamed("row", "f_row")
+        joined = rows.join(found, F.col("row") == F.col("f_row"), "left").where(
+            ~F.coalesce("contaminated", F.lit(False))).select("text", "whole", "spans")
+
+        def cut_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for whole in batches:
+                for batch in slices(whole, "text"):
+                    ranges = [[(s["start"], s["end"]) for s in v or ()] for v in batch.column("spans").to_pylist()]
+                    rest = [cut_spans(t.decode("utf-8", "replace"), r) if r else None
+                            for t, r in zip(utf8(batch.column("text")), ranges, strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column("whole"), pa.array(rest, pa.string())], names=["whole", "rest"])
+
+        cut = joined.mapInArrow(cut_rows, f"whole {rows.schema['whole'].dataType.simpleString()}, rest string")
+        put = {n: F.col("whole")[n] for n in names}
+        if "n_chars" in put:
+            put["n_chars"] = F.coalesce(F.char_length("rest").cast(documents.schema["n_chars"].dataType), put["n_chars"])
+        put["text"] = F.coalesce("rest", put["text"])
+        return cut.select(*(c.alias(n) for n, c in put.items()))
+    shipped = documents.sparkSession.sparkContext.broadcast(only)
 
     def clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         machine = shipped.value
@@ -217,7 +305,7 @@ def remove_contamination(documents: DataFrame, automaton: SuffixAutomaton) -> Da
                     if hit:
                         keep[i] = COVERAGE * hit < len(words)
                         if keep[i]:
-                            changed[i] = cut_spans(text.decode(), found)
+                            changed[i] = cut_spans(text.decode("utf-8", "replace"), found)
                 columns = {n: batch.column(n) for n in names}
                 if changed:
                     rows = np.array(sorted(changed))
@@ -234,8 +322,8 @@ def remove_contamination(documents: DataFrame, automaton: SuffixAutomaton) -> Da
 
 
 def op6_suffix_automaton(spark, sf_dir: str) -> DataFrame:
-    automaton = build_automaton(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
-    found = scan_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), automaton)
+    machines = automata(spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    found = scan_documents(spark.read.parquet(f"{sf_dir}/documents.parquet"), machines)
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
                         F.sha2(F.array_join(F.col("items"), ","), 256).alias("items_sha256"), "contaminated")
 

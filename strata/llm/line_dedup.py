@@ -1,9 +1,8 @@
 """Fuzzy line deduplication over a corpus: MinHash of character shingles, banding, exact verification, union-find.
 
-Every line that holds a word (a letter or a digit) takes part, and so does any line of ``WORDLESS_CHARS`` characters or
-more.  Equal lines are one node, whatever their length; lines of fewer than ``MIN_CHARS`` characters have no shingle, so
-they are duplicates of equal lines only.  Each longer distinct line of a batch gets ``BANDS`` x ``ROWS`` minima of its seven-character shingles; lines that share a band
-key form a bucket, and each member of a bucket is paired with its hub, the smallest line hash.  Pairs are verified by
+Every line that isn't blank takes part.  Equal lines are one node, whatever their length; lines of fewer than ``MIN_CHARS``
+characters have no shingle, so they are duplicates of equal lines only.  Each longer distinct line of a batch gets ``BANDS``
+x ``ROWS`` minima of its seven-character shingles; lines that share a band key form a bucket, and each member of a bucket is paired with its hub, the smallest line hash.  Pairs are verified by
 the exact Jaccard similarity of their shingle sets; what a bucket then still holds in several components is compared in
 full, in bounded units (``near_dup.link_rest``).  One occurrence of each component stays: the first by doc_id, then by
 line number.
@@ -24,13 +23,11 @@ from pyspark.sql.types import IntegralType
 
 from strata.llm.components import materialize
 from strata.llm.near_dup import join_components
-from strata.llm.textvec import mix64, slices
+from strata.llm.textvec import decoded, mix64, slices
 
 SHINGLE_CHARS, THRESHOLD = 7, 0.8
 #: a line of fewer characters has no shingle: it is compared as a whole only
 MIN_CHARS = SHINGLE_CHARS
-#: a shorter line without a letter or digit (blank, a rule, a bracket) is layout and always stays
-WORDLESS_CHARS = 30
 #: a pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 5) ** 14 = 0.996
 BANDS, ROWS = 14, 5
 #: entries (band key and line) of a slot, about, and of a pack that a task gathers before it hands it on
@@ -108,8 +105,7 @@ def band_keys(values: np.ndarray) -> np.ndarray:
 
 def line_hashes(text: Column) -> Column:
     """Hash of each line of a text, null for lines that don't take part; null for a null text."""
-    return F.transform(F.split(text, "\n", -1), lambda s: F.when(
-        s.rlike(r"[\p{L}\p{N}]") | (F.char_length(s) >= WORDLESS_CHARS), F.xxhash64(s)))
+    return F.transform(F.split(text, "\n", -1), lambda s: F.when(s.rlike(r"\S"), F.xxhash64(s)))
 
 
 def _packed_bands(documents: DataFrame, slots: int) -> DataFrame:
@@ -132,7 +128,7 @@ def _packed_bands(documents: DataFrame, slots: int) -> DataFrame:
         keys, lines, held = [], [], 0
         for whole in batches:
             for batch in slices(whole, "text"):
-                texts = batch.column("text").cast(pa.string()).to_pylist()
+                texts = decoded(batch.column("text"))
                 points = code_points("\n".join(texts) + "\n")
                 ends = np.flatnonzero(points == 0x0A)
                 starts = np.concatenate(([0], ends[:-1] + 1))
@@ -196,7 +192,7 @@ class Buckets:
         return k, c, h
 
 
-def buckets_of(packed: DataFrame) -> DataFrame:
+def buckets_of(packed: DataFrame, slots: int = 1) -> DataFrame:
     """(key, class_id, hub) for the lines of all buckets with two or more distinct lines, from (slot, keys, lines)."""
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slot, state, keys, lines, held = None, Buckets(), [], [], 0
@@ -221,7 +217,8 @@ def buckets_of(packed: DataFrame) -> DataFrame:
                     held += len(keys[-1])
         yield from feed()
 
-    return packed.repartition("slot").sortWithinPartitions("slot").mapInArrow(
+    # the number of tasks follows that of the slots, which have a bounded size, and not the session's width
+    return packed.repartition(2 * slots, "slot").sortWithinPartitions("slot").mapInArrow(
         apply, "key long, class_id long, hub long").distinct()
 
 
@@ -273,7 +270,7 @@ def _distinct_lines(documents: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 numbers, texts = [], []
-                for text, lines in zip(batch.column("text").cast(pa.string()).to_pylist(),
+                for text, lines in zip(decoded(batch.column("text")),
                                        batch.column("lines").to_pylist(), strict=True):
                     for number, line in zip(lines, text.split("\n"), strict=True):
                         if number is not None and len(line) >= MIN_CHARS and number not in given:
@@ -301,14 +298,14 @@ def duplicate_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
 
     Documents are known by (doc_id, hash of the text), so repeated rows are one document, which keeps and loses the same
     lines in each row.  Line numbers start at 0.  Defined cases: a null text has no lines, an empty one has one line; a
-    null doc_id comes after all others; short lines without a word always stay; an empty table gives an empty result; only doc_id and
+    null doc_id comes after all others; blank lines always stay; malformed UTF-8 is read as U+FFFD; an empty table gives an empty result; only doc_id and
     text are read, so other columns may have any name.
     """
     docs = materialize(documents.select("doc_id", F.xxhash64("text").alias("text_hash"),
                                         line_hashes(F.col("text")).alias("lines")), "occurrences")
     n_lines = docs.agg(F.sum(F.size(F.filter("lines", lambda x: x.isNotNull())).cast("long"))).first()[0] or 0
     slots = 1 + max(n_lines, 0) * BANDS // SLOT_ENTRIES
-    found = materialize(buckets_of(_packed_bands(documents, slots)), "buckets")
+    found = materialize(buckets_of(_packed_bands(documents, slots), slots), "buckets")
     # one hub for all buckets of a family, as far as possible: the smallest line, so that pairs repeat and fall together
     hubs = found.groupBy("key").agg(F.min("class_id").alias("least")).withColumnRenamed("key", "h_key")
     members = materialize(found.join(hubs, F.col("key") == F.col("h_key"))
@@ -328,8 +325,9 @@ def duplicate_lines(documents: DataFrame, threshold: float = THRESHOLD) -> DataF
     placed = materialize(by_line.join(labels, F.col("line") == F.col("node"), "left").select(
         "line", "line_first", "n", F.coalesce("component", "line").alias("component"))
         .where(F.col("node").isNotNull() | (F.col("n") > 1)), "places")
-    first = placed.groupBy("component").agg(F.min("line_first").alias("first"), F.sum("n").alias("all")).where(
-        F.col("all") > 1).select(F.col("component").alias("f_component"), "first")
+    # written, so that the join by component is one of two exchanges, which adaptive execution splits
+    first = materialize(placed.groupBy("component").agg(F.min("line_first").alias("first"), F.sum("n").alias("all")).where(
+        F.col("all") > 1).select(F.col("component").alias("f_component"), "first"), "firsts")
     shared = materialize(placed.join(first, F.col("component") == F.col("f_component")).select(
         F.col("line").alias("s_line"), "component", "first"), "shared")
     hits = materialize(at.join(shared, F.col("line") == F.col("s_line")).select(

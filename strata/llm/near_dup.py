@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import IntegralType
 
 from strata.llm.components import connected_components, materialize
-from strata.llm.textvec import Texts, mix64, slices, utf8, windows
+from strata.llm.textvec import mix64, slices, utf8, windows, word_hashes
 
 SHINGLE_WORDS, THRESHOLD = 5, 0.8
 #: a pair at the threshold shares a band with probability 1 - (1 - 0.8 ** 5) ** 24 = 0.9999
@@ -39,22 +39,27 @@ MIN_SHINGLES = 4
 UNIT_MINORS, UNIT_MEMBERS = 128, 512
 
 
-def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def shingles(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text: (text number, 64-bit hash, count), in order of the text.
 
     A text of one to four words is one shingle, its word sequence; one without words has none.
     """
-    starts, ends, text = texts.words()
-    words = texts.hashes(starts, ends)
+    words, text = word_hashes(texts)
     at, grams = windows(words, text, SHINGLE_WORDS)
     owner = text[at]
-    n_words = np.bincount(text, minlength=texts.n)
+    del at
+    n_words = np.bincount(text, minlength=len(texts))
     for width in range(1, SHINGLE_WORDS):
         few = np.flatnonzero(n_words == width)
         if len(few):
             mine = np.isin(text, few)
             own_at, own = windows(words[mine], text[mine], width)
             owner, grams = np.concatenate((owner, text[mine][own_at])), np.concatenate((grams, own))
+    if len(texts) == 1:
+        del words, text, owner
+        grams.sort()
+        first = np.flatnonzero(np.concatenate(([True], grams[1:] != grams[:-1])) if len(grams) else grams)
+        return np.zeros(len(first), dtype=np.int64), grams[first], np.diff(np.concatenate((first, [len(grams)])))
     # one sort: equal shingles of one text are equal values, others differ
     salt = mix64(owner.astype(np.uint64) + np.uint64(1))
     _, first, count = np.unique(grams ^ salt, return_index=True, return_counts=True)
@@ -117,7 +122,7 @@ def sketch_documents(documents: DataFrame) -> DataFrame:
         for whole in batches:
             for batch in slices(whole, "text"):
                 n = batch.num_rows
-                text, hashes, counts = shingles(Texts(utf8(batch.column("text"))))
+                text, hashes, counts = shingles(utf8(batch.column("text")))
                 classes, size = _set_hash(text, hashes, n)
                 # one sketch for each class of the batch
                 _, first, same = np.unique(classes, return_index=True, return_inverse=True)
@@ -148,7 +153,7 @@ def _class_shingles(documents: DataFrame, wanted: DataFrame) -> DataFrame:
     def apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in slices(whole, "text"):
-                text, hashes, _ = shingles(Texts(utf8(batch.column("text"))))
+                text, hashes, _ = shingles(utf8(batch.column("text")))
                 ends = np.concatenate(([0], np.cumsum(np.bincount(text, minlength=batch.num_rows))))
                 sets = pa.ListArray.from_arrays(ends.astype(np.int32), hashes.view(np.int64))
                 yield pa.RecordBatch.from_arrays([batch.column("class_id"), sets], names=["class_id", "set"])

@@ -10,7 +10,8 @@ The labels only say toxic or not.  Toxic training documents are graded by the am
 document frequency among toxic training documents is much higher than among the others: grades 1, 2 and 3 are the
 thirds of that amount, summed as the features are.
 
-Scale: the training sample is bounded by ``MAX_TRAIN_DOCS`` a label; scoring is a map-only pass over whole texts.
+Scale: the training sample is bounded by ``MAX_TRAIN_DOCS`` a label; its texts become (bucket, count) pairs in parallel, and
+only these reach the one task that trains.  Scoring is a map-only pass over whole texts, long ones in pieces.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.sampling import labelled_sample, remainder
-from strata.llm.textvec import MAX_BATCH_BYTES, Texts, slices, utf8
+from strata.llm.textvec import MAX_BATCH_BYTES, Texts, pieces, slices, utf8
 
 MAX_TRAIN_DOCS = 4000
 BUCKETS = 1 << 20
@@ -48,22 +49,41 @@ _WORD = np.zeros(256, dtype=bool)
 _WORD[0x30:0x3A] = _WORD[0x61:0x7B] = _WORD[0x80:] = True
 
 
-def word_counts(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+Counts = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+
+
+def word_counts(texts: list[bytes]) -> Counts:
     """Distinct (text, bucket) pairs in order, their counts, and the number of words of each text.
 
-    Texts are taken a batch of MAX_BATCH_BYTES at a time, so memory follows the distinct words, not the characters.
+    Texts are taken a batch of MAX_BATCH_BYTES at a time and longer ones in pieces, so memory follows the distinct words,
+    not the characters.
     """
     parts, start, size = [], 0, 0
     for i, text in enumerate(texts):
         if size and size + len(text) > MAX_BATCH_BYTES:
             parts.append(_batch_counts(texts[start:i], start))
             start, size = i, 0
-        size += len(text)
+        if len(text) > 2 * MAX_BATCH_BYTES:
+            parts.append(_long_counts(text, i))
+            start, size = i + 1, 0
+        else:
+            size += len(text)
     parts.append(_batch_counts(texts[start:], start))
     return tuple(np.concatenate(column) for column in zip(*parts, strict=True))
 
 
-def _batch_counts(texts: list[bytes], first: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def _long_counts(text: bytes, number: int) -> Counts:
+    """``word_counts`` of one long text."""
+    totals, n_words = np.zeros(BUCKETS, dtype=np.int64), 0
+    for piece in pieces(text):
+        _, bucket, counts, n = _batch_counts([piece], 0)
+        totals[bucket] += counts
+        n_words += n[0]
+    bucket = np.flatnonzero(totals)
+    return np.full(len(bucket), number), bucket, totals[bucket], np.array([n_words])
+
+
+def _batch_counts(texts: list[bytes], first: int) -> Counts:
     """``word_counts`` of one batch, whose texts are numbered from ``first``."""
     batch = Texts([t.translate(_FOLD.tobytes()) for t in texts])
     starts, ends, text = batch.spans(_WORD)
@@ -93,14 +113,14 @@ class Model:
         return 1 / (1 + np.exp(np.clip(self.thresholds[None, :] - latent[:, None], -60, 60)))
 
 
-def grade(texts: list[bytes], toxic: np.ndarray) -> np.ndarray:
-    """Ordered grades of training texts from the binary label (see the module text)."""
-    text, bucket, counts, _ = word_counts(texts)
+def grade(counted: Counts, toxic: np.ndarray) -> np.ndarray:
+    """Ordered grades of training texts, given by their ``word_counts``, from the binary label (see the module text)."""
+    text, bucket, counts, _ = counted
     total = toxic.sum(), len(toxic) - toxic.sum()
     seen = [np.bincount(bucket[toxic[text] == k], minlength=BUCKETS) for k in (1, 0)]
     odds = ((seen[0] + 0.5) / (total[0] + 1)) / ((seen[1] + 0.5) / (total[1] + 1))
     marker = (odds >= MARKER_ODDS) & (seen[0] >= MIN_DOCS)
-    amount = np.bincount(text, weights=np.log2(1 + counts) * marker[bucket], minlength=len(texts))
+    amount = np.bincount(text, weights=np.log2(1 + counts) * marker[bucket], minlength=len(toxic))
     cuts = np.quantile(amount[toxic == 1], np.arange(1, GRADES - 1) / (GRADES - 1)) if total[0] else []
     return np.where(toxic == 1, 1 + np.searchsorted(cuts, amount, side="right"), 0).clip(0, GRADES - 1)
 
@@ -116,13 +136,13 @@ def _associated(bucket: np.ndarray, toxic: np.ndarray, n: int, n_toxic: int) ->
     return (docs >= MIN_DOCS) & (chi2 >= MIN_CHI2) & likelier
 
 
-def train(texts: list[bytes], grades: np.ndarray, grade_count: int = GRADES) -> Model:
+def train(counted: Counts, grades: np.ndarray, grade_count: int = GRADES) -> Model:
     """Maximum likelihood with an L2 penalty, by gradient steps with per-weight rates (Adagrad)."""
-    text, bucket, counts, _ = word_counts(texts)
-    used = _associated(bucket, (grades > 0)[text], len(texts), int((grades > 0).sum()))[bucket]
+    text, bucket, counts, _ = counted
+    used = _associated(bucket, (grades > 0)[text], len(grades), int((grades > 0).sum()))[bucket]
     names, column = np.unique(bucket[used], return_inverse=True)
     row, x = text[used], np.log2(1 + counts[used])
-    n, cuts = len(texts), grade_count - 1
+    n, cuts = len(grades), grade_count - 1
     share = np.array([(grades > k).mean() for k in range(cuts)]).clip(1e-3, 1 - 1e-3)
     base, gaps = -np.log(share[0] / (1 - share[0])), np.zeros(cuts - 1)
     above = np.log(share / (1 - share))
@@ -157,17 +177,30 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "toxic", fold: int
     if found is None:
         return None
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                bags = [word_counts([t])[1:3] for t in utf8(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label"), *(pa.array([b[k].astype(np.int32).tobytes() for b in bags], pa.binary()) for k in (0, 1))],
+                    names=["label", "buckets", "counts"])
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = sorted((t, a) for batch in batches
-                      for t, a in zip(utf8(batch.column("text")), batch.column("label").to_pylist(), strict=True))
+        rows = sorted(r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("buckets", "counts", "label")),
+                                                          strict=True))
         if rows:
-            texts, toxic = [t for t, _ in rows], np.array([int(a > 0) for _, a in rows])
-            model = train(texts, grade(texts, toxic))
+            bags = [(np.frombuffer(b, dtype=np.int32), np.frombuffer(n, dtype=np.int32)) for b, n, _ in rows]
+            toxic = np.array([int(label > 0) for *_, label in rows])
+            counted = (np.repeat(np.arange(len(bags)), [len(b) for b, _ in bags]),
+                       np.concatenate([b for b, _ in bags]).astype(np.int64), np.concatenate([n for _, n in bags]).astype(np.int64),
+                       np.zeros(0))
+            model = train(counted, grade(counted, toxic))
             at = np.flatnonzero(model.weights)
             yield pa.RecordBatch.from_arrays([pa.array([at.astype(np.int64).tobytes()]), pa.array([model.weights[at].tobytes()]),
                                               pa.array([model.thresholds.tobytes()])], names=["at", "weights", "thresholds"])
 
-    row = found[1].repartition(1).mapInArrow(learn, "at binary, weights binary, thresholds binary").first()
+    bags = found[1].mapInArrow(count, "label int, buckets binary, counts binary")
+    row = bags.repartition(1).mapInArrow(learn, "at binary, weights binary, thresholds binary").first()
     if row is None:
         return None
     weights = np.zeros(BUCKETS)

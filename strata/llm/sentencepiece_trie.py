@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.textvec import slices
+from strata.llm.textvec import decoded, slices
 
 MARK = "▁"
 UNIGRAM, BPE = 1, 2
@@ -244,7 +244,7 @@ def encode_documents(documents: DataFrame, model: bytes) -> DataFrame:
     """Piece numbers of every whole text: (doc_id, input_ids array<int>, n_tokens, round_trip).
 
     ``round_trip`` says whether decoding gives the text back (a text that holds U+2581 itself does not).  Defined
-    cases: null and empty texts have no tokens, and a null one no round trip; repeated rows each get a row; an empty
+    cases: null and empty texts have no tokens, and a null one no round trip; malformed UTF-8 is read as U+FFFD; repeated rows each get a row; an empty
     table gives an empty result; other columns may have any name.
     """
     shipped = documents.sparkSession.sparkContext.broadcast(model)
@@ -253,7 +253,7 @@ def encode_documents(documents: DataFrame, model: bytes) -> DataFrame:
         m, cache = loaded(shipped.value)
         for whole in batches:
             for batch in slices(whole, "text"):
-                texts = batch.column("text").cast(pa.string()).to_pylist()
+                texts = decoded(batch.column("text"))
                 ids = m.encode_arrays([t or "" for t in texts], cache)
                 back = [t is not None and m.decode(i.tolist()) == t for t, i in zip(texts, ids, strict=True)]
                 size = np.array([len(i) for i in ids], dtype=np.int64)

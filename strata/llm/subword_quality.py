@@ -1,12 +1,16 @@
 """Quality classifier: learned subword embeddings, averaged per document, with a softmax output.
 
-Features of a text are its words, its doubled words (pairs of equal words, which share one bucket) and the character
-n-grams of its bytes with white space folded, each hashed to a bucket; every bucket has a vector, a document is the mean of its features' vectors, and a softmax over a linear layer gives the classes.
-Training is plain numpy stochastic gradient descent on a bounded sample of labelled rows.  Since averaging and the
-linear layer are both linear, scoring folds them: each bucket carries its contribution to the logits, and a document's
-logits are the mean of its buckets' contributions (the same numbers with one look-up per feature).
-
-Scale: the sample is bounded by ``MAX_TRAIN_DOCS`` and trained in one task; scoring is a map-only pass over whole texts.
+Features of a text are its words, its doubled words (pairs of equal words side by side, which share one bucket: stuttering
+is a mark of poor text whatever the word) and the character n-grams of its bytes with white space folded, each hashed to a
+bucket; every bucket has a vector, a document is the mean of its features' vectors, and a softmax over a linear layer gives
+the classes.  Training is plain numpy stochastic gradient descent on a bounded sample of labelled rows; a step takes all
+features of a document, each different one once with its share.  Since averaging and the linear layer are both linear,
+scoring folds them: each bucket carries its contribution to the logits, and a document's logits are the mean of its buckets'
+contributions (the same numbers with one look-up per feature).
+
+Scale: the sample is bounded by ``MAX_TRAIN_DOCS``; its texts become (bucket, count) pairs in parallel, at most ``BUCKETS`` a
+text, and only these reach the one task that trains.  Scoring is a map-only pass over whole texts.  Long texts are read in
+pieces; their features are counted in a table of ``BUCKETS`` numbers.
 """
 
 from __future__ import annotations
@@ -20,23 +24,33 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.sampling import labelled_sample, remainder
-from strata.llm.textvec import SPACE_BYTES, Texts, mix64, slices, utf8
+from strata.llm.textvec import MAX_BATCH_BYTES, SPACE_BYTES, Texts, mix64, pieces, slices, utf8
 
 #: sample bound of training, in documents per label
 MAX_TRAIN_DOCS = 1500
-#: features of a training document used in one step at most (drawn anew in each epoch); scoring uses all
-STEP_FEATURES = 400
 BUCKETS = 1 << 16
 DIMENSIONS = 10
 NGRAMS = (3, 4)
 #: bucket of all word pairs whose two words are equal
 DOUBLED = 0
 EPOCHS, RATE = 6, 0.5
+#: how much faster the vectors learn than the output layer: a bucket's share of a document is small
+VECTOR_RATE = 8.0
 
 _FOLD = np.arange(256, dtype=np.uint8)
 _FOLD[SPACE_BYTES] = 0x20  # white space of any kind is one mark; letter case is kept: it tells about quality
 
 
+def _ngrams(folded: np.ndarray, size: int) -> np.ndarray:
+    """Bucket of the n-gram that starts at each byte."""
+    n = max(len(folded) - size + 1, 0)
+    packed = np.full(n, size, dtype=np.uint64)
+    for j in range(size):
+        packed <<= np.uint64(8)
+        packed |= folded[j:j + n]
+    return (mix64(packed) % np.uint64(BUCKETS)).astype(np.int32)
+
+
 def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """Bucket of every feature in the batch and the text that it belongs to."""
     starts, ends, text = texts.words()
@@ -47,19 +61,33 @@ def features(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     folded = _FOLD[texts.buf].astype(np.uint64)
     place = np.repeat(np.arange(texts.n, dtype=np.int32), texts.ends + 1 - texts.starts)
     for size in NGRAMS:
-        n = len(folded) - size + 1
-        if n <= 0:
-            continue
-        packed = np.full(n, size, dtype=np.uint64)
-        for j in range(size):
-            packed = (packed << np.uint64(8)) | folded[j:j + n]
-        inside = place[:n] == place[size - 1:]
+        own = _ngrams(folded, size)
+        n = len(own)
+        inside = place[:n] == place[size - 1:] if n else np.zeros(0, dtype=bool)
         inside &= np.arange(n) + size <= texts.ends[place[:n]]
-        found.append((mix64(packed[inside]) % np.uint64(BUCKETS)).astype(np.int32))
+        found.append(own[inside])
         owner.append(place[:n][inside])
     return np.concatenate(found), np.concatenate(owner)
 
 
+def feature_counts(text: bytes, size: int = MAX_BATCH_BYTES) -> np.ndarray:
+    """Number of features in each bucket, of one text of any length (a piece at a time)."""
+    counts, last = np.zeros(BUCKETS, dtype=np.int64), None
+    for piece in pieces(text, size):
+        own = Texts([piece])
+        words = own.hashes(*own.words()[:2])
+        counts += np.bincount((words % np.uint64(BUCKETS)).astype(np.int64), minlength=BUCKETS)
+        if len(words):
+            counts[DOUBLED] += np.count_nonzero(words[1:] == words[:-1]) + (last is not None and words[0] == last)
+            last = words[-1]
+    whole = np.frombuffer(text, dtype=np.uint8)
+    for width in NGRAMS:
+        for at in range(0, max(len(text) - width + 1, 0), size):
+            own = _FOLD[whole[at:at + size + width - 1]].astype(np.uint64)
+            counts += np.bincount(_ngrams(own, width), minlength=BUCKETS)
+    return counts
+
+
 @dataclass(frozen=True)
 class Model:
     """Vectors of the buckets, output weights and bias; ``labels`` are the classes in the order of the outputs."""
@@ -77,17 +105,29 @@ class Model:
         n = np.maximum(np.bincount(text, minlength=texts.n), 1)
         logits = np.stack([np.bincount(text, weights=folded[bucket, k], minlength=texts.n) / n + self.bias[k]
                            for k in range(len(self.labels))], axis=1)
-        e = np.exp(logits - logits.max(axis=1, keepdims=True))
-        return e / e.sum(axis=1, keepdims=True)
+        return _softmax(logits)
+
+    def long_probabilities(self, text: bytes, folded: np.ndarray) -> np.ndarray:
+        """``probabilities`` of one long text, from its counts."""
+        counts = feature_counts(text)
+        return _softmax((counts @ folded.astype(np.float64) / max(counts.sum(), 1) + self.bias)[None, :])
+
 
+def _softmax(logits: np.ndarray) -> np.ndarray:
+    e = np.exp(logits - logits.max(axis=1, keepdims=True))
+    return e / e.sum(axis=1, keepdims=True)
 
-def train(texts: list[bytes], labels: np.ndarray, classes: tuple[int, ...], seed: int = 7) -> Model:
-    """Stochastic gradient descent, one document a step, with a linearly falling rate."""
+
+def bag_of(text: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Different buckets of a text's features, ascending, and their counts."""
+    counts = feature_counts(text)
+    buckets = np.flatnonzero(counts)
+    return buckets.astype(np.int32), counts[buckets].astype(np.int32)
+
+
+def train(bags: list[tuple[np.ndarray, np.ndarray]], labels: np.ndarray, classes: tuple[int, ...], seed: int = 7) -> Model:
+    """Stochastic gradient descent, one document (its ``bag_of``) a step, with a linearly falling rate."""
     rng = np.random.default_rng(seed)
-    bags = []
-    for text in texts:
-        bucket, _ = features(Texts([text]))
-        bags.append(bucket)
     vectors = rng.uniform(-1, 1, (BUCKETS, DIMENSIONS)) / DIMENSIONS
     weights, bias = np.zeros((DIMENSIONS, len(classes))), np.zeros(len(classes))
     answer = np.searchsorted(classes, labels)
@@ -98,12 +138,12 @@ def train(texts: list[bytes], labels: np.ndarray, classes: tuple[int, ...], seed
         for i in rng.permutation(len(bags)):
             rate = RATE * (1 - step / steps)
             step += 1
-            bag = bags[i]
-            if len(bag) > STEP_FEATURES:
-                bag = rng.choice(bag, STEP_FEATURES, replace=False)
-            if not len(bag):
+            buckets, n = bags[i]
+            if not len(buckets):
                 continue
-            hidden = vectors[bag].mean(axis=0)
+            share = n / n.sum()
+            own = vectors[buckets]
+            hidden = share @ own
             logits = hidden @ weights + bias
             p = np.exp(logits - logits.max())
             p /= p.sum()
@@ -112,7 +152,7 @@ def train(texts: list[bytes], labels: np.ndarray, classes: tuple[int, ...], seed
             back = weights @ p
             weights -= rate * np.outer(hidden, p)
             bias -= 0.1 * rate * p
-            np.subtract.at(vectors, bag, rate * back / len(bag) * 8)
+            vectors[buckets] = own - (VECTOR_RATE * rate) * np.outer(share, back)
     return Model(vectors.astype(np.float32), weights.astype(np.float32), bias.astype(np.float32), classes)
 
 
@@ -126,18 +166,25 @@ def fit(documents: DataFrame, labels: DataFrame, label: str = "quality", fold: i
         return None
     classes, sample = found
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in slices(whole, "text"):
+                bags = [bag_of(t) for t in utf8(batch.column("text"))]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("label"), *(pa.array([bag[k].tobytes() for bag in bags], pa.binary()) for k in (0, 1))],
+                    names=["label", "buckets", "counts"])
+
     def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, answers = [], []
-        for batch in batches:
-            texts += utf8(batch.column("text"))
-            answers += batch.column("label").to_pylist()
-        if texts:
-            order = sorted(range(len(texts)), key=lambda i: (answers[i], texts[i]))
-            model = train([texts[i] for i in order], np.array(answers)[order], classes)
+        rows = sorted(r for batch in batches for r in zip(*(batch.column(c).to_pylist() for c in ("label", "buckets", "counts")),
+                                                          strict=True))
+        if rows:
+            bags = [(np.frombuffer(b, dtype=np.int32), np.frombuffer(n, dtype=np.int32)) for _, b, n in rows]
+            model = train(bags, np.array([label for label, *_ in rows]), classes)
             yield pa.RecordBatch.from_arrays([pa.array([model.folded().tobytes()]), pa.array([model.bias.tobytes()])],
                                              names=["folded", "bias"])
 
-    row = sample.repartition(1).mapInArrow(learn, "folded binary, bias binary").first()
+    bags = sample.mapInArrow(count, "label int, buckets binary, counts binary")
+    row = bags.repartition(1).mapInArrow(learn, "folded binary, bias binary").first()
     if row is None:
         return None
     folded = np.frombuffer(row["folded"], dtype=np.float32).reshape(BUCKETS, len(classes))
@@ -162,7 +209,10 @@ def score(documents: DataFrame, model: Model | None, positive: int = 1, fold: in
                 if m is None or positive not in m.labels:
                     p = np.full(batch.num_rows, 0.5)
                 else:
-                    p = m.probabilities(Texts(utf8(batch.column("text"))), table)[:, m.labels.index(positive)]
+                    texts = utf8(batch.column("text"))
+                    long = len(texts) == 1 and len(texts[0]) > 2 * MAX_BATCH_BYTES
+                    p = m.long_probabilities(texts[0], table) if long else m.probabilities(Texts(texts), table)
+                    p = p[:, m.labels.index(positive)]
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(p.astype(np.float64))],
                                                  names=["doc_id", "score"])
 

@@ -7,6 +7,7 @@ callers cut batches by bytes, so memory follows ``MAX_BATCH_BYTES`` and the long
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -81,6 +82,41 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [v if v is not None else b"" for v in column.cast(pa.binary()).to_pylist()]
 
 
+def decoded(column: pa.Array) -> list[str | None]:
+    """Texts of a column as strings; malformed UTF-8 is read as U+FFFD."""
+    return [None if v is None else v.decode("utf-8", "replace") for v in column.cast(pa.binary()).to_pylist()]
+
+
+_BLANK = re.compile(rb"[\t-\r ]")
+
+
+def pieces(text: bytes, size: int = MAX_BATCH_BYTES) -> Iterator[bytes]:
+    """A text in pieces of about ``size`` bytes that begin with white space, so that no word is cut; a word that is
+    longer stays whole."""
+    start = 0
+    while len(text) - start > 2 * size and (cut := _BLANK.search(text, start + size)):
+        yield text[start:cut.start()]
+        start = cut.start()
+    yield text[start:] if start else text
+
+
+def word_hashes(texts: list[bytes], size: int = MAX_BATCH_BYTES) -> tuple[np.ndarray, np.ndarray]:
+    """(hash, text number) of every word, in order.  Long texts are hashed a piece at a time, so that memory follows the
+    words and not the bytes."""
+    if sum(map(len, texts)) <= 2 * size:
+        batch = Texts(texts)
+        starts, ends, text = batch.words()
+        return batch.hashes(starts, ends), text
+    found, owner = [np.zeros(0, dtype=np.uint64)], [np.zeros(0, dtype=np.int64)]
+    for i, text in enumerate(texts):
+        for piece in pieces(text, size):
+            batch = Texts([piece])
+            starts, ends, _ = batch.words()
+            found.append(batch.hashes(starts, ends))
+            owner.append(np.full(len(starts), i))
+    return np.concatenate(found), np.concatenate(owner)
+
+
 class Texts:
     """A batch of texts as one buffer (texts are separated by a line feed)."""
 
@@ -143,6 +179,10 @@ def _inverse_powers(n: int) -> np.ndarray:
     return _INVERSE
 
 
+#: windows that are hashed at a time
+_WINDOW_STRIDE = 1 << 20
+
+
 def windows(hashes: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
     """Hash of every run of ``width`` consecutive words inside one text: (first word index, hash)."""
     n = len(hashes) - width + 1
@@ -150,6 +190,10 @@ def windows(hashes: np.ndarray, text: np.ndarray, width: int) -> tuple[np.ndarra
         return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.uint64)
     at = np.flatnonzero(text[:n] == text[width - 1:])
     out = np.zeros(len(at), dtype=np.uint64)
-    for j in range(width):
-        out = out * np.uint64(0xD6E8FEB86659FD93) + hashes[at + j]
-    return at, mix64(out)
+    for low in range(0, len(at), _WINDOW_STRIDE):
+        own, to = at[low:low + _WINDOW_STRIDE], out[low:low + _WINDOW_STRIDE]
+        for j in range(width):
+            to *= np.uint64(0xD6E8FEB86659FD93)
+            to += hashes[own + j]
+        to[:] = mix64(to)
+    return at, out

@@ -43,6 +43,15 @@ def _base32(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
+def _is_utf8(column: pa.Array) -> bool:
+    """Whether all values are well-formed (they are looked at where they are)."""
+    try:
+        column.cast(pa.string()).validate(full=True)
+    except pa.ArrowInvalid:
+        return False
+    return True
+
+
 def cut(payload: memoryview, limit: int = CHUNK_BYTES) -> Iterator[memoryview]:
     """Slices of a payload, each of at most ``limit`` bytes (and at most a character more), none of which forms the
     record delimiter with the line ends before and after it.  An empty payload is one empty slice."""
@@ -66,7 +75,7 @@ def chunk_records(pages: DataFrame, limit: int = CHUNK_BYTES) -> DataFrame:
 
     Columns: record (identifier of the row, unique once the table is written), page_id, url (of the last chunk only),
     chunk_no, is_last, data, bytes_so_far and digest_so_far (base32 SHA-1 of the payload up to here).  A null html
-    is an empty payload.
+    is an empty payload; one that is not UTF-8 is stored with U+FFFD in the place of what is malformed.
     """
     def stream(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
@@ -75,8 +84,11 @@ def chunk_records(pages: DataFrame, limit: int = CHUNK_BYTES) -> DataFrame:
             types = [pa.int64(), batch.schema.field("page_id").type, pa.string(), pa.int64(), pa.bool_(), pa.string(),
                      pa.int64(), pa.string()]
             keys = (batch.column(c).to_pylist() for c in ("record", "page_id", "url"))
+            sound = _is_utf8(batch.column("html"))
             for value, record, page, url in zip(batch.column("html").cast(pa.binary()), *keys, strict=True):
                 payload = memoryview(value.as_buffer() if value.is_valid else b"")
+                if not sound:
+                    payload = memoryview(bytes(payload).decode("utf-8", "replace").encode())
                 digest, done = hashlib.sha1(usedforsecurity=False), 0
                 for no, chunk in enumerate(cut(payload, limit)):
                     digest.update(chunk)

@@ -64,3 +64,22 @@ def test_spans_are_cut_out_of_kept_documents(spark):
     docs = spark.createDataFrame([(1, text, len(text), "x")], "doc_id long, text string, n_chars long, items string")
     got = D.remove_contamination(docs, D.SuffixAutomaton([("1", item.encode())])).first()
     assert got.text == text.replace(item, "") and got.n_chars == len(got.text) and got["items"] == "x"
+
+
+def test_blocks_of_items_find_what_one_automaton_finds(spark, odd, empty):
+    random.seed(8)
+    make = lambda n: " ".join(random.choice("abcde") for _ in range(n))
+    items = [(str(k), make(random.choice([1, 3, 13, 20]))) for k in range(40)] + [("x", None), ("y", "")]
+    bench = spark.createDataFrame(items, "item_id string, text string")
+    texts = [make(30) + " " + (random.choice(items)[1] or "") + " " + "zz " * random.choice([5, 600]) for _ in range(60)]
+    rows = [(i // 2, t, None, None, len(t)) for i, t in enumerate(texts)]       # every doc_id twice
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, row string, n_chars long").unionByName(
+        odd.select("doc_id", "text", "lang", odd.source.alias("row"), "n_chars"))
+    one = [D.build_automaton(bench)]
+    machines = lambda: D.automata(bench, block_chars=150)
+    assert D.item_blocks(bench, 150)[1] > 3
+    key = lambda r: repr((r.doc_id, r.n_words, r.n_hit, [tuple(s) for s in r.spans], list(r["items"]), r.contaminated))
+    assert sorted(map(key, D.scan_documents(docs, machines()).collect())) == sorted(map(key, D.scan_documents(docs, one).collect()))
+    whole, parts = (D.remove_contamination(docs, m) for m in (one, machines()))
+    assert parts.columns == docs.columns and sorted(map(repr, parts.collect())) == sorted(map(repr, whole.collect()))
+    assert D.scan_documents(empty, machines()).count() == 0 and D.remove_contamination(empty, machines()).count() == 0

@@ -15,10 +15,11 @@ def brute(rows):
     occurrences = {}
     for null, i, t in docs:
         for k, line in enumerate(t.split("\n")):
-            if len(line) >= L.MIN_CHARS:
+            if line.strip():
                 occurrences.setdefault(line, []).append((null, i, t, k))
     lines = list(occurrences)
-    sets = [frozenset(x[i:i + 7] for i in range(len(x) - 6)) for x in lines]
+    # a shorter line is a set of its own: it equals no other
+    sets = [frozenset(x[i:i + 7] for i in range(len(x) - 6)) or frozenset([x]) for x in lines]
     parent = list(range(len(lines)))
 
     def find(x):
@@ -113,13 +114,12 @@ def test_minima_estimate_the_similarity():
 
 
 def test_short_lines_are_duplicates_of_equal_lines(spark):
-    """Brute force without a minimum: every repeated line with a letter or digit goes, however short."""
+    """Brute force without a minimum: every repeated line that isn't blank goes, however short."""
     words = ["All rights reserved.", "OK", "7", "版权所有，保留一切权利。", "Ja", "Licensed under CC BY-NC 4.0."]
     layout = ["", "---", "  ", "}", "***"]
     rows = [(i, "\n".join([words[i % 6], layout[i % 5], words[(i + 1) % 6], layout[i % 5], words[i % 6]])) for i in range(12)]
     seen, want = set(), {}
     for i, t in rows:
-        want[i] = [k for k, line in enumerate(t.split("\n")) if any(c.isalnum() for c in line)
-                   and (line in seen or seen.add(line))]
+        want[i] = [k for k, line in enumerate(t.split("\n")) if line.strip() and (line in seen or seen.add(line))]
     df = spark.createDataFrame([(i, t, None, None, len(t)) for i, t in rows], SCHEMA)
     assert {r.doc_id: r.removed for r in L.duplicate_lines(df).collect()} == want

@@ -122,6 +122,6 @@ def test_unit_sizes_do_not_change_the_result(spark, monkeypatch, size):
 
 
 def test_shingles_of_short_texts():
-    text, hashes, counts = N.shingles(Texts([b"a b", b"", b"a  b ", b"a b a b a b a", b"x"]))
+    text, hashes, counts = N.shingles([b"a b", b"", b"a  b ", b"a b a b a b a", b"x"])
     assert np.bincount(text, minlength=5).tolist() == [1, 0, 1, 2, 1]
     assert hashes[0] == hashes[1] and sorted(counts[2:4].tolist()) == [1, 2]

@@ -77,3 +77,86 @@ def test_clean_documents_are_kept_on_the_test_table(spark):
             .selectExpr("quality", "CAST(kept AS INT) AS k").groupBy("quality").agg({"k": "avg"})
             .withColumnRenamed("avg(k)", "share").collect()}
     assert kept[1] > 0.97 and kept[0] < 0.2
+
+
+def test_clean_texts_of_rare_languages_are_kept(spark):
+    """Four documents of one language beside many of another, and 300 languages with one document each."""
+    plain = [(i, " ".join(f"the cat sat word{(i * j) % 50} of" for j in range(30)), "en") for i in range(60)]
+    other = lambda k, n: " ".join(f"{'äöyk'[k % 4]}lla{k}n vaikka{j} tuo{j * k}" for j in range(n))
+    rare = [(1000 + k, other(k, 25 + k % 3), "fi") for k in range(4)]
+    many = [(2000 + k, other(k + 9, 25), f"x{k}") for k in range(300)]
+    df = spark.createDataFrame(plain + rare + many, "doc_id long, text string, lang string")
+    got = {r.doc_id: r for r in Q.judge(df, Q.learn_references(df)).collect()}
+    for i, *_ in rare + many:
+        assert got[i].word_distance is None and got[i].kept == (not got[i].base_failed)
+    assert any(got[i].kept for i, *_ in rare) and got[3].word_distance is not None
+    unknown = Q.judge(df.drop("lang"), Q.learn_references(df)).where("doc_id = 1001").first()
+    assert unknown.word_distance is not None      # without a tag a text is judged
+
+
+def brute_distance(p, q):
+    total_p, total_q = sum(p.values()) or 1, sum(q.values()) or 1
+    d = 0.0
+    for k in p.keys() | q.keys():
+        a, b = p.get(k, 0) / total_p, q.get(k, 0) / total_q
+        m = (a + b) / 2
+        d += (a * math.log2(a / m) if a else 0) + (b * math.log2(b / m) if b else 0)
+    return math.sqrt(max(d, 0) / 2)
+
+
+def test_distances_and_verdict_equal_plain_histograms(spark):
+    """The two distances and ``kept`` against dictionaries of counts in plain Python."""
+    random.seed(4)
+    vocabulary = {"en": ["the", "of", "and", "cat", "Dog,", "7"], "ru": ["и", "в", "на", "кот", "дом."]}
+    rows = []
+    for i in range(80):
+        lang = random.choice(["en", "ru"])
+        words = [random.choice(vocabulary[lang]) if random.random() < 0.8 else f"w{random.randrange(10 ** 6)}" for _ in range(random.choice([30, 80, 200]))]
+        rows.append((i, " ".join(words), lang if i % 5 else None))
+    rows += [(90, "%$#! 99 " * 50, None), (91, "ДОМ %% " * 40, None), (92, "", "en"), (93, None, "en")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+
+    def classes(text):
+        out = {}
+        for c in text.encode().decode("utf-8"):
+            k = Q.CLASSES[int(Q._CLASS_OF[c.encode()[0]])]
+            out[k] = out.get(k, 0) + 1
+        return out
+
+    refs = {}
+    for lang in vocabulary:
+        own = [t for _, t, tag in rows if tag == lang and t is not None]
+        words = [w for t in own for w in t.split()]
+        counts = {w: words.count(w) for w in set(words)}
+        common = {w: n for w, n in counts.items() if n >= Q.MIN_SHARE * len(words)}
+        hist = {}
+        for t in own:
+            for k, n in classes(t).items():
+                hist[k] = hist.get(k, 0) + n
+        refs[lang] = (hist, {**common, None: len(words) - sum(common.values())})
+    n_judged = 0
+    for r in Q.judge(df, Q.learn_references(df)).collect():
+        text = next(t for i, t, _ in rows if i == r.doc_id) or ""
+        words, hist = text.split(), classes(text)
+        by_class = min(brute_distance(hist, c) for c, _ in refs.values())
+        by_word = []
+        for _, ref in refs.values():
+            own = {}
+            for w in words:
+                k = w if w in ref and w is not None else None
+                own[k] = own.get(k, 0) + 1
+            by_word.append(brute_distance(own, ref))
+        by_word, kept = min(by_word), not r.base_failed
+        if sum(hist.values()) >= Q.MIN_CHARS:
+            assert abs(r.class_distance - by_class) < 1e-9
+            kept = kept and by_class <= Q.MAX_CLASS_DISTANCE
+        else:
+            assert r.class_distance is None
+        if len(words) >= Q.MIN_WORDS:
+            assert abs(r.word_distance - by_word) < 1e-9
+            kept = kept and by_word <= Q.WORD_DISTANCE_BASE + Q.WORD_DISTANCE_SLACK / math.sqrt(len(words))
+            n_judged += 1
+        else:
+            assert r.word_distance is None
+        assert r.kept == kept, r
+    assert n_judged > 40
