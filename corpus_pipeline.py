@@ -26,23 +26,28 @@ ORACLE_SQL = None
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows whose language is identified; rows with a null text, no letter or a narrow margin go, an empty table stays empty."""
     return compress_lang.keep_identified(docs, compress_lang.learn_dictionaries(docs))
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without duplicate lines; null and empty texts lose nothing, and a row of which no text is left goes."""
     return line_dedup.remove_lines(docs)
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One row of each near-duplicate group; rows with a null text or without words are in no group and stay."""
     return near_dup.keep_one(docs)
 
 
 def decontaminate_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rows without benchmark text; null and empty texts have no hits and stay."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    return decontaminate.remove_contamination(docs, decontaminate.build_automaton(benchmark))
+    return decontaminate.remove_contamination(docs, decontaminate.automata(benchmark))
 
 
 def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, input_ids, n_tokens, round_trip) of every row; null and empty texts have no tokens."""
     return sentencepiece_trie.encode_documents(docs, sentencepiece_trie.read_model())
 
 
