@@ -22,7 +22,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.llm.components import materialize
 from strata.session import scratch_path
+from strata.sinks.versions import delete_path
 
 #: bytes of payload in a record at most
 CHUNK_BYTES = 1 << 20
@@ -162,7 +164,7 @@ def write_archives(pages: DataFrame, path: str, limit: int = CHUNK_BYTES, date:
     """Write a record for each page; returns the folder of the archives (``path``/archives).
 
     The chunk table is written first (``path``/chunks), which fixes the record identifiers; the archives are made from
-    it, so a lost task reads the table again.
+    it, so a lost task reads the table again.  It goes when the archives are complete.
 
     Defined cases: a null html is an empty payload; a null page_id is kept (no X-Page-Id line); repeated rows are
     separate records; line ends in a url are dropped; an empty table writes no records; only page_id, url and html
@@ -195,6 +197,7 @@ def write_archives(pages: DataFrame, path: str, limit: int = CHUNK_BYTES, date:
         F.when(first, F.concat(F.lit(_HTTP), "data")).otherwise(F.col("data"))).alias("value"))
     (body.unionByName(revisits).write.option("lineSep", _EOL).option("compression", "gzip")
      .text(f"{path}/archives"))
+    delete_path(spark, f"{path}/chunks")
     return f"{path}/archives"
 
 
@@ -220,7 +223,8 @@ def read_archives(spark: SparkSession, path: str, page_type: str = "long") -> Da
     """Records read back: (page_id, payload_bytes, payload_digest, record_type, refers_to).
 
     Length and digest are taken from the payload bytes that were read; a revisit has those of the response that it
-    names, found by record identifier.
+    names, found by record identifier.  The archives are unpacked, parsed and hashed once: the records found, without
+    the payloads that are complete, are written to a table, and all that follows reads this table.
     """
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         head = len(_HTTP.encode())
@@ -247,9 +251,9 @@ def read_archives(spark: SparkSession, path: str, page_type: str = "long") -> Da
     names = ["record_id", "page_id", "kind", "refers_id", "segment", "data", "payload_bytes", "payload_digest"]
     types = [pa.string(), pa.string(), pa.string(), pa.string(), pa.int64(), pa.binary(), pa.int64(), pa.string()]
     lines = spark.read.schema("value string").option("lineSep", _DELIMITER).text(path)
-    records = lines.where(F.length("value") > 0).mapInArrow(
+    records = materialize(lines.where(F.length("value") > 0).mapInArrow(
         parse, "record_id string, page_id string, kind string, refers_id string, segment long, data binary, "
-               "payload_bytes long, payload_digest string")
+               "payload_bytes long, payload_digest string"), "warc-records")
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Join the segments of a record, which come in order, through one running digest."""
