@@ -16,7 +16,6 @@ definition); everything derived from the log is a Spark job.
 
 from __future__ import annotations
 
-import os
 import statistics
 import time
 from collections.abc import Callable
@@ -24,6 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from strata.sinks.versions import hadoop_path
+
 # fixed values: event names in Spark's event log
 SQL_START = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionStart"
 SQL_END = "org.apache.spark.sql.execution.ui.SparkListenerSQLExecutionEnd"
@@ -71,11 +72,10 @@ def measure(spark: SparkSession, cases: dict[tuple[str, str], Callable[[], DataF
 
 
 def event_log_path(spark: SparkSession) -> str:
-    """This application's (in-progress) event log file."""
-    d = spark.sparkContext.getConf().get("spark.eventLog.dir")
-    app = spark.sparkContext.applicationId
-    base = os.path.join(d.replace("file:", ""), app)
-    return base + ".inprogress" if os.path.exists(base + ".inprogress") else base
+    """This application's event log file, in progress or done, on whatever file system Spark writes it to."""
+    base = f"{spark.sparkContext.getConf().get('spark.eventLog.dir').rstrip('/')}/{spark.sparkContext.applicationId}"
+    fs, path = hadoop_path(spark, f"{base}.inprogress")
+    return f"{base}.inprogress" if fs.exists(path) else base
 
 
 def engine_log_from_event_log(spark: SparkSession, path: str) -> DataFrame:
