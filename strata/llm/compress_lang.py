@@ -67,8 +67,9 @@ def learn_dictionaries(documents: DataFrame, fold: int = 4, held: int = 2, sampl
     sample_docs, dict_bytes = max(LEAST_DOCS, int(sample_docs / part)), max(LEAST_BYTES, int(dict_bytes / part))
     chosen = lowest_hashes(keyed.distinct(), "lang", sample_docs).select(
         F.col("lang").alias("s_lang"), F.col("h").alias("s_hash"))
+    # sample_docs keys a language, SAMPLE_DOCS * FULL_LANGUAGES in all where LEAST_DOCS doesn't make it more
     sample = (rows.withColumn("h", F.xxhash64("text"))
-              .join(chosen, (F.col("lang") == F.col("s_lang")) & (F.col("h") == F.col("s_hash")))
+              .join(F.broadcast(chosen), (F.col("lang") == F.col("s_lang")) & (F.col("h") == F.col("s_hash")))
               .select("lang", "h", "text"))
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -15,10 +15,10 @@ def lowest_hashes(keys: DataFrame, group: str, n: int) -> DataFrame:
     """About ``n`` rows of each group (all of a smaller one): those whose hash ``h`` lies in the lowest n-th part.
 
     ``keys`` has distinct (group, h) rows and ``h`` is a 64-bit hash, so a group's share follows from its row count and
-    no group is ever sorted or gathered.  How the counts, one row a group, meet the keys is left to the optimizer.
+    no group is ever sorted or gathered.  The counts, one row a group (a language or a label), are broadcast.
     """
     counts = keys.groupBy(group).agg(F.count("*").alias("n_rows")).withColumnRenamed(group, "g_name")
-    return (keys.join(counts, F.col(group) == F.col("g_name"))
+    return (keys.join(F.broadcast(counts), F.col(group) == F.col("g_name"))
             .where(F.col("h") / F.lit(2.0 ** 64) + 0.5 < F.lit(float(n)) / F.col("n_rows")).select(*keys.columns))
 
 
@@ -38,7 +38,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, label: str, fold: i
     texts = documents.select("doc_id", "text").where(F.length("text") > 0).withColumn("h", F.xxhash64("text"))
     rows = (texts.select("doc_id", "h").join(marked, F.col("doc_id") == F.col("l_doc"))
             .groupBy("label", "h").agg(F.min("doc_id").alias("s_doc")))
-    # about max_docs rows of three numbers a label
+    # about max_docs rows of three numbers a label; broadcast, so that the texts are not shuffled for them
     chosen = lowest_hashes(rows, "label", max_docs).select("label", "s_doc", F.col("h").alias("s_hash"))
-    sample = texts.join(chosen, (F.col("doc_id") == F.col("s_doc")) & (F.col("h") == F.col("s_hash")))
+    sample = texts.join(F.broadcast(chosen), (F.col("doc_id") == F.col("s_doc")) & (F.col("h") == F.col("s_hash")))
     return classes, sample.select("label", "text")
