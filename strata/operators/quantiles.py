@@ -140,8 +140,14 @@ def quantiles_from_histogram(hist: DataFrame, keys: list[str], value: str, count
     # form a group, as in groupBy).
     k = F.struct(*keys) if keys else F.lit(True)
     hist = hist.select(k.alias("_k"), F.col(value).cast("double").alias("_v"), F.col(count).alias("_c"))
-    found = _inside(hist, refine(hist, probs, rank_rows))
-    inside = Window.partitionBy("_k", "_lo").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    largest = hist.groupBy("_k").count().agg(F.max("count")).first()[0] or 0
+    if largest <= rank_rows:      # every group is an interval that is small enough as it is
+        by = ["_k"]
+        found = hist.withColumns({"_n": F.sum("_c").over(Window.partitionBy(*by)), "_before": F.lit(0)})
+    else:
+        by = ["_k", "_lo"]
+        found = _inside(hist, refine(hist, probs, rank_rows))
+    inside = Window.partitionBy(*by).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
     found = found.withColumn("_hi_rank", F.col("_before") + F.sum("_c").over(inside))          # exclusive end
     lo_rank, hi_rank = F.col("_hi_rank") - F.col("_c"), F.col("_hi_rank")
     aggs = []

@@ -25,10 +25,11 @@ benchmark.  What to look for:
   *aggregated* rows only.
 * **Pushdown** — the window and fare predicates of the bronze questions appear
   in `PushedFilters`; `ReadSchema` lists only the columns used.
-* **Exact percentiles** — the daily model shuffles the (day, amount)
-  histogram, counts fixed value buckets, and ranks only the values in the
-  buckets that hold a wanted rank; no `percentile` aggregate buffers a whole
-  group, and nothing depends on partition numbers.
+* **Exact percentiles** — the daily model's measures and its (day, amount)
+  histogram come from one scan and one shuffle, written once; the wanted
+  ranks are narrowed down on the stored histogram, and the plan shown ranks
+  only the values in the intervals left.  No `percentile` aggregate buffers
+  a whole group.
 * **Fused gold** — one scan of silver feeds an `Expand` (one copy of each row
   per grouping set) and a single partial/final aggregation for four models;
   the fare histogram is a second, two-column aggregate.
