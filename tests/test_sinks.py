@@ -70,6 +70,39 @@ def test_layout_and_compaction(spark, scratch):
     assert ranges[0].hi <= ranges[1].lo
 
 
+def test_compaction_sorts_no_more_in_a_task_than_its_bound(spark, scratch):
+    """Rows that take next to nothing on disk: the files follow from what a task holds while it sorts one."""
+    tables.create_layers(spark, os.path.join(scratch, "layers"))
+    key = lambda n: (F.col("id") * 7919 % n).alias("k")
+    wide = spark.range(1_500_000).select(key(1_500_000), *[F.lit(i).alias(f"c{i}") for i in range(20)])
+    long = spark.range(2_000).select(key(2_000), F.repeat(F.lit("x"), 5_000).alias("s"))
+    nested = spark.range(2_000).select(key(2_000), F.array_repeat(F.lit(1), 600).alias("a"))
+    for name, df, bound in (("wide", wide, {}), ("long", long, {"sort_bytes": 2 << 20}), ("nested", nested, {"sort_bytes": 2 << 20})):
+        tables.write_table(df, f"silver.sorts_{name}")
+        want = tables.checksum(df)
+        r = tables.compact(spark, {f"silver.sorts_{name}": ["k"]}, **bound).first()
+        assert r.status == "ok" and r.bytes_on_disk < tables.TARGET_FILE_BYTES / 4, r
+        stored = spark.table(f"silver.sorts_{name}")
+        assert tables.checksum(stored) == want
+        ranges = tables.file_ranges(stored, "k").orderBy("lo").collect()
+        assert len(ranges) == r.files_after > 1
+        assert all(a.hi < b.lo for a, b in zip(ranges, ranges[1:]))
+        # the ranges come from a sample: about equal shares
+        most = bound.get("sort_bytes", tables.SORT_BYTES)
+        assert all(tables.bytes_in_sort(df, want[0]) * f.rows < 1.5 * most * want[0] for f in ranges)
+    # where nothing is sorted, or the caller counts the files, memory doesn't matter
+    assert tables.compact(spark, {"silver.sorts_long": None}, sort_bytes=2 << 20).first().files_after == 1
+    assert tables.compact(spark, {"silver.sorts_long": ["k"]}, files=1, sort_bytes=2 << 20).first().files_after == 1
+
+
+def test_bytes_in_a_sort_with_nulls_and_no_rows(spark):
+    df = spark.createDataFrame([(1, None, None), (2, "abc", [1]), (None, "", None)], "id long, s string, a array<int>")
+    row = 8 * 4 + tables.SORT_ENTRY_BYTES
+    assert tables.bytes_in_sort(df, 3) == 3 * row + 3 + 3 * len("[1]")
+    assert tables.bytes_in_sort(df.select("id"), 3) == 3 * (8 * 2 + tables.SORT_ENTRY_BYTES)
+    assert tables.bytes_in_sort(df.where("false"), 0) == 0
+
+
 def test_append_by_name_and_default_timestamp(spark, scratch):
     tables.create_layers(spark, os.path.join(scratch, "layers"), names=("benchmark",))
     rows = fixtures.medallion_results(fixtures.table(spark, SF_SMALL, "events")).drop("captured_at")
