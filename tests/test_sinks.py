@@ -74,7 +74,7 @@ def test_compaction_sorts_no_more_in_a_task_than_its_bound(spark, scratch):
     """Rows that take next to nothing on disk: the files follow from what a task holds while it sorts one."""
     tables.create_layers(spark, os.path.join(scratch, "layers"))
     key = lambda n: (F.col("id") * 7919 % n).alias("k")
-    wide = spark.range(1_500_000).select(key(1_500_000), *[F.lit(i).alias(f"c{i}") for i in range(20)])
+    wide = spark.range(1_300_000).select(key(1_300_000), *[F.lit(i).alias(f"c{i}") for i in range(50)])
     long = spark.range(2_000).select(key(2_000), F.repeat(F.lit("x"), 5_000).alias("s"))
     nested = spark.range(2_000).select(key(2_000), F.array_repeat(F.lit(1), 600).alias("a"))
     for name, df, bound in (("wide", wide, {}), ("long", long, {"sort_bytes": 2 << 20}), ("nested", nested, {"sort_bytes": 2 << 20})):
